@@ -122,8 +122,8 @@ def ring_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column,
 # Dyadic (multi-resolution) model
 # ----------------------------------------------------------------------------
 
-def level_width(width: Column, level: Column, min_width: int) -> Column:
-    return F.greatest(F.shiftright(width, level), F.lit(min_width).cast("bigint"))
+def level_width(width: str, level: str, min_width: int) -> Column:
+    return F.greatest(F.expr(f"shiftright({width}, {level})"), F.lit(min_width).cast("bigint"))
 
 
 def dyadic_cells(ev: DataFrame, widths, levels: int = params.DYADIC_LEVELS,
@@ -135,10 +135,9 @@ def dyadic_cells(ev: DataFrame, widths, levels: int = params.DYADIC_LEVELS,
     _check_widths([min_width])
     counts = slot_counts(ev, lo=lo)
     lv = counts.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
-    seg = lv.groupBy("item", "level", F.shiftright("slot", F.col("level")).alias("seg")) \
+    seg = lv.groupBy("item", "level", F.expr("shiftright(slot, level)").alias("seg")) \
             .agg(F.sum("cnt").alias("cnt"))
-    seg = with_widths(seg, widths).withColumn("wl", level_width(F.col("width"), F.col("level"),
-                                                                  min_width))
+    seg = with_widths(seg, widths).withColumn("wl", level_width("width", "level", min_width))
     return event_cells(seg, ["width", "level", "seg"], depth, "wl", seed)
 
 
@@ -152,11 +151,12 @@ def dyadic_segments(T: Column, windows, max_window: Column, levels: int) -> Data
         .where(F.col("window_slots") <= max_window)
     base = base.select("window_slots", (T - F.col("window_slots") + 1).alias("a"), T.alias("b"))
     lv = base.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
-    size = F.shiftleft(F.lit(1).cast("bigint"), F.col("level"))
-    first = F.shiftright(F.col("a") + size - 1, F.col("level"))
-    last = F.shiftright(F.col("b") + 1, F.col("level")) - 1
-    segs = lv.where(first <= last).withColumn("seg", F.explode(F.sequence(first, last)))
-    psize = size * 2
+    lv = (lv.withColumn("size", F.expr("shiftleft(1L, level)"))
+            .withColumn("first", F.expr("shiftright(a + size - 1, level)"))
+            .withColumn("last", F.expr("shiftright(b + 1, level) - 1")))
+    segs = lv.where(F.col("first") <= F.col("last")) \
+             .withColumn("seg", F.explode(F.sequence(F.col("first"), F.col("last"))))
+    psize = F.col("size") * 2
     pstart = F.shiftright(F.col("seg"), 1) * psize
     parent_inside = (pstart >= F.col("a")) & (pstart + psize - 1 <= F.col("b"))
     keep = (F.col("level") == levels - 1) | ~parent_inside
@@ -174,7 +174,7 @@ def dyadic_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column
                        "left_semi")
     it = with_widths(items.select("item"), widths)
     it = it.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
-    it = it.withColumn("wl", level_width(F.col("width"), F.col("level"), min_width))
+    it = it.withColumn("wl", level_width("width", "level", min_width))
     probes = event_probes(it, depth, "wl", seed, extra=["width", "level", "wl"])
     per_seg = cm_min(probes, cells, ["width", "level", "row", "col"],
                      ["width", "item", "level", "seg"], depth)
