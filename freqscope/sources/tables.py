@@ -52,9 +52,20 @@ def events_frame(spark: SparkSession, sf_dir: str,
     return with_slots(items, "ts", slot_seconds)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrived in fewer splits than the cluster has
+    cores (a one-row-group file), before CPU-heavy per-row work.  Large inputs
+    already come in many splits and are left alone (no extra shuffle)."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 over ``documents.text``: one row per token occurrence."""
-    docs = read_table(spark, sf_dir, "documents", ["text"]).where(F.col("text").isNotNull())
+    docs = spread(read_table(spark, sf_dir, "documents", ["text"]).where(F.col("text").isNotNull()))
     return docs.select(F.explode(tokenize(F.col("text"))).alias("token"))
 
 
