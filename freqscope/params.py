@@ -64,6 +64,8 @@ SWEEP_WIDTHS = (16, 32, 64, 128)
 NUM_EVAL_POINTS = 10
 HIST_BINS = 20
 ROUND_DIGITS = 6
+CONSERVATIVE_WIDTH = 512
+CONSERVATIVE_SHARDS = 8
 
 # Broadcast a side only when a bound derived from parameters (never from the
 # data) says it is at most this many bytes; otherwise the planner shuffles.

@@ -412,3 +412,18 @@ def error_vs_memory(spark, sf_dir):
     return M.round_doubles(rows.where(F.col("estimated_bytes") <= p90).select(
         "model", "width", "estimated_bytes", "weighted_relative_l1",
         p90.alias("bytes_p90")))
+
+
+def conservative_estimates(spark, sf_dir):
+    """Conservative-update decayed Count-Min with count-mean-min read,
+    sharded by item; every item's estimate next to its exact decayed count."""
+    from ..operators.conservative import conservative_estimates as cons
+    j = _job(spark, sf_dir)
+    lam = params.DECAY_LAMBDA
+    counts = WM.slot_counts(j.ev, hi=j.T)
+    est = cons(counts, j.T, lam, params.CONSERVATIVE_WIDTH, params.DEPTH,
+               params.CONSERVATIVE_SHARDS)
+    tru = WM.decayed_truth(j.ev, j.T, lam)
+    return tru.join(est, "item").select(
+        "item", F.round("true_decayed", R).alias("true_decayed"),
+        F.round("est_raw", R).alias("est_decayed"))

@@ -19,7 +19,7 @@ def _event_jobs() -> dict[str, Job]:
         "ring_window_estimates", "window_accuracy", "dyadic_cells", "dyadic_estimates",
         "bucket_burst_estimates", "decay_sketch_estimates", "accuracy_metrics",
         "active_inactive", "error_histogram", "error_matrix", "errors_sorted", "width_sweep",
-        "model_comparison", "error_vs_memory",
+        "model_comparison", "error_vs_memory", "conservative_estimates",
     ]
     return {n: getattr(events, n) for n in names}
 
