@@ -22,18 +22,22 @@ def url_shingles(urls: DataFrame) -> DataFrame:
 
 def signatures(sh: DataFrame, n_hashes: int) -> DataFrame:
     """``(url, sh, sig)`` with ``sig[i] = min over shingles of
-    (a_i h + b_i) mod P``; h = md5 base hash reduced mod P.  Everything is
-    BIGINT arithmetic inside one projection per URL (no shuffle)."""
+    (a_i h + b_i) mod P``; h = md5 base hash reduced mod P.
+
+    Each (url, shingle) row expands into the n hash indexes (a literal
+    coefficient table), and a grouped min per (url, i) - codegen'd, with
+    partial aggregation inside each url partition - builds the signature; all
+    arithmetic stays in BIGINT."""
     a, b = minhash_coefficients(n_hashes)
-    A = F.array(*[F.lit(int(v)).cast("bigint") for v in a])
-    B = F.array(*[F.lit(int(v)).cast("bigint") for v in b])
-    hp = F.transform("sh", lambda s: minhash_base(s))
-    sig = F.transform(
-        F.sequence(F.lit(1), F.lit(n_hashes)),
-        lambda i: F.array_min(F.transform(
-            F.col("hp"), lambda h: affine_mod_prime_bigint(F.element_at(A, i), h,
-                                                           F.element_at(B, i)))))
-    return sh.withColumn("hp", hp).withColumn("sig", sig).drop("hp")
+    coef = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(int(a[i])).cast("bigint").alias("a"),
+                              F.lit(int(b[i])).cast("bigint").alias("b")) for i in range(n_hashes)])
+    pairs = sh.select("url", F.explode("sh").alias("s")).select("url", minhash_base(F.col("s")).alias("h"))
+    ex = pairs.select("url", "h", F.explode(coef).alias("c"))
+    v = affine_mod_prime_bigint(F.col("c.a"), F.col("h"), F.col("c.b"))
+    mins = ex.groupBy("url", F.col("c.i").alias("i")).agg(F.min(v).alias("v"))
+    sig = mins.groupBy("url").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("iv"))
+    sig = sig.select("url", F.col("iv.v").alias("sig"))
+    return sh.join(sig, "url")
 
 
 def bands(sig: DataFrame, K: int, L: int, extra: list[str] | None = None) -> DataFrame:

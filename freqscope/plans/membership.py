@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import params
 from ..functions.hashing import md5_u64, poly_hash
 from ..operators import bloom as B
-from ..sources.tables import read_table, spread
+from ..sources.tables import keyed, read_table, spread
 
 P = params
 R = params.ROUND_DIGITS
@@ -21,7 +21,7 @@ R = params.ROUND_DIGITS
 
 def _keys(spark: SparkSession, sf_dir: str):
     k = read_table(spark, sf_dir, "orders", ["o_orderkey"]).where(F.col("o_orderkey").isNotNull())
-    return k.select(F.col("o_orderkey").alias("key")).distinct()
+    return keyed(k.select(F.col("o_orderkey").alias("key")), "key").distinct()
 
 
 def _absent(keys):

@@ -23,8 +23,10 @@ SKETCHES = ("cm", "cmedian", "csketch")
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.tables import documents_tokens
-    return C.item_counts(documents_tokens(spark, sf_dir), "token")
+    """Exact counts with map-side combine (a hot token never travels as raw
+    rows), then spread over the shuffle partitions for per-token hashing."""
+    from ..sources.tables import documents_tokens, keyed
+    return keyed(C.item_counts(documents_tokens(spark, sf_dir), "token"), "token")
 
 
 def _cells(counts: DataFrame, width: int, kind: str) -> DataFrame:
@@ -109,6 +111,30 @@ def heavy_hitters(spark, sf_dir):
         .select("rank", "token", "est", "true_cnt")
 
 
+def all_estimates(c: DataFrame, width: int) -> DataFrame:
+    """Count-Min, Count-Median and Count-Sketch estimates of every token from
+    one pass: positions are hashed once per (token, row), both cell tables
+    (unsigned and signed) come from them, and one grouped read per token
+    yields all three estimates.  Cut from its lineage because three top-k
+    plans read it."""
+    pos = S.token_positions(c.select("token"), width).join(c, "token")
+    cu = pos.groupBy("row", "col").agg(F.sum("cnt").cast("bigint").alias("cu"))
+    cs = pos.groupBy("row", "col").agg(F.sum(F.col("cnt") * F.col("sign")).cast("bigint").alias("cs"))
+    from ..functions.hashing import bounded_broadcast
+    bound = P.TOKEN_DEPTH * width
+    j = (pos.join(bounded_broadcast(cu, bound, 24), ["row", "col"], "left")
+         .join(bounded_broadcast(cs, bound, 24), ["row", "col"], "left"))
+    u = F.coalesce("cu", F.lit(0)).cast("bigint")
+    sg = (F.coalesce("cs", F.lit(0)) * F.col("sign")).cast("bigint")
+    d = P.TOKEN_DEPTH
+    est = j.groupBy("token").agg(
+        F.first("cnt").alias("true_cnt"),
+        F.min(u).alias("cm"),
+        S._median_of(F.sort_array(F.collect_list(u)), d).cast("bigint").alias("cmedian"),
+        S._median_of(F.sort_array(F.collect_list(sg)), d).cast("bigint").alias("csketch"))
+    return est.checkpoint(eager=True)
+
+
 def _shared_counts(spark, sf_dir) -> DataFrame:
     """Token counts cut from their lineage (written to the checkpoint folder)
     because nine sketches and three evaluation sets read them."""
@@ -122,9 +148,9 @@ def topk_overlap(spark, sf_dir):
     true100 = C.top_k(c, P.TOKEN_TRUE_TOP, "token", "cnt").select("token")
     out = None
     for width in P.TOKEN_WIDTHS:
+        e = all_estimates(c, width)
         for kind in SKETCHES:
-            e = estimates(c, width, kind)
-            top = e.orderBy(F.col("est").desc(), F.col("token").asc()).limit(P.TOKEN_TOP_TRACKED)
+            top = e.orderBy(F.col(kind).desc(), F.col("token").asc()).limit(P.TOKEN_TOP_TRACKED)
             ov = top.join(F.broadcast(true100), "token").agg(
                 F.count(F.lit(1)).cast("bigint").alias("overlap"))
             row = ov.select(F.lit(kind).alias("sketch"), F.lit(width).cast("bigint").alias("R"),

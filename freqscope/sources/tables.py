@@ -69,7 +69,21 @@ def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.explode(tokenize(F.col("text"))).alias("token"))
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
+def keyed(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition by ``cols`` into the configured shuffle partition count.
+    Used before CPU-heavy per-row work (hashing, shingling) on data that is
+    small in bytes but costly per row, which AQE would otherwise coalesce into
+    one task; an explicit count is never coalesced."""
+    return df.repartition(shuffle_partitions(df.sparkSession), *cols)
+
+
 def distinct_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 over ``pages.url``: non-null, unique URLs."""
-    return (read_table(spark, sf_dir, "pages", ["url"])
-            .where(F.col("url").isNotNull()).distinct())
+    """S4 over ``pages.url``: non-null, unique URLs (U3).  The distinct reuses
+    the url partitioning, so this is a single shuffle."""
+    urls = read_table(spark, sf_dir, "pages", ["url"]).where(F.col("url").isNotNull())
+    return keyed(urls, "url").distinct()
