@@ -64,15 +64,16 @@ def cm_min(probes: DataFrame, cells: DataFrame, join_keys: list[str], group_keys
 # ----------------------------------------------------------------------------
 
 def token_positions(tokens: DataFrame, width: int, depth: int = params.TOKEN_DEPTH,
-                    token: str = "token") -> DataFrame:
+                    token: str = "token", extra: list[str] | None = None) -> DataFrame:
     """X3/X4/X5 per distinct token: ``(token, row, col, sign)``."""
     a, b, asg, bsg = token_family(width, depth)
     x = md5_u64(F.col(token))
     cols = F.array(*[affine_index(x, a[i], b[i], width) for i in range(depth)])
     signs = F.array(*[affine_sign(x, asg[i], bsg[i]) for i in range(depth)])
     z = F.arrays_zip(cols.alias("c"), signs.alias("s"))
-    return (tokens.select(token, F.posexplode(z).alias("row", "cs"))
-            .select(token, F.col("row").cast("bigint").alias("row"),
+    extra = extra or []
+    return (tokens.select(token, *extra, F.posexplode(z).alias("row", "cs"))
+            .select(token, *extra, F.col("row").cast("bigint").alias("row"),
                     F.col("cs.c").alias("col"), F.col("cs.s").alias("sign")))
 
 

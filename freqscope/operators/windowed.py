@@ -108,8 +108,15 @@ def ring_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column,
     cells = cells.where(F.col("slot") >= lo)
     probes = event_probes(with_widths(items.select("item"), widths), depth, "width", seed,
                           extra=["width"])
+    nw = len(list(widths))
     if items_bound is not None:
-        probes = bounded_broadcast(probes, items_bound * depth * len(list(widths)), 48)
+        probes = bounded_broadcast(probes, items_bound * depth * nw, 48)
+    else:
+        # cells are bounded by horizon x depth x width (parameters): broadcast
+        # them under the bound and stream the (spread) probe side instead
+        from ..sources.tables import keyed
+        probes = keyed(probes, "item")
+        cells = bounded_broadcast(cells, params.EVAL_LAST_SLOTS * depth * sum(widths), 40)
     per_slot = cm_min(probes, cells, ["width", "row", "col"], ["width", "item", "slot"], depth)
     sums = window_sums(per_slot, T, windows, max_window, "est", ["width", "item"], "est_count")
     grid = query_grid(items, windows, max_window, widths)

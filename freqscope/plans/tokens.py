@@ -35,7 +35,9 @@ def _cells(counts: DataFrame, width: int, kind: str) -> DataFrame:
 
 def estimates(counts: DataFrame, width: int, kind: str, probe: DataFrame | None = None) -> DataFrame:
     """(token, true_cnt, est) for every probe token (default: all tokens)."""
-    probe = counts if probe is None else probe
+    if probe is None:
+        return all_estimates(counts, width, cut=False).select(
+            "token", "true_cnt", F.col(kind).alias("est"))
     est = S.token_estimates(probe.select("token"), _cells(counts, width, kind), width, kind)
     return probe.select("token", F.col("cnt").alias("true_cnt")).join(est, "token")
 
@@ -111,13 +113,15 @@ def heavy_hitters(spark, sf_dir):
         .select("rank", "token", "est", "true_cnt")
 
 
-def all_estimates(c: DataFrame, width: int) -> DataFrame:
+def all_estimates(c: DataFrame, width: int, cut: bool = True) -> DataFrame:
     """Count-Min, Count-Median and Count-Sketch estimates of every token from
     one pass: positions are hashed once per (token, row), both cell tables
     (unsigned and signed) come from them, and one grouped read per token
     yields all three estimates.  Cut from its lineage because three top-k
     plans read it."""
-    pos = S.token_positions(c.select("token"), width).join(c, "token")
+    # positions are hashed once and read three times (two cell tables and the
+    # probe join): written to the checkpoint folder instead of recomputed
+    pos = S.token_positions(c.select("token", "cnt"), width, extra=["cnt"]).checkpoint(eager=True)
     cu = pos.groupBy("row", "col").agg(F.sum("cnt").cast("bigint").alias("cu"))
     cs = pos.groupBy("row", "col").agg(F.sum(F.col("cnt") * F.col("sign")).cast("bigint").alias("cs"))
     from ..functions.hashing import bounded_broadcast
@@ -132,7 +136,7 @@ def all_estimates(c: DataFrame, width: int) -> DataFrame:
         F.min(u).alias("cm"),
         S._median_of(F.sort_array(F.collect_list(u)), d).cast("bigint").alias("cmedian"),
         S._median_of(F.sort_array(F.collect_list(sg)), d).cast("bigint").alias("csketch"))
-    return est.checkpoint(eager=True)
+    return est.checkpoint(eager=True) if cut else est
 
 
 def _shared_counts(spark, sf_dir) -> DataFrame:
@@ -176,15 +180,15 @@ def token_error_sets(spark, sf_dir):
     by true frequency within each set."""
     c = _shared_counts(spark, sf_dir)
     sets = eval_sets(c).checkpoint(eager=True)
-    probe = sets.select("token", "cnt").distinct()
     out = None
     for width in P.TOKEN_WIDTHS:
-        for kind in SKETCHES:
-            est = S.token_estimates(probe.select("token"), _cells(c, width, kind), width, kind)
-            e = sets.join(est, "token").select(
-                "set", F.lit(width).cast("bigint").alias("R"), F.lit(kind).alias("sketch"),
-                "token", F.col("cnt").alias("true_cnt"), "est")
-            out = e if out is None else out.unionByName(e)
+        e = all_estimates(c, width, cut=False)
+        j = sets.join(e, "token")
+        kinds = F.array(*[F.struct(F.lit(k).alias("sketch"), F.col(k).alias("est")) for k in SKETCHES])
+        x = j.select("set", F.lit(width).cast("bigint").alias("R"), "token",
+                     F.col("cnt").alias("true_cnt"), F.explode(kinds).alias("k"))
+        x = x.select("set", "R", "k.sketch", "token", "true_cnt", "k.est")
+        out = x if out is None else out.unionByName(x)
     rel = F.when(F.col("true_cnt") > 0, F.abs(F.col("est") - F.col("true_cnt")) / F.col("true_cnt")) \
         .otherwise(F.lit(0.0))
     w = Window.partitionBy("set", "R", "sketch").orderBy(F.col("true_cnt").desc(), F.col("token"))
