@@ -9,15 +9,20 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "freqscope") -> SparkSession:
-    """A session tuned for the jobs: AQE on, UTC, no UI."""
+                  app_name: str = "freqscope", coalesce: bool = True) -> SparkSession:
+    """A session tuned for the jobs: AQE on, UTC, no UI.
+
+    ``coalesce=False`` keeps every shuffle at ``shuffle_partitions``: on small
+    tables whose rows are cheap in bytes but costly in CPU (hashing), AQE would
+    otherwise merge them into one task.  On a cluster the partition count is
+    sized to the data and coalescing stays on."""
     spark = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", str(coalesce).lower())
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
