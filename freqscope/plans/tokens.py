@@ -16,6 +16,7 @@ from .. import params
 from ..functions.hashing import md5_u64, sha_row_index
 from ..operators import counts as C
 from ..operators import sketch as S
+from ..session import cut_lineage
 
 P = params
 R = params.ROUND_DIGITS
@@ -121,7 +122,7 @@ def all_estimates(c: DataFrame, width: int, cut: bool = True) -> DataFrame:
     plans read it."""
     # positions are hashed once and read three times (two cell tables and the
     # probe join): written to the checkpoint folder instead of recomputed
-    pos = S.token_positions(c.select("token", "cnt"), width, extra=["cnt"]).checkpoint(eager=True)
+    pos = cut_lineage(S.token_positions(c.select("token", "cnt"), width, extra=["cnt"]))
     cu = pos.groupBy("row", "col").agg(F.sum("cnt").cast("bigint").alias("cu"))
     cs = pos.groupBy("row", "col").agg(F.sum(F.col("cnt") * F.col("sign")).cast("bigint").alias("cs"))
     from ..functions.hashing import bounded_broadcast
@@ -136,13 +137,13 @@ def all_estimates(c: DataFrame, width: int, cut: bool = True) -> DataFrame:
         F.min(u).alias("cm"),
         S._median_of(F.sort_array(F.collect_list(u)), d).cast("bigint").alias("cmedian"),
         S._median_of(F.sort_array(F.collect_list(sg)), d).cast("bigint").alias("csketch"))
-    return est.checkpoint(eager=True) if cut else est
+    return cut_lineage(est) if cut else est
 
 
 def _shared_counts(spark, sf_dir) -> DataFrame:
     """Token counts cut from their lineage (written to the checkpoint folder)
     because nine sketches and three evaluation sets read them."""
-    return token_counts(spark, sf_dir).checkpoint(eager=True)
+    return cut_lineage(token_counts(spark, sf_dir))
 
 
 def topk_overlap(spark, sf_dir):
@@ -179,7 +180,7 @@ def token_error_sets(spark, sf_dir):
     """Relative errors of every sketch and R on the three sets, ranked
     by true frequency within each set."""
     c = _shared_counts(spark, sf_dir)
-    sets = eval_sets(c).checkpoint(eager=True)
+    sets = cut_lineage(eval_sets(c))
     out = None
     for width in P.TOKEN_WIDTHS:
         e = all_estimates(c, width, cut=False)

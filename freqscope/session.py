@@ -44,5 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="freqscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    try:
+        spark.sparkContext.setCheckpointDir(conf_dir)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the conf
+        pass
     return conf_dir
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared folder named by
+    ``spark.checkpoint.dir`` (never a local checkpoint): survives executor
+    loss and lets several plans read one materialised table."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
