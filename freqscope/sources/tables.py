@@ -73,15 +73,16 @@ def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Partition count for CPU-bound per-row work: one task per core of the
+    cluster (falls back to the shuffle setting without a SparkContext)."""
     try:
-        return max(n, spark.sparkContext.defaultParallelism)
+        return max(1, spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no SparkContext in this session type
-        return n
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def keyed(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition by ``cols`` into the configured shuffle partition count.
+    """Hash-partition by ``cols`` into one partition per core.
     Used before CPU-heavy per-row work (hashing, shingling) on data that is
     small in bytes but costly per row, which AQE would otherwise coalesce into
     one task; an explicit count is never coalesced."""
