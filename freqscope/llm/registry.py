@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .bpe import op8_bpe
 from .pii import op1_pii
 from .simhash import op2_simhash
+from .token_shards import op7_token_shards
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
+    "op7_token_shards": op7_token_shards,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE: dict[str, str] = {}
