@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op8_bpe
 from .pii import op1_pii
 from .simhash import op2_simhash
+from .syncmers import op9_syncmers
 from .token_shards import op7_token_shards
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op7_token_shards": op7_token_shards,
     "op8_bpe": op8_bpe,
+    "op9_syncmers": op9_syncmers,
 }
 
 ORACLE: dict[str, str] = {}
