@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .pii import op1_pii
+from .quality import op10_quality
 from .simhash import op2_simhash
 from .syncmers import op9_syncmers
 from .token_shards import op7_token_shards
@@ -14,6 +15,7 @@ QUERIES = {
     "op7_token_shards": op7_token_shards,
     "op8_bpe": op8_bpe,
     "op9_syncmers": op9_syncmers,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}
