@@ -66,3 +66,10 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: T.Str
 def text_or_empty(column: str):
     """Null texts count as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name

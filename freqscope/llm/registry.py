@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .covertree import OP6_SQL, op6_topk
+from .licenses import OP3_SQL, op3_licenses
+from .main_text import op4_main_text
+from .mixing import op5_mixing
 from .pii import op1_pii
 from .quality import op10_quality
 from .simhash import op2_simhash
@@ -12,10 +16,17 @@ from .token_shards import op7_token_shards
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
+    "op3_licenses": op3_licenses,
+    "op4_main_text": op4_main_text,
+    "op5_mixing": op5_mixing,
+    "op6_topk": op6_topk,
     "op7_token_shards": op7_token_shards,
     "op8_bpe": op8_bpe,
     "op9_syncmers": op9_syncmers,
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_licenses": OP3_SQL,
+    "op6_topk": OP6_SQL,
+}
