@@ -264,9 +264,9 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = f"""
-    WITH e AS (SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v FROM embeddings
                WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-                 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
           FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0),
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)

@@ -35,9 +35,10 @@ DOMAINS = ("good", "toxic", "poor")
 TARGETS = (0.90, 0.04, 0.06)
 LABELLED_ROWS = 20_000
 WORDS = 256
-STEPS = 60
-RIDGE = 0.02
-TOLERANCE = 1e-4
+STEPS = 40
+STORE_EVERY = 8
+RIDGE = 0.005
+TOLERANCE = 2e-5
 
 SYMBOLS = "#$%&*|~^<>{}=_\\"
 #: statistic -> bin bounds
@@ -112,13 +113,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         return [math.log((r[f"n{k}"] + 0.5) / (n[k] + 1.0)) for k in range(n_domains)]
 
     absent = lambda p: math.log(max(1e-9, 1 - math.exp(p)))
-    prior = [math.log((n[k] + 1) / (every + n_domains)) for k in range(n_domains)]
     picked = []
     for r in best:
+        # evidence of a word's presence: how much likelier it is in a domain than overall
         p = logs(r)
-        prior = [a + absent(q) for a, q in zip(prior, p)]
-        picked.append((r["f"], [q - absent(q) for q in p]))
-    return {"prior": prior, "words": picked, "bins": {r["f"]: logs(r) for r in bins}, "unseen": [math.log(0.5 / (k + 1.0)) for k in n]}
+        overall = math.log((sum(r[f"n{k}"] for k in range(n_domains)) + 0.5) / (every + 1.0))
+        picked.append((r["f"], [q - overall for q in p]))
+    return {"prior": [math.log((x + 1) / (every + n_domains)) for x in n], "words": picked,
+            "bins": {r["f"]: logs(r) for r in bins}, "unseen": [math.log(0.5 / (x + 1.0)) for x in n]}
 
 
 def _summed(features: str, weights: dict[str, float], unseen: float) -> Column:
@@ -146,36 +148,34 @@ def posteriors(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: s
     return rows.select(id_col, "n_tokens", F.transform("e", lambda x: x / whole).alias("p"))
 
 
-def _rate(pulls: list[list[float]], step: float, ridge: float) -> Column:
-    """The rate after the steps so far: each takes the gradient and stays >= 0."""
-    if not pulls:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in pulls])
-
-    def move(r: Column, g: Column) -> Column:
-        pull = sum((F.element_at("p", k + 1) * F.element_at(g, k + 1) for k in range(len(pulls[0]))), F.lit(0.0))
-        return F.greatest(F.lit(0.0), r - step * (pull + ridge * (r - 1.0)))
-
-    return F.aggregate(steps, F.lit(1.0), move)
-
-
 def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS,
-              ridge: float = RIDGE, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """Gradient pulls of all steps for a table (n_tokens, p).  Step t's rates follow
-    from the pulls before it, so no state of the documents is kept between steps."""
-    share = sum(targets)
-    pulls: list[list[float]] = []
-    for _ in range(steps):
-        r = _rate(pulls, 1.0 / (1.0 + ridge), ridge)
-        sums = weighted.agg(F.sum("n_tokens").alias("s"), *[
-            F.sum(F.col("n_tokens") * r * F.element_at("p", k + 1)).alias(f"a{k}") for k in range(len(targets))]).first()
+              ridge: float = RIDGE, tolerance: float = TOLERANCE) -> DataFrame:
+    """``weighted`` (with n_tokens and p) plus ``rate``.
+
+    Projected gradient with momentum: a step is one aggregate of the domains' expected
+    tokens at the look-ahead rates, then a projection that moves each document's rate
+    along its gradient, cuts it at zero and looks ahead again.  The state is written
+    every ``STORE_EVERY`` steps, so plans stay short and a lost executor costs few."""
+    share, size = sum(targets), 1.0 / (1.0 + ridge)
+    names = weighted.columns
+    state = weighted.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0))
+    before: list[float] = []
+    for t in range(steps):
+        mass = F.col("n_tokens") * F.col("ahead")
+        sums = state.agg(F.sum("n_tokens").alias("s"), *[
+            F.sum(mass * F.col("p")[k]).alias(f"a{k}") for k in range(len(targets))]).first()
         if not sums["s"]:
             break
-        pull = [sums[f"a{k}"] / sums["s"] - t / share for k, t in enumerate(targets)]
-        if pulls and max(abs(a - b) for a, b in zip(pull, pulls[-1])) < tolerance:
+        pull = [sums[f"a{k}"] / sums["s"] - x / share for k, x in enumerate(targets)]
+        if t > 2 and max(abs(a - b) for a, b in zip(pull, before)) < tolerance:
             break
-        pulls.append(pull)
-    return pulls
+        before, momentum = pull, t / (t + 3.0)
+        along = sum((F.col("p")[k] * float(g) for k, g in enumerate(pull)), F.lit(0.0)) + ridge * (F.col("ahead") - 1.0)
+        state = state.select(*names, F.col("rate").alias("last"), F.greatest(F.lit(0.0), F.col("ahead") - size * along).alias("rate")) \
+            .select(*names, "rate", (F.col("rate") + momentum * (F.col("rate") - F.col("last"))).alias("ahead"))
+        if t % STORE_EVERY == STORE_EVERY - 1:
+            state = stored(state, "rates")
+    return state.drop("ahead")
 
 
 def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -184,8 +184,7 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = len(targets)
     model = fit_domains(docs, labels, id_col, text_col, domain, n)
     weighted = stored(posteriors(docs, model, id_col, text_col, n), "posteriors")
-    rate = _rate(fit_rates(weighted, targets) if model["bins"] else [], 1.0 / (1.0 + RIDGE), RIDGE)
-    rated = weighted.withColumn("rate", F.round(rate, 6))
+    rated = fit_rates(weighted, targets, STEPS if model["bins"] else 0).withColumn("rate", F.round("rate", 6))
     chance = F.pmod(F.xxhash64(id_col, F.lit(55)), F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
