@@ -46,18 +46,23 @@ def field(df: DataFrame, name: str) -> T.StructField:
     return T.StructField(name, df.schema[name].dataType, True)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: T.StructType) -> DataFrame:
+#: rows that a map over texts holds in Python at a time
+SLICE_ROWS = 1000
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: T.StructType,
+              slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``mapInArrow`` for functions that turn one batch into one list of columns.
 
-    ``fn`` returns one array or list per field of ``schema``."""
+    ``fn`` gets slices of a batch and returns one array or list per field of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            for at in range(0, batch.num_rows, slice_rows):
                 cols = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
-                        for c, f in zip(fn(batch), arrow)]
+                        for c, f in zip(fn(batch.slice(at, slice_rows)), arrow)]
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
     return df.mapInArrow(run, schema)

@@ -195,14 +195,14 @@ def link_edges(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits // len(BLOCKS) > STEP:
         raise ValueError(f"the blocks carry thresholds below {len(BLOCKS) * (STEP + 1)} bits")
     rows = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("fp", T.LongType())])
-    copies = map_arrow(distinct, lambda b: list(map(pa.array, _anchor_rows(b))), rows)
+    copies = map_arrow(distinct, lambda b: list(map(pa.array, _anchor_rows(b))), rows, 10_000)
 
     def homes(batch: pa.RecordBatch) -> list:
         fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         return [pa.array(np.concatenate([_homes(fps, k) for k in range(len(BLOCKS))])),
                 pa.array(np.tile(fps, len(BLOCKS)))]
 
-    home = map_arrow(distinct, homes, rows)
+    home = map_arrow(distinct, homes, rows, 10_000)
     hot = stored(home.groupBy("anchor").count().where(F.col("count") > HOMES)
                  .select("anchor", F.ceil(F.col("count") / HOMES).cast("int").alias("slices")), "hot-anchors")
     small = hot.count() <= HOT_BROADCAST_ROWS  # two numbers a row: a few MB at most
@@ -273,7 +273,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_id = found.groupBy(F.col(id_col).alias("one_id")).agg(
         F.count("*").alias("rows"), F.min(F.col(id_col).eqNullSafe(F.col("component"))).alias("stays"))
     drop = stored(by_id.where("rows > 1 or not stays"), "dropped-ids")
-    n = drop.agg(F.count("*"), F.count_if("rows > 1")).first()
+    n = drop.agg(F.count("*"), F.count_if(F.col("rows") > 1)).first()
     fits = (lambda df: F.broadcast(df)) if n[0] <= DROP_BROADCAST_ROWS else (lambda df: df)
     once = docs.join(fits(drop), docs[id_col].eqNullSafe(drop["one_id"]), "left_anti")
     if not n[1]:
