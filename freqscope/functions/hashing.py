@@ -1,14 +1,14 @@
 """Hash families as Column expressions.
 
-Coefficients are drawn on the driver by a seeded generator and inlined as
-literals, so every executor (and DuckDB) evaluates the same function.  Wide
+Coefficients come from a digest of the family's name and the row, and are inlined
+as literals, so every executor (and DuckDB) evaluates the same function.  Wide
 arithmetic uses DECIMAL(38,0) (products stay below 2^125 < 10^38); callers hash
 distinct items, never raw events.
 """
 
 from __future__ import annotations
 
-import random
+import hashlib
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -49,16 +49,17 @@ def sha_row_index(item: Column, row: Column, seed: int, width: int | Column,
 
 
 @lru_cache(maxsize=None)
-def token_family(width: int, depth: int = params.TOKEN_DEPTH, seed: int = params.TOKEN_SEED):
-    """X4/X5 coefficients: per row (a, b) for the index hash and (a', b') for
-    the sign hash, drawn from ``random.Random(seed + 17*width + 13*depth + 3)``."""
-    p = params.MERSENNE_61
-    rng = random.Random(seed + 17 * width + 13 * depth + 3)
-    a = [rng.randrange(1, p - 1) for _ in range(depth)]
-    b = [rng.randrange(0, p - 1) for _ in range(depth)]
-    asg = [rng.randrange(1, p - 1) for _ in range(depth)]
-    bsg = [rng.randrange(0, p - 1) for _ in range(depth)]
-    return tuple(a), tuple(b), tuple(asg), tuple(bsg)
+def affine_family(name: str, rows: int, p: int) -> tuple[tuple[int, int], ...]:
+    """A pair (a, b) with 0 < a < p and 0 <= b < p for each row.
+
+    Each row's pair is read from the SHA-256 of the family's name and the row's
+    number, so families with different names are independent, and a family's first
+    rows do not change when more are asked for."""
+    def pair(row: int) -> tuple[int, int]:
+        digest = hashlib.sha256(f"{name}/{row}".encode()).digest()
+        return (1 + int.from_bytes(digest[:16], "big") % (p - 1), int.from_bytes(digest[16:], "big") % p)
+
+    return tuple(pair(row) for row in range(rows))
 
 
 def _affine_mod_p(x_u64: Column, a: int, b: int, p: int) -> Column:
@@ -76,14 +77,9 @@ def affine_sign(x_u64: Column, a: int, b: int, p: int = params.MERSENNE_61) -> C
     return F.when(F.pmod(v, F.lit(2)) == 0, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
 
 
-@lru_cache(maxsize=None)
-def minhash_coefficients(n: int = params.MINHASH_MAX_HASHES):
-    """X11: ``a_i`` in [1, P-1] then ``b_i`` in [0, P-1], seeded generator."""
-    p = params.MINHASH_PRIME
-    rng = random.Random(params.MINHASH_COEFF_SEED)
-    a = [rng.randint(1, p - 1) for _ in range(params.MINHASH_MAX_HASHES)]
-    b = [rng.randint(0, p - 1) for _ in range(params.MINHASH_MAX_HASHES)]
-    return tuple(a[:n]), tuple(b[:n])
+def minhash_family(n: int) -> tuple[tuple[int, int], ...]:
+    """X11: the first ``n`` rows of the MinHash family."""
+    return affine_family("minhash", n, params.MINHASH_PRIME)
 
 
 def minhash_base(shingle: Column) -> Column:
@@ -120,10 +116,18 @@ def poly_hash(x: Column, coeffs, p: int, out_mod: int) -> Column:
     return F.pmod(acc, F.lit(out_mod)).cast("bigint")
 
 
-def bounded_broadcast(df: DataFrame, bound_rows: int, row_bytes: int = 32,
+#: an UnsafeRow of n fields takes 8 + 8 n bytes; the hash relation adds a key copy
+#: and map entries of about the same size again
+def broadcast_bytes(rows: int, fields: int, string_bytes: int = 0) -> int:
+    return rows * 2 * (8 + 8 * fields + string_bytes)
+
+
+def bounded_broadcast(df: DataFrame, bound_rows: int, string_bytes: int = 0,
                       limit: int = params.BROADCAST_BOUND_BYTES) -> DataFrame:
     """Broadcast ``df`` only when a bound derived from job parameters (not from
-    the data) proves it small; otherwise leave the choice to the planner/AQE."""
-    if bound_rows * row_bytes <= limit:
+    the data) proves it small; otherwise leave the choice to the planner/AQE.
+    ``string_bytes``: a bound on the text of a row; a frame of unbounded text
+    must not come here."""
+    if broadcast_bytes(bound_rows, len(df.columns), string_bytes) <= limit:
         return F.broadcast(df)
     return df

@@ -36,8 +36,10 @@ def key_hashes(keys: DataFrame, key: str, m: Column, seed: int = params.BLOOM_SE
     h1 = F.conv(F.substring(d, 1, 16), 16, 10).cast(U64)
     h2 = F.conv(F.substring(d, 17, 16), 16, 10).cast(U64)
     mm = m.cast(U64)
+    # odd, so never 0, and all k positions differ when m is a power of two
+    half = F.greatest(F.lit(1).cast("bigint"), F.floor(m / F.lit(2)).cast("bigint")).cast(U64)
     return keys.withColumn("h1", F.pmod(h1, mm).cast("bigint")) \
-               .withColumn("h2", F.pmod(h2, mm).cast("bigint"))
+               .withColumn("h2", 1 + 2 * F.pmod(h2, half).cast("bigint"))
 
 
 def positions(keys: DataFrame, key: str, m: Column, k: Column, extra: list[str] | None = None,
@@ -57,14 +59,15 @@ def build(keys: DataFrame, key: str, m: Column, k: Column, extra: list[str] | No
 
 
 def probe(filter_bits: DataFrame, probes: DataFrame, key: str, m: Column, k: Column,
-          extra: list[str] | None = None, m_bound: int | None = None) -> DataFrame:
-    """``(extra..., key, present)``; a key is present when all k of its
-    positions are set."""
-    extra = extra or []
-    pp = positions(probes, key, m, k, extra)
+          extra: list[str] | None = None, m_bound: int | None = None,
+          carry: list[str] | None = None) -> DataFrame:
+    """``(extra..., carry..., key, present)``; a key is present when all k of
+    its positions are set.  ``extra`` names the filter, ``carry`` goes along."""
+    extra, carry = extra or [], carry or []
+    pp = positions(probes, key, m, k, [*extra, *carry])
     bits = filter_bits.withColumn("set_", F.lit(1))
     if m_bound is not None:
-        bits = bounded_broadcast(bits, m_bound, 16)
+        bits = bounded_broadcast(bits, m_bound)
     j = pp.join(bits, [*extra, "pos"], "left")
-    return j.groupBy(*extra, key).agg(
+    return j.groupBy(*extra, *carry, key).agg(
         (F.count("set_") == F.count(F.lit(1))).alias("present"))

@@ -9,8 +9,10 @@ from .. import params
 
 
 def item_counts(df: DataFrame, item: str = "item", name: str = "cnt") -> DataFrame:
-    """G1: exact count per item (partial aggregation before the shuffle)."""
-    return df.groupBy(item).agg(F.count(F.lit(1)).cast("bigint").alias(name))
+    """G1: exact count per item (partial aggregation before the shuffle).  Rows
+    that carry a ``cnt`` already count as many."""
+    n = F.sum("cnt") if "cnt" in df.columns else F.count(F.lit(1))
+    return df.groupBy(item).agg(n.cast("bigint").alias(name))
 
 
 def top_k(counts: DataFrame, k: int, item: str = "item", cnt: str = "cnt",
@@ -29,24 +31,6 @@ def ranked(df: DataFrame, order_cols, name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
 
 
-def max_slot(ev: DataFrame) -> Column:
-    """G2 as a scalar subquery (evaluated once, reused by every expression)."""
-    return ev.select(F.max("slot")).scalar()
-
-
-def horizon_bounds(ev: DataFrame, eval_last_slots: int = params.EVAL_LAST_SLOTS):
-    """``(T, horizon_start, max_window)`` as scalar Columns.
-
-    horizon = last ``eval_last_slots`` slots (0 = everything), clamped at 0."""
-    T = max_slot(ev)
-    if eval_last_slots and eval_last_slots > 0:
-        length = F.least(F.lit(eval_last_slots).cast("bigint"), T + 1)
-    else:
-        length = T + 1
-    start = F.greatest(F.lit(0).cast("bigint"), T - length + 1)
-    return T, start, length
-
-
 def horizon_targets(ev: DataFrame, start: Column, end: Column, k: int = params.TOP_K) -> DataFrame:
     """Top-k items inside [start, end].  The horizon always holds the
     newest slot, so it is never empty for a non-empty stream and the global

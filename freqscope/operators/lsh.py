@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.hashing import (affine_mod_prime_bigint, band_bucket, minhash_base,
-                                 minhash_coefficients)
+                                 minhash_family)
 from ..functions.text import jaccard, shingles
 from .topn import top_n_per_group
 
@@ -28,9 +28,8 @@ def signatures(sh: DataFrame, n_hashes: int) -> DataFrame:
     coefficient table), and a grouped min per (url, i) - codegen'd, with
     partial aggregation inside each url partition - builds the signature; all
     arithmetic stays in BIGINT."""
-    a, b = minhash_coefficients(n_hashes)
-    coef = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(int(a[i])).cast("bigint").alias("a"),
-                              F.lit(int(b[i])).cast("bigint").alias("b")) for i in range(n_hashes)])
+    coef = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+                     for i, (a, b) in enumerate(minhash_family(n_hashes))])
     pairs = sh.select("url", F.explode("sh").alias("s")).select("url", minhash_base(F.col("s")).alias("h"))
     ex = pairs.select("url", "h", F.explode(coef).alias("c"))
     v = affine_mod_prime_bigint(F.col("c.a"), F.col("h"), F.col("c.b"))

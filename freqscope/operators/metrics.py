@@ -1,7 +1,8 @@
 """Accuracy metrics of estimates against exact answers.
 
-Inputs are query grids (targets x windows / buckets / times), whose size is set
-by parameters, so the percentile reads sort one bounded list per group.
+The percentiles sort one list per group: they are for query grids (targets x
+windows / buckets / times), whose size is set by parameters.  ``percentiles=False``
+leaves them out, for inputs with a row per item.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def nearest_rank(sorted_arr: Column, n: Column, pct: float) -> Column:
     return F.when(n > 0, F.element_at(sorted_arr, idx)).otherwise(F.lit(0.0))
 
 
-def accuracy_aggs(true: str = "true_count", est: str = "est_count") -> list[Column]:
+def accuracy_aggs(true: str = "true_count", est: str = "est_count", percentiles: bool = True) -> list[Column]:
     """G23 + G25 as aggregate expressions over rows with abs_error/rel_error."""
     t, e, ab, rel = F.col(true), F.col(est), F.col("abs_error"), F.col("rel_error")
     n = F.count(F.lit(1))
@@ -52,8 +53,8 @@ def accuracy_aggs(true: str = "true_count", est: str = "est_count") -> list[Colu
         F.coalesce(F.sqrt(F.avg(ab * ab)), zero).alias("rmse"),
         F.coalesce(F.avg(rel), zero).alias("mean_relative_error"),
         F.when(sum_true > 0, F.sum(ab) / sum_true).otherwise(zero).alias("weighted_relative_l1"),
-        nearest_rank(sorted_rel, n, 50.0).alias("median_relative_error"),
-        nearest_rank(sorted_rel, n, 90.0).alias("p90_relative_error"),
+        *([nearest_rank(sorted_rel, n, 50.0).alias("median_relative_error"),
+           nearest_rank(sorted_rel, n, 90.0).alias("p90_relative_error")] if percentiles else []),
         F.coalesce(F.max(rel), zero).alias("max_relative_error"),
         F.coalesce(F.avg(F.when(active, ab)), zero).alias("mae_active"),
         F.coalesce(F.sqrt(F.avg(F.when(active, ab * ab))), zero).alias("rmse_active"),
@@ -70,9 +71,10 @@ def accuracy_aggs(true: str = "true_count", est: str = "est_count") -> list[Colu
 
 
 def accuracy_metrics(df: DataFrame, keys: list[str], true: str = "true_count",
-                     est: str = "est_count", digits: int = params.ROUND_DIGITS) -> DataFrame:
+                     est: str = "est_count", digits: int = params.ROUND_DIGITS,
+                     percentiles: bool = True) -> DataFrame:
     """One metrics row per group of ``keys``."""
-    m = with_errors(df, true, est).groupBy(*keys).agg(*accuracy_aggs(true, est))
+    m = with_errors(df, true, est).groupBy(*keys).agg(*accuracy_aggs(true, est, percentiles))
     return round_doubles(m, digits)
 
 
@@ -87,21 +89,21 @@ def error_histogram(df: DataFrame, value: str = "rel_error", bins: int = params.
     """``bins`` equal bins over [min, max] (the last bin closed, as
     NumPy); a constant sample spreads over [v-0.5, v+0.5].
 
-    The input is a query grid (bounded by parameters), so one row holding its
-    values feeds the 20 bins without any join or scalar subquery."""
-    st = df.where(F.col(value).isNotNull()).agg(
-        F.min(value).alias("mn"), F.max(value).alias("mx"), F.collect_list(value).alias("xs"))
-    st = st.where(F.col("mn").isNotNull()).select(
-        F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5).alias("lo"),
-        F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5).alias("hi"),
-        "xs")
-    sp = st.select("lo", "hi", "xs", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.lit(bins - 1).cast("bigint"))).alias("bin"))
-    lo, hi = F.col("lo"), F.col("hi")
-    in_bin = F.filter("xs", lambda x: F.least(F.floor((x - lo) / (hi - lo) * bins),
-                                              F.lit(bins - 1)) == F.col("bin"))
-    return sp.select(
+    One job finds the range; each value then falls into its bin, and the bins are
+    counted with partial aggregation."""
+    df = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"))
+    ends = df.agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
+    if ends["a"] is None:
+        lo, hi, bins = 0.0, 1.0, 0
+    elif ends["b"] > ends["a"]:
+        lo, hi = ends["a"], ends["b"]
+    else:
+        lo, hi = ends["a"] - 0.5, ends["b"] + 0.5
+    place = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("bigint")
+    counted = df.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    return every.join(counted, "bin", "left").select(
         "bin",
-        F.round(lo + (hi - lo) * F.col("bin") / bins, digits).alias("bin_lo"),
-        F.round(lo + (hi - lo) * (F.col("bin") + 1) / bins, digits).alias("bin_hi"),
-        F.size(in_bin).cast("bigint").alias("n"))
+        F.round(F.lit(lo) + F.lit(hi - lo) * F.col("bin") / F.lit(max(1, bins)), digits).alias("bin_lo"),
+        F.round(F.lit(lo) + F.lit(hi - lo) * (F.col("bin") + 1) / F.lit(max(1, bins)), digits).alias("bin_hi"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))

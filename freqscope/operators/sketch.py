@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import (affine_index, affine_sign, bounded_broadcast, md5_u64,
-                                 sha_row_index, token_family)
+from ..functions.hashing import (affine_family, affine_index, affine_sign, bounded_broadcast, md5_u64,
+                                 sha_row_index)
 
 
 # ----------------------------------------------------------------------------
@@ -63,33 +63,37 @@ def cm_min(probes: DataFrame, cells: DataFrame, join_keys: list[str], group_keys
 # 2-universal family over md5 token ids (query-log sketches)
 # ----------------------------------------------------------------------------
 
-def token_positions(tokens: DataFrame, width: int, depth: int = params.TOKEN_DEPTH,
+def token_hash_columns(token: Column, width: int, kind: str, depth: int = params.TOKEN_DEPTH) -> Column:
+    """Array of (col, sign), one per row.  Each sketch kind has a family
+    of its own, so their errors are independent; only Count-Sketch has signs."""
+    p = params.MERSENNE_61
+    x = md5_u64(token)
+    cols = [affine_index(x, a, b, width) for a, b in affine_family(f"{kind}/{width}", depth, p)]
+    if kind == "csketch":
+        signs = [affine_sign(x, a, b) for a, b in affine_family(f"{kind}/{width}/sign", depth, p)]
+    else:
+        signs = [F.lit(1).cast("bigint")] * depth
+    return F.array(*[F.struct(c.alias("c"), s.alias("s")) for c, s in zip(cols, signs)])
+
+
+def token_positions(tokens: DataFrame, width: int, kind: str, depth: int = params.TOKEN_DEPTH,
                     token: str = "token", extra: list[str] | None = None) -> DataFrame:
-    """X3/X4/X5 per distinct token: ``(token, row, col, sign)``."""
-    a, b, asg, bsg = token_family(width, depth)
-    x = md5_u64(F.col(token))
-    cols = F.array(*[affine_index(x, a[i], b[i], width) for i in range(depth)])
-    signs = F.array(*[affine_sign(x, asg[i], bsg[i]) for i in range(depth)])
-    z = F.arrays_zip(cols.alias("c"), signs.alias("s"))
+    """``(token, extra..., row, col, sign)`` per distinct token and row."""
     extra = extra or []
-    return (tokens.select(token, *extra, F.posexplode(z).alias("row", "cs"))
+    return (tokens.select(token, *extra, F.posexplode(token_hash_columns(F.col(token), width, kind, depth))
+                          .alias("row", "cs"))
             .select(token, *extra, F.col("row").cast("bigint").alias("row"),
                     F.col("cs.c").alias("col"), F.col("cs.s").alias("sign")))
 
 
-def token_cells(counts: DataFrame, width: int, depth: int = params.TOKEN_DEPTH,
-                       signed: bool = False, token: str = "token", cnt: str = "cnt") -> DataFrame:
-    """G8 (unsigned) / G10 (signed) cells from exact per-token counts; the
-    positions are computed inline, once per distinct token."""
-    a, b, asg, bsg = token_family(width, depth)
-    x = md5_u64(F.col(token))
-    cols = F.array(*[affine_index(x, a[i], b[i], width) for i in range(depth)])
-    signs = F.array(*[affine_sign(x, asg[i], bsg[i]) for i in range(depth)])
-    z = F.arrays_zip(cols.alias("c"), signs.alias("s"))
-    ex = counts.select(cnt, F.posexplode(z).alias("row", "cs"))
-    weight = F.col(cnt) * F.col("cs.s") if signed else F.col(cnt)
-    return (ex.groupBy(F.col("row").cast("bigint").alias("row"), F.col("cs.c").alias("col"))
-            .agg(F.sum(weight).cast("bigint").alias("cnt")))
+def token_cells(counts: DataFrame, width: int, kind: str, depth: int = params.TOKEN_DEPTH,
+                token: str = "token", cnt: str = "cnt", keys: list[str] | None = None) -> DataFrame:
+    """G8-G10 cells from exact per-token counts; the positions are computed
+    inline, once per distinct token."""
+    keys = keys or []
+    pos = token_positions(counts, width, kind, depth, token, extra=[*keys, cnt])
+    return (pos.groupBy(*keys, "row", "col")
+            .agg(F.sum(F.col(cnt) * F.col("sign")).cast("bigint").alias("cnt")))
 
 
 def _median_of(sorted_arr: Column, n: int) -> Column:
@@ -109,8 +113,8 @@ def token_estimates(probe_tokens: DataFrame, cells: DataFrame, width: int, kind:
 
     Cells are bounded by depth x width rows, a parameter, so they are
     broadcast when that bound is small; otherwise the join shuffles."""
-    pos = token_positions(probe_tokens.select(token).distinct(), width, depth, token)
-    small_cells = bounded_broadcast(cells, depth * width, 24)
+    pos = token_positions(probe_tokens.select(token).distinct(), width, kind, depth, token)
+    small_cells = bounded_broadcast(cells, depth * width)
     j = pos.join(small_cells, ["row", "col"], "left")
     val = F.coalesce(F.col("cnt"), F.lit(0)).cast("bigint")
     if kind == "csketch":

@@ -1,6 +1,6 @@
 """Time-windowed frequency models over the canonical event frame.
 
-Every model takes the events ``(item, slot)``, a frame of query ``items`` and a
+Every model takes the counts ``(item, slot, cnt)``, a frame of query ``items`` and a
 list of sketch ``widths``; widths are exploded into a key column so a whole
 width sweep is one job (E2).  Interval reads never loop over slots: each
 pre-aggregated ``(item, slot)`` row is expanded into the few query windows that
@@ -38,16 +38,21 @@ def with_widths(df: DataFrame, widths) -> DataFrame:
 
 def slot_counts(ev: DataFrame, lo: Column | None = None, hi: Column | None = None,
                 items: DataFrame | None = None) -> DataFrame:
-    """Exact ``(item, slot, cnt)``; optional slot range and item set (P9,
-    a broadcast semi join when the item set is a bounded top-k list)."""
-    df = ev
+    """Exact ``(item, slot, cnt)``; optional slot range and item set (P9, a
+    semi join with a top-k list of ``params.TOP_K`` rows)."""
+    df = ev.select("item", "slot", "cnt")
     if lo is not None:
         df = df.where(F.col("slot") >= lo)
     if hi is not None:
         df = df.where(F.col("slot") <= hi)
     if items is not None:
-        df = df.join(F.broadcast(items.select("item")), "item", "left_semi")
-    return df.groupBy("item", "slot").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
+        df = df.join(_small(items.select("item")), "item", "left_semi")
+    return df
+
+
+def _small(items: DataFrame, rows: int = params.TOP_K) -> DataFrame:
+    """A top-k list: its rows and the length of its items have parameter bounds."""
+    return bounded_broadcast(items, rows, params.ITEM_BYTES)
 
 
 def _wins(windows) -> Column:
@@ -99,7 +104,7 @@ def ring_cells(ev: DataFrame, T: Column, buffer_slots: Column, widths,
 def ring_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column,
                    max_window: Column, widths, depth: int = params.DEPTH,
                    seed: int = params.RING_SEED, buffer_slots: Column | None = None,
-                   items_bound: int | None = None) -> DataFrame:
+                   items_bound: int | None = None, horizon_slots: int | None = None) -> DataFrame:
     """J2 + W3: estimated count per (width, item, window) = sum over retained
     slots in the window of the per-slot Count-Min minimum."""
     buffer_slots = max_window if buffer_slots is None else buffer_slots
@@ -110,13 +115,10 @@ def ring_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column,
                           extra=["width"])
     nw = len(list(widths))
     if items_bound is not None:
-        probes = bounded_broadcast(probes, items_bound * depth * nw, 48)
-    else:
-        # cells are bounded by horizon x depth x width (parameters): broadcast
-        # them under the bound and stream the (spread) probe side instead
-        from ..sources.tables import keyed
-        probes = keyed(probes, "item")
-        cells = bounded_broadcast(cells, params.EVAL_LAST_SLOTS * depth * sum(widths), 40)
+        probes = bounded_broadcast(probes, items_bound * depth * nw, params.ITEM_BYTES)
+    elif horizon_slots:
+        # the caller's horizon bounds the cells by horizon x depth x width
+        cells = bounded_broadcast(cells, horizon_slots * depth * sum(widths))
     per_slot = cm_min(probes, cells, ["width", "row", "col"], ["width", "item", "slot"], depth)
     sums = window_sums(per_slot, T, windows, max_window, "est", ["width", "item"], "est_count")
     grid = query_grid(items, windows, max_window, widths)
@@ -177,7 +179,9 @@ def dyadic_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column
     segs = dyadic_segments(T, windows, max_window, levels)
     lo = F.shiftleft(F.shiftright(T - max_window + 1, levels - 1), levels - 1)
     cells = dyadic_cells(ev, widths, levels, min_width, depth, seed, lo=lo)
-    cells = cells.join(F.broadcast(segs.select("level", "seg").distinct()), ["level", "seg"],
+    # a window of w slots has at most 2 * levels + w / 2^(levels - 1) segments
+    bound = sum(2 * levels + -(-int(w) // 2 ** (levels - 1)) for w in windows)
+    cells = cells.join(bounded_broadcast(segs.select("level", "seg").distinct(), bound), ["level", "seg"],
                        "left_semi")
     it = with_widths(items.select("item"), widths)
     it = it.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
@@ -185,7 +189,7 @@ def dyadic_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column
     probes = event_probes(it, depth, "wl", seed, extra=["width", "level", "wl"])
     per_seg = cm_min(probes, cells, ["width", "level", "row", "col"],
                      ["width", "item", "level", "seg"], depth)
-    sums = (per_seg.join(F.broadcast(segs), ["level", "seg"])
+    sums = (per_seg.join(bounded_broadcast(segs, bound), ["level", "seg"])
             .groupBy("width", "item", "window_slots").agg(F.sum("est").alias("est_count")))
     grid = query_grid(items, windows, max_window, widths)
     return (grid.join(sums, ["width", "item", "window_slots"], "left")
@@ -200,8 +204,8 @@ def dyadic_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column
 def bucket_counts(ev: DataFrame, bucket_slots: int, items: DataFrame | None = None) -> DataFrame:
     df = ev.withColumn("bucket", F.floor(F.col("slot") / F.lit(bucket_slots)).cast("bigint"))
     if items is not None:
-        df = df.join(F.broadcast(items.select("item")), "item", "left_semi")
-    return df.groupBy("item", "bucket").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
+        df = df.join(_small(items.select("item")), "item", "left_semi")
+    return df.groupBy("item", "bucket").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
 
 def burst_ranges(df: DataFrame, points: Column, value: str, keys: list[str],

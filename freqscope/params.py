@@ -9,7 +9,6 @@ for the test tables.
 # FIXED VALUES (must not change: they define hash families and seeds)
 # ---------------------------------------------------------------------------
 # Query-log sketches: 2-universal family over md5 token ids.
-TOKEN_SEED = 5802
 TOKEN_DEPTH = 5
 TOKEN_WIDTHS = (1024, 16384, 262144)  # 2^10, 2^14, 2^18
 MERSENNE_61 = 2305843009213693951  # 2^61 - 1
@@ -23,19 +22,17 @@ BURST_SEED = 777
 DECAY_SEED = 12345
 # MinHash / LSH.
 MINHASH_PRIME = 4294967311
-MINHASH_MAX_HASHES = 2000
-MINHASH_COEFF_SEED = 42
 LSH_K = 2
 LSH_L = 50
 LSH_NUM_QUERIES = 200
 LSH_QUERY_SEED = 42
+TOKEN_SAMPLE_SEED = 18147
 LSH_TUNE_K = (2, 3, 4, 5, 6)
 LSH_TUNE_L = (20, 50, 100)
 SHINGLE_N = 3
 # Bloom filter.
 BLOOM_SEED = 42
 BLOOM_FP_TARGETS = (0.01, 0.001, 0.0001)
-BLOOM_SWEEP_LOG2 = (18, 19, 20, 21, 22, 23)
 # Avalanche analysis.
 AVALANCHE_PRIME = 1048573
 AVALANCHE_INPUT_BITS = 31
@@ -46,6 +43,7 @@ BURST_EPSILON = 1e-9
 # ---------------------------------------------------------------------------
 
 # Tunable defaults for the windowed-count jobs on the `events` table.
+ITEM_BYTES = 4096            # bound on an item's text where a list of items is broadcast
 SLOT_SECONDS = 3600          # one slot = one hour on the test tables
 BUCKET_SLOTS = 10            # burst buckets
 RECENT_BUCKETS = 4
@@ -64,8 +62,6 @@ SWEEP_WIDTHS = (16, 32, 64, 128)
 NUM_EVAL_POINTS = 10
 HIST_BINS = 20
 ROUND_DIGITS = 6
-CONSERVATIVE_WIDTH = 512
-CONSERVATIVE_SHARDS = 8
 
 # Broadcast a side only when a bound derived from parameters (never from the
 # data) says it is at most this many bytes; otherwise the planner shuffles.

@@ -3,6 +3,8 @@ sketch models, burst and decay scores, accuracy reports (E1-E4, E8)."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,22 +12,47 @@ from .. import params
 from ..operators import counts as C
 from ..operators import metrics as M
 from ..operators import windowed as WM
-from ..sources.tables import events_frame
+from ..session import cut_lineage
+from ..sources.tables import event_items
 
 R = params.ROUND_DIGITS
 
 
 class EventJob:
-    """Shared pieces of every events job: the canonical frame, the newest slot
-    T, the evaluation horizon, the window grid and the horizon top-k targets.
-    All are lazy; T and the horizon are scalar subqueries."""
+    """Shared pieces of every events job.
+
+    One small job finds the first and last event, so the newest slot T, the horizon
+    and every range filter are literals; a filter on ``ts`` reaches the scan.
+    ``ev`` is the exact ``(item, slot, cnt)`` table, aggregated once; with ``horizon``
+    it starts at the horizon (at the dyadic boundary before it), and with ``shared``
+    it is written to the shared folder because several plans read it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, slot_seconds: int = params.SLOT_SECONDS,
-                 eval_last: int = params.EVAL_LAST_SLOTS, k: int = params.TOP_K):
-        self.spark = spark
-        self.k = k
-        self.ev = events_frame(spark, sf_dir, slot_seconds)
-        self.T, self.hs, self.maxw = C.horizon_bounds(self.ev, eval_last)
+                 eval_last: int = params.EVAL_LAST_SLOTS, k: int = params.TOP_K,
+                 horizon: bool = False, shared: bool = False):
+        self.spark, self.k, self.eval_last = spark, k, eval_last
+        raw = event_items(spark, sf_dir)
+        span = slot_seconds * 1_000_000
+        # one local job: the origin and the whole slots up to the last event
+        first = raw.agg(F.min("ts").alias("origin"), F.max("ts").alias("last")).select(
+            "origin", F.floor(F.timestamp_diff("MICROSECOND", "origin", "last") / F.lit(span)).alias("T")).first()
+        long = lambda x: F.lit(x).cast("bigint")
+        if first["origin"] is None:
+            start = None
+            self.T = self.hs = self.maxw = long(None)
+        else:
+            length = min(eval_last, first["T"] + 1) if eval_last else first["T"] + 1
+            start = first["T"] - length + 1
+            self.T, self.hs, self.maxw = long(first["T"]), long(start), long(length)
+        if horizon and start:
+            align = 1 << (params.DYADIC_LEVELS - 1)
+            begins = first["origin"] + datetime.timedelta(microseconds=start // align * align * span)
+            raw = raw.where(F.col("ts") >= F.lit(begins).cast("timestamp_ntz"))
+        micros = F.timestamp_diff("MICROSECOND", F.lit(first["origin"]).cast("timestamp_ntz"), F.col("ts"))
+        self.ev = (raw.select("item", F.floor(micros / F.lit(span)).cast("bigint").alias("slot"))
+                   .groupBy("item", "slot").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
+        if shared:
+            self.ev = cut_lineage(self.ev)
         self.windows = C.window_candidates(eval_last)
         self.targets = C.horizon_targets(self.ev, self.hs, self.T, k)
 
@@ -38,14 +65,14 @@ class EventJob:
         """Evaluation buckets inside the horizon (D7): from the first bucket
         whose recent+history range starts in the horizon up to the newest one;
         only the newest when the horizon is shorter than that."""
-        hb = F.floor(self.hs / F.lit(bucket_slots)).cast("bigint")
+        hb = F.ceil(self.hs / F.lit(bucket_slots)).cast("bigint")  # the first whole bucket
         maxb = F.floor(self.T / F.lit(bucket_slots)).cast("bigint")
         first = hb + recent + history - 1
         return F.when(maxb < first, F.array(maxb)).otherwise(C.eval_points(first, maxb))
 
 
-def _job(spark, sf_dir) -> EventJob:
-    return EventJob(spark, sf_dir)
+def _job(spark, sf_dir, horizon: bool = False, shared: bool = False) -> EventJob:
+    return EventJob(spark, sf_dir, horizon=horizon, shared=shared)
 
 
 # ---------------------------------------------------------------------------
@@ -56,8 +83,8 @@ def event_slots(spark, sf_dir):
     """Events and distinct items per slot, with the bucket."""
     j = _job(spark, sf_dir)
     return (j.ev.groupBy("slot")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"),
-                 F.countDistinct("item").cast("bigint").alias("n_items"))
+            .agg(F.sum("cnt").cast("bigint").alias("n_events"),
+                 F.count(F.lit(1)).cast("bigint").alias("n_items"))
             .select("slot", F.floor(F.col("slot") / F.lit(params.BUCKET_SLOTS)).cast("bigint")
                     .alias("bucket"), "n_events", "n_items"))
 
@@ -74,13 +101,13 @@ def topk_items(spark, sf_dir):
 
 
 def horizon_topk(spark, sf_dir):
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True)
     return j.targets.select("rank", "item", "cnt")
 
 
 def item_slot_counts(spark, sf_dir):
     """G4 + P9: per-slot exact counts of the targets inside the horizon."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     return WM.slot_counts(j.ev, lo=j.hs, hi=j.T, items=j.targets).select("item", "slot", "cnt")
 
 
@@ -91,14 +118,14 @@ def item_bucket_counts(spark, sf_dir):
 
 def interval_counts(spark, sf_dir):
     """Exact count of each target in each window [T-w+1, T]."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     return WM.window_truth(j.ev, j.targets, j.T, j.windows, j.maxw)
 
 
 def prefix_counts(spark, sf_dir):
     """Dense per-slot counts of the targets over the horizon and their
     running prefix sums (one bounded partition per target)."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     spine = j.targets.select("item", F.explode(F.sequence(j.hs, j.T)).alias("slot"))
     cnt = WM.slot_counts(j.ev, lo=j.hs, items=j.targets)
     dense = spine.join(cnt, ["item", "slot"], "left").select(
@@ -119,7 +146,7 @@ def sliding_counts(spark, sf_dir):
 
 def burst_slots(spark, sf_dir):
     """Slot-level burst score series of each target at every slot."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     r, h = params.RECENT_SLOTS, params.HISTORY_SLOTS
     spine = j.targets.select("item", F.explode(F.sequence(F.lit(0).cast("bigint"), j.T))
                              .alias("slot"))
@@ -140,7 +167,7 @@ def burst_slots(spark, sf_dir):
 def burst_buckets(spark, sf_dir):
     """W6/G5/P10 (exact side): recent/history bucket counts and burst score of
     the horizon targets at the evaluation buckets."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     ev_h = j.ev.where(F.col("slot") >= j.hs)
     pts = j.bucket_points()
     tr = WM.bucket_truth(ev_h, j.targets, pts)
@@ -164,7 +191,7 @@ def decayed_counts(spark, sf_dir):
 def decayed_grid(spark, sf_dir):
     """Exact decayed counts of the targets at about ten evaluation times,
     the last being T (each slot row feeds the times at or after it)."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     lam = params.DECAY_LAMBDA
     pts = C.eval_points(F.lit(0).cast("bigint"), j.T)
     cnt = WM.slot_counts(j.ev, items=j.targets)
@@ -183,15 +210,16 @@ def decayed_grid(spark, sf_dir):
 
 def ring_cells(spark, sf_dir):
     """Per-slot Count-Min cells of the retained slots."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True)
     return WM.ring_cells(j.ev, j.T, j.maxw, [params.WIDTH]).select("slot", "row", "col", "cnt")
 
 
 def ring_window_estimates(spark, sf_dir):
     """J2/W3 for every item: true and estimated counts in each last-w window."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     items = j.items
-    est = WM.ring_estimates(j.ev, items, j.T, j.windows, j.maxw, [params.WIDTH]).drop("width")
+    est = WM.ring_estimates(j.ev, items, j.T, j.windows, j.maxw, [params.WIDTH],
+                            horizon_slots=j.eval_last).drop("width")
     tru = WM.window_truth(j.ev, items, j.T, j.windows, j.maxw, targets_bounded=False)
     return tru.join(est, ["item", "window_slots"]).select(
         "item", "window_slots", "true_count", "est_count")
@@ -204,7 +232,7 @@ def _accuracy_rows(df: DataFrame) -> DataFrame:
 
 def window_accuracy(spark, sf_dir, sf_job: EventJob | None = None):
     """E1 flagship (ring model): targets x windows, true vs estimated."""
-    j = sf_job or _job(spark, sf_dir)
+    j = sf_job or _job(spark, sf_dir, horizon=True, shared=True)
     est = WM.ring_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, [params.WIDTH],
                             items_bound=j.k).drop("width")
     tru = WM.window_truth(j.ev, j.targets, j.T, j.windows, j.maxw)
@@ -221,7 +249,7 @@ def dyadic_cells(spark, sf_dir):
 
 def dyadic_estimates(spark, sf_dir):
     """Targets x windows answered from dyadic segments."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     est = WM.dyadic_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, [params.WIDTH]) \
         .drop("width")
     tru = WM.window_truth(j.ev, j.targets, j.T, j.windows, j.maxw)
@@ -233,7 +261,7 @@ def dyadic_estimates(spark, sf_dir):
 def bucket_burst_estimates(spark, sf_dir):
     """Bucket-sketch recent/history counts and burst scores of the
     horizon targets at the evaluation buckets, next to the exact ones."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     r, h = params.RECENT_BUCKETS, params.HISTORY_BUCKETS
     ev_h = j.ev.where(F.col("slot") >= j.hs)
     pts = j.bucket_points()
@@ -260,7 +288,7 @@ def bucket_burst_estimates(spark, sf_dir):
 def decay_sketch_estimates(spark, sf_dir):
     """Decayed count of every item at T, exact and from the
     forward-decay sketch."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     lam = params.DECAY_LAMBDA
     tru = WM.decayed_truth(j.ev, j.T, lam)
     est = WM.decay_estimates(j.ev, j.items, j.T, [params.WIDTH], lam).drop("width")
@@ -275,7 +303,7 @@ def decay_sketch_estimates(spark, sf_dir):
 
 def accuracy_metrics(spark, sf_dir):
     """G23/G24/G25 over the flagship grid, plus the ring's memory."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     wa = window_accuracy(spark, sf_dir, j)
     m = M.accuracy_metrics(wa.drop("abs_error", "rel_error"), [])
     counters = (j.maxw * params.WIDTH * params.DEPTH).cast("double")
@@ -286,7 +314,7 @@ def accuracy_metrics(spark, sf_dir):
 def active_inactive(spark, sf_dir):
     """G25 over every item x window: active metrics and false positives."""
     wa = ring_window_estimates(spark, sf_dir)
-    m = M.accuracy_metrics(wa, [])
+    m = M.accuracy_metrics(wa, [], percentiles=False)
     return m.select("num_queries", "mae_active", "rmse_active", "mean_relative_error_active",
                     "weighted_relative_l1_active", "false_positive_rate",
                     "avg_false_positive_estimate", "max_false_positive_estimate")
@@ -323,7 +351,7 @@ def _ring_rows(j: EventJob, widths):
 def width_sweep(spark, sf_dir):
     """Ring model at every width in one job; best = lowest weighted
     relative L1 (ties: smaller width)."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, horizon=True, shared=True)
     ws = list(params.SWEEP_WIDTHS)
     m = M.accuracy_metrics(_ring_rows(j, ws), ["width"])
     counters = (j.maxw * F.col("width") * params.DEPTH).cast("double")
@@ -334,7 +362,7 @@ def width_sweep(spark, sf_dir):
     return m.withColumn("is_best", F.row_number().over(best) == 1)
 
 
-MODEL_RANK = {"ring_buffer": 0, "hokusai": 1, "burst_sketch": 2, "ada_sketch": 3}
+MODEL_RANK = {"ring": 0, "dyadic": 1, "bucket": 2, "decay": 3}
 
 
 def model_rows(j: EventJob, widths) -> DataFrame:
@@ -343,7 +371,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
     lam = params.DECAY_LAMBDA
     depth = params.DEPTH
     ring = M.accuracy_metrics(_ring_rows(j, widths), ["width"]) \
-        .withColumn("model", F.lit("ring_buffer")) \
+        .withColumn("model", F.lit("ring")) \
         .withColumn("total_counters", (j.maxw * F.col("width") * depth).cast("double")) \
         .withColumn("bytes_per_counter", F.lit(4.0))
     dest = WM.dyadic_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, widths)
@@ -354,7 +382,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
                                                              F.lit(float(mw))))
         for lv in range(L)) * depth
     dy = M.accuracy_metrics(dest.join(dtru, ["item", "window_slots"]), ["width"]) \
-        .withColumn("model", F.lit("hokusai")) \
+        .withColumn("model", F.lit("dyadic")) \
         .withColumn("total_counters", dy_counters.cast("double")) \
         .withColumn("bytes_per_counter", F.lit(4.0))
     r, h = params.RECENT_BUCKETS, params.HISTORY_BUCKETS
@@ -374,7 +402,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
                  .alias("est_count")))
     nb = F.floor(j.T / F.lit(params.BUCKET_SLOTS)) + 1
     bu = M.accuracy_metrics(b, ["width"]) \
-        .withColumn("model", F.lit("burst_sketch")) \
+        .withColumn("model", F.lit("bucket")) \
         .withColumn("total_counters", (nb * F.col("width") * depth).cast("double")) \
         .withColumn("bytes_per_counter", F.lit(8.0))
     dtr = WM.decayed_truth(j.ev, j.T, lam, j.targets)
@@ -382,7 +410,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
     dc = dse.join(dtr, "item").select("width", F.col("true_decayed").alias("true_count"),
                                       F.col("est_decayed").alias("est_count"))
     ad = M.accuracy_metrics(dc, ["width"]) \
-        .withColumn("model", F.lit("ada_sketch")) \
+        .withColumn("model", F.lit("decay")) \
         .withColumn("total_counters", (F.col("width") * depth).cast("double")) \
         .withColumn("bytes_per_counter", F.lit(8.0))
     cols = ["model", "width", "num_queries", "mae", "rmse", "mean_relative_error",
@@ -398,7 +426,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
 
 def model_comparison(spark, sf_dir):
     """Four models x sweep widths, ordered by model, width, depth."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     rows = model_rows(j, list(params.SWEEP_WIDTHS))
     rank = F.create_map(*[x for k, v in MODEL_RANK.items() for x in (F.lit(k), F.lit(v))])
     return M.round_doubles(rows.withColumn("model_rank", rank[F.col("model")].cast("bigint")))
@@ -406,7 +434,7 @@ def model_comparison(spark, sf_dir):
 
 def error_vs_memory(spark, sf_dir):
     """Configurations at or below the 90th percentile (linear) of bytes."""
-    j = _job(spark, sf_dir)
+    j = _job(spark, sf_dir, shared=True)
     rows = model_rows(j, list(params.SWEEP_WIDTHS))
     p90 = rows.select(F.percentile(F.col("estimated_bytes"), F.lit(0.9))).scalar()
     return M.round_doubles(rows.where(F.col("estimated_bytes") <= p90).select(
@@ -414,16 +442,11 @@ def error_vs_memory(spark, sf_dir):
         p90.alias("bytes_p90")))
 
 
-def conservative_estimates(spark, sf_dir):
-    """Conservative-update decayed Count-Min with count-mean-min read,
-    sharded by item; every item's estimate next to its exact decayed count."""
-    from ..operators.conservative import conservative_estimates as cons
-    j = _job(spark, sf_dir)
-    lam = params.DECAY_LAMBDA
-    counts = WM.slot_counts(j.ev, hi=j.T)
-    est = cons(counts, j.T, lam, params.CONSERVATIVE_WIDTH, params.DEPTH,
-               params.CONSERVATIVE_SHARDS)
-    tru = WM.decayed_truth(j.ev, j.T, lam)
-    return tru.join(est, "item").select(
-        "item", F.round("true_decayed", R).alias("true_decayed"),
-        F.round("est_raw", R).alias("est_decayed"))
+JOBS = {n: globals()[n] for n in [
+    "event_slots", "item_counts", "topk_items", "horizon_topk", "item_slot_counts",
+    "item_bucket_counts", "interval_counts", "prefix_counts", "sliding_counts",
+    "burst_slots", "burst_buckets", "decayed_counts", "decayed_grid", "ring_cells",
+    "ring_window_estimates", "window_accuracy", "dyadic_cells", "dyadic_estimates",
+    "bucket_burst_estimates", "decay_sketch_estimates", "accuracy_metrics",
+    "active_inactive", "error_histogram", "error_matrix", "errors_sorted", "width_sweep",
+    "model_comparison", "error_vs_memory"]}

@@ -55,7 +55,7 @@ def burst(rc: str, hc: str, r: int, h: int) -> str:
 def points_cte() -> str:
     bs, r, h = P.BUCKET_SLOTS, P.RECENT_BUCKETS, P.HISTORY_BUCKETS
     return f"""
-bp AS (SELECT CAST(floor(hs / {D(bs)}) AS BIGINT) + {r + h - 1} AS first,
+bp AS (SELECT CAST(ceil(hs / {D(bs)}) AS BIGINT) + {r + h - 1} AS first,
               CAST(floor(T / {D(bs)}) AS BIGINT) AS maxb FROM hz),
 pts AS (SELECT CAST(unnest(CASE WHEN maxb < first THEN [maxb] ELSE list_distinct(list_concat(
           generate_series(first, maxb, greatest(1, CAST(floor((maxb - first + 1) /
@@ -273,10 +273,10 @@ bu_q AS (SELECT ww.width,
   LEFT JOIN b_es e ON e.width = ww.width AND e.item = g.item AND e.point = p.point),
 ad_q AS (SELECT e.width, t.true_decayed AS true_count, e.est_decayed AS est_count
   FROM a_es e JOIN a_tr t ON e.item = t.item),
-m_ring AS (SELECT 'ring_buffer' AS model, width, {metric_aggs()} FROM ring_q GROUP BY width),
-m_dy AS (SELECT 'hokusai' AS model, width, {metric_aggs()} FROM dy_q GROUP BY width),
-m_bu AS (SELECT 'burst_sketch' AS model, width, {metric_aggs()} FROM bu_q GROUP BY width),
-m_ad AS (SELECT 'ada_sketch' AS model, width, {metric_aggs()} FROM ad_q GROUP BY width),
+m_ring AS (SELECT 'ring' AS model, width, {metric_aggs()} FROM ring_q GROUP BY width),
+m_dy AS (SELECT 'dyadic' AS model, width, {metric_aggs()} FROM dy_q GROUP BY width),
+m_bu AS (SELECT 'bucket' AS model, width, {metric_aggs()} FROM bu_q GROUP BY width),
+m_ad AS (SELECT 'decay' AS model, width, {metric_aggs()} FROM ad_q GROUP BY width),
 mr0 AS (
   SELECT m.model, m.width, {mets}, CAST(hz.maxw * m.width * {d} AS DOUBLE) AS total_counters,
          {D(4)} AS bpc FROM m_ring m, hz
@@ -431,7 +431,7 @@ SELECT m.width, CAST({P.DEPTH} AS BIGINT) AS depth, num_queries, mae, rmse, mean
   CAST(hz.maxw * m.width * {P.DEPTH} AS DOUBLE) * {D(4)} AS estimated_bytes,
   row_number() OVER (ORDER BY weighted_relative_l1, m.width) = 1 AS is_best
 FROM m, hz"""
-    rank_case = "CASE model WHEN 'ring_buffer' THEN 0 WHEN 'hokusai' THEN 1 WHEN 'burst_sketch' THEN 2 ELSE 3 END"
+    rank_case = "CASE model WHEN 'ring' THEN 0 WHEN 'dyadic' THEN 1 WHEN 'bucket' THEN 2 ELSE 3 END"
     q["model_comparison"] = f"""WITH {_model_rows(ws)}
 SELECT model, width, depth, num_queries, mae, rmse, mean_relative_error, weighted_relative_l1,
   round(total_counters, {R}) AS total_counters, round(estimated_bytes, {R}) AS estimated_bytes,

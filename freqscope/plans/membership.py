@@ -1,6 +1,5 @@
 """Membership and hash-quality jobs: Bloom filters over ``orders`` keys and
-``pages`` URLs (G18, J9, G28, U4, E6, X15), the avalanche matrix (G22, X8) and
-the conservative-update decayed sketch (G17, T4)."""
+``pages`` URLs (G18, J9, G28, U4, E6, X15) and the avalanche matrix (G22, X8)."""
 
 from __future__ import annotations
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import params
 from ..functions.hashing import md5_u64, poly_hash
 from ..operators import bloom as B
-from ..sources.tables import keyed, read_table, spread
+from ..sources.tables import read_table
 
 P = params
 R = params.ROUND_DIGITS
@@ -21,7 +20,7 @@ R = params.ROUND_DIGITS
 
 def _keys(spark: SparkSession, sf_dir: str):
     k = read_table(spark, sf_dir, "orders", ["o_orderkey"]).where(F.col("o_orderkey").isNotNull())
-    return keyed(k.select(F.col("o_orderkey").alias("key")), "key").distinct()
+    return k.select(F.col("o_orderkey").alias("key")).distinct()
 
 
 def _absent(keys):
@@ -49,8 +48,7 @@ def bloom_membership(spark, sf_dir):
     bits = B.build(keys, "key", m, k)
     probes = keys.select(F.lit("present").alias("probe_set"), "key") \
         .unionByName(_absent(keys).select(F.lit("absent").alias("probe_set"), "key"))
-    res = B.probe(bits, probes, "key", m, k, extra=[])
-    res = res.join(probes, "key")
+    res = B.probe(bits, probes, "key", m, k, carry=["probe_set"])
     return res.groupBy("probe_set").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_probes"),
         F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_positive"),
@@ -127,11 +125,11 @@ def _hashes(x):
 
 
 def avalanche_matrix(spark, sf_dir):
-    """P(output bit i flips | input bit j flips) over all order keys,
-    for each hash function."""
-    keys = spread(_keys(spark, sf_dir).where((F.col("key") > 0) & (F.col("key") < (1 << 31))))
+    """P(output bit i flips | input bit j flips) over all order keys, folded
+    into the input bits, for each hash function."""
+    keys = _keys(spark, sf_dir)
     ib, ob = P.AVALANCHE_INPUT_BITS, P.AVALANCHE_OUTPUT_BITS
-    x = keys.select(F.col("key").alias("x"),
+    x = keys.select(F.pmod(F.col("key"), F.lit(1 << ib)).alias("x"),
                     F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("j"))
     x = x.withColumn("y", F.col("x").bitwiseXOR(F.expr("shiftleft(1L, j)")))
     hx, hy = _hashes(F.col("x")), _hashes(F.col("y"))

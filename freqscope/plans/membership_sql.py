@@ -25,7 +25,8 @@ def _pos(src: str, key: str, m: str, k: str, extra: str = "") -> str:
     seed = P.BLOOM_SEED
     d = f"sha256('{seed}:' || CAST({key} AS VARCHAR))"
     h1 = f"CAST((('0x' || substr({d}, 1, 16))::UBIGINT % CAST({m} AS UBIGINT)) AS BIGINT)"
-    h2 = f"CAST((('0x' || substr({d}, 17, 16))::UBIGINT % CAST({m} AS UBIGINT)) AS BIGINT)"
+    half = f"CAST(greatest(1, ({m}) // 2) AS UBIGINT)"
+    h2 = f"1 + 2 * CAST((('0x' || substr({d}, 17, 16))::UBIGINT % {half}) AS BIGINT)"
     return f"""(SELECT {extra} key, i, (h1 + i * h2) % m_ AS pos FROM (
       SELECT {extra} {key} AS key, {h1} AS h1, {h2} AS h2, {m} AS m_,
              CAST(unnest(range(0, {k})) AS BIGINT) AS i FROM {src}))"""
@@ -96,8 +97,8 @@ SELECT CAST(count(*) AS BIGINT) AS n_absent, CAST(sum(CAST(present AS BIGINT)) A
     sel = " UNION ALL ".join(
         [f"SELECT '{n}' AS func, j, xor({poly('x', cs)}, {poly('y', cs)}) AS ch FROM xj" for n, cs in funcs]
         + [f"SELECT 'md5' AS func, j, xor({md5h('x')}, {md5h('y')}) AS ch FROM xj"])
-    q["avalanche_matrix"] = f"""WITH keys AS (SELECT DISTINCT o_orderkey AS x FROM orders
-  WHERE o_orderkey IS NOT NULL AND o_orderkey > 0 AND o_orderkey < {1 << 31}),
+    q["avalanche_matrix"] = f"""WITH keys AS (SELECT ((k % {1 << P.AVALANCHE_INPUT_BITS}) + {1 << P.AVALANCHE_INPUT_BITS}) % {1 << P.AVALANCHE_INPUT_BITS} AS x
+  FROM (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey IS NOT NULL)),
 xj AS (SELECT x, CAST(t.j AS BIGINT) AS j, xor(x, CAST(1 AS BIGINT) << t.j) AS y
        FROM keys, range(0, {P.AVALANCHE_INPUT_BITS}) t(j)),
 e AS ({sel})

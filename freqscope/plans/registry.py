@@ -6,62 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import events, events_sql
+from ..streaming import jobs as stream_jobs
+from . import events, events_sql, membership, membership_sql, tokens, tokens_sql, urls, urls_sql
 
 Job = Callable[[SparkSession, str], DataFrame]
 
 
-def _event_jobs() -> dict[str, Job]:
-    names = [
-        "event_slots", "item_counts", "topk_items", "horizon_topk", "item_slot_counts",
-        "item_bucket_counts", "interval_counts", "prefix_counts", "sliding_counts",
-        "burst_slots", "burst_buckets", "decayed_counts", "decayed_grid", "ring_cells",
-        "ring_window_estimates", "window_accuracy", "dyadic_cells", "dyadic_estimates",
-        "bucket_burst_estimates", "decay_sketch_estimates", "accuracy_metrics",
-        "active_inactive", "error_histogram", "error_matrix", "errors_sorted", "width_sweep",
-        "model_comparison", "error_vs_memory", "conservative_estimates",
-    ]
-    return {n: getattr(events, n) for n in names}
-
-
 def queries() -> dict[str, Job]:
-    q: dict[str, Job] = {}
-    q.update(_event_jobs())
-    try:
-        from . import tokens
-        q.update(tokens.JOBS)
-    except ImportError:
-        pass
-    try:
-        from . import urls
-        q.update(urls.JOBS)
-    except ImportError:
-        pass
-    try:
-        from . import membership
-        q.update(membership.JOBS)
-    except ImportError:
-        pass
-    try:
-        from ..streaming import jobs as sjobs
-        q.update(sjobs.JOBS)
-    except ImportError:
-        pass
-    return q
+    return {**events.JOBS, **tokens.JOBS, **urls.JOBS, **membership.JOBS, **stream_jobs.JOBS}
 
 
 def oracle_sql() -> dict[str, str]:
-    o: dict[str, str] = {}
-    o.update(events_sql.oracle())
-    for mod in ("tokens_sql", "urls_sql", "membership_sql"):
-        try:
-            m = __import__(f"freqscope.plans.{mod}", fromlist=["oracle"])
-            o.update(m.oracle())
-        except ImportError:
-            pass
-    try:
-        from ..streaming import jobs as sjobs
-        o.update(sjobs.oracle())
-    except ImportError:
-        pass
-    return o
+    return {**events_sql.oracle(), **tokens_sql.oracle(), **urls_sql.oracle(), **membership_sql.oracle(),
+            **stream_jobs.oracle()}

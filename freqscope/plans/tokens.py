@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import md5_u64, sha_row_index
+from ..functions.hashing import sha_row_index
 from ..operators import counts as C
 from ..operators import sketch as S
+from ..operators.topn import top_n_per_group
 from ..session import cut_lineage
+from ..sources.tables import documents_tokens
 
 P = params
 R = params.ROUND_DIGITS
@@ -24,21 +26,18 @@ SKETCHES = ("cm", "cmedian", "csketch")
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact counts with map-side combine (a hot token never travels as raw
-    rows), then spread over the shuffle partitions for per-token hashing."""
-    from ..sources.tables import documents_tokens, keyed
-    return keyed(C.item_counts(documents_tokens(spark, sf_dir), "token"), "token")
+    """Exact counts with map-side combine: a hot token never travels as raw rows."""
+    return C.item_counts(documents_tokens(spark, sf_dir), "token")
 
 
 def _cells(counts: DataFrame, width: int, kind: str) -> DataFrame:
-    return S.token_cells(counts, width, signed=(kind == "csketch"))
+    return S.token_cells(counts, width, kind)
 
 
 def estimates(counts: DataFrame, width: int, kind: str, probe: DataFrame | None = None) -> DataFrame:
     """(token, true_cnt, est) for every probe token (default: all tokens)."""
     if probe is None:
-        return all_estimates(counts, width, cut=False).select(
-            "token", "true_cnt", F.col(kind).alias("est"))
+        probe = counts
     est = S.token_estimates(probe.select("token"), _cells(counts, width, kind), width, kind)
     return probe.select("token", F.col("cnt").alias("true_cnt")).join(est, "token")
 
@@ -54,7 +53,7 @@ def token_hashes(spark, sf_dir):
     """X3/X4/X5/X6 per distinct token and sketch row (R = 2^10)."""
     c = token_counts(spark, sf_dir)
     width = P.TOKEN_WIDTHS[0]
-    pos = S.token_positions(c.select("token"), width)
+    pos = S.token_positions(c.select("token"), width, "csketch")
     tok_id = F.conv(F.substring(F.md5("token"), 1, 16), 16, 10)
     return pos.select("token", tok_id.alias("tok_id"), "row", "col", "sign",
                       sha_row_index(F.col("token"), F.col("row"), P.RING_SEED, width)
@@ -90,14 +89,7 @@ def cm_merge(spark, sf_dir):
     per = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"),
                        F.explode(tokenize(F.col("text"))).alias("token"))
            .groupBy("lang", "token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
-    width = P.TOKEN_WIDTHS[0]
-    parts = per.select("lang", "token", "cnt")
-    a, b, _, _ = S.token_family(width)
-    x = md5_u64(F.col("token"))
-    cols = F.array(*[S.affine_index(x, a[i], b[i], width) for i in range(P.TOKEN_DEPTH)])
-    lang_cells = (parts.select("lang", "cnt", F.posexplode(cols).alias("row", "col"))
-                  .groupBy("lang", F.col("row").cast("bigint").alias("row"), "col")
-                  .agg(F.sum("cnt").cast("bigint").alias("cnt")))
+    lang_cells = S.token_cells(per, P.TOKEN_WIDTHS[0], "cm", keys=["lang"])
     return S.merge_cells(lang_cells.drop("lang"))
 
 
@@ -114,30 +106,17 @@ def heavy_hitters(spark, sf_dir):
         .select("rank", "token", "est", "true_cnt")
 
 
-def all_estimates(c: DataFrame, width: int, cut: bool = True) -> DataFrame:
-    """Count-Min, Count-Median and Count-Sketch estimates of every token from
-    one pass: positions are hashed once per (token, row), both cell tables
-    (unsigned and signed) come from them, and one grouped read per token
-    yields all three estimates.  Cut from its lineage because three top-k
-    plans read it."""
-    # positions are hashed once and read three times (two cell tables and the
-    # probe join): written to the checkpoint folder instead of recomputed
-    pos = cut_lineage(S.token_positions(c.select("token", "cnt"), width, extra=["cnt"]))
-    cu = pos.groupBy("row", "col").agg(F.sum("cnt").cast("bigint").alias("cu"))
-    cs = pos.groupBy("row", "col").agg(F.sum(F.col("cnt") * F.col("sign")).cast("bigint").alias("cs"))
-    from ..functions.hashing import bounded_broadcast
-    bound = P.TOKEN_DEPTH * width
-    j = (pos.join(bounded_broadcast(cu, bound, 24), ["row", "col"], "left")
-         .join(bounded_broadcast(cs, bound, 24), ["row", "col"], "left"))
-    u = F.coalesce("cu", F.lit(0)).cast("bigint")
-    sg = (F.coalesce("cs", F.lit(0)) * F.col("sign")).cast("bigint")
-    d = P.TOKEN_DEPTH
-    est = j.groupBy("token").agg(
-        F.first("cnt").alias("true_cnt"),
-        F.min(u).alias("cm"),
-        S._median_of(F.sort_array(F.collect_list(u)), d).cast("bigint").alias("cmedian"),
-        S._median_of(F.sort_array(F.collect_list(sg)), d).cast("bigint").alias("csketch"))
-    return cut_lineage(est) if cut else est
+def all_estimates(c: DataFrame, widths=P.TOKEN_WIDTHS) -> DataFrame:
+    """``(R, sketch, token, true_cnt, est)`` of every token, sketch and width in one
+    plan: the sketch and its width are key columns.  Each width's cells are joined
+    in the frame of its own bound, so a broadcast is never sized by another width."""
+    out = None
+    for width in widths:
+        for kind in SKETCHES:
+            e = estimates(c, width, kind).select(
+                F.lit(width).cast("bigint").alias("R"), F.lit(kind).alias("sketch"), "token", "true_cnt", "est")
+            out = e if out is None else out.unionByName(e)
+    return out
 
 
 def _shared_counts(spark, sf_dir) -> DataFrame:
@@ -148,20 +127,15 @@ def _shared_counts(spark, sf_dir) -> DataFrame:
 
 def topk_overlap(spark, sf_dir):
     """Overlap of each sketch's top-500 with the true top-100, for
-    R = 2^10, 2^14, 2^18.  Every top-k is a distributed TakeOrderedAndProject."""
+    R = 2^10, 2^14, 2^18.  The top lists are ranked in salted slices, then merged."""
     c = _shared_counts(spark, sf_dir)
     true100 = C.top_k(c, P.TOKEN_TRUE_TOP, "token", "cnt").select("token")
-    out = None
-    for width in P.TOKEN_WIDTHS:
-        e = all_estimates(c, width)
-        for kind in SKETCHES:
-            top = e.orderBy(F.col(kind).desc(), F.col("token").asc()).limit(P.TOKEN_TOP_TRACKED)
-            ov = top.join(F.broadcast(true100), "token").agg(
-                F.count(F.lit(1)).cast("bigint").alias("overlap"))
-            row = ov.select(F.lit(kind).alias("sketch"), F.lit(width).cast("bigint").alias("R"),
-                            "overlap")
-            out = row if out is None else out.unionByName(row)
-    return out
+    top = top_n_per_group(all_estimates(c), ["sketch", "R"], [F.col("est").desc(), F.col("token").asc()],
+                          P.TOKEN_TOP_TRACKED, F.xxhash64("token"))
+    grid = spark.createDataFrame([(k, w) for k in SKETCHES for w in P.TOKEN_WIDTHS], "sketch string, R bigint")
+    ov = top.join(true100, "token").groupBy("sketch", "R").agg(F.count(F.lit(1)).cast("bigint").alias("overlap"))
+    return grid.join(ov, ["sketch", "R"], "left").select(
+        "sketch", "R", F.coalesce("overlap", F.lit(0)).cast("bigint").alias("overlap"))
 
 
 def eval_sets(c: DataFrame) -> DataFrame:
@@ -171,7 +145,7 @@ def eval_sets(c: DataFrame) -> DataFrame:
     freq = C.top_k(c, n, "token", "cnt").select(F.lit("frequent").alias("set"), "token", "cnt")
     infreq = C.top_k(c, n, "token", "cnt", ascending=True) \
         .select(F.lit("infrequent").alias("set"), "token", "cnt")
-    key = F.md5(F.concat(F.lit(f"{P.TOKEN_SEED + 12345}:"), F.col("token")))
+    key = F.md5(F.concat(F.lit(f"{P.TOKEN_SAMPLE_SEED}:"), F.col("token")))
     rand = c.orderBy(key, F.col("token")).limit(n).select(F.lit("random").alias("set"), "token", "cnt")
     return freq.unionByName(rand).unionByName(infreq)
 
@@ -181,15 +155,14 @@ def token_error_sets(spark, sf_dir):
     by true frequency within each set."""
     c = _shared_counts(spark, sf_dir)
     sets = cut_lineage(eval_sets(c))
+    probe = sets.select("token", "cnt").distinct()
     out = None
     for width in P.TOKEN_WIDTHS:
-        e = all_estimates(c, width, cut=False)
-        j = sets.join(e, "token")
-        kinds = F.array(*[F.struct(F.lit(k).alias("sketch"), F.col(k).alias("est")) for k in SKETCHES])
-        x = j.select("set", F.lit(width).cast("bigint").alias("R"), "token",
-                     F.col("cnt").alias("true_cnt"), F.explode(kinds).alias("k"))
-        x = x.select("set", "R", "k.sketch", "token", "true_cnt", "k.est")
-        out = x if out is None else out.unionByName(x)
+        for kind in SKETCHES:
+            e = estimates(c, width, kind, probe).select(
+                F.lit(width).cast("bigint").alias("R"), F.lit(kind).alias("sketch"), "token", "est")
+            out = e if out is None else out.unionByName(e)
+    out = sets.join(out, "token").select("set", "R", "sketch", "token", F.col("cnt").alias("true_cnt"), "est")
     rel = F.when(F.col("true_cnt") > 0, F.abs(F.col("est") - F.col("true_cnt")) / F.col("true_cnt")) \
         .otherwise(F.lit(0.0))
     w = Window.partitionBy("set", "R", "sketch").orderBy(F.col("true_cnt").desc(), F.col("token"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import params
-from ..functions.hashing import token_family
+from ..functions.hashing import affine_family
 from .events_sql import D, sha_idx
 
 P = params
@@ -16,22 +16,24 @@ c AS (SELECT token, CAST(count(*) AS BIGINT) AS cnt FROM tk GROUP BY token),
 cx AS (SELECT token, cnt, CAST(('0x' || substr(md5(token), 1, 16))::UBIGINT AS HUGEINT) AS x FROM c)"""
 
 
-def pos_cte(width: int) -> str:
-    a, b, asg, bsg = token_family(width)
-    vals = ", ".join(f"({i}, {a[i]}, {b[i]}, {asg[i]}, {bsg[i]})" for i in range(P.TOKEN_DEPTH))
+def pos_cte(width: int, kind: str) -> str:
     p = P.MERSENNE_61
+    cols = affine_family(f"{kind}/{width}", P.TOKEN_DEPTH, p)
+    signs = affine_family(f"{kind}/{width}/sign", P.TOKEN_DEPTH, p)
+    vals = ", ".join(f"({i}, {a}, {b}, {c}, {d})" for i, ((a, b), (c, d)) in enumerate(zip(cols, signs)))
+    sign = f"CASE WHEN ((CAST(co.c AS HUGEINT) * cx.x + co.d) % {p}) % 2 = 0 THEN 1 ELSE -1 END" \
+        if kind == "csketch" else "1"
     return f"""
-co{width} AS (SELECT * FROM (VALUES {vals}) v(r, a, b, asg, bsg)),
-pos{width} AS (SELECT cx.token, cx.cnt, CAST(co.r AS BIGINT) AS row,
-    CAST(((CAST(co.a AS HUGEINT) * cx.x + co.b) % {p}) % {width} AS BIGINT) AS col,
-    CASE WHEN ((CAST(co.asg AS HUGEINT) * cx.x + co.bsg) % {p}) % 2 = 0 THEN 1 ELSE -1 END AS sign
-  FROM cx, co{width} co)"""
+co_{kind}{width} AS (SELECT * FROM (VALUES {vals}) v(r, a, b, c, d)),
+pos_{kind}{width} AS (SELECT cx.token, cx.cnt, CAST(co.r AS BIGINT) AS row,
+    CAST(((CAST(co.a AS HUGEINT) * cx.x + co.b) % {p}) % {width} AS BIGINT) AS col, {sign} AS sign
+  FROM cx, co_{kind}{width} co)"""
 
 
 def cells_cte(width: int, kind: str) -> str:
     w = "cnt * sign" if kind == "csketch" else "cnt"
     return f"""
-cells_{kind}{width} AS (SELECT row, col, CAST(sum({w}) AS BIGINT) AS cnt FROM pos{width} GROUP BY row, col)"""
+cells_{kind}{width} AS (SELECT row, col, CAST(sum({w}) AS BIGINT) AS cnt FROM pos_{kind}{width} GROUP BY row, col)"""
 
 
 def est_cte(width: int, kind: str, probe: str = "c") -> str:
@@ -39,12 +41,12 @@ def est_cte(width: int, kind: str, probe: str = "c") -> str:
     agg = f"min({val})" if kind == "cm" else f"list_sort(list({val}))[{P.TOKEN_DEPTH // 2 + 1}]"
     return f"""
 est_{kind}{width} AS (SELECT p.token, CAST({agg} AS BIGINT) AS est
-  FROM pos{width} p JOIN (SELECT DISTINCT token FROM {probe}) pr ON pr.token = p.token
+  FROM pos_{kind}{width} p JOIN (SELECT DISTINCT token FROM {probe}) pr ON pr.token = p.token
   LEFT JOIN cells_{kind}{width} ce ON ce.row = p.row AND ce.col = p.col GROUP BY p.token)"""
 
 
 def _one(width: int, kind: str, probe: str = "c") -> str:
-    return pos_cte(width) + "," + cells_cte(width, kind) + "," + est_cte(width, kind, probe)
+    return pos_cte(width, kind) + "," + cells_cte(width, kind) + "," + est_cte(width, kind, probe)
 
 
 def _sets() -> str:
@@ -54,7 +56,7 @@ sets AS (
   SELECT * FROM (SELECT 'frequent' AS set, token, cnt FROM c ORDER BY cnt DESC, token LIMIT {n})
   UNION ALL
   SELECT * FROM (SELECT 'random' AS set, token, cnt FROM c
-                 ORDER BY md5('{P.TOKEN_SEED + 12345}:' || token), token LIMIT {n})
+                 ORDER BY md5('{P.TOKEN_SAMPLE_SEED}:' || token), token LIMIT {n})
   UNION ALL
   SELECT * FROM (SELECT 'infrequent' AS set, token, cnt FROM c ORDER BY cnt, token LIMIT {n}))"""
 
@@ -65,18 +67,18 @@ def oracle() -> dict[str, str]:
     q["bottomk_tokens"] = f"""WITH {BASE}
 SELECT CAST(row_number() OVER (ORDER BY cnt, token) AS BIGINT) AS rank, token, cnt
 FROM (SELECT token, cnt FROM c ORDER BY cnt, token LIMIT {P.TOKEN_EVAL_SET_SIZE})"""
-    q["token_hashes"] = f"""WITH {BASE},{pos_cte(w0)}
+    q["token_hashes"] = f"""WITH {BASE},{pos_cte(w0, 'csketch')}
 SELECT token, CAST(CAST(('0x' || substr(md5(token), 1, 16))::UBIGINT AS HUGEINT) AS VARCHAR) AS tok_id,
        row, col, CAST(sign AS BIGINT) AS sign, {sha_idx('token', 'row', P.RING_SEED, str(w0))} AS sha_col
-FROM pos{w0}"""
-    q["cm_cells"] = f"""WITH {BASE},{pos_cte(w0)},{cells_cte(w0, 'cm')}
+FROM pos_csketch{w0}"""
+    q["cm_cells"] = f"""WITH {BASE},{pos_cte(w0, 'cm')},{cells_cte(w0, 'cm')}
 SELECT * FROM cells_cm{w0}"""
     for kind, name in (("cm", "cm_estimates"), ("cmedian", "cmedian_estimates"),
                        ("csketch", "csketch_estimates")):
         q[name] = f"""WITH {BASE},{_one(w0, kind)}
 SELECT c.token, c.cnt AS true_cnt, e.est FROM c JOIN est_{kind}{w0} e ON e.token = c.token"""
     q["cm_merge"] = q["cm_cells"]
-    q["cm_fold"] = f"""WITH {BASE},{pos_cte(w0)},{cells_cte(w0, 'cm')}
+    q["cm_fold"] = f"""WITH {BASE},{pos_cte(w0, 'cm')},{cells_cte(w0, 'cm')}
 SELECT row, col % {w0 // 4} AS col, CAST(sum(cnt) AS BIGINT) AS cnt FROM cells_cm{w0} GROUP BY ALL"""
     q["heavy_hitters"] = f"""WITH {BASE},{_one(w0, 'cm')},
 e AS (SELECT c.token, c.cnt AS true_cnt, e.est FROM c JOIN est_cm{w0} e ON e.token = c.token
@@ -84,8 +86,8 @@ e AS (SELECT c.token, c.cnt AS true_cnt, e.est FROM c JOIN est_cm{w0} e ON e.tok
 SELECT CAST(row_number() OVER (ORDER BY est DESC, token) AS BIGINT) AS rank, token, est, true_cnt FROM e"""
     parts, unions = [], []
     for width in P.TOKEN_WIDTHS:
-        parts.append(pos_cte(width))
         for kind in ("cm", "cmedian", "csketch"):
+            parts.append(pos_cte(width, kind))
             parts.append(cells_cte(width, kind))
             parts.append(est_cte(width, kind))
             unions.append(f"""SELECT '{kind}' AS sketch, CAST({width} AS BIGINT) AS R,
@@ -96,8 +98,8 @@ t100 AS (SELECT token FROM c ORDER BY cnt DESC, token LIMIT {P.TOKEN_TRUE_TOP}),
 {' UNION ALL '.join(unions)}"""
     parts, unions = [], []
     for width in P.TOKEN_WIDTHS:
-        parts.append(pos_cte(width))
         for kind in ("cm", "cmedian", "csketch"):
+            parts.append(pos_cte(width, kind))
             parts.append(cells_cte(width, kind))
             parts.append(est_cte(width, kind, "sets"))
             unions.append(f"""SELECT s.set, CAST({width} AS BIGINT) AS R, '{kind}' AS sketch, s.token,

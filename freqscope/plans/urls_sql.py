@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import params
-from ..functions.hashing import minhash_coefficients
+from ..functions.hashing import minhash_family
 from .events_sql import D
 
 P = params
@@ -12,8 +12,7 @@ PR = params.MINHASH_PRIME
 
 
 def base(n_hashes: int) -> str:
-    a, b = minhash_coefficients(n_hashes)
-    coef = ", ".join(f"({i}, {a[i]}, {b[i]})" for i in range(n_hashes))
+    coef = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(minhash_family(n_hashes)))
     return f"""
 u AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL),
 sh AS (SELECT url, CASE WHEN length(lower(url)) < 3 THEN [lower(url)] ELSE

@@ -35,20 +35,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="freqscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    """The folder all executors share: ``spark.checkpoint.dir``, or the one set on
+    the SparkContext.  Only a session of a single local JVM (tests) gets a scratch
+    folder when neither is set; on a cluster a missing setting raises."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     try:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the conf
-        pass
-    return conf_dir
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the conf alone
+        context = None
+    if not folder and context is not None:
+        folder = context.getCheckpointDir()
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="freqscope-ckpt-")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df):

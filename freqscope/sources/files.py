@@ -78,11 +78,16 @@ def with_slots_from_ts(df: DataFrame, slot_seconds: int) -> DataFrame:
               .withColumn("elapsed_s", micros / F.lit(1e6)))
 
 
+def _names(spark: SparkSession, path: str, sep: str) -> list[str]:
+    """Column names of the first header line, read as CSV so that quotes count."""
+    row = spark.read.option("sep", sep).option("header", False).csv(path).limit(1).collect()
+    return [str(c or "").strip() for c in row[0]] if row else []
+
+
 def _header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+    names = _names(spark, path, ",")
+    if not names:
         return ["ngram"]
-    names = [c.strip() for c in first[0][0].split(",")]
     if "ngram" not in names:
         raise ValueError("event file has no 'ngram' column")
     return names
@@ -90,16 +95,21 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 def read_query_log_tokens(spark: SparkSession, path: str) -> DataFrame:
     """S3: tab-separated log, field 1 is the query; lines with < 2 fields are
-    skipped; the header line is skipped (D11).  One row per token."""
-    lines = spark.read.text(path).withColumn("ln", F.monotonically_increasing_id())
-    first = lines.select(F.min("ln")).scalar()
-    parts = F.split(F.col("value"), "\t")
-    body = lines.where(F.col("ln") != first).where(F.size(parts) >= 2)
-    return body.select(F.explode(tokenize(parts.getItem(1))).alias("token"))
+    skipped; the header line of every file is skipped (D11).  One row per token, one
+    pass over the log."""
+    log = (spark.read.option("header", True).option("sep", "\t").option("quote", "").option("enforceSchema", True)
+           .schema("first string, query string").csv(path))
+    return log.where(F.col("query").isNotNull()).select(F.explode(tokenize(F.col("query"))).alias("token"))
 
 
 def read_url_list(spark: SparkSession, path: str, column: str = "ClickURL") -> DataFrame:
-    """TSV with a header; malformed lines dropped; distinct non-null URLs."""
-    df = (spark.read.option("header", True).option("sep", "\t")
-          .option("mode", "DROPMALFORMED").csv(path))
+    """TSV with a header; lines with more or fewer fields than it are dropped;
+    distinct non-null URLs.  Lines are parsed whole, as pruned columns would hide a
+    field too many."""
+    names = _names(spark, path, "\t")
+    if column not in names:
+        raise ValueError(f"no column {column!r} in {path}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = (spark.read.option("header", True).option("sep", "\t").option("mode", "DROPMALFORMED")
+          .option("columnPruning", False).schema(schema).csv(path))
     return df.select(F.col(column).alias("url")).where(F.col("url").isNotNull()).distinct()

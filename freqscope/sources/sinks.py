@@ -17,8 +17,9 @@ def write_tsv(df: DataFrame, path: str, digits: int = 6, mode: str = "overwrite"
     cols = []
     for name, dtype in df.dtypes:
         if dtype in ("double", "float"):
-            cols.append(F.coalesce(F.format_string(f"%.{digits}f", F.col(name)),
-                                   F.lit("NaN")).alias(name))
+            # a null formats as cut-off text, not as null
+            cols.append(F.when(F.col(name).isNull(), F.lit("NaN"))
+                        .otherwise(F.format_string(f"%.{digits}f", F.col(name))).alias(name))
         else:
             cols.append(F.col(name))
     (df.select(*cols).write.mode(mode).option("sep", "\t").option("header", True)

@@ -1,13 +1,12 @@
 """Readers for the Parquet tables and the canonical event frame.
 
-The canonical event frame is ``(event_id, ts, item, slot)``:
+The canonical event frame is ``(ts, item)``, counted as ``(item, slot, cnt)``:
 
 * ``item``  = ``event_type || ':' || user_id``
 * ``slot``  = whole ``slot_seconds`` elapsed since the first event (P2)
 
-The origin is a scalar subquery (``min(ts)``), evaluated once per job; the
-slot arithmetic uses ``timestamp_diff`` on the TIMESTAMP_NTZ column, so it does
-not depend on the session time zone.
+The slot arithmetic uses ``timestamp_diff`` on the TIMESTAMP_NTZ column, so it
+does not depend on the session time zone.
 """
 
 from __future__ import annotations
@@ -37,60 +36,20 @@ def with_slots(df: DataFrame, ts_col: str = "ts", slot_seconds: int = params.SLO
     return df.withColumn("slot", slot).where(F.col("slot") >= 0)
 
 
-def events_frame(spark: SparkSession, sf_dir: str,
-                 slot_seconds: int = params.SLOT_SECONDS) -> DataFrame:
-    """Canonical events: only the four needed columns reach the scan."""
-    raw = (
-        read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "user_id"])
-        .where(F.col("ts").isNotNull() & F.col("event_type").isNotNull()
-               & F.col("user_id").isNotNull())
-    )
-    items = raw.select(
-        "event_id", "ts",
-        F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("item"),
-    )
-    return with_slots(items, "ts", slot_seconds)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrived in fewer splits than the cluster has
-    cores (a one-row-group file), before CPU-heavy per-row work.  Large inputs
-    already come in many splits and are left alone (no extra shuffle)."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - sessions without an RDD view keep the scan as is
-        pass
-    return df
+def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical events ``(ts, item)``: only the three needed columns reach the scan."""
+    return (read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id"])
+            .where(F.col("ts").isNotNull() & F.col("event_type").isNotNull() & F.col("user_id").isNotNull())
+            .select("ts", F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("item")))
 
 
 def documents_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 over ``documents.text``: one row per token occurrence."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["text"]).where(F.col("text").isNotNull()))
+    docs = read_table(spark, sf_dir, "documents", ["text"]).where(F.col("text").isNotNull())
     return docs.select(F.explode(tokenize(F.col("text"))).alias("token"))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    """Partition count for CPU-bound per-row work: one task per core of the
-    cluster (falls back to the shuffle setting without a SparkContext)."""
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext in this session type
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def keyed(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition by ``cols`` into one partition per core.
-    Used before CPU-heavy per-row work (hashing, shingling) on data that is
-    small in bytes but costly per row, which AQE would otherwise coalesce into
-    one task; an explicit count is never coalesced."""
-    return df.repartition(shuffle_partitions(df.sparkSession), *cols)
-
-
 def distinct_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 over ``pages.url``: non-null, unique URLs (U3).  The distinct reuses
-    the url partitioning, so this is a single shuffle."""
-    urls = read_table(spark, sf_dir, "pages", ["url"]).where(F.col("url").isNotNull())
-    return keyed(urls, "url").distinct()
+    """S4 over ``pages.url``: non-null, unique URLs (U3).  Each task combines its own
+    rows before the shuffle, so a hot URL travels once per task."""
+    return read_table(spark, sf_dir, "pages", ["url"]).where(F.col("url").isNotNull()).distinct()

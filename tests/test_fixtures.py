@@ -109,7 +109,7 @@ def test_tokenizer(spark):
 
 def test_decay_lambda_zero_and_single_key(spark):
     rows = [(0, 1), (10, 2), (20, 3), (40, 4)]
-    ev = spark.createDataFrame([("k", s) for s, c in rows for _ in range(c)], "item string, slot long")
+    ev = spark.createDataFrame([("k", s, c) for s, c in rows], "item string, slot long, cnt long")
     for lam, expect in ((0.0, [1, 3, 6, 10, 10, 10]), (0.05, None)):
         got = []
         for T in (0, 10, 20, 40, 60, 100):
@@ -124,7 +124,7 @@ def test_decay_lambda_zero_and_single_key(spark):
 
 
 def test_retention(spark):
-    ev = spark.createDataFrame([("x", s) for s in range(11)], "item string, slot long")
+    ev = spark.createDataFrame([("x", s, 1) for s in range(11)], "item string, slot long, cnt long")
     T = F.lit(10).cast("bigint")
     cells = WM.ring_cells(ev, T, F.lit(4).cast("bigint"), [64], depth=2)
     assert sorted({r.slot for r in cells.collect()}) == [7, 8, 9, 10]

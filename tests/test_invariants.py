@@ -1,7 +1,5 @@
 """Sketch invariants on the test tables."""
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, SF_MID
@@ -22,14 +20,14 @@ def test_merge_equals_whole(spark):
 
 
 def test_fold_equals_build_at_smaller_width(spark):
-    from freqscope.functions.hashing import affine_index, md5_u64, token_family
+    from freqscope.functions.hashing import affine_family, affine_index, md5_u64
     from freqscope import params as P
     w = P.TOKEN_WIDTHS[0]
     folded = {(r.row, r.col, r.cnt) for r in tokens.cm_fold(spark, SF_SMALL).collect()}
     c = tokens.token_counts(spark, SF_SMALL)
-    a, b, _, _ = token_family(w)
+    family = affine_family(f"cm/{w}", P.TOKEN_DEPTH, P.MERSENNE_61)
     x = md5_u64(F.col("token"))
-    cols = F.array(*[F.pmod(affine_index(x, a[i], b[i], w), F.lit(w // 4)) for i in range(P.TOKEN_DEPTH)])
+    cols = F.array(*[F.pmod(affine_index(x, a, b, w), F.lit(w // 4)) for a, b in family])
     built = (c.select("cnt", F.posexplode(cols).alias("row", "col"))
              .groupBy("row", "col").agg(F.sum("cnt").alias("cnt")).collect())
     assert folded == {(r.row, r.col, r.cnt) for r in built}
@@ -46,34 +44,24 @@ def test_decay_sketch_upper_bounds_truth(spark):
     assert all(r.est_decayed >= r.true_decayed - 1e-6 for r in rows)
 
 
-def _brute_conservative(updates, width, depth, seed):
-    counts = [[0.0] * width for _ in range(depth)]
-    totals = [0.0] * depth
-
-    def idx(r, item):
-        return int.from_bytes(hashlib.sha256(f"{seed}-{r}-{item}".encode()).digest()[:8], "big") % width
-    for item, wt in updates:
-        pos = [idx(r, item) for r in range(depth)]
-        target = min(counts[r][pos[r]] for r in range(depth)) + wt
-        for r in range(depth):
-            if counts[r][pos[r]] < target:
-                totals[r] += target - counts[r][pos[r]]
-                counts[r][pos[r]] = target
-    out = {}
-    for item, _ in updates:
-        pos = [idx(r, item) for r in range(depth)]
-        out[item] = max(0.0, min(counts[r][pos[r]] - (totals[r] - counts[r][pos[r]]) / (width - 1)
-                                 for r in range(depth)))
-    return out
-
-
-def test_conservative_matches_brute_force(spark):
-    from freqscope.operators.conservative import conservative_estimates
-    data = [("a", 0, 3), ("b", 0, 1), ("c", 1, 2), ("a", 2, 1), ("d", 2, 5), ("b", 3, 2)]
-    df = spark.createDataFrame(data, "item string, slot long, cnt long")
-    got = {r.item: r.est_raw for r in
-           conservative_estimates(df, F.lit(3).cast("bigint"), 0.0, 4, 2, 1, seed=7).collect()}
-    ups = [(i, float(c)) for i, s, c in sorted(data, key=lambda t: (t[1], t[0]))]
-    want = _brute_conservative(ups, 4, 2, 7)
-    assert set(got) == set(want)
-    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+def test_sketch_families_are_independent():
+    from freqscope.functions.hashing import affine_family
+    from freqscope import params as P
+    names = [f"{k}/1024" for k in ("cm", "cmedian", "csketch")] + ["csketch/1024/sign", "minhash"]
+    pairs = [p for n in names for p in affine_family(n, 5, P.MERSENNE_61)]
+    assert len(set(pairs)) == len(pairs)
+    assert affine_family("cm/8", 9, P.MERSENNE_61)[:4] == affine_family("cm/8", 4, P.MERSENNE_61)
+
+
+def test_bloom_positions_differ(spark):
+    """With a power of two m and an odd step all k positions of a key differ."""
+    from freqscope.operators import bloom
+    keys = spark.range(200).withColumnRenamed("id", "key")
+    pos = bloom.positions(keys, "key", F.lit(64).cast("bigint"), F.lit(9).cast("bigint"))
+    assert pos.groupBy("key").agg(F.countDistinct("pos").alias("n")).where("n < 9").count() == 0
+
+
+def test_urls_combine_before_the_shuffle(spark):
+    from freqscope.sources.tables import distinct_urls
+    plan = distinct_urls(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2
