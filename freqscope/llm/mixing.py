@@ -1,7 +1,7 @@
 """Operator 5: mixing sources to target weights, DataFrame functions only.
 
-A table of labelled documents trains a naive Bayes classifier on words and binned
-statistics; it gives every document its posterior over the domains.  Rates r >= 0
+A table of labelled documents trains a naive Bayes classifier on binned statistics
+and counts of telling words; it gives every document its posterior over the domains.  Rates r >= 0
 then minimise, by projected gradient,
 
     |sum_d n_d r_d p_d - T|^2 / (2 S^2)  +  ridge / (2 S) * sum_d n_d (r_d - 1)^2
@@ -13,7 +13,7 @@ domains.  A document is taken floor(r) times, and once more if a hash of its id
 the fraction.
 
 Bounds: the classifier learns from at most about ``LABELLED_ROWS`` labelled rows, chosen
-by hash of the id, and keeps ``WORDS`` words.  Counts, posteriors and rates cover all rows.
+by hash of the id, and keeps ``WORDS`` words a domain.  Counts, posteriors and rates cover all rows.
 
 Defined results: a null or empty text has no tokens and the posterior of its statistics;
 labels without a document, or with null fields, are ignored; without labels all
@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from .common import fresh, stored, table, text_or_empty
 
 DOMAINS = ("good", "toxic", "poor")
+#: the domain of each class of ``label_class``: good, good but toxic, poor, poor and toxic
+CLASS_DOMAINS = (0, 1, 2, 1)
 #: share of tokens each domain shall have
 TARGETS = (0.95, 0.04, 0.01)
 LABELLED_ROWS = 20_000
-WORDS = 256
+WORDS = 64
+HIT_BINS = (1, 2, 4)
 STEPS = 40
 STORE_EVERY = 8
 RIDGE = 0.005
@@ -46,10 +49,11 @@ BINS = {"symbols": (0.005, 0.03, 0.1), "upper": (0.05, 0.15, 0.4), "shouts": (0.
         "new_words": (0.1, 0.25, 0.45, 0.7), "word_length": (4.0, 6.2, 8.0)}
 
 
-def label_domain() -> Column:
-    """Domain number of a row of ``labels``."""
-    return F.when(F.col("toxic") == 1, F.lit(1)).when(F.col("quality") == 1, F.lit(0)) \
-        .when(F.col("quality") == 0, F.lit(2))
+def label_class() -> Column:
+    """Class of a row of ``labels``: each mix of its two labels is one class, as words
+    and statistics are independent within it, but not within a domain."""
+    return F.when(F.col("quality").isNotNull() & F.col("toxic").isNotNull(),
+                  F.when(F.col("quality") == 1, 0).otherwise(2) + F.when(F.col("toxic") == 1, 1).otherwise(0))
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -74,53 +78,64 @@ def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for name, bounds in BINS.items():
         place = sum(((stats[name] >= b).cast("int") for b in bounds), F.lit(0))
         codes.append(F.concat(F.lit(f"\u0001{name}"), place.cast("string")))
-    words = F.transform("distinct", lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()"))))
+    words = F.transform("distinct", lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()" + SYMBOLS))))
     return base.select(id_col, "n_tokens", words.alias("words"), F.array(*codes).alias("bins"))
 
 
+def _hits(words: str, lexicons: dict[int, list[str]]) -> list[Column]:
+    """One code for the number of a lexicon's words in a document, binned."""
+    codes = []
+    for domain, held in lexicons.items():
+        n = F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in held])))
+        place = sum(((n >= b).cast("int") for b in HIT_BINS), F.lit(0))
+        codes.append(F.concat(F.lit(f"\u0001hits{domain}:"), place.cast("string")))
+    return codes
+
+
 def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                domain: Column | None = None, n_domains: int = len(DOMAINS),
+                label: Column | None = None, class_domains: tuple[int, ...] = CLASS_DOMAINS,
                 labelled_rows: int = LABELLED_ROWS, words: int = WORDS) -> dict:
-    """Naive Bayes: log priors and, by feature, log probabilities in each domain.
+    """Naive Bayes over binned statistics, among them how many words of each rarer
+    domain's lexicon a document holds.  A lexicon has the ``words`` words that are most
+    over-represented in the domain and occur in a twentieth of its documents.
 
     The labelled sample is broadcast (bounded by ``labelled_rows``), so texts are not
-    shuffled; word counts are combined by Spark and the best ``words`` words kept."""
-    known = labels.select(F.col(id_col).alias("label_id"), (domain if domain is not None else label_domain()).alias("domain")) \
-        .where("label_id is not null and domain is not null").dropDuplicates(["label_id"])
-    total = known.count()
-    share = min(1.0, labelled_rows / max(1, total))
+    shuffled; word counts are combined by Spark, and only the best words reach the driver."""
+    classes, domains = len(class_domains), max(class_domains) + 1
+    known = labels.select(F.col(id_col).alias("label_id"), (label if label is not None else label_class()).alias("class")) \
+        .where("label_id is not null and class is not null").dropDuplicates(["label_id"])
+    share = min(1.0, labelled_rows / max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("label_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) \
         .limit(2 * labelled_rows)
     texts = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("the_text"))
     rows = document_features(texts.join(F.broadcast(sample), F.col("text_id") == F.col("label_id"))
-                             .select(F.col("domain").alias("the_id"), "the_text"), "the_id", "the_text")
-    rows = stored(rows.select("the_id", F.array_distinct("words").alias("words"), "bins"), "labelled-features")
-    by = {r["the_id"]: r["n"] for r in rows.groupBy("the_id").agg(F.count("*").alias("n")).collect()}
-    n = [by.get(k, 0) for k in range(n_domains)]
+                             .select(F.col("class").alias("the_class"), "the_text"), "the_class", "the_text")
+    rows = stored(rows.select("the_class", F.array_distinct("words").alias("words"), "bins"), "labelled-features")
+    by = {r["the_class"]: r["n"] for r in rows.groupBy("the_class").agg(F.count("*").alias("n")).collect()}
+    n = [by.get(k, 0) for k in range(classes)]
     every = sum(n)
     if not every:
-        return {"prior": [0.0] * n_domains, "words": [], "bins": {}}
-    each = [F.count_if(F.col("the_id") == k).alias(f"n{k}") for k in range(n_domains)]
-    counted = rows.select("the_id", F.explode("words").alias("f")).groupBy("f").agg(*each)
-    # how unevenly a word's documents fall on the domains: its chi-square sum
-    seen = sum((F.col(f"n{k}") for k in range(n_domains)), F.lit(0))
-    uneven = sum((F.pow(F.col(f"n{k}") - seen * (n[k] / every), 2) / (seen * (n[k] / every) + 1e-9)
-                  for k in range(n_domains) if n[k]), F.lit(0.0))
-    best = counted.where("f <> ''").where(seen >= 5).orderBy(uneven.desc(), "f").limit(words).collect()
-    bins = rows.select("the_id", F.explode("bins").alias("f")).groupBy("f").agg(*each).collect()
-
-    def logs(r) -> list[float]:
-        return [math.log((r[f"n{k}"] + 0.5) / (n[k] + 1.0)) for k in range(n_domains)]
-
-    absent = lambda p: math.log(max(1e-9, 1 - math.exp(p)))
-    picked = []
-    for r in best:
-        # evidence of a word's presence: how much likelier it is in a domain than overall
-        p = logs(r)
-        overall = math.log((sum(r[f"n{k}"] for k in range(n_domains)) + 0.5) / (every + 1.0))
-        picked.append((r["f"], [q - overall for q in p]))
-    return {"prior": [math.log((x + 1) / (every + n_domains)) for x in n], "words": picked,
-            "bins": {r["f"]: logs(r) for r in bins}, "unseen": [math.log(0.5 / (x + 1.0)) for x in n]}
+        return {"prior": [0.0] * classes, "lexicons": {}, "bins": {}}
+    held = [sum(x for x, d in zip(n, class_domains) if d == k) for k in range(domains)]
+    in_domain = [F.count_if(F.col("the_class").isin([c for c, d in enumerate(class_domains) if d == k])).alias(f"d{k}")
+                 for k in range(domains)]
+    counted = stored(rows.select("the_class", F.explode("words").alias("f")).groupBy("f").agg(F.count("*").alias("seen"), *in_domain),
+                     "word-counts")
+    lexicons = {}
+    for k in range(domains):
+        if not held[k] or held[k] == max(held):
+            continue
+        expected = F.col("seen") * (held[k] / every)
+        best = counted.where((F.col("f") != "") & (F.col(f"d{k}") > 2 * expected) & (F.col(f"d{k}") >= max(5, held[k] / 20))) \
+            .orderBy((F.pow(F.col(f"d{k}") - expected, 2) / expected).desc(), "f").limit(words).collect()
+        if best:
+            lexicons[k] = [r["f"] for r in best]
+    each = [F.count_if(F.col("the_class") == c).alias(f"n{c}") for c in range(classes)]
+    bins = rows.select("the_class", F.explode(F.concat("bins", F.array(*_hits("words", lexicons)).cast("array<string>"))).alias("f")) \
+        .groupBy("f").agg(*each).collect()
+    return {"prior": [math.log((x + 1) / (every + classes)) for x in n], "lexicons": lexicons,
+            "bins": {r["f"]: [math.log((r[f"n{c}"] + 0.5) / (n[c] + 1.0)) for c in range(classes)] for r in bins},
+            "unseen": [math.log(0.5 / (x + 1.0)) for x in n]}
 
 
 def _summed(features: str, weights: dict[str, float], unseen: float) -> Column:
@@ -130,22 +145,20 @@ def _summed(features: str, weights: dict[str, float], unseen: float) -> Column:
 
 
 def posteriors(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
-               n_domains: int = len(DOMAINS)) -> DataFrame:
-    """(id, n_tokens, p): one posterior per row, without a join."""
+               class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
+    """(id, n_tokens, p): one posterior over the domains per row, without a join.  A
+    domain's share is the sum over its classes."""
     rows = document_features(docs, id_col, text_col)
+    rows = rows.select(id_col, "n_tokens", F.concat("bins", F.array(*_hits("words", model["lexicons"])).cast("array<string>")).alias("bins"))
     score = [F.lit(float(x)) for x in model["prior"]]
-    if model["words"]:
-        held = F.array(*[F.lit(w) for w, _ in model["words"]])
-        rows = rows.withColumn("words", F.array_intersect("words", held))
-        for k in range(n_domains):
-            score[k] = score[k] + _summed("words", {w: v[k] for w, v in model["words"]}, 0.0)
     if model["bins"]:
-        for k in range(n_domains):
-            score[k] = score[k] + _summed("bins", {b: v[k] for b, v in model["bins"].items()}, model["unseen"][k])
+        score = [x + _summed("bins", {b: v[c] for b, v in model["bins"].items()}, model["unseen"][c]) for c, x in enumerate(score)]
     rows = rows.select(id_col, "n_tokens", F.array(*score).alias("s"))
     rows = rows.select(id_col, "n_tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
     whole = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return rows.select(id_col, "n_tokens", F.transform("e", lambda x: x / whole).alias("p"))
+    share = [sum((F.element_at("e", k + 1) for k, d in enumerate(class_domains) if d == domain), F.lit(0.0)) / whole
+             for domain in range(max(class_domains) + 1)]
+    return rows.select(id_col, "n_tokens", F.array(*share).alias("p"))
 
 
 def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS,
@@ -179,22 +192,23 @@ def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps:
 
 
 def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        targets: tuple[float, ...] = TARGETS, domain: Column | None = None) -> DataFrame:
+        targets: tuple[float, ...] = TARGETS, label: Column | None = None,
+        class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
     """(id, n_tokens, p, rate, copies) for every row of ``docs``."""
-    n = len(targets)
-    model = fit_domains(docs, labels, id_col, text_col, domain, n)
-    weighted = stored(posteriors(docs, model, id_col, text_col, n), "posteriors")
+    model = fit_domains(docs, labels, id_col, text_col, label, class_domains)
+    weighted = stored(posteriors(docs, model, id_col, text_col, class_domains), "posteriors")
     rated = fit_rates(weighted, targets, STEPS if model["bins"] else 0).withColumn("rate", F.round("rate", 6))
     chance = F.pmod(F.xxhash64(id_col, F.lit(55)), F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              targets: tuple[float, ...] = TARGETS, domain: Column | None = None) -> DataFrame:
+              targets: tuple[float, ...] = TARGETS, label: Column | None = None,
+              class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say.  Rows that share an id
     share the first one's copies; only ids and copies are joined, broadcast while
     there are at most two million that are not taken exactly once."""
-    mixed = mix(docs, labels, id_col, text_col, targets, domain)
+    mixed = mix(docs, labels, id_col, text_col, targets, label, class_domains)
     the_id, copies, number = (fresh(docs, x) for x in ("mixed_id", "copies", "copy_number"))
     other = stored(mixed.groupBy(F.col(id_col).alias(the_id)).agg(F.max("copies").alias(copies))
                    .where(F.col(copies) != 1), "mixed-copies")
