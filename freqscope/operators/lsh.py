@@ -3,12 +3,16 @@
 
 from __future__ import annotations
 
+import heapq
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import (affine_mod_prime_bigint, band_bucket, minhash_base,
-                                 minhash_family)
+from ..functions.hashing import band_bucket, bounded_broadcast, minhash_family
 from ..functions.text import jaccard, shingles
 from .topn import top_n_per_group
 
@@ -20,23 +24,29 @@ def url_shingles(urls: DataFrame) -> DataFrame:
     return urls.select("url", shingles(F.col("url")).alias("sh"))
 
 
+def signature_of(shingle_list: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """min over shingles of (a_i h + b_i) mod P.  h and a are below 2^33, so h is cut
+    into 17 low bits and the rest and every product stays in 64 bits."""
+    p = np.uint64(P.MINHASH_PRIME)
+    h = np.array([int.from_bytes(md5(s.encode()).digest()[:8], "big") % P.MINHASH_PRIME for s in shingle_list],
+                 dtype=np.uint64)[:, None]
+    low = h & np.uint64((1 << 17) - 1)
+    return (((a * (h >> np.uint64(17)) % p) << np.uint64(17)) + a * low + b).__mod__(p).min(axis=0).astype(np.int64)
+
+
 def signatures(sh: DataFrame, n_hashes: int) -> DataFrame:
-    """``(url, sh, sig)`` with ``sig[i] = min over shingles of
-    (a_i h + b_i) mod P``; h = md5 base hash reduced mod P.
-
-    Each (url, shingle) row expands into the n hash indexes (a literal
-    coefficient table), and a grouped min per (url, i) - codegen'd, with
-    partial aggregation inside each url partition - builds the signature; all
-    arithmetic stays in BIGINT."""
-    coef = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-                     for i, (a, b) in enumerate(minhash_family(n_hashes))])
-    pairs = sh.select("url", F.explode("sh").alias("s")).select("url", minhash_base(F.col("s")).alias("h"))
-    ex = pairs.select("url", "h", F.explode(coef).alias("c"))
-    v = affine_mod_prime_bigint(F.col("c.a"), F.col("h"), F.col("c.b"))
-    mins = ex.groupBy("url", F.col("c.i").alias("i")).agg(F.min(v).alias("v"))
-    sig = mins.groupBy("url").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("iv"))
-    sig = sig.select("url", F.col("iv.v").alias("sig"))
-    return sh.join(sig, "url")
+    """``(url, sh, sig)``; h = md5 base hash of a shingle reduced mod P.
+
+    One vectorised pass: a URL's shingles and the coefficients make one matrix, and
+    its column minima are the signature.  Nothing is shuffled."""
+    pairs = np.array(minhash_family(n_hashes), dtype=np.uint64)
+
+    def run(batches):
+        for batch in batches:
+            sig = [signature_of(s, pairs[:, 0], pairs[:, 1]) for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig, pa.list_(pa.int64()))], names=["url", "sh", "sig"])
+
+    return sh.select("url", "sh").mapInArrow(run, "url string, sh array<string>, sig array<long>")
 
 
 def bands(sig: DataFrame, K: int, L: int, extra: list[str] | None = None) -> DataFrame:
@@ -61,7 +71,7 @@ def candidates(index: DataFrame, query_bands: DataFrame, keys: list[str] | None
     is broadcast, so the index is streamed and never shuffled for the probe."""
     keys = keys or []
     qb = query_bands.select(*keys, F.col("url").alias("query"), "tbl", "bucket")
-    j = index.join(F.broadcast(qb), [*keys, "tbl", "bucket"])
+    j = index.join(bounded_broadcast(qb, P.LSH_NUM_QUERIES * P.LSH_L, P.URL_BYTES), [*keys, "tbl", "bucket"])
     return (j.where(F.col("url") != F.col("query"))
             .select(*keys, "query", F.col("url").alias("candidate")).distinct())
 
@@ -70,8 +80,8 @@ def with_jaccard(pairs: DataFrame, sh: DataFrame, queries_sh: DataFrame) -> Data
     """Exact Jaccard of each pair from the shingle arrays."""
     c = pairs.join(sh.select(F.col("url").alias("candidate"), F.col("sh").alias("c_sh")),
                    "candidate")
-    c = c.join(F.broadcast(queries_sh.select(F.col("url").alias("query"),
-                                             F.col("sh").alias("q_sh"))), "query")
+    c = c.join(bounded_broadcast(queries_sh.select(F.col("url").alias("query"), F.col("sh").alias("q_sh")),
+                                 P.LSH_NUM_QUERIES, 30 * P.URL_BYTES), "query")
     return c.withColumn("jaccard", jaccard(F.col("q_sh"), F.col("c_sh"))).drop("c_sh", "q_sh")
 
 
@@ -83,18 +93,107 @@ def top10(scored: DataFrame, n: int = 10, keys: list[str] | None = None) -> Data
                            F.xxhash64("candidate"))
 
 
-def inverted_overlap(sh: DataFrame, queries_sh: DataFrame) -> DataFrame:
-    """J8 at scale: intersection sizes of every query with every URL sharing a
-    shingle, through an inverted index on shingle (the broadcast query side is
-    num_queries rows of shingles).  Jaccard = inter / (|A| + |B| - inter)."""
-    idx = sh.select("url", F.size("sh").alias("n_b"), F.explode("sh").alias("s"))
-    qx = queries_sh.select(F.col("url").alias("query"), F.size("sh").alias("n_a"),
-                           F.explode("sh").alias("s"))
-    j = idx.join(F.broadcast(qx), "s")
-    inter = j.groupBy("query", "url", "n_a", "n_b").agg(F.count(F.lit(1)).alias("inter"))
-    return inter.select("query", F.col("url").alias("candidate"),
-                        (F.col("inter") / (F.col("n_a") + F.col("n_b") - F.col("inter")))
-                        .alias("jaccard"))
+def query_groups(queries: DataFrame, limit: int = P.BROADCAST_BOUND_BYTES // 2) -> list[list]:
+    """The query rows (num_queries of them, a parameter) in groups whose text and
+    signatures stay below ``limit`` bytes: each group goes to the tasks with the code."""
+    groups: list[list] = [[]]
+    size = 0
+    for row in queries.collect():
+        n = 80 * len(row["sh"]) + len(row["url"]) + (40 * len(row["sig"]) if "sig" in row else 0)
+        if groups[-1] and size + n > limit:
+            groups.append([])
+            size = 0
+        groups[-1].append(row)
+        size += n
+    return groups
+
+
+class QueryBlock:
+    """A group of queries as an inverted shingle index and a signature matrix."""
+
+    def __init__(self, rows: list) -> None:
+        self.urls = [r["url"] for r in rows]
+        self.size = np.array([len(r["sh"]) for r in rows], dtype=np.int64)
+        self.sig = np.array([r["sig"] for r in rows], dtype=np.int64) if rows and "sig" in rows[0] else None
+        index: dict[str, list[int]] = {}
+        for k, r in enumerate(rows):
+            for s in r["sh"]:
+                index.setdefault(s, []).append(k)
+        self.index = {s: np.array(v) for s, v in index.items()}
+        self.number = {u: k for k, u in enumerate(self.urls)}
+
+    def jaccard(self, shingle_list: list[str]) -> np.ndarray:
+        """X12 of one URL against every query."""
+        met = [self.index[s] for s in shingle_list if s in self.index]
+        inter = np.bincount(np.concatenate(met), minlength=len(self.urls)) if met else np.zeros(len(self.urls), np.int64)
+        return inter / (self.size + len(shingle_list) - inter)
+
+    def bands_met(self, sig: list[int], K: int, L: int) -> np.ndarray:
+        """J6 of one URL: the queries that share a whole band with it."""
+        same = self.sig[:, :K * L] == np.array(sig[:K * L])
+        return same.reshape(len(self.urls), L, K).all(axis=2).any(axis=1)
+
+
+def nearest(sh: DataFrame, queries_sh: DataFrame, n: int = 10) -> DataFrame:
+    """Each query's ``n`` nearest URLs with positive Jaccard (self excluded), by
+    comparison with all.  A task keeps ``n`` rows per query, so pairs never leave it."""
+    out = None
+    for rows in query_groups(queries_sh.select("url", "sh")):
+        block = QueryBlock(rows)
+
+        def run(batches, block=block):
+            best: list[list] = [[] for _ in block.urls]
+            for batch in batches:
+                for url, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    j = block.jaccard(s)
+                    for k in np.flatnonzero(j > 0).tolist():
+                        if block.urls[k] != url:
+                            best[k].append((-j[k], url))
+                best = [heapq.nsmallest(n, x) for x in best]
+            rows = [(block.urls[k], u, -j) for k, x in enumerate(best) for j, u in x]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))],
+                names=["query", "candidate", "jaccard"])
+
+        part = sh.select("url", "sh").mapInArrow(run, "query string, candidate string, jaccard double")
+        out = part if out is None else out.unionByName(part)
+    return top10(out, n)
+
+
+def banding_sums(sig: DataFrame, queries_sig: DataFrame, grid: list[tuple[int, int]]) -> DataFrame:
+    """Per task ``(K, L, bin, n_pairs, n_met, sum_jaccard, sum_predicted, overlaps)``
+    of all query/URL pairs; bins are tenths of the Jaccard index, ``overlaps`` tells pairs
+    with a common shingle.  Pairs are summed where they are made."""
+    out = None
+    schema = "K long, L long, bin long, n_pairs long, n_met long, sum_jaccard double, sum_predicted double, overlaps boolean"
+    for rows in query_groups(queries_sig.select("url", "sh", "sig")):
+        block = QueryBlock(rows)
+
+        def run(batches, block=block):
+            sums = np.zeros((len(grid), 2, 10, 4))
+            for batch in batches:
+                for url, s, g in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                    j = block.jaccard(s)
+                    use = np.ones(len(j), bool)
+                    if url in block.number:
+                        use[block.number[url]] = False
+                    place = np.minimum(np.floor(j * 10), 9).astype(int) + 10 * (j > 0)
+                    for c, (K, L) in enumerate(grid):
+                        met = block.bands_met(g, K, L)
+                        chance = 1 - (1 - j ** K) ** L
+                        for v, w in enumerate((np.ones(len(j)), met.astype(float), j * met, chance)):
+                            sums[c, :, :, v] += np.bincount(place[use], weights=w[use], minlength=20).reshape(2, 10)
+            at = np.argwhere(sums[..., 0] > 0)
+            v = sums[at[:, 0], at[:, 1], at[:, 2]]
+            k, l = np.array(grid, dtype=np.int64).reshape(-1, 2)[at[:, 0]].T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k, pa.int64()), pa.array(l, pa.int64()), pa.array(at[:, 2], pa.int64()), pa.array(v[:, 0].astype(np.int64)),
+                 pa.array(v[:, 1].astype(np.int64)), pa.array(v[:, 2]), pa.array(v[:, 3]), pa.array(at[:, 1] == 1)],
+                names=["K", "L", "bin", "n_pairs", "n_met", "sum_jaccard", "sum_predicted", "overlaps"])
+
+        part = sig.select("url", "sh", "sig").mapInArrow(run, schema)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def retrieval_probability(j: Column, K: int, L: int) -> Column:

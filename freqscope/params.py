@@ -30,6 +30,7 @@ TOKEN_SAMPLE_SEED = 18147
 LSH_TUNE_K = (2, 3, 4, 5, 6)
 LSH_TUNE_L = (20, 50, 100)
 SHINGLE_N = 3
+URL_BYTES = 2048              # bound on a URL's text where a list of query URLs is broadcast
 # Bloom filter.
 BLOOM_SEED = 42
 BLOOM_FP_TARGETS = (0.01, 0.001, 0.0001)

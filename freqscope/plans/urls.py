@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..operators import lsh
+from ..functions.hashing import bounded_broadcast
+from ..session import cut_lineage
 from ..sources.tables import distinct_urls
 
 P = params
@@ -15,32 +17,34 @@ R = params.ROUND_DIGITS
 
 
 class UrlJob:
-    def __init__(self, spark: SparkSession, sf_dir: str, K: int = P.LSH_K, L: int = P.LSH_L):
+    """Distinct URLs, their shingles and, where asked for, their signatures, written
+    once because the index, the queries and the exact side all read them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, K: int = P.LSH_K, L: int = P.LSH_L, hashes: int = 0):
         self.spark, self.K, self.L = spark, K, L
         self.urls = distinct_urls(spark, sf_dir)
         self.sh = lsh.url_shingles(self.urls)
-        self.queries = lsh.sample_queries(self.urls)
-        self.q_sh = self.sh.join(F.broadcast(self.queries.select(F.col("query").alias("url"))),
-                                 "url", "left_semi")
-
-    def signatures(self, n=None):
-        return lsh.signatures(self.sh, n or self.K * self.L)
+        if hashes:
+            self.sh = cut_lineage(lsh.signatures(self.sh, hashes))
+        self.queries = lsh.sample_queries(self.sh)
+        self.q_sh = self.sh.join(bounded_broadcast(self.queries.select(F.col("query").alias("url")),
+                                                   P.LSH_NUM_QUERIES, P.URL_BYTES), "url", "left_semi")
 
     def index(self):
-        return lsh.bands(self.signatures(), self.K, self.L)
+        return lsh.bands(self.sh, self.K, self.L)
 
     def candidates(self):
-        idx = self.index()
-        qb = idx.join(F.broadcast(self.queries.select(F.col("query").alias("url"))), "url",
-                      "left_semi")
-        return lsh.candidates(idx, qb)
+        return lsh.candidates(self.index(), lsh.bands(self.q_sh, self.K, self.L))
 
     def scored(self):
         return lsh.with_jaccard(self.candidates(), self.sh, self.q_sh)
 
     def exact_top10(self):
-        ov = lsh.inverted_overlap(self.sh, self.q_sh).where(F.col("candidate") != F.col("query"))
-        return lsh.top10(ov)
+        return lsh.nearest(self.sh, self.q_sh)
+
+
+def _indexed(spark, sf_dir) -> UrlJob:
+    return UrlJob(spark, sf_dir, hashes=P.LSH_K * P.LSH_L)
 
 
 def url_shingles(spark, sf_dir):
@@ -51,30 +55,30 @@ def url_shingles(spark, sf_dir):
 
 def minhash_signatures(spark, sf_dir):
     """K*L MinHash values per URL."""
-    j = UrlJob(spark, sf_dir)
-    return j.signatures().select("url", F.posexplode("sig").alias("idx", "minhash")) \
+    j = _indexed(spark, sf_dir)
+    return j.sh.select("url", F.posexplode("sig").alias("idx", "minhash")) \
         .select("url", F.col("idx").cast("bigint").alias("idx"), "minhash")
 
 
 def lsh_buckets(spark, sf_dir):
     """The band bucket of every URL in each of the L tables."""
-    return UrlJob(spark, sf_dir).index()
+    return _indexed(spark, sf_dir).index()
 
 
 def lsh_candidates(spark, sf_dir):
     """Candidates of the sampled queries (self excluded)."""
-    return UrlJob(spark, sf_dir).candidates()
+    return _indexed(spark, sf_dir).candidates()
 
 
 def lsh_top10(spark, sf_dir):
     """The ten most similar candidates per query, by exact Jaccard."""
-    t = lsh.top10(UrlJob(spark, sf_dir).scored())
+    t = lsh.top10(_indexed(spark, sf_dir).scored())
     return t.select("query", "candidate", F.round("jaccard", R).alias("jaccard"), "rank")
 
 
 def jaccard_bruteforce(spark, sf_dir):
     """Exact ten nearest URLs (positive Jaccard, self excluded) of each
-    query, compared against every URL through an inverted shingle index."""
+    query, compared against every URL."""
     t = UrlJob(spark, sf_dir).exact_top10()
     return t.select("query", "candidate", F.round("jaccard", R).alias("jaccard"), "rank")
 
@@ -82,20 +86,23 @@ def jaccard_bruteforce(spark, sf_dir):
 def lsh_quality(spark, sf_dir):
     """Mean Jaccard of all candidates and of the top ten, candidates per
     query, and recall of the exact top ten."""
-    j = UrlJob(spark, sf_dir)
-    sc = j.scored()
-    t10 = lsh.top10(sc)
+    j = _indexed(spark, sf_dir)
+    sc = cut_lineage(j.scored().select("query", "candidate", "jaccard"))
+    t10 = cut_lineage(lsh.top10(sc))
     ex = j.exact_top10()
-    nq = j.queries.select(F.count(F.lit(1)).cast("double")).scalar()
-    hit = t10.select("query", "candidate").join(ex.select("query", "candidate"),
-                                                ["query", "candidate"])
-    row = j.spark.range(1).select(
-        nq.alias("n_queries"),
-        sc.select(F.count(F.lit(1)).cast("double")).scalar().alias("n_pairs"),
-        sc.select(F.coalesce(F.avg("jaccard"), F.lit(0.0))).scalar().alias("mean_jaccard_all"),
-        t10.select(F.coalesce(F.avg("jaccard"), F.lit(0.0))).scalar().alias("mean_jaccard_top10"),
-        hit.select(F.count(F.lit(1)).cast("double")).scalar().alias("hits"),
-        ex.select(F.count(F.lit(1)).cast("double")).scalar().alias("exact"))
+
+    def tagged(df, kind, value):
+        return df.select(F.lit(kind).alias("kind"), value.cast("double").alias("x"))
+
+    every = tagged(j.queries, "query", F.lit(0)).unionByName(tagged(sc, "pair", F.col("jaccard"))) \
+        .unionByName(tagged(t10, "top", F.col("jaccard"))) \
+        .unionByName(tagged(ex, "exact", F.lit(0))) \
+        .unionByName(tagged(t10.join(ex, ["query", "candidate"], "left_semi"), "hit", F.lit(0)))
+    count = lambda kind: F.count_if(F.col("kind") == kind).cast("double")
+    mean = lambda kind: F.coalesce(F.avg(F.when(F.col("kind") == kind, F.col("x"))), F.lit(0.0))
+    row = every.agg(count("query").alias("n_queries"), count("pair").alias("n_pairs"),
+                    mean("pair").alias("mean_jaccard_all"), mean("top").alias("mean_jaccard_top10"),
+                    count("hit").alias("hits"), count("exact").alias("exact"))
     return row.select(
         "n_queries",
         F.round(F.col("n_pairs") / F.col("n_queries"), R).alias("avg_candidates"),
@@ -106,47 +113,28 @@ def lsh_quality(spark, sf_dir):
 
 
 def lsh_tuning(spark, sf_dir):
-    """Every (K, L) of the grid from one signature of max(K*L) hashes;
-    all band layouts are keyed by (K, L) and probed in one join."""
-    j = UrlJob(spark, sf_dir)
-    nmax = max(P.LSH_TUNE_K) * max(P.LSH_TUNE_L)
-    sig = j.signatures(nmax)
-    cfg = F.array(*[F.struct(F.lit(k).cast("bigint").alias("K"), F.lit(l).cast("bigint").alias("L"))
-                    for k in P.LSH_TUNE_K for l in P.LSH_TUNE_L])
-    c = sig.select("url", "sig", F.explode(cfg).alias("c")).select("url", "sig", "c.K", "c.L")
-    t = c.withColumn("tbl", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("L") - 1)))
-    from ..functions.hashing import band_bucket
-    idx = t.select("url", "K", "L", "tbl",
-                   band_bucket(F.col("tbl"), F.slice(F.col("sig"), F.col("tbl") * F.col("K") + 1,
-                                                      F.col("K"))).alias("bucket"))
-    qb = idx.join(F.broadcast(j.queries.select(F.col("query").alias("url"))), "url", "left_semi")
-    cands = lsh.candidates(idx, qb, keys=["K", "L"])
-    pairs = cands.select("query", "candidate").distinct()
-    scored = lsh.with_jaccard(pairs, j.sh, j.q_sh)
-    per = cands.join(scored, ["query", "candidate"])
-    grid = j.spark.createDataFrame([(k, l) for k in P.LSH_TUNE_K for l in P.LSH_TUNE_L],
-                                   "K bigint, L bigint")
-    agg = per.groupBy("K", "L").agg(F.avg("jaccard").alias("mj"),
-                                    F.count(F.lit(1)).cast("bigint").alias("n_pairs"))
-    return grid.join(agg, ["K", "L"], "left").select(
-        "K", "L", F.round(F.coalesce("mj", F.lit(0.0)), R).alias("mean_jaccard"),
-        F.coalesce("n_pairs", F.lit(0)).cast("bigint").alias("n_pairs"))
+    """Every (K, L) of the grid from one signature of max(K*L) hashes; a task
+    sums its pairs by (K, L), so no pair is shuffled."""
+    grid = [(k, l) for k in P.LSH_TUNE_K for l in P.LSH_TUNE_L]
+    j = UrlJob(spark, sf_dir, hashes=max(k * l for k, l in grid))
+    sums = lsh.banding_sums(j.sh, j.q_sh, grid).groupBy("K", "L").agg(
+        F.sum("n_met").alias("n"), F.sum("sum_jaccard").alias("s"))
+    every = spark.createDataFrame(grid, "K bigint, L bigint")
+    return every.join(sums, ["K", "L"], "left").select(
+        "K", "L", F.round(F.when(F.col("n") > 0, F.col("s") / F.col("n")).otherwise(0.0), R).alias("mean_jaccard"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_pairs"))
 
 
 def lsh_scurve(spark, sf_dir):
-    """Observed retrieval rate of query/URL pairs by Jaccard decile
-    against the predicted 1 - (1 - J^K)^L."""
-    j = UrlJob(spark, sf_dir)
-    ov = lsh.inverted_overlap(j.sh, j.q_sh).where(F.col("candidate") != F.col("query"))
-    got = j.candidates().withColumn("hit", F.lit(1))
-    x = ov.join(got, ["query", "candidate"], "left")
-    b = F.least(F.floor(F.col("jaccard") * 10), F.lit(9)).cast("bigint")
-    return x.groupBy(b.alias("bin")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
-        F.count("hit").cast("bigint").alias("n_retrieved"),
-        F.round(F.count("hit") / F.count(F.lit(1)), R).alias("observed_rate"),
-        F.round(F.avg(lsh.retrieval_probability(F.col("jaccard"), j.K, j.L)), R)
-        .alias("mean_predicted"))
+    """Observed retrieval rate of the query/URL pairs with a common shingle, by
+    tenth of their Jaccard index, against the predicted 1 - (1 - J^K)^L."""
+    j = _indexed(spark, sf_dir)
+    x = lsh.banding_sums(j.sh, j.q_sh, [(j.K, j.L)]).where("overlaps")
+    x = x.groupBy("bin").agg(F.sum("n_pairs").cast("bigint").alias("n_pairs"),
+                             F.sum("n_met").cast("bigint").alias("n_retrieved"), F.sum("sum_predicted").alias("p"))
+    return x.select("bin", "n_pairs", "n_retrieved",
+                    F.round(F.col("n_retrieved") / F.col("n_pairs"), R).alias("observed_rate"),
+                    F.round(F.col("p") / F.col("n_pairs"), R).alias("mean_predicted"))
 
 
 JOBS = {n: globals()[n] for n in [
