@@ -82,21 +82,6 @@ def minhash_family(n: int) -> tuple[tuple[int, int], ...]:
     return affine_family("minhash", n, params.MINHASH_PRIME)
 
 
-def minhash_base(shingle: Column) -> Column:
-    """Base hash of a shingle reduced mod P (fits BIGINT, < 2^33)."""
-    p = params.MINHASH_PRIME
-    return F.pmod(md5_u64(shingle), F.lit(p).cast(U64)).cast("bigint")
-
-
-def affine_mod_prime_bigint(a: Column, h: Column, b: Column, p: int = params.MINHASH_PRIME) -> Column:
-    """(a*h + b) mod p for a, h < p < 2^34 without leaving BIGINT: split h into
-    a 17-bit low part and the rest, reduce the high product first."""
-    hi = F.shiftright(h, 17)
-    lo = h.bitwiseAND(F.lit((1 << 17) - 1))
-    pl = F.lit(p)
-    return F.pmod(F.pmod(a * hi, pl) * F.lit(1 << 17) + a * lo + b, pl)
-
-
 def band_bucket(table: Column, band: Column) -> Column:
     """X13 as an exact band id: md5("{table}:{v1,v2,...}"), 60 bits."""
     key = F.concat(table.cast("string"), F.lit(":"),

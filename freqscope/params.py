@@ -60,6 +60,7 @@ DYADIC_LEVELS = 4
 DYADIC_MIN_WIDTH = 32
 DECAY_LAMBDA = 0.01
 SWEEP_WIDTHS = (16, 32, 64, 128)
+SWEEP_DEPTHS = (2, 4)
 NUM_EVAL_POINTS = 10
 HIST_BINS = 20
 ROUND_DIGITS = 6

@@ -12,6 +12,7 @@ from .. import params
 from ..operators import counts as C
 from ..operators import metrics as M
 from ..operators import windowed as WM
+from ..operators.sketch import cm_min, event_cells, event_probes
 from ..session import cut_lineage
 from ..sources.tables import event_items
 
@@ -342,8 +343,8 @@ def errors_sorted(spark, sf_dir):
                      "rel_error")
 
 
-def _ring_rows(j: EventJob, widths):
-    est = WM.ring_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, widths, items_bound=j.k)
+def _ring_rows(j: EventJob, widths, depth: int = params.DEPTH):
+    est = WM.ring_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, widths, depth, items_bound=j.k)
     tru = WM.window_truth(j.ev, j.targets, j.T, j.windows, j.maxw)
     return est.join(tru, ["item", "window_slots"])
 
@@ -365,16 +366,15 @@ def width_sweep(spark, sf_dir):
 MODEL_RANK = {"ring": 0, "dyadic": 1, "bucket": 2, "decay": 3}
 
 
-def model_rows(j: EventJob, widths) -> DataFrame:
+def model_rows(j: EventJob, widths, depth: int = params.DEPTH) -> DataFrame:
     """(model, width, depth, metrics..., counters, bytes) for the four
     models on common targets and horizon (D20)."""
     lam = params.DECAY_LAMBDA
-    depth = params.DEPTH
-    ring = M.accuracy_metrics(_ring_rows(j, widths), ["width"]) \
+    ring = M.accuracy_metrics(_ring_rows(j, widths, depth), ["width"]) \
         .withColumn("model", F.lit("ring")) \
         .withColumn("total_counters", (j.maxw * F.col("width") * depth).cast("double")) \
         .withColumn("bytes_per_counter", F.lit(4.0))
-    dest = WM.dyadic_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, widths)
+    dest = WM.dyadic_estimates(j.ev, j.targets, j.T, j.windows, j.maxw, widths, depth=depth)
     dtru = WM.window_truth(j.ev, j.targets, j.T, j.windows, j.maxw)
     L, mw = params.DYADIC_LEVELS, params.DYADIC_MIN_WIDTH
     dy_counters = sum(
@@ -389,7 +389,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
     ev_h = j.ev.where(F.col("slot") >= j.hs)
     pts = j.bucket_points()
     tr = WM.bucket_truth(ev_h, j.targets, pts)
-    es = WM.bucket_estimates(ev_h, j.targets, pts, widths)
+    es = WM.bucket_estimates(ev_h, j.targets, pts, widths, depth=depth)
     grid = WM.with_widths(j.targets.select("item", F.explode(pts).alias("point")), widths)
     z = F.lit(0)
     b = (grid.join(tr, ["item", "point"], "left")
@@ -406,7 +406,7 @@ def model_rows(j: EventJob, widths) -> DataFrame:
         .withColumn("total_counters", (nb * F.col("width") * depth).cast("double")) \
         .withColumn("bytes_per_counter", F.lit(8.0))
     dtr = WM.decayed_truth(j.ev, j.T, lam, j.targets)
-    dse = WM.decay_estimates(j.ev, j.targets, j.T, widths, lam)
+    dse = WM.decay_estimates(j.ev, j.targets, j.T, widths, lam, depth)
     dc = dse.join(dtr, "item").select("width", F.col("true_decayed").alias("true_count"),
                                       F.col("est_decayed").alias("est_count"))
     ad = M.accuracy_metrics(dc, ["width"]) \
@@ -442,6 +442,98 @@ def error_vs_memory(spark, sf_dir):
         p90.alias("bytes_p90")))
 
 
+def depth_sweep(spark, sf_dir):
+    """E3 over widths x depths: the four models at every depth of the sweep."""
+    j = _job(spark, sf_dir, shared=True)
+    rows = None
+    for depth in params.SWEEP_DEPTHS:
+        part = model_rows(j, list(params.SWEEP_WIDTHS[:2]), depth)
+        rows = part if rows is None else rows.unionByName(part)
+    return M.round_doubles(rows)
+
+
+def last_active_buckets(spark, sf_dir):
+    """P10: each target's last evaluation bucket with recent events, its counts and scores."""
+    b = bucket_burst_estimates(spark, sf_dir).where(F.col("true_recent") > 0)
+    row = F.max_by(F.struct("true_recent", "true_history", "true_burst", "est_burst"), "bucket")
+    return b.groupBy("item").agg(F.max("bucket").alias("bucket"), row.alias("r")).select("item", "bucket", "r.*")
+
+
+def ring_series(spark, sf_dir):
+    """W4/W5/W7 from the sketch: at every slot of the horizon, each target's count in
+    the last 32 slots and its burst score, exact and estimated from the ring cells."""
+    j = _job(spark, sf_dir, horizon=True, shared=True)
+    r, h = params.RECENT_SLOTS, params.HISTORY_SLOTS
+    spine = j.targets.select("item", F.explode(F.sequence(j.hs, j.T)).alias("slot"))
+    cells = WM.ring_cells(j.ev, j.T, j.maxw, [params.WIDTH])
+    probes = event_probes(WM.with_widths(j.targets.select("item"), [params.WIDTH]), params.DEPTH, "width",
+                          params.RING_SEED, extra=["width"])
+    est = cm_min(probes, cells, ["width", "row", "col"], ["item", "slot"], params.DEPTH)
+    exact = WM.slot_counts(j.ev, lo=j.hs, items=j.targets)
+    dense = (spine.join(exact, ["item", "slot"], "left").join(est, ["item", "slot"], "left")
+             .select("item", "slot", F.coalesce("cnt", F.lit(0)).cast("bigint").alias("true"),
+                     F.coalesce("est", F.lit(0)).cast("bigint").alias("est")))
+    w = Window.partitionBy("item").orderBy("slot")
+    total = lambda c, a, b: F.coalesce(F.sum(c).over(w.rowsBetween(a, b)), F.lit(0)).cast("bigint")
+    cols = ["item", "slot"]
+    for name in ("true", "est"):
+        score = F.when(F.col("slot") < j.hs + r, F.lit(0.0)).otherwise(
+            WM.burst_score(total(name, -(r - 1), 0), total(name, -(r + h - 1), -r), r, h))
+        cols += [total(name, -(params.SLIDING_SLOTS - 1), 0).alias(f"{name}_sliding"),
+                 F.round(score, R).alias(f"{name}_burst")]
+    return dense.select(*cols)
+
+
+def decay_grid_estimates(spark, sf_dir):
+    """E1 for decay: at about ten times the targets' decayed counts, exact and from the
+    forward-decay sketch of the events up to then."""
+    j = _job(spark, sf_dir, shared=True)
+    lam = params.DECAY_LAMBDA
+    pts = C.eval_points(F.lit(0).cast("bigint"), j.T)
+    then = (j.ev.select("item", "slot", "cnt", F.explode(pts).alias("t")).where(F.col("t") >= F.col("slot"))
+            .groupBy("item", "t").agg(F.sum(F.col("cnt") * F.exp(F.lit(lam) * (F.col("slot") - F.col("t")))).alias("wt")))
+    cells = event_cells(then, ["t"], params.DEPTH, params.WIDTH, params.DECAY_SEED, cnt="wt")
+    probes = event_probes(j.targets.select("item"), params.DEPTH, params.WIDTH, params.DECAY_SEED)
+    est = cm_min(probes, cells, ["row", "col"], ["item", "t"], params.DEPTH)
+    grid = j.targets.select("item", F.explode(pts).alias("t"))
+    out = (grid.join(then, ["item", "t"], "left").join(est, ["item", "t"], "left")
+           .select("item", "t", F.coalesce("wt", F.lit(0.0)).alias("a"), F.coalesce("est", F.lit(0.0)).cast("double").alias("b")))
+    _, rel = M.abs_rel_error(F.col("a"), F.col("b"))
+    return out.select("item", "t", F.round("a", R).alias("true_decayed"), F.round("b", R).alias("est_decayed"),
+                      F.round(rel, R).alias("rel_error"))
+
+
+def _point_matrix(df: DataFrame, point: str) -> DataFrame:
+    """Rows per item, one column per evaluation point, by the point's place."""
+    places = params.NUM_EVAL_POINTS + 2  # the grid holds at most two more than asked for
+    place = F.dense_rank().over(Window.partitionBy("item").orderBy(point)) - 1
+    p = df.withColumn("place", place).groupBy("item").pivot("place", list(range(places))).agg(F.first("rel_error"))
+    return p.select("item", *[F.col(str(k)).alias(f"p{k}") for k in range(places)])
+
+
+def time_error_matrix(spark, sf_dir):
+    """Relative error of the decayed counts per target and evaluation time."""
+    return _point_matrix(decay_grid_estimates(spark, sf_dir), "t")
+
+
+def bucket_error_matrix(spark, sf_dir):
+    """Relative error of the burst scores per target and evaluation bucket."""
+    return _point_matrix(bucket_burst_estimates(spark, sf_dir), "bucket")
+
+
+def dyadic_memory(spark, sf_dir):
+    """Per level the segments, width, counters, bytes, and cells that are stored."""
+    j = _job(spark, sf_dir, shared=True)
+    cells = WM.dyadic_cells(j.ev, [params.WIDTH]).groupBy("level").agg(F.count(F.lit(1)).cast("bigint").alias("stored_cells"))
+    level = F.col("level")
+    width = WM.level_width("width", "level", params.DYADIC_MIN_WIDTH)
+    segments = F.floor(j.T / F.pow(F.lit(2.0), level)).cast("bigint") + 1
+    return cells.withColumn("width", F.lit(params.WIDTH).cast("bigint")).select(
+        "level", segments.alias("segments"), width.cast("bigint").alias("width"),
+        (segments * width * params.DEPTH).cast("bigint").alias("total_counters"),
+        (segments * width * params.DEPTH * 4).cast("bigint").alias("estimated_bytes"), "stored_cells")
+
+
 JOBS = {n: globals()[n] for n in [
     "event_slots", "item_counts", "topk_items", "horizon_topk", "item_slot_counts",
     "item_bucket_counts", "interval_counts", "prefix_counts", "sliding_counts",
@@ -449,4 +541,5 @@ JOBS = {n: globals()[n] for n in [
     "ring_window_estimates", "window_accuracy", "dyadic_cells", "dyadic_estimates",
     "bucket_burst_estimates", "decay_sketch_estimates", "accuracy_metrics",
     "active_inactive", "error_histogram", "error_matrix", "errors_sorted", "width_sweep",
-    "model_comparison", "error_vs_memory"]}
+    "model_comparison", "error_vs_memory", "depth_sweep", "last_active_buckets", "ring_series",
+    "decay_grid_estimates", "time_error_matrix", "bucket_error_matrix", "dyadic_memory"]}

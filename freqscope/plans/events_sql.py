@@ -63,11 +63,11 @@ pts AS (SELECT CAST(unnest(CASE WHEN maxb < first THEN [maxb] ELSE list_distinct
         FROM bp)"""
 
 
-def ring_ctes(items: str, widths: list[int], prefix: str = "r") -> str:
+def ring_ctes(items: str, widths: list[int], prefix: str = "r", depth: int = P.DEPTH) -> str:
     """Ring estimates for ``items`` (a CTE with column ``item``) over widths:
     gives CTE ``{prefix}_es(width, item, window_slots, est)``."""
     wv = ", ".join(f"({w})" for w in widths)
-    seed, d = P.RING_SEED, P.DEPTH
+    seed, d = P.RING_SEED, depth
     return f"""
 {prefix}_w AS (SELECT CAST(w AS BIGINT) AS width FROM (VALUES {wv}) v(w)),
 {prefix}_c AS (SELECT item, slot, count(*) AS cnt FROM ev, hz WHERE slot >= hz.T - hz.maxw + 1 GROUP BY ALL),
@@ -94,9 +94,9 @@ def truth_cte(items: str, name: str = "tr") -> str:
   WHERE e.slot >= hz.T - hz.maxw + 1 AND w.window_slots >= hz.T - e.slot + 1 GROUP BY ALL)"""
 
 
-def dyadic_ctes(items: str, widths: list[int], prefix: str = "d") -> str:
+def dyadic_ctes(items: str, widths: list[int], prefix: str = "d", depth: int = P.DEPTH) -> str:
     wv = ", ".join(f"({w})" for w in widths)
-    L, mw, seed, d = P.DYADIC_LEVELS, P.DYADIC_MIN_WIDTH, P.DYADIC_SEED, P.DEPTH
+    L, mw, seed, d = P.DYADIC_LEVELS, P.DYADIC_MIN_WIDTH, P.DYADIC_SEED, depth
     return f"""
 {prefix}_w AS (SELECT CAST(w AS BIGINT) AS width FROM (VALUES {wv}) v(w)),
 {prefix}_sg0 AS (SELECT w.window_slots, hz.T - w.window_slots + 1 AS a, hz.T AS b, t.l AS level
@@ -129,10 +129,10 @@ def dyadic_ctes(items: str, widths: list[int], prefix: str = "d") -> str:
   FROM {prefix}_ps ps JOIN {prefix}_segs sg ON ps.level = sg.level AND ps.seg = sg.seg GROUP BY ALL)"""
 
 
-def bucket_ctes(items: str, widths: list[int], prefix: str = "b") -> str:
+def bucket_ctes(items: str, widths: list[int], prefix: str = "b", depth: int = P.DEPTH) -> str:
     """Exact and sketched recent/history bucket counts at the points."""
     wv = ", ".join(f"({w})" for w in widths)
-    bs, r, h, seed, d = P.BUCKET_SLOTS, P.RECENT_BUCKETS, P.HISTORY_BUCKETS, P.BURST_SEED, P.DEPTH
+    bs, r, h, seed, d = P.BUCKET_SLOTS, P.RECENT_BUCKETS, P.HISTORY_BUCKETS, P.BURST_SEED, depth
     return f"""
 {prefix}_w AS (SELECT CAST(w AS BIGINT) AS width FROM (VALUES {wv}) v(w)),
 {prefix}_bc AS (SELECT item, CAST(floor(slot / {D(bs)}) AS BIGINT) AS bucket, count(*) AS cnt
@@ -161,9 +161,9 @@ def bucket_ctes(items: str, widths: list[int], prefix: str = "b") -> str:
   GROUP BY ALL)"""
 
 
-def decay_ctes(items: str, widths: list[int], prefix: str = "a") -> str:
+def decay_ctes(items: str, widths: list[int], prefix: str = "a", depth: int = P.DEPTH) -> str:
     wv = ", ".join(f"({w})" for w in widths)
-    lam, seed, d = P.DECAY_LAMBDA, P.DECAY_SEED, P.DEPTH
+    lam, seed, d = P.DECAY_LAMBDA, P.DECAY_SEED, depth
     return f"""
 {prefix}_w AS (SELECT CAST(w AS BIGINT) AS width FROM (VALUES {wv}) v(w)),
 {prefix}_c AS (SELECT item, slot, count(*) AS cnt FROM ev, hz WHERE slot <= hz.T GROUP BY ALL),
@@ -245,16 +245,16 @@ rwe AS (
   LEFT JOIN r_es es ON es.item = i.item AND es.window_slots = w.window_slots)"""
 
 
-def _model_rows(widths: list[int]) -> str:
+def _model_rows(widths: list[int], depth: int = P.DEPTH) -> str:
     """E3 rows as CTE ``mr``."""
-    d, L, mw = P.DEPTH, P.DYADIC_LEVELS, P.DYADIC_MIN_WIDTH
+    d, L, mw = depth, P.DYADIC_LEVELS, P.DYADIC_MIN_WIDTH
     r, h, bs = P.RECENT_BUCKETS, P.HISTORY_BUCKETS, P.BUCKET_SLOTS
     dy_terms = " + ".join(
         f"(floor(hz.T / {D(2 ** lv)}) + 1) * greatest(m.width / {D(2 ** lv)}, {D(mw)})"
         for lv in range(L))
     mets = "num_queries, mae, rmse, mean_relative_error, weighted_relative_l1"
-    return f"""{base()},{ring_ctes('tg', widths)},{truth_cte('tg')},{dyadic_ctes('tg', widths)},
-{points_cte()},{bucket_ctes('tg', widths)},{decay_ctes('tg', widths)},
+    return f"""{base()},{ring_ctes('tg', widths, depth=depth)},{truth_cte('tg')},{dyadic_ctes('tg', widths, depth=depth)},
+{points_cte()},{bucket_ctes('tg', widths, depth=depth)},{decay_ctes('tg', widths, depth=depth)},
 ring_q AS (SELECT ww.width, g.item, w.window_slots, coalesce(tr.tc, 0) AS true_count,
                   coalesce(es.est, 0) AS est_count
   FROM tg g CROSS JOIN wins w CROSS JOIN r_w ww
@@ -441,4 +441,53 @@ p AS (SELECT quantile_cont(estimated_bytes, 0.9) AS p90 FROM mr)
 SELECT model, width, round(estimated_bytes, {R}) AS estimated_bytes, weighted_relative_l1,
        round(p.p90, {R}) AS bytes_p90
 FROM mr, p WHERE estimated_bytes <= p.p90"""
+    q["depth_sweep"] = " UNION ALL ".join(f"""SELECT * FROM (WITH {_model_rows(ws[:2], depth)}
+SELECT model, width, depth, num_queries, mae, rmse, mean_relative_error, weighted_relative_l1,
+  round(total_counters, {R}) AS total_counters, round(estimated_bytes, {R}) AS estimated_bytes FROM mr)"""
+                                          for depth in P.SWEEP_DEPTHS)
+    q["last_active_buckets"] = f"""SELECT item, bucket, true_recent, true_history, true_burst, est_burst
+FROM ({q["bucket_burst_estimates"]}) WHERE true_recent > 0
+QUALIFY row_number() OVER (PARTITION BY item ORDER BY bucket DESC) = 1"""
+
+    def frame(col: str, a: str, b: str) -> str:
+        return (f"CAST(coalesce(sum({col}) OVER (PARTITION BY item ORDER BY slot ROWS BETWEEN {a} AND {b}), 0) AS BIGINT)")
+
+    series = []
+    for name in ("true", "est"):
+        c = f"{name}_"
+        series.append(f"{frame(c, f'{P.SLIDING_SLOTS - 1} PRECEDING', 'CURRENT ROW')} AS {name}_sliding")
+        rc, hc = frame(c, f"{r - 1} PRECEDING", "CURRENT ROW"), frame(c, f"{r + h - 1} PRECEDING", f"{r} PRECEDING")
+        series.append(f"round(CASE WHEN slot < hs + {r} THEN {D(0)} ELSE {burst(rc, hc, r, h)} END, {R}) AS {name}_burst")
+    q["ring_series"] = f"""WITH {base()},{ring_ctes('tg', [P.WIDTH])},
+sp AS (SELECT g.item, CAST(unnest(generate_series(hz.hs, hz.T)) AS BIGINT) AS slot, hz.hs FROM tg g, hz),
+d AS (SELECT sp.item, sp.slot, sp.hs, coalesce(c.cnt, 0) AS true_, coalesce(e.est, 0) AS est_
+  FROM sp LEFT JOIN r_c c ON c.item = sp.item AND c.slot = sp.slot
+  LEFT JOIN r_ps e ON e.item = sp.item AND e.slot = sp.slot)
+SELECT item, slot, {', '.join(series)} FROM d"""
+    q["decay_grid_estimates"] = f"""WITH {base()},
+gp AS (SELECT T + 1 AS span, least({P.NUM_EVAL_POINTS}, T + 1) AS num, T FROM hz),
+pts AS (SELECT CAST(unnest(list_distinct(list_concat(generate_series(0, T,
+          greatest(1, CAST(floor(span / num) AS BIGINT))), [T]))) AS BIGINT) AS t FROM gp),
+c AS (SELECT item, slot, count(*) AS cnt FROM ev GROUP BY ALL),
+wt AS (SELECT c.item, p.t, sum(c.cnt * exp({D(lam)} * (c.slot - p.t))) AS wt FROM c, pts p WHERE p.t >= c.slot GROUP BY ALL),
+cells AS (SELECT x.t, k.r AS row, {sha_idx('x.item', 'k.r', P.DECAY_SEED, str(P.WIDTH))} AS col, sum(x.wt) AS wt
+  FROM wt x, range(0, {P.DEPTH}) k(r) GROUP BY ALL),
+pr AS (SELECT g.item, k.r AS row, {sha_idx('g.item', 'k.r', P.DECAY_SEED, str(P.WIDTH))} AS col FROM tg g, range(0, {P.DEPTH}) k(r)),
+es AS (SELECT pr.item, c.t, CASE WHEN count(*) = {P.DEPTH} THEN min(c.wt) ELSE 0 END AS est
+  FROM pr JOIN cells c ON c.row = pr.row AND c.col = pr.col GROUP BY ALL),
+x AS (SELECT g.item, p.t, coalesce(w.wt, {D(0)}) AS a, CAST(coalesce(e.est, 0) AS DOUBLE) AS b FROM tg g CROSS JOIN pts p
+  LEFT JOIN wt w ON w.item = g.item AND w.t = p.t LEFT JOIN es e ON e.item = g.item AND e.t = p.t)
+SELECT item, t, round(a, {R}) AS true_decayed, round(b, {R}) AS est_decayed,
+  round(CASE WHEN a > 0 THEN abs(b - a) / a ELSE {D(0)} END, {R}) AS rel_error FROM x"""
+    for name, source, point in (("time_error_matrix", "decay_grid_estimates", "t"),
+                                ("bucket_error_matrix", "bucket_burst_estimates", "bucket")):
+        places = ", ".join(f"max(CASE WHEN place = {k} THEN rel_error END) AS p{k}" for k in range(P.NUM_EVAL_POINTS + 2))
+        q[name] = f"""SELECT item, {places} FROM (SELECT item, rel_error,
+  dense_rank() OVER (PARTITION BY item ORDER BY {point}) - 1 AS place FROM ({q[source]})) GROUP BY item"""
+    q["dyadic_memory"] = f"""WITH {base()},{dyadic_ctes('tg', [P.WIDTH])},
+s AS (SELECT CAST(level AS BIGINT) AS level, CAST(count(*) AS BIGINT) AS stored_cells FROM d_cells GROUP BY level),
+x AS (SELECT s.level, CAST(floor(hz.T / pow({D(2)}, s.level)) AS BIGINT) + 1 AS segments,
+  CAST(greatest({P.WIDTH} >> s.level, {P.DYADIC_MIN_WIDTH}) AS BIGINT) AS width, stored_cells FROM s, hz)
+SELECT level, segments, width, CAST(segments * width * {P.DEPTH} AS BIGINT) AS total_counters,
+  CAST(segments * width * {P.DEPTH} * 4 AS BIGINT) AS estimated_bytes, stored_cells FROM x"""
     return q
