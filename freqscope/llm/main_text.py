@@ -56,6 +56,7 @@ BOILERPLATE = _words(
     "commentlist consent cookie cookies cookiebar disqus footer gdpr header masthead menu menus modal nav navbar navigation "
     "newsletter notice notices overlay pager pagination popup promo promoted promotion related replies respond share "
     "sharing shoutbox sidebar sidebars signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets")
+SAYS_THERE_IS = _words("has with without no is show hide")
 KEPT_NAMES = _words("html body article main")
 
 _TOKEN = re.compile(
@@ -83,6 +84,12 @@ class Node:
         return self.points * (1 - self.density())
 
 
+def _names_frame(name: str) -> bool:
+    """One class or id holds a frame word, and does not just say that there is one."""
+    parts = [w.lower() for w in _NAME_PARTS.findall(name)]
+    return bool(parts) and parts[0] not in SAYS_THERE_IS and not BOILERPLATE.isdisjoint(parts)
+
+
 def _in_frame(tag: str, attributes: str) -> bool:
     """The element belongs to the page's frame, or is hidden."""
     if tag in FRAME:
@@ -97,8 +104,7 @@ def _in_frame(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and tag not in KEPT_NAMES \
-                and any(w.lower() in BOILERPLATE for w in _NAME_PARTS.findall(value)):
+        if name in ("class", "id") and tag not in KEPT_NAMES and any(map(_names_frame, value.split())):
             return True
     return tag == "article" and bool(re.search(r"""(?:class|id)\s*=\s*["']?[^"'>]*\bcomment""", attributes, re.I))
 

@@ -40,7 +40,7 @@ def test_frame_is_left_out():
 
 
 def test_words_in_names_are_whole_words():
-    for name in ("headline", "shadow", "reading", "download", "commentary-text"):
+    for name in ("headline", "shadow", "reading", "download", "commentary-text", "content has-sidebar", "no-comments"):
         assert mt.main_text(page(f"<div class='{name}'><p>{PROSE}</p></div>")) == PROSE.strip()
 
 
