@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .common import field, map_arrow, table, text_or_empty
-from .pretoken import PieceCache, split
+from .pretoken import PieceCache, chunks, split
 
 TOKENIZER = "byte_bpe_50k.json"
 _PAIR_LIMIT = 2_000_000
@@ -82,7 +82,8 @@ class PrefixBpe:
                 self.automaton.add_word(self.bytes_of[k].decode("latin-1"), (k, len(self.bytes_of[k])))
         self.automaton.make_automaton()
         self.id_text = [str(k) for k in range(size)]
-        self.pieces = PieceCache(self.encode_piece)
+        #: ids of a chunk of text with a space before it
+        self.spaced = PieceCache(self._encode_spaced)
         self._tested: dict[int, bool] = {}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
@@ -129,17 +130,26 @@ class PrefixBpe:
         return tuple(ids[::-1])
 
     def encode(self, text: str) -> list[int]:
-        piece = self.pieces.__getitem__
         if not self.special or not self.special.search(text):
-            return list(chain.from_iterable(map(piece, split(text))))
+            return self._encode_plain(text)
         ids: list[int] = []
         for part in self.special.split(text):
             if part in self.added:
                 ids.append(self.added[part])
             else:
-                ids.extend(chain.from_iterable(map(piece, split(part))))
+                ids.extend(self._encode_plain(part))
         return ids
 
+    def _encode_plain(self, text: str) -> list[int]:
+        cut = chunks(text)
+        if cut is None:
+            return list(chain.from_iterable(map(self.encode_piece, split(text))))
+        first = chain.from_iterable(map(self.encode_piece, split(cut[0])))
+        return list(chain(first, chain.from_iterable(map(self.spaced.__getitem__, cut[1:]))))
+
+    def _encode_spaced(self, chunk: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.encode_piece, split(" " + chunk))))
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 

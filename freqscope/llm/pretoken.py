@@ -76,11 +76,21 @@ def split(text: str) -> list[str]:
     return _pattern(last).findall(text)
 
 
+_ODD_SPACE = re.compile(f" (?=[{_ranges(SPACE)}])| \\Z")
+
+
+def chunks(text: str) -> list[str] | None:
+    """The text cut at its spaces, which are left out; None if a space stands before
+    white space or at the end.  Otherwise each chunk but the first, with a space before
+    it, splits into pieces by itself: a space belongs to what follows it."""
+    return None if _ODD_SPACE.search(text) else text.split(" ")
+
+
 class PieceCache(dict):
     """piece -> value, made on first use.  Emptied when ``limit`` pieces are held,
     so a worker's memory stays bounded; long pieces are not held at all."""
 
-    def __init__(self, make, limit: int = 400_000, longest: int = 100) -> None:
+    def __init__(self, make, limit: int = 500_000, longest: int = 100) -> None:
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 

@@ -1,7 +1,7 @@
 """Operator 7: token ids in Re-Pair compressed shards with random access.
 
 Texts are dealt by id range and sorted, so shards follow the order of ids.  Each
-task encodes its texts with the tokenizers library (once per distinct piece),
+task encodes its texts with the tokenizers library (once per distinct chunk between spaces),
 appends the end id and cuts its ids into blocks of about ``BLOCK_IDS``.  A block is
 compressed by Re-Pair: the most frequent pairs of neighbours become nonterminals,
 round after round, until no pair occurs ``MIN_COUNT`` times.  One round replaces all
@@ -35,65 +35,68 @@ from pyspark.sql.window import Window
 
 from .bpe import tokenizer_path
 from .common import field, stored, table, text_or_empty
-from .pretoken import PieceCache, split
+from .pretoken import PieceCache, chunks, split
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
-_SLOTS = 1 << 18
+_SLOT_BITS = 18
 
 
 # -- Re-Pair ---------------------------------------------------------------
 
-def _frequent(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of neighbours: (key per position, the keys that occur often, counts).
-
-    Pairs are first counted in hash slots; only pairs in full slots are sorted."""
-    key = seq[:-1].astype(np.int64) << 32 | seq[1:]
-    slot = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-    full = np.bincount(slot, minlength=_SLOTS)
-    top = int(full.max(initial=0))
-    if top < least:
-        return key, key[:0], key[:0]
-    some = key[(full >= least)[slot]]
-    keys, counts = np.unique(some, return_counts=True)
-    return key, keys, counts
+def _frequent(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that are among the most frequent: (positions of pairs that may be,
+    their keys, the chosen keys).  All pairs are counted in hash slots; only those in
+    slots at least a quarter as full as the fullest, and ``least`` full, are sorted."""
+    slot = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - _SLOT_BITS)
+    full = np.bincount(slot, minlength=1 << _SLOT_BITS)
+    need = max(least, int(full.max(initial=0)) // 4)
+    while need >= least:
+        at = np.flatnonzero((full >= need)[slot])
+        key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        keys, counts = np.unique(key, return_counts=True)
+        chosen = keys[counts >= need]
+        if len(chosen) or need == least:
+            return at, key, chosen
+        need = max(least, need // 4)  # full slots, but of several pairs each
+    return slot[:0], slot[:0].astype(np.uint64), slot[:0].astype(np.uint64)
 
 
 def _apart(at: np.ndarray) -> np.ndarray:
-    """Of ascending positions: in each run of neighbours the first, third, ..."""
+    """Of ascending positions: true for the first, third, ... of each run of neighbours."""
     if not len(at):
-        return at
+        return np.zeros(0, bool)
     new = np.concatenate(([True], np.diff(at) > 1))
     first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-    return at[(np.arange(len(at)) - first) % 2 == 0]
+    return (np.arange(len(at)) - first) % 2 == 0
 
 
 def repair(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, first_rule, left, right, expansions) of a list of ids."""
-    seq = ids.astype(np.int64)
-    first = int(seq.max(initial=-1)) + 1
+    seq = ids.astype(np.uint32)
+    first = int(seq.max(initial=0)) + 1
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     n = 0
     while len(seq) > 1:
-        key, keys, counts = _frequent(seq, min_count)
-        if not len(keys) or counts.max() < min_count:
+        at, key, chosen = _frequent(seq, min_count)
+        if not len(chosen):
             break
-        chosen = keys[counts >= max(min_count, int(counts.max()) // 4)]
-        spot = np.searchsorted(chosen, key)
-        spot[spot == len(chosen)] = 0
-        at = _apart(np.flatnonzero(chosen[spot] == key))
-        which = spot[at]
+        spot = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
+        hit = chosen[spot] == key
+        at, spot = at[hit], spot[hit]
+        free = _apart(at)
+        at, which = at[free], spot[free]
         used, which = np.unique(which, return_inverse=True)
-        left.append(chosen[used] >> 32)
-        right.append(chosen[used] & 0xFFFFFFFF)
-        seq[at] = first + n + which
+        left.append((chosen[used] >> np.uint64(32)).astype(np.int64))
+        right.append((chosen[used] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        seq[at] = (first + n + which).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
         n += len(used)
     left, right = np.concatenate(left), np.concatenate(right)
-    return seq, first, left, right, expansion_lengths(first, left, right)
+    return seq.astype(np.int64), first, left, right, expansion_lengths(first, left, right)
 
 
 def expansion_lengths(first: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -104,19 +107,24 @@ def expansion_lengths(first: int, left: np.ndarray, right: np.ndarray) -> np.nda
 
 
 def expand(seq: np.ndarray, first: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The ids a sequence stands for; each pass opens every nonterminal once."""
-    while len(seq):
-        rule = seq >= first
-        if not rule.any():
-            break
-        at = np.cumsum(rule + 1) - (rule + 1)
-        out = np.empty(int(at[-1]) + 1 + int(rule[-1]), np.int64)
-        out[at[~rule]] = seq[~rule]
-        k = seq[rule] - first
-        out[at[rule]] = left[k]
-        out[at[rule] + 1] = right[k]
-        seq = out
-    return seq
+    """The ids a sequence stands for.  Rules are opened once, in order; then every
+    symbol copies its ids from the opened rules."""
+    if not len(seq) or seq.max() < first:
+        return seq
+    opened: list[np.ndarray] = []
+    for a, b in zip(left.tolist(), right.tolist()):
+        opened.append(np.concatenate([opened[x - first] if x >= first else np.array([x], np.int64) for x in (a, b)]))
+    size = np.array([len(x) for x in opened], np.int64)
+    flat, starts = np.concatenate(opened), np.cumsum(size) - size
+    rule = np.maximum(seq - first, 0)
+    is_rule = seq >= first
+    long = np.where(is_rule, size[rule], 1)
+    ends = np.cumsum(long)
+    # the place in ``flat`` each id comes from; plain ids are set afterwards
+    out = flat[np.repeat(np.where(is_rule, starts[rule], 0) - (ends - long), long) * np.repeat(is_rule, long)
+               + np.arange(ends[-1]) * np.repeat(is_rule, long)]
+    out[(ends - long)[~is_rule]] = seq[~is_rule]
+    return out
 
 
 def read_range(block: dict, start: int, stop: int) -> np.ndarray:
@@ -137,7 +145,7 @@ def read_range(block: dict, start: int, stop: int) -> np.ndarray:
 # -- tokenizers library ----------------------------------------------------
 
 class LibraryEncoder:
-    """The tokenizers library, called once per distinct piece of text."""
+    """The tokenizers library, called once per distinct chunk of text between spaces."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -145,26 +153,54 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.pieces = PieceCache(None)
+        self.pieces, self.spaced = PieceCache(None), PieceCache(None)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        """Ids of many pieces.  Words after a space are learnt from one text of them
+        all: the library cuts it before each space, and its word numbers tell the
+        pieces apart.  Other pieces are few and go one by one."""
+        words = [p for p in new if p[0] == " " and p[1:].isalpha()]
+        for k in range(0, len(words), 20_000):
+            part = words[k:k + 20_000]
+            found = self.library.encode("".join(part), add_special_tokens=False)
+            ids, word = np.array(found.ids, dtype="<u4"), np.array(found.word_ids)
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(word)) + 1, [len(ids)])).tolist()
+            if len(cut) != len(part) + 1:
+                raise ValueError("the library cut a word of letters")
+            data = ids.tobytes()
+            self.pieces.update(zip(part, [data[4 * i:4 * j] for i, j in zip(cut, cut[1:])]))
+        rest = [p for p in new if p[0] != " " or not p[1:].isalpha()]
+        for k in range(0, len(rest), 10_000):
+            part = rest[k:k + 10_000]
+            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
+                self.pieces[p] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [split(" " + w) for w in new]
+        pieces = self.pieces
+        missing = {p for ps in parts for p in ps if p not in pieces}
+        if len(pieces) + len(missing) > pieces.limit:
+            pieces.clear()
+            missing = {p for ps in parts for p in ps}
+        self._learn_pieces(list(missing))
+        self.spaced.update(zip(new, [b"".join(map(pieces.__getitem__, ps)) for ps in parts]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        held = self.pieces
-        cut = [None if any(a in t for a in self.added) else split(t) for t in texts]
-        new = list({w for words in cut if words for w in words if w not in held})
+        held = self.spaced
+        cut = [None if any(a in t for a in self.added) else chunks(t) for t in texts]
+        words = set(chain.from_iterable(c[1:] for c in cut if c))
+        new = [w for w in words if w not in held]
         if len(held) + len(new) > held.limit:
             held.clear()
-            new = list({w for words in cut if words for w in words})
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            for w, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                held[w] = np.array(e.ids, dtype="<u4").tobytes()
+            new = list(words)
+        self._learn(new)
         out = []
-        for text, words in zip(texts, cut):
-            if words is None:
-                ids = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            else:
-                ids = np.frombuffer(b"".join(map(held.__getitem__, words)), "<u4")
-            out.append(ids)
+        for text, c in zip(texts, cut):
+            ids = self._whole(text) if c is None else self._whole(c[0]) + b"".join(map(held.__getitem__, c[1:]))
+            out.append(np.frombuffer(ids, "<u4"))
         return out
 
 

@@ -40,6 +40,16 @@ def test_long_pieces(own, library):
         same(own, library, text)
 
 
+def test_chunks_split_like_the_text():
+    rng = random.Random(8)
+    for _ in range(2000):
+        text = "".join(rng.choice("ab  '1.\n\t\u3000é") for _ in range(rng.randint(0, 20)))
+        cut = pretoken.chunks(text)
+        if cut is not None:
+            pieces = pretoken.split(cut[0]) + [p for c in cut[1:] for p in pretoken.split(" " + c)]
+            assert pieces == pretoken.split(text), repr(text)
+
+
 def test_split_keeps_every_character():
     rng = random.Random(2)
     for _ in range(300):
