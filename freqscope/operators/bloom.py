@@ -1,9 +1,8 @@
-"""Bloom filters as tables of set bit positions.
+"""Bloom filters as tables of bit words.
 
 Positions use double hashing over one sha256 per key: h1 and h2 are the first
 and second 8-byte words of sha256("{seed}:{key}") reduced mod m, and
-pos_i = (h1 + i * h2) mod m.  The filter is the distinct positions, bounded by
-m (a parameter), so it is broadcast only when m is small.
+pos_i = (h1 + i * h2) mod m, with an odd step h2.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import bounded_broadcast
 
 U64 = "decimal(20,0)"
 
@@ -58,16 +56,30 @@ def build(keys: DataFrame, key: str, m: Column, k: Column, extra: list[str] | No
     return positions(keys, key, m, k, extra).select(*extra, "pos").distinct()
 
 
-def probe(filter_bits: DataFrame, probes: DataFrame, key: str, m: Column, k: Column,
-          extra: list[str] | None = None, m_bound: int | None = None,
-          carry: list[str] | None = None) -> DataFrame:
+def words(keys: DataFrame, key: str, m: Column, k: Column, extra: list[str] | None = None) -> DataFrame:
+    """G18 as dense words ``(extra..., word, bits)`` of 32,768 bits: every task ors its
+    keys into words before the shuffle, so at most m / 8 bytes per task travel."""
+    extra = extra or []
+    pos = positions(keys, key, m, k, extra)
+    return (pos.groupBy(*extra, F.bitmap_bucket_number(F.col("pos") + 1).alias("word"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("pos") + 1)).alias("bits")))
+
+
+def _bit(bits: Column, pos: Column) -> Column:
+    """Whether a word has the bit of a position."""
+    at = F.bitmap_bit_position(pos + 1)
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
+
+
+def probe(filter_words: DataFrame, probes: DataFrame, key: str, m: Column, k: Column,
+          extra: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
     """``(extra..., carry..., key, present)``; a key is present when all k of
-    its positions are set.  ``extra`` names the filter, ``carry`` goes along."""
+    its positions are set.  ``extra`` names the filter, ``carry`` goes along.  Probes meet
+    the filter by word; Spark broadcasts the words if they turn out small."""
     extra, carry = extra or [], carry or []
-    pp = positions(probes, key, m, k, [*extra, *carry])
-    bits = filter_bits.withColumn("set_", F.lit(1))
-    if m_bound is not None:
-        bits = bounded_broadcast(bits, m_bound)
-    j = pp.join(bits, [*extra, "pos"], "left")
-    return j.groupBy(*extra, *carry, key).agg(
-        (F.count("set_") == F.count(F.lit(1))).alias("present"))
+    pp = positions(probes, key, m, k, [*extra, *carry]) \
+        .withColumn("word", F.bitmap_bucket_number(F.col("pos") + 1))
+    j = pp.join(filter_words, [*extra, "word"], "left")
+    hit = F.coalesce(_bit(F.col("bits"), F.col("pos")), F.lit(False))
+    return j.groupBy(*extra, *carry, key).agg(F.min(hit).alias("present"))

@@ -45,7 +45,7 @@ def bloom_membership(spark, sf_dir):
     keys = _keys(spark, sf_dir)
     n = keys.select(F.count(F.lit(1))).scalar()
     m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
-    bits = B.build(keys, "key", m, k)
+    bits = B.words(keys, "key", m, k)
     probes = keys.select(F.lit("present").alias("probe_set"), "key") \
         .unionByName(_absent(keys).select(F.lit("absent").alias("probe_set"), "key"))
     res = B.probe(bits, probes, "key", m, k, carry=["probe_set"])
@@ -72,12 +72,9 @@ def bloom_fp_sweep(spark, sf_dir):
         cfgs.append((f"R=2^(log2N+{j})", m, k))
     cfg = F.array(*[F.struct(F.lit(c).alias("cfg"), m.alias("m"), k.alias("k")) for c, m, k in cfgs])
     kc = keys.select("key", F.explode(cfg).alias("c")).select("c.cfg", "c.m", "c.k", "key")
-    ins = B.positions(kc, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
-    bits = ins.select("cfg", "pos").distinct().withColumn("set_", F.lit(1))
+    bits = B.words(kc, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
     ab = _absent(keys).select("key", F.explode(cfg).alias("c")).select("c.cfg", "c.m", "c.k", "key")
-    pp = B.positions(ab, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
-    hit = pp.join(bits, ["cfg", "pos"], "left").groupBy("cfg", "m", "k", "key") \
-        .agg((F.count("set_") == F.count(F.lit(1))).alias("present"))
+    hit = B.probe(bits, ab, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
     out = hit.groupBy("cfg", "m", "k").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_absent"),
         F.avg(F.col("present").cast("double")).alias("observed_fp"))
@@ -94,7 +91,7 @@ def url_bloom(spark, sf_dir):
     urls = distinct_urls(spark, sf_dir).select(F.col("url").alias("key"))
     n = urls.select(F.count(F.lit(1))).scalar()
     m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
-    bits = B.build(urls, "key", m, k)
+    bits = B.words(urls, "key", m, k)
     fake = urls.select(F.concat(F.lit("fake"), F.md5("key"), F.lit(".com")).alias("key")) \
         .join(urls, "key", "left_anti")
     res = B.probe(bits, fake, "key", m, k)
