@@ -35,11 +35,13 @@ from pyspark.sql.window import Window
 
 from .bpe import tokenizer_path
 from .common import field, stored, table, text_or_empty
-from .pretoken import PieceCache, chunks, split
+from .pretoken import PieceCache, chunks
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
+#: marks that are a piece of their own after letters, in runs
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _SLOT_BITS = 18
 
 
@@ -108,23 +110,18 @@ def expansion_lengths(first: int, left: np.ndarray, right: np.ndarray) -> np.nda
 
 def expand(seq: np.ndarray, first: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The ids a sequence stands for.  Rules are opened once, in order; then every
-    symbol copies its ids from the opened rules."""
+    symbol copies its ids from a table of plain ids and opened rules."""
     if not len(seq) or seq.max() < first:
         return seq
+    plain = np.arange(first)
     opened: list[np.ndarray] = []
     for a, b in zip(left.tolist(), right.tolist()):
-        opened.append(np.concatenate([opened[x - first] if x >= first else np.array([x], np.int64) for x in (a, b)]))
-    size = np.array([len(x) for x in opened], np.int64)
-    flat, starts = np.concatenate(opened), np.cumsum(size) - size
-    rule = np.maximum(seq - first, 0)
-    is_rule = seq >= first
-    long = np.where(is_rule, size[rule], 1)
+        opened.append(np.concatenate([opened[x - first] if x >= first else plain[x:x + 1] for x in (a, b)]))
+    size = np.concatenate((np.ones(first, np.int64), [len(x) for x in opened]))
+    starts = np.cumsum(size) - size
+    long = size[seq]
     ends = np.cumsum(long)
-    # the place in ``flat`` each id comes from; plain ids are set afterwards
-    out = flat[np.repeat(np.where(is_rule, starts[rule], 0) - (ends - long), long) * np.repeat(is_rule, long)
-               + np.arange(ends[-1]) * np.repeat(is_rule, long)]
-    out[(ends - long)[~is_rule]] = seq[~is_rule]
-    return out
+    return np.concatenate((plain, *opened))[np.repeat(starts[seq] - (ends - long), long) + np.arange(ends[-1])]
 
 
 def read_range(block: dict, start: int, stop: int) -> np.ndarray:
@@ -153,55 +150,61 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.pieces, self.spaced = PieceCache(None), PieceCache(None)
+        self.spaced = PieceCache(None, limit=800_000)
+        #: ids of a run of marks after letters
+        self.marks = PieceCache(self._whole)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        """Ids of many pieces.  Words after a space are learnt from one text of them
-        all: the library cuts it before each space, and its word numbers tell the
-        pieces apart.  Other pieces are few and go one by one."""
-        words = [p for p in new if p[0] == " " and p[1:].isalpha()]
-        for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            found = self.library.encode("".join(part), add_special_tokens=False)
-            ids, word = np.array(found.ids, dtype="<u4"), np.array(found.word_ids)
-            cut = np.concatenate(([0], np.flatnonzero(np.diff(word)) + 1, [len(ids)])).tolist()
-            if len(cut) != len(part) + 1:
-                raise ValueError("the library cut a word of letters")
-            data = ids.tobytes()
-            self.pieces.update(zip(part, [data[4 * i:4 * j] for i, j in zip(cut, cut[1:])]))
-        rest = [p for p in new if p[0] != " " or not p[1:].isalpha()]
-        for k in range(0, len(rest), 10_000):
-            part = rest[k:k + 10_000]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.pieces[p] = np.array(e.ids, dtype="<u4").tobytes()
-
     def _learn(self, new: list[str]) -> None:
-        parts = [split(" " + w) for w in new]
-        pieces = self.pieces
-        missing = {p for ps in parts for p in ps if p not in pieces}
-        if len(pieces) + len(missing) > pieces.limit:
-            pieces.clear()
-            missing = {p for ps in parts for p in ps}
-        self._learn_pieces(list(missing))
-        self.spaced.update(zip(new, [b"".join(map(pieces.__getitem__, ps)) for ps in parts]))
+        """Ids of many chunks from one text of them all, spaces between: each splits by
+        itself (see ``chunks``), and the tokens' offsets tell whose they are."""
+        for k in range(0, len(new), 20_000):
+            part = new[k:k + 20_000]
+            found = self.library.encode(" " + " ".join(part), add_special_tokens=False)
+            stops = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found))[1::2]
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            cut = (4 * np.searchsorted(stops, ends, "right")).tolist()
+            data = np.array(found.ids, dtype="<u4").tobytes()
+            self.spaced.update(zip(part, [data[i:j] for i, j in zip([0, *cut], cut)]))
+
+    def _learn_all(self, new: set[str]) -> None:
+        """Letters followed by marks are two pieces, each learnt once."""
+        held, plain, marked = self.spaced, set(), []
+        if len(held) + len(new) > held.limit:
+            held.clear()
+        for w in new:
+            base = w.rstrip(MARKS)
+            if base != w and base.isalpha():
+                marked.append((w, base))
+                if base not in held:
+                    plain.add(base)
+            else:
+                plain.add(w)
+        self._learn(list(plain))
+        marks = self.marks.__getitem__
+        held.update([(w, held[base] + marks(w[len(base):])) for w, base in marked])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Every chunk is looked up once; those not held are learnt and filled in."""
+        look, new, found = self.spaced.get, set(), []
+        for text in texts:
+            cut = None if any(a in text for a in self.added) else chunks(text)
+            if cut is None:
+                found.append(([self._whole(text)], [], cut))
+                continue
+            ids = list(map(look, cut))
+            ids[0] = self._whole(cut[0])
+            gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+            new.update([cut[k] for k in gaps])
+            found.append((ids, gaps, cut))
+        self._learn_all(new)
         held = self.spaced
-        cut = [None if any(a in t for a in self.added) else chunks(t) for t in texts]
-        words = set(chain.from_iterable(c[1:] for c in cut if c))
-        new = [w for w in words if w not in held]
-        if len(held) + len(new) > held.limit:
-            held.clear()
-            new = list(words)
-        self._learn(new)
-        out = []
-        for text, c in zip(texts, cut):
-            ids = self._whole(text) if c is None else self._whole(c[0]) + b"".join(map(held.__getitem__, c[1:]))
-            out.append(np.frombuffer(ids, "<u4"))
-        return out
+        for ids, gaps, cut in found:
+            for k in gaps:
+                ids[k] = held[cut[k]]
+        return [np.frombuffer(b"".join(ids), "<u4") for ids, _, _ in found]
 
 
 @lru_cache(2)
