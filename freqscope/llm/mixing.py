@@ -8,7 +8,8 @@ then minimise, by projected gradient,
 
 where n_d are a document's tokens, p_d its posterior, S all tokens and T the target
 tokens of the domains: the expected domain totals match the targets, and documents
-keep a rate near 1 where they can.  Each step is one aggregate of as many sums as there are
+keep a rate near 1 where they can.  Targets out of reach, such as a share below the
+doubt that clean documents carry, are approached in least squares.  Each step is one aggregate of as many sums as there are
 domains.  A document is taken floor(r) times, and once more if a hash of its id falls below
 the fraction.
 
@@ -123,10 +124,11 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                      "word-counts")
     lexicons = {}
     for k in range(domains):
-        if not held[k] or held[k] == max(held):
+        if not held[k] or k == held.index(max(held)):  # all but the first of the largest
             continue
         expected = F.col("seen") * (held[k] / every)
-        best = counted.where((F.col("f") != "") & (F.col(f"d{k}") > 2 * expected) & (F.col(f"d{k}") >= max(5, held[k] / 20))) \
+        # twice as likely in the domain as in the rest
+        best = counted.where((F.col("f") != "") & (F.col(f"d{k}") * (every - held[k]) > 2 * held[k] * (F.col("seen") - F.col(f"d{k}"))) & (F.col(f"d{k}") >= max(5, held[k] / 20))) \
             .orderBy((F.pow(F.col(f"d{k}") - expected, 2) / expected).desc(), "f").limit(words).collect()
         if best:
             lexicons[k] = [r["f"] for r in best]
