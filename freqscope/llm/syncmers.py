@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,9 @@ from .common import field, map_arrow, table, text_or_empty
 K, S = 24, 8
 SHORT, SMALL_K, SMALL_S = 256, 8, 4
 VOTES = 3
+#: id ranges per shuffle partition; several even out the partitions
+RANGES_A_PARTITION = 4
+ROWS_AT_ONCE = 500
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -204,24 +207,36 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+def _bounds_above(cuts: list) -> Column:
+    """How many of the descending bounds are above ``id``: first by groups of about the
+    square root of their number, then within one group."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    groups = [cuts[k:k + step] for k in range(0, len(cuts), step)]
+    above = lambda bounds: F.size(F.filter(bounds, lambda c: c > F.col("id")))
+    whole = above(F.array(*[F.lit(g[-1]) for g in groups]))  # groups that lie above as a whole
+    held = F.array(*[F.array(*[F.lit(c) for c in g]) for g in [*groups, groups[-1][:1]]])
+    inside = F.when(whole < len(groups), above(F.element_at(held, whole + 1))).otherwise(0)
+    return F.least(whole * step, F.lit(len(cuts))) + inside
+
+
 def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (bucket, extra, id, text) such that each bucket holds a range of ids and
     the first row after it, marked ``extra``.
 
-    Bounds come from the ids alone, one per shuffle partition; each bucket's extra
+    Bounds come from the ids alone, a few per shuffle partition; each bucket's extra
     row is its successor's first, so whole texts are shuffled once and no task holds
     more than one range."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     ids = rows.select("id")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = ids.agg(F.percentile_approx("id", [k / parts for k in range(1, parts)], 10_000).alias("c")).first()["c"] \
         if parts > 1 else None
     cuts = sorted(set(cuts or ()), reverse=True)
     # descending ids: bucket = number of bounds the id does not reach; nulls last
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)) \
-        .otherwise(F.size(F.filter(bounds, lambda c: c > F.col("id"))))
+    bucket = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(_bounds_above(cuts))
     placed = rows.withColumn("bucket", bucket)
     heads = {r["bucket"]: r["head"] for r in
              ids.withColumn("bucket", bucket).groupBy("bucket").agg(F.max("id").alias("head")).collect()}
@@ -254,19 +269,20 @@ def against_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (bucket, extra, id, text, marks) of the row before
         for batch in batches:
-            rows: list[tuple] = []
-            for now in zip(*[c.to_pylist() for c in batch.columns]):
-                found = marks(now[3])
-                if last is not None and last[0] == now[0] and not last[1]:
-                    changed = edited(last[3], now[3])
-                    other = marks_after_edit(last[4], len(last[3]) - len(last[3]) // 3, changed)
-                    rows.append((last[2], len(last[3]), hashlib.sha256(changed.encode()).hexdigest(),
-                                 last[4].fingerprint(), other.fingerprint(), likeness(last[4], other),
-                                 likeness(last[4], found)))
-                last = (*now, found)
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                rows: list[tuple] = []
+                for now in zip(*[c.slice(at, ROWS_AT_ONCE).to_pylist() for c in batch.columns]):
+                    found = marks(now[3])
+                    if last is not None and last[0] == now[0] and not last[1]:
+                        changed = edited(last[3], now[3])
+                        other = marks_after_edit(last[4], len(last[3]) - len(last[3]) // 3, changed)
+                        rows.append((last[2], len(last[3]), hashlib.sha256(changed.encode()).hexdigest(),
+                                     last[4].fingerprint(), other.fingerprint(), likeness(last[4], other),
+                                     likeness(last[4], found)))
+                    last = (*now, found)
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return _in_order(docs, id_col, text_col).mapInArrow(run, schema)
 

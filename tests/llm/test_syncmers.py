@@ -94,3 +94,11 @@ def test_edge_rows(spark):
     assert [tuple(r) for r in sy.against_edits(one).collect()] == brute([rows[-1]])
     assert sy.against_edits(df.limit(0)).count() == 0
     assert sy.fingerprints(df).count() == len(rows)
+
+
+def test_bounds_above(spark):
+    rng = random.Random(9)
+    for n in (0, 1, 2, 3, 7, 50):
+        cuts = sorted(rng.sample(range(0, 400, 2), n), reverse=True)
+        got = spark.range(-3, 403).select("id", sy._bounds_above(cuts).alias("b")).collect()
+        assert all(r["b"] == sum(c > r["id"] for c in cuts) for r in got)
