@@ -250,21 +250,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp, component): one row per row of ``docs``; ``component`` is the
-    smallest id that links reach."""
+    """(id, fp, root, component): one row per row of ``docs``; ``root`` is the least
+    fingerprint that links reach, ``component`` the smallest id there."""
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
     roots = components(link_edges(distinct.select("fp"), max_bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["u"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return fps.join(rooted.join(least, "root").select("fp", "component"), "fp")
+    return fps.join(rooted.join(least, "root").select("fp", "root", "component"), "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """One row of ``docs`` for each component, with all its columns: that of the
-    component's least id; among rows that repeat this id, that of the least text.
+    """One row of ``docs`` for each root, with all its columns: that of the least id
+    (null if there is no other); among rows that repeat this id, that of the least text.
 
     Ids decide, so texts are not shuffled while the ids to drop fit a broadcast of
     ``DROP_BROADCAST_ROWS`` rows; beyond it Spark joins by shuffling.  Rows that
@@ -290,10 +290,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return [*batch.columns, pa.array(np.array(fps, dtype=np.uint64).view(np.int64))]
 
     heads = found.where(F.col(id_col).eqNullSafe(F.col("component"))) \
-        .select(F.col(id_col).alias("head"), F.col("fp").alias("head_fp"), "component").distinct()
+        .select(F.col(id_col).alias("head"), F.col("fp").alias("head_fp"), "root").distinct()
     best = (map_arrow(many, run, schema)
             .join(heads, F.col("one_id").eqNullSafe(F.col("head")) & (F.col("fp") == F.col("head_fp")))
-            .groupBy("component").agg(F.min_by("row", "text").alias("row")))
+            .groupBy("root").agg(F.min_by("row", "text").alias("row")))
     return once.unionByName(best.select(*[F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)]))
 
 

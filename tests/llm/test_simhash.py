@@ -127,6 +127,18 @@ def test_query_edge_rows(spark, tmp_path):
     assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_one(df.limit(0)).count() == 0
 
 
+def test_unlinked_rows_of_one_id_stay(spark):
+    words = [" ".join(f"{kind}{k}" for k in range(30)) for kind in ("ash", "birch", "cedar", "elm", "fir")]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1]), (None, words[2]), (7, words[2]), (7, words[3]), (7, words[4]),
+            (7, words[4].upper()), (2, words[4]), (9, words[0].upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in simhash.keep_one(df).collect()), key=str)
+    assert got == sorted([(None, words[1]), (7, words[2]), (7, words[3]), (2, words[4]), (9, words[0].upper())], key=str)
+    none = df.selectExpr("cast(null as long) as doc_id", "text")
+    assert sorted(r["text"] for r in simhash.keep_one(none).collect()) == sorted(
+        [words[0].upper(), words[1], words[2], words[3], words[4].upper()])
+
+
 def test_all_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     fps = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs]
