@@ -10,8 +10,8 @@ where n_d are a document's tokens, p_d its posterior, S all tokens and T the tar
 tokens of the domains: the expected domain totals match the targets, and documents
 keep a rate near 1 where they can.  Targets out of reach, such as a share below the
 doubt that clean documents carry, are approached in least squares.  Each step is one aggregate of as many sums as there are
-domains.  A document is taken floor(r) times, and once more if a hash of its id falls below
-the fraction.
+domains.  A document is taken floor(r) times, and once more if a hash of its id and text falls
+below the fraction.
 
 Bounds: the classifier learns from at most about ``LABELLED_ROWS`` labelled rows, chosen
 by hash of the id, and keeps ``WORDS`` words a domain.  Counts, posteriors and rates cover all rows.
@@ -61,13 +61,19 @@ def _without(text: Column, chars: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
 
 
+def row_hashes(id_col: str, text_col: str) -> list[Column]:
+    """draw, draw2: together they tell rows of different id or text apart."""
+    return [F.xxhash64(F.lit(seed), F.col(id_col), text_or_empty(text_col)).alias(name) for seed, name in ((55, "draw"), (56, "draw2"))]
+
+
 def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_tokens, words, bins): distinct lower-case words without edge marks, and
-    one code for each binned statistic.  One narrow pass over the texts."""
+    """(id, n_tokens, words, bins, draw, draw2): distinct lower-case words without edge
+    marks, one code for each binned statistic, two hashes of id and text.  One narrow
+    pass over the texts."""
     t = text_or_empty(text_col)
-    base = docs.select(F.col(id_col), t.alias("text"), F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ").alias("all"))
+    base = docs.select(F.col(id_col), *row_hashes(id_col, text_col), t.alias("text"), F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ").alias("all"))
     n = F.when(F.element_at("all", 1) == "", F.lit(0)).otherwise(F.size("all"))
-    base = base.select(id_col, "text", n.cast("long").alias("n_tokens"),
+    base = base.select(id_col, "draw", "draw2", "text", n.cast("long").alias("n_tokens"),
                        F.size("all").alias("pieces"), F.array_distinct("all").alias("distinct"))
     chars = F.greatest(F.char_length("text"), F.lit(1))
     stats = {"symbols": _without(F.col("text"), SYMBOLS) / chars,
@@ -80,7 +86,7 @@ def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         place = sum(((stats[name] >= b).cast("int") for b in bounds), F.lit(0))
         codes.append(F.concat(F.lit(f"\u0001{name}"), place.cast("string")))
     words = F.transform("distinct", lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()" + SYMBOLS))))
-    return base.select(id_col, "n_tokens", words.alias("words"), F.array(*codes).alias("bins"))
+    return base.select(id_col, "n_tokens", words.alias("words"), F.array(*codes).alias("bins"), "draw", "draw2")
 
 
 def _hits(words: str, lexicons: dict[int, list[str]]) -> list[Column]:
@@ -148,19 +154,19 @@ def _summed(features: str, weights: dict[str, float], unseen: float) -> Column:
 
 def posteriors(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
                class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
-    """(id, n_tokens, p): one posterior over the domains per row, without a join.  A
-    domain's share is the sum over its classes."""
+    """(id, n_tokens, p, draw, draw2): one posterior over the domains per row, without a
+    join.  A domain's share is the sum over its classes."""
     rows = document_features(docs, id_col, text_col)
-    rows = rows.select(id_col, "n_tokens", F.concat("bins", F.array(*_hits("words", model["lexicons"])).cast("array<string>")).alias("bins"))
+    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.concat("bins", F.array(*_hits("words", model["lexicons"])).cast("array<string>")).alias("bins"))
     score = [F.lit(float(x)) for x in model["prior"]]
     if model["bins"]:
         score = [x + _summed("bins", {b: v[c] for b, v in model["bins"].items()}, model["unseen"][c]) for c, x in enumerate(score)]
-    rows = rows.select(id_col, "n_tokens", F.array(*score).alias("s"))
-    rows = rows.select(id_col, "n_tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
+    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.array(*score).alias("s"))
+    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
     whole = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
     share = [sum((F.element_at("e", k + 1) for k, d in enumerate(class_domains) if d == domain), F.lit(0.0)) / whole
              for domain in range(max(class_domains) + 1)]
-    return rows.select(id_col, "n_tokens", F.array(*share).alias("p"))
+    return rows.select(id_col, "n_tokens", F.array(*share).alias("p"), "draw", "draw2")
 
 
 def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS,
@@ -193,29 +199,36 @@ def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps:
     return state.drop("ahead")
 
 
-def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        targets: tuple[float, ...] = TARGETS, label: Column | None = None,
-        class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
-    """(id, n_tokens, p, rate, copies) for every row of ``docs``."""
+def _drawn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, targets: tuple[float, ...],
+           label: Column | None, class_domains: tuple[int, ...]) -> DataFrame:
+    """(id, n_tokens, p, draw, draw2, rate, copies) for every row of ``docs``."""
     model = fit_domains(docs, labels, id_col, text_col, label, class_domains)
     weighted = stored(posteriors(docs, model, id_col, text_col, class_domains), "posteriors")
     rated = fit_rates(weighted, targets, STEPS if model["bins"] else 0).withColumn("rate", F.round("rate", 6))
-    chance = F.pmod(F.xxhash64(id_col, F.lit(55)), F.lit(1 << 20)) / float(1 << 20)
+    chance = F.pmod("draw", F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
+def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        targets: tuple[float, ...] = TARGETS, label: Column | None = None,
+        class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
+    """(id, n_tokens, p, rate, copies) for every row of ``docs``."""
+    return _drawn(docs, labels, id_col, text_col, targets, label, class_domains).drop("draw", "draw2")
+
+
 def apply_mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               targets: tuple[float, ...] = TARGETS, label: Column | None = None,
               class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies say.  Rows that share an id
-    share the first one's copies; only ids and copies are joined, broadcast while
-    there are at most two million that are not taken exactly once."""
-    mixed = mix(docs, labels, id_col, text_col, targets, label, class_domains)
-    the_id, copies, number = (fresh(docs, x) for x in ("mixed_id", "copies", "copy_number"))
-    other = stored(mixed.groupBy(F.col(id_col).alias(the_id)).agg(F.max("copies").alias(copies))
-                   .where(F.col(copies) != 1), "mixed-copies")
+    """The rows of ``docs``, each as often as its copies say.  Rows are found by their
+    hashes of id and text, which decide the copies; only hashes and copies are joined,
+    broadcast while at most two million are not taken exactly once."""
+    mixed = _drawn(docs, labels, id_col, text_col, targets, label, class_domains)
+    copies, number, *keys = (fresh(docs, x) for x in ("copies", "copy_number", "draw", "draw2"))
+    other = stored(mixed.groupBy(F.col("draw").alias(keys[0]), F.col("draw2").alias(keys[1]))
+                   .agg(F.max("copies").alias(copies)).where(F.col(copies) != 1), "mixed-copies")
     few = other.count() <= 2_000_000
-    joined = docs.join(F.broadcast(other) if few else other, docs[id_col].eqNullSafe(other[the_id]), "left")
+    keyed = docs.select("*", *[h.alias(k) for h, k in zip(row_hashes(id_col, text_col), keys)])
+    joined = keyed.join(F.broadcast(other) if few else other, keys, "left")
     taken = F.coalesce(copies, F.lit(1).cast("long"))
     return joined.where(taken > 0).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), taken))) \
         .select(*docs.columns)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, map_arrow, stored, table, text_or_empty
+from .common import SLICE_ROWS, field, map_arrow, stored, table, text_or_empty
 
 TRAIN_ROWS = 20_000
 BUCKETS = 1 << 15
@@ -211,20 +211,30 @@ def fit_scorer(buckets: list[np.ndarray], values: list[np.ndarray], target: np.n
 
 # -- on Spark ----------------------------------------------------------------
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          train_rows: int = TRAIN_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
-    """(id, weak_label, score, keep) for every row of ``docs``.
+def _extracted(texts: list[str]) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    """Votes, buckets and values of texts, as the feature table holds them."""
+    rows = [features(t) for t in texts]
+    return [r[0] for r in rows], [r[1] for r in rows], [r[2].astype(np.float32) for r in rows]
+
+
+def _scores(buckets: np.ndarray, values: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Scores of the rows whose features lie between the offsets ``at``."""
+    add = np.concatenate(([0.0], np.cumsum(weight[buckets] * values)))
+    return 1 / (1 + np.exp(-np.round(add[at[1:]] - add[at[:-1]] + weight[-1], 9)))
+
+
+def _fit(docs: DataFrame, id_col: str, text_col: str, train_rows: int) -> tuple[DataFrame, dict[int, float], np.ndarray]:
+    """(feature table, posterior by vote pattern, scorer weights).
 
     One pass over the texts makes a table of votes and sparse features; the label
     model takes its pattern counts, the scorer a sample of about ``train_rows``
-    rows by hash of the id, and a last pass scores the feature table."""
+    rows by hash of the id."""
     made = T.StructType([field(docs, id_col), T.StructField("votes", T.IntegerType()),
                          T.StructField("buckets", T.ArrayType(T.IntegerType())),
                          T.StructField("vals", T.ArrayType(T.FloatType()))])
 
     def extract(batch: pa.RecordBatch) -> list:
-        rows = [features(t) for t in batch.column(1).to_pylist()]
-        return [batch.column(0), [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]]
+        return [batch.column(0), *_extracted(batch.column(1).to_pylist())]
 
     table_ = stored(map_arrow(docs.select(id_col, text_or_empty(text_col).alias("text")), extract, made), "features")
     patterns = table_.groupBy("votes").count().collect()  # at most 3 ** len(LABELLERS) rows
@@ -236,28 +246,41 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("votes", "buckets", "vals").limit(2 * train_rows).collect()
     weight = fit_scorer([np.array(r["buckets"]) for r in sample], [np.array(r["vals"]) for r in sample],
                         np.array([posterior[r["votes"]] for r in sample]))
+    return table_, posterior, weight
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          train_rows: int = TRAIN_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
+    """(id, weak_label, score, keep) for every row of ``docs``, from the feature table."""
+    table_, posterior, weight = _fit(docs, id_col, text_col, train_rows)
     out = T.StructType([field(docs, id_col), T.StructField("weak_label", T.DoubleType()),
                         T.StructField("score", T.DoubleType()), T.StructField("keep", T.BooleanType())])
 
     def judge(batch: pa.RecordBatch) -> list:
         b, v = batch.column(2), batch.column(3)
-        at = b.offsets.to_numpy()
-        add = np.concatenate(([0.0], np.cumsum(weight[b.values.to_numpy()] * v.values.to_numpy())))
-        p = 1 / (1 + np.exp(-np.round(add[at[1:]] - add[at[:-1]] + weight[-1], 9)))
+        p = _scores(b.values.to_numpy(), v.values.to_numpy(), b.offsets.to_numpy(), weight)
         return [batch.column(0), [posterior[k] for k in batch.column(1).to_pylist()], pa.array(p), pa.array(p >= keep_from)]
 
     return map_arrow(table_, judge, out)
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              train_rows: int = TRAIN_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``docs`` that the scorer keeps, with all their columns.
 
-    Rejected ids are joined, not texts; rows that share an id share the lower score."""
-    judged = score(docs, id_col, text_col)
-    rejected = stored(judged.where("not keep").select(F.col(id_col).alias("rejected_id")).distinct(), "rejected-ids")
-    few = rejected.count() <= 2_000_000
-    return docs.join(F.broadcast(rejected) if few else rejected,
-                     docs[id_col].eqNullSafe(rejected["rejected_id"]), "left_anti")
+    Each row is judged by its own text in a second narrow pass, so ids do not matter."""
+    _, _, weight = _fit(docs, id_col, text_col, train_rows)
+
+    @F.arrow_udf(T.BooleanType())
+    def good(texts: pa.Array) -> pa.Array:
+        kept = [np.empty(0, bool)]
+        for at in range(0, len(texts), SLICE_ROWS):
+            _, b, v = _extracted(texts.slice(at, SLICE_ROWS).to_pylist())
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in b])))
+            kept.append(_scores(np.concatenate(b), np.concatenate(v), ends, weight) >= keep_from)
+        return pa.array(np.concatenate(kept))
+
+    return docs.where(good(text_or_empty(text_col)))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

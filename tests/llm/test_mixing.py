@@ -89,6 +89,25 @@ def test_edge_rows_and_clashing_columns(spark):
     assert out.count() == want
 
 
+def test_rows_of_one_id_are_drawn_by_their_own_text(spark):
+    docs, labels = frames(spark)
+    bad, good = "awful nasty vile " * 10, "kind green river house " * 8
+    more = [(None, f"{bad}{k}") for k in range(60)] + [(None, f"{good}{k}") for k in range(60)] + [(9, bad), (9, bad + "x")]
+    docs = docs.unionByName(spark.createDataFrame([(a, b, 3, "w", 1.5) for a, b in more], docs.schema))
+    targets = (0.9, 0.1, 0.0)
+    mixed = mixing.mix(docs, labels, targets=targets)
+    assert mixed.columns == ["doc_id", "n_tokens", "p", "rate", "copies"]
+    rows = mixed.collect()
+    toxic = [r for r in rows if r["doc_id"] is None and r["p"][1] > 0.5]
+    assert len(toxic) == 60 and {r["copies"] for r in toxic} == {0, 1}  # not one block
+    out = mixing.apply_mix(docs, labels, targets=targets).collect()
+    assert len(out) == sum(r["copies"] for r in rows)
+    held = lambda doc, word: sum(r["doc_id"] == doc and word in r["text"] for r in out)
+    assert held(None, "awful") == sum(r["copies"] for r in toxic)
+    assert held(9, "awful") == sum(r["copies"] for r in rows if r["doc_id"] == 9 and r["p"][1] > 0.5)
+    assert held(9, "awful") + held(9, "kind") == sum(r["copies"] for r in rows if r["doc_id"] == 9)
+
+
 def test_no_labels_and_no_documents(spark):
     docs, labels = frames(spark)
     rates = {r["rate"] for r in mixing.mix(docs, labels.limit(0)).collect()}

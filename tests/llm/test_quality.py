@@ -68,3 +68,16 @@ def test_edge_rows(spark, tmp_path):
     kept = quality.keep_good(df)
     assert kept.columns == df.columns
     assert quality.score(df.limit(0)).count() == 0 and quality.keep_good(df.limit(0)).count() == 0
+
+
+def test_each_row_has_its_own_verdict(spark):
+    junk = "junk%%% more### "
+    rows = [(k, PROSE * (k % 5 + 1)) for k in range(60)] + [(100 + k, junk * (20 + k)) for k in range(20)]
+    rows += [(None, PROSE), (None, PROSE * 2), (None, "x%%% y### " * 30), (5, junk * 25), (110, PROSE * 3)]
+    df = spark.createDataFrame([(a, b, 0.5) for a, b in rows], "doc_id long, text string, score double")
+    kept = quality.keep_good(df)
+    assert kept.schema == df.schema
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(a, b) for a, b in rows if b.startswith("Reading")], key=str)
+    scored = quality.score(df).where("keep").collect()
+    assert sorted((r["doc_id"] for r in scored), key=str) == sorted((r["doc_id"] for r in kept.collect()), key=str)
