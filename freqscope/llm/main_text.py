@@ -3,9 +3,11 @@
 A page becomes a tree of its block elements.  Every paragraph of 25 code points or more
 is worth one point, one for each comma and one for each hundred code points, at most
 three; its container gets the points, the containers above a half, a third, ...
-An element's score is discounted by its link density.  The best element is the
-article (or, inside an <article>, that element as a whole); siblings with at least a
-fifth of its score, and sibling paragraphs of plain prose, are kept with it.
+An element's score is discounted by its link density.  If the best element lies in an
+<article>, that one is the article as a whole; siblings with at least a fifth of its
+score, and sibling paragraphs of plain prose, are kept with it.  Otherwise the article
+grows from the best element up to the body: each container's other children and own text
+join it, but for those that are mostly links.
 
 Never part of the text: scripts, styles, forms and other elements of the page's
 frame (by element, by role, by words in class or id), hidden elements, and lists
@@ -32,6 +34,8 @@ from .common import field, map_arrow, table, text_or_empty
 MIN_PARAGRAPH = 25
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
 MENU_DENSITY = 0.8
+#: outside an <article>: link density above which a container beside the best one is no article text
+LINKS_DENSITY = 0.5
 
 _words = lambda s: frozenset(s.split())
 PARAGRAPHS = _words("p pre li td th dt dd h1 h2 h3 h4 h5 h6 blockquote figcaption caption summary address")
@@ -115,8 +119,8 @@ class Page:
     def __init__(self, html: str) -> None:
         self.root = Node("html", None, False)
         self.stack = [self.root]
-        #: (node, text) of every run of text between block boundaries
-        self.blocks: list[tuple[Node, str]] = []
+        #: (node, text, code points in links) of every run of text between block boundaries
+        self.blocks: list[tuple[Node, str, int]] = []
         self._run: list[str] = []
         self._linked = 0
         self._in_link = False
@@ -136,7 +140,7 @@ class Page:
             text = " ".join("".join(self._run).split())
             if text:
                 node = self.stack[-1]
-                self.blocks.append((node, text))
+                self.blocks.append((node, text, self._linked))
                 self._pass_points(node, text)
             self._run, self._linked = [], 0
 
@@ -237,33 +241,52 @@ class Page:
                 todo += reversed(node.kids)
         return out
 
-    def kept(self) -> list[Node]:
-        """The best container and the siblings kept with it."""
+    def kept(self) -> tuple[list[Node], list[Node], list[Node]]:
+        """(elements kept, elements inside them left out, containers that the article
+        grew into, whose own text counts unless it is mostly links)."""
         nodes = self._elements()
         best = max(nodes, key=Node.score)
         if best.score() <= 0:
             whole = [n for n in nodes if n.tag in ("article", "main") and n.chars]
-            return whole[:1] or [self.root]
+            return whole[:1] or [self.root], [], []
         top: Node | None = best
         while top is not None:
             if top.tag == "article":
                 best = top
             top = top.up
         if best.up is None:
-            return [best]
+            return [best], [], []
+        if best.tag != "article":
+            return self._grown(best)
         need = max(SIBLING_LEAST, SIBLING_SHARE * best.score())
         out = []
         for node in best.up.kids:
             if node is best or not node.out and (
                     node.score() >= need or node.tag == "p" and node.density() < 0.25 and node.chars > 80):
                 out.append(node)
-        return out
+        return out, [], []
+
+    @staticmethod
+    def _grown(best: Node) -> tuple[list[Node], list[Node], list[Node]]:
+        left, above, top = [], [], best
+        while top.up is not None:
+            for node in top.up.kids:
+                most = 1.0 if node.tag == "h1" else MENU_DENSITY if node.tag in PARAGRAPHS else LINKS_DENSITY
+                if node is not top and node.density() > most:
+                    left.append(node)
+            top = top.up
+            above.append(top)
+        return [top], left, above
 
     def text(self) -> str:
-        kept = {id(n) for n in self.kept()}
+        nodes, left, above = self.kept()
+        kept, grown = {id(n) for n in nodes}, {id(n) for n in above}
         menus = {id(n) for n in self._elements() if n.tag in ("ul", "ol") and n.n_links >= 3 and n.density() > MENU_DENSITY}
+        menus.update(map(id, left))
         out = []
-        for node, text in self.blocks:
+        for node, text, linked in self.blocks:
+            if id(node) in grown and linked > LINKS_DENSITY * (len(text) - text.count(" ")):
+                continue
             up: Node | None = node
             while up is not None and id(up) not in kept and id(up) not in menus:
                 up = up.up

@@ -50,6 +50,19 @@ def test_sections_of_an_article_stay_together():
     assert mt.main_text(page(body)).startswith(PROSE.strip())
 
 
+def test_blocks_beside_the_best_container_stay():
+    parts = ("<h1>Title</h1>", f"<div class=body><p>{PROSE * 3}</p></div>", "<h2>Next</h2>", "<ul><li>One</li><li>Two</li></ul>",
+             "<blockquote>Said so.</blockquote>", "<pre>x = 1</pre>", "<figure><figcaption>A view</figcaption></figure>", "<p>Short.</p>",
+             f"<section><p>{PROSE * 20}</p></section>", f"<section><p>{PROSE}</p></section>", "Own text.")
+    links = "<div><a href='/a'>Another page</a> <a href='/b'>One more page</a></div>"
+    want = " ".join(re.sub("<[^>]*>", " ", " ".join(parts)).split())
+    for wrap in ("<main>{}</main>", "{}", "<div><div>{}</div></div>"):
+        got = mt.main_text(page(links + wrap.format("".join(parts) + links) + "<footer>Foot</footer><a href='/c'>Last link</a>"))
+        assert got == want, wrap
+    two = f"<section><p>{PROSE * 9}</p><p>{PROSE * 9}</p></section><section><p>{PROSE}</p></section>"
+    assert mt.main_text(page(f"<main>{two}</main>")) == " ".join(re.sub("<[^>]*>", " ", two).split())
+
+
 def test_link_lists_in_the_article_go():
     links = "".join(f"<li><a href='/{k}'>Another page {k}</a></li>" for k in range(5))
     assert mt.main_text(page(f"<article><p>{PROSE * 3}</p><ul>{links}</ul></article>")) == (PROSE * 3).strip()
