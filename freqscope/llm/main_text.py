@@ -11,7 +11,10 @@ join it, but for those that are mostly links.
 
 Never part of the text: scripts, styles, forms and other elements of the page's
 frame (by element, by role, by words in class or id), hidden elements, and lists
-inside the article that are nearly all links.
+inside the article that are nearly all links.  A class or id with other words besides
+the frame's is weak evidence: an element so named counts for no container's score, but inside
+the article it stays if it holds prose and few links.  Ids of headings and paragraphs are
+no evidence, as they are made from their text.
 
 Defined results: null, empty or markup-only html gives the empty text; unclosed
 and stray tags follow HTML's rules of implied ends; an unfinished comment, script or
@@ -36,6 +39,9 @@ SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
 MENU_DENSITY = 0.8
 #: outside an <article>: link density above which a container beside the best one is no article text
 LINKS_DENSITY = 0.5
+#: points by which an element inside the article stays though its class says frame
+NAMED_LEAST = 10.0
+HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 
 _words = lambda s: frozenset(s.split())
 PARAGRAPHS = _words("p pre li td th dt dd h1 h2 h3 h4 h5 h6 blockquote figcaption caption summary address")
@@ -72,10 +78,10 @@ _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "up", "out", "points", "chars", "links", "n_links", "kids")
+    __slots__ = ("tag", "up", "out", "named", "points", "chars", "links", "n_links", "kids")
 
-    def __init__(self, tag: str, up: Node | None, out: bool) -> None:
-        self.tag, self.up, self.out = tag, up, out
+    def __init__(self, tag: str, up: Node | None, out: bool, named: str = "") -> None:
+        self.tag, self.up, self.out, self.named = tag, up, out, named
         self.points, self.chars, self.links, self.n_links = 0.0, 0, 0, 0
         self.kids: list[Node] = []
         if up is not None:
@@ -88,29 +94,37 @@ class Node:
         return self.points * (1 - self.density())
 
 
-def _names_frame(name: str) -> bool:
-    """One class or id holds a frame word, and does not just say that there is one."""
+def _names_frame(name: str) -> int:
+    """One class or id: 2 if all its words are frame words, 1 if some are, 0 if none is
+    or if it just says that there is one."""
     parts = [w.lower() for w in _NAME_PARTS.findall(name)]
-    return bool(parts) and parts[0] not in SAYS_THERE_IS and not BOILERPLATE.isdisjoint(parts)
+    if not parts or parts[0] in SAYS_THERE_IS or BOILERPLATE.isdisjoint(parts):
+        return 0
+    return 2 if all(w in BOILERPLATE or w.isdigit() for w in parts) else 1
 
 
-def _in_frame(tag: str, attributes: str) -> bool:
-    """The element belongs to the page's frame, or is hidden."""
+def _in_frame(tag: str, attributes: str) -> tuple[bool, str]:
+    """(the element belongs to the page's frame or is hidden, else the attribute
+    whose words say so in part)."""
     if tag in FRAME:
-        return True
+        return True, ""
+    named = ""
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return False, ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html_lib.unescape(a or b or c)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, ""
         if name == "role" and value.strip().lower() in ROLES:
-            return True
+            return True, ""
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id") and tag not in KEPT_NAMES and any(map(_names_frame, value.split())):
-            return True
-    return tag == "article" and bool(re.search(r"""(?:class|id)\s*=\s*["']?[^"'>]*\bcomment""", attributes, re.I))
+            return True, ""
+        if name in ("class", "id") and tag not in KEPT_NAMES and not (name == "id" and (tag == "p" or tag in HEADINGS)):
+            says = max(map(_names_frame, value.split()), default=0)
+            if says == 2:
+                return True, ""
+            named = name if says and named != "class" else named
+    return tag == "article" and bool(re.search(r"""(?:class|id)\s*=\s*["']?[^"'>]*\bcomment""", attributes, re.I)), named
 
 
 class Page:
@@ -150,15 +164,15 @@ class Page:
         while up is not None:
             up.chars += solid
             up.links += self._linked
-            up = up.up
+            up = None if up.named else up.up
         if len(text) < MIN_PARAGRAPH:
             return
         points = 1.0 + len(_COMMAS.findall(text)) + min(len(text) / 100, 3.0)
-        up = node.up if node.tag in PARAGRAPHS and node.up is not None else node
+        up = node.up if node.tag in PARAGRAPHS and node.up is not None and not node.named else node
         share = 1
         while up is not None:
             up.points += points / share
-            up, share = up.up, share + 1
+            up, share = None if up.named else up.up, share + 1
 
     # tags
 
@@ -197,7 +211,8 @@ class Page:
         if attributes.rstrip().endswith("/") and tag in ("svg", "math"):
             return
         top = self.stack[-1]
-        self.stack.append(Node(tag, top, top.out or _in_frame(tag, attributes)))
+        out, named = _in_frame(tag, attributes) if not top.out else (True, "")
+        self.stack.append(Node(tag, top, out, named))
 
     def _end(self, tag: str) -> None:
         if tag == "a":
@@ -236,11 +251,30 @@ class Page:
         out, todo = [], [self.root]
         while todo:
             node = todo.pop()
-            if not node.out:
+            if not node.out and not node.named:
                 out.append(node)
                 todo += reversed(node.kids)
         return out
 
+    @staticmethod
+    def _is_prose(node: Node) -> bool:
+        """A named element inside the article that its text speaks for: a section
+        whose id comes from its heading, or one of many points."""
+        section = node.named == "id" and (node.tag == "section" or any(k.tag in HEADINGS for k in node.kids))
+        return node.density() <= LINKS_DENSITY and node.points >= (1.0 if section else NAMED_LEAST)
+
+    def _frame_by_name(self, best: Node) -> list[Node]:
+        """Named elements that stay out: those outside ``best``, and those inside
+        that are no prose."""
+        out, todo = [], [(self.root, self.root is best)]
+        while todo:
+            node, inside = todo.pop()
+            if node.named and not (inside and self._is_prose(node)):
+                out.append(node)
+            else:
+                todo += [(k, inside or k is best) for k in node.kids]
+        return out
+
     def kept(self) -> tuple[list[Node], list[Node], list[Node]]:
         """(elements kept, elements inside them left out, containers that the article
         grew into, whose own text counts unless it is mostly links)."""
@@ -248,23 +282,25 @@ class Page:
         best = max(nodes, key=Node.score)
         if best.score() <= 0:
             whole = [n for n in nodes if n.tag in ("article", "main") and n.chars]
-            return whole[:1] or [self.root], [], []
+            whole = whole[:1] or [self.root]
+            return whole, self._frame_by_name(whole[0]), []
         top: Node | None = best
         while top is not None:
             if top.tag == "article":
                 best = top
             top = top.up
         if best.up is None:
-            return [best], [], []
+            return [best], self._frame_by_name(best), []
         if best.tag != "article":
-            return self._grown(best)
+            top, left, above = self._grown(best)
+            return top, left + self._frame_by_name(best), above
         need = max(SIBLING_LEAST, SIBLING_SHARE * best.score())
         out = []
         for node in best.up.kids:
-            if node is best or not node.out and (
+            if node is best or not node.out and not node.named and (
                     node.score() >= need or node.tag == "p" and node.density() < 0.25 and node.chars > 80):
                 out.append(node)
-        return out, [], []
+        return out, self._frame_by_name(best), []
 
     @staticmethod
     def _grown(best: Node) -> tuple[list[Node], list[Node], list[Node]]:

@@ -63,6 +63,20 @@ def test_blocks_beside_the_best_container_stay():
     assert mt.main_text(page(f"<main>{two}</main>")) == " ".join(re.sub("<[^>]*>", " ", two).split())
 
 
+def test_names_inside_the_article_need_the_score_to_agree():
+    parts = (f"<section id='related-work'><h2>Related work</h2><p>{PROSE}</p></section>", f"<section id='social-impact'><p>{PROSE}</p></section>",
+             "<h2 id='sharing-data'>Sharing data</h2>", f"<p id='notice-3'>{PROSE}</p>", f"<div id='comment-on-results'><h3>Results</h3><p>{PROSE}</p></div>",
+             f"<div class='social-history'><p>{PROSE * 9}</p></div>")
+    frame = ("<div class='share-buttons'><p>Share this page with all of your friends</p></div>", f"<div class='sidebar'><p>{PROSE * 9}</p></div>",
+             f"<div class='related-posts'><p><a href='/a'>{PROSE * 5}</a></p></div>", f"<section id='comments'><p>{PROSE}</p></section>")
+    want = " ".join(re.sub("<[^>]*>", " ", f"{PROSE * 4} {' '.join(parts)}").split())
+    inside = f"<p>{PROSE * 4}</p>{''.join(parts)}{''.join(frame)}"
+    assert mt.main_text(page(f"<article>{inside}</article>")) == want
+    assert mt.main_text(page(f"<div class='content'>{inside}</div>")) == want
+    only = f"<article>{''.join(parts[:2])}</article>"
+    assert mt.main_text(page(only)) == " ".join(re.sub("<[^>]*>", " ", " ".join(parts[:2])).split())
+
+
 def test_link_lists_in_the_article_go():
     links = "".join(f"<li><a href='/{k}'>Another page {k}</a></li>" for k in range(5))
     assert mt.main_text(page(f"<article><p>{PROSE * 3}</p><ul>{links}</ul></article>")) == (PROSE * 3).strip()
