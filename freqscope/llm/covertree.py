@@ -1,7 +1,7 @@
 """Operator 6: exact top-k inner products by dual cover trees.
 
-Vectors become integers (floor(64 x)).  Equal vectors are one point that keeps its
-k + 1 smallest ids: no query can want more.  Queries and candidates are dealt into
+Vectors become integers (floor(64 x)).  Equal vectors are one point that keeps the
+ids of its first 2 k rows, at most k rows an id: no query can want more.  Queries and candidates are dealt into
 blocks, and each pair of blocks is one unit of work.  There both sides are indexed
 by a cover tree: a node's children are centres more than half its radius apart that cover
 its points, with the exact covering radius stored.  The trees are walked together;
@@ -11,11 +11,13 @@ for a query node (centre a, radius r) and a candidate node (centre b, radius s),
 
 bounds every inner product between them, and the pair is pruned if the bound is below
 the worst k-th score among the node's queries.  Pairs of leaves are multiplied.
-The k + 1 best of each block pair meet in one ranking per query, ties to smaller ids.
+The best points of each block pair, k and as many as a query's own id can hold, meet in
+one ranking per query, ties to smaller ids.
 
 Defined results: vectors that are null or hold a null or non-finite component take no
 part, nor do null ids; vectors of another length than the first block's meet only
-their like; repeated rows are candidates each; a query with fewer candidates gets all; an empty
+their like; repeated rows are candidates each; an id has one list, over all
+its query rows, in which a repeated query row repeats its candidates; a query with fewer candidates gets all; an empty
 table gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -226,16 +228,23 @@ def _search_unit(k: int, leaf: int):
 
 def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
           query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK, leaf: int = LEAF) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row of ``queries`` the ``k`` best rows of
-    ``vectors`` with another id.  Inner products must stay below 2 ** 53."""
-    room = k + 1  # one more, as a query's own id leaves its list at the end
+    """(query_id, rank, vec_id, score): for each id of ``queries`` the ``k`` best pairs of
+    its rows and rows of ``vectors`` with another id.  Inner products must stay below 2 ** 53."""
     all_points, asked = _usable(vectors, id_col, vector_col), _usable(queries, id_col, vector_col)
-    # at most ``room`` ids of equal vectors: Spark cuts each task's share before the shuffle
+    rows_of = lambda df: df.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"))
+    repeat = lambda items, item, times: F.flatten(F.transform(items, lambda s: F.array_repeat(item(s), times(s))))
+    counted, asked = stored(rows_of(all_points), "vector-rows"), stored(rows_of(asked), "query-rows")
+    # points that may hold nothing but a query's own id
+    own = counted.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").count().agg(F.max("count")).first()[0] or 0
+    room, rows_kept = k + own, k * (1 + own)
+    # at most 2 k ids of equal vectors: Spark cuts each task's share before the shuffle
     same = Window.partitionBy("v").orderBy("id")
-    points = stored(all_points.distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= room)
-                    .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    points = stored(counted.withColumn("n", F.row_number().over(same)).where(F.col("n") <= 2 * k)
+                    .groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", "times"))).alias("ids"))
+                    .select("v", F.slice(repeat("ids", lambda s: s["id"], lambda s: s["times"]), 1, 2 * k).alias("ids"))
                     .withColumn("id", F.element_at("ids", 1)), "points")
-    distinct = stored(asked.groupBy("v").agg(F.min("id").alias("id")), "query-points")
+    # numbered, as an id may ask with several vectors
+    distinct = stored(asked.select("v").distinct().withColumn("id", F.monotonically_increasing_id()), "query-points")
     n_q = max(1, -(-distinct.count() // query_block))
     n_c = max(1, -(-points.count() // candidate_block))
     number = lambda n: F.pmod(F.xxhash64("v"), F.lit(n)).cast("int")
@@ -249,13 +258,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
         p["ids"], lambda i: F.struct((-p["score"]).alias("less"), i.alias("id")))))
     lists = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= room)
              .groupBy("qid").agg(F.collect_list(F.struct("score", "ids")).alias("points"))
-             .select("qid", F.slice(F.array_sort(pairs), 1, room).alias("best")))
+             .select("qid", F.slice(F.array_sort(pairs), 1, rows_kept).alias("best")))
     by_vector = distinct.join(lists, distinct["id"] == lists["qid"]).select("v", "best")
     others = F.slice(F.filter("best", lambda s: s["id"] != F.col("query_id")), 1, k)
+    merged = Window.partitionBy("query_id").orderBy("hit.less", "hit.id")
     return (asked.withColumnRenamed("id", "query_id").join(by_vector, "v")
-            .select("query_id", F.posexplode(others).alias("at", "hit"))
-            .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.id").alias("vec_id"),
-                    (-F.col("hit.less")).alias("score")))
+            .select("query_id", F.explode(repeat(others, lambda s: s, lambda s: F.col("times"))).alias("hit"))
+            .withColumn("rank", F.row_number().over(merged)).where(F.col("rank") <= k)
+            .select("query_id", "rank", F.col("hit.id").alias("vec_id"), (-F.col("hit.less")).alias("score")))
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,3 +79,20 @@ def test_all_embeddings(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_SMALL}/embeddings.parquet')")
     got = sorted(tuple(r) for r in ct.op6_topk(spark, SF_SMALL).collect())
     assert got == sorted(con.execute(ct.OP6_SQL).fetchall())
+
+
+def test_repeated_rows_against_sql(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    some = [[float(np.float32(x)) for x in v] for v in np.round(rng.normal(size=(90, 2)), 1)]
+    rows = [(i, v) for i, v in enumerate(some)]
+    rows += [(3, some[3])] * 4 + [(5, some[5])] * 30 + [(45, [9.0, 9.0])] * 25 + [(46, [9.0, 9.0])] * 2  # candidates, beyond k
+    rows += [(20, some[20])] * 2 + [(40, some[41])] * 3 + [(40, some[40])] * 30  # queries, also with several vectors
+    rows += [(60, [9.0, 9.0 + k / 8]) for k in range(30)] + [(61, some[60])] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(ct.OP6_SQL).fetchall())
+    assert sorted(tuple(r) for r in ct.op6_topk(spark, str(tmp_path)).collect()) == want
+    asked = df.where("vec_id % 20 = 0")
+    assert sorted(tuple(r) for r in ct.top_k(df, asked, query_block=4, candidate_block=11, leaf=4).collect()) == want
