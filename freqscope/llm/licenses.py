@@ -1,7 +1,8 @@
 """Operator 3: licence scan by canonical digests, DataFrame functions only.
 
-A text is made canonical: lower case; lines that begin with a copyright sign or say
-"all rights reserved" go; equivalent spellings become one; every run of characters
+A text is made canonical: lower case; copyright notices go, lines that begin with
+``copyright`` or its sign and name an owner or a year, or with "all rights reserved", but
+not lines that go on with words of a licence (``copyright notice``, ``copyright holders``); equivalent spellings become one; every run of characters
 other than letters and digits becomes one space.  Its SHA-256 is joined to the
 digests of known licence texts.  Each line's canonical form is looked up in the same
 way among known one-line notices.  The known digests are a fixed list in code, so
@@ -21,6 +22,11 @@ from .common import table, text_or_empty
 from .license_texts import NOTICES, SPELLINGS, TEXTS
 
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: ``COPYRIGHT`` is the cut of ``OP3_SQL``; RE2 has no lookahead
+NOTICE_LINE = (r"(?m)^[^\p{L}\p{N}\n]*(copyright(?![\p{L}\p{N}])(?![^\S\n]*$)"
+               r"(?!\s+(notices?|holders?|owners?|laws?|licen[sc]es?|statements?|interests?|protection|permission|disclaimer|"
+               r"treaty|act|and|or|in|to|for|on|as)(?![\p{L}\p{N}]))"
+               r"|\(c\)(?!\s+you must)|©|all rights reserved)[^\n]*$")
 _CLUES = "copyright|\\(c\\)|©|all rights reserved|licen|whilst|per cent|acknowledgement|infringement|commercial|organisation|http:"
 
 
@@ -28,7 +34,7 @@ def _lines_kept(text: Column) -> Column:
     """Lower case, one spelling, no copyright lines; line breaks stay.  Texts
     without any of the words concerned skip the replacements."""
     low = F.lower(text)
-    out = F.regexp_replace(low, COPYRIGHT, "")
+    out = F.regexp_replace(low, NOTICE_LINE, "")
     for pattern, new in SPELLINGS:
         out = F.regexp_replace(out, pattern, new)
     return F.when(low.rlike(_CLUES), out).otherwise(low)

@@ -24,6 +24,16 @@ def test_equivalent_texts_are_found(spark):
     assert got == {a: c for a, _, c in rows}
 
 
+def test_rewrapped_texts_are_found(spark):
+    import textwrap
+    wrap = lambda t, n: "\n".join("\n".join(textwrap.wrap(x, n, break_on_hyphens=False)) for x in t.split("\n"))
+    rows = [(k * 100 + n, wrap(t, n), name) for k, (name, t) in enumerate(TEXTS) for n in range(45, 100)]
+    rows = [(a, f"Copyright The Authors\n(c) Jane Doe\n{b}" if a % 2 else b, c) for a, b, c in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df).collect()}
+    assert got == {a: c for a, _, c in rows}
+
+
 def test_changed_texts_are_not(spark):
     rows = [(k, t + " Except on Sundays.") for k, (_, t) in enumerate(TEXTS)] + [(99, "Permission is granted.")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
