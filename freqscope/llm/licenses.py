@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty
-from .license_texts import NOTICES, SPELLINGS, TEXTS
+from .license_texts import DIGESTS, NOTICES, SPELLINGS, TEXTS
 
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 #: ``COPYRIGHT`` is the cut of ``OP3_SQL``; RE2 has no lookahead
@@ -59,7 +59,8 @@ def known_digests(spark: SparkSession, rows: list[tuple[str, str]] = TEXTS) -> D
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         texts: list[tuple[str, str]] = TEXTS, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
+         texts: list[tuple[str, str]] = TEXTS, notices: list[tuple[str, str]] = NOTICES,
+         digests: list[tuple[str, str]] = DIGESTS) -> DataFrame:
     """(id, digest, license, notices, n_notices): ``license`` if the whole text is a
     known licence, ``notices`` the licences its lines name, sorted."""
     spark = docs.sparkSession
@@ -72,7 +73,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = F.transform(lines, lambda s: F.sha2(_plain(s), 256))
     hits = F.filter(found, lambda d: d.isin([d0 for d0, _ in held]))
     marked = kept.select(F.col(id_col), F.sha2(_plain(F.col("lines")), 256).alias("digest"), hits.alias("hits"))
-    joined = marked.join(F.broadcast(known_digests(spark, texts)), "digest", "left")
+    known = known_digests(spark, texts)
+    if digests:
+        known = known.union(_values(spark, digests).select("license", F.col("known").alias("digest"))).distinct()
+    joined = marked.join(F.broadcast(known), "digest", "left")
     return joined.select(id_col, "digest", "license",
                          F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda d: names[d]))), ",").alias("notices"),
                          F.size("hits").cast("long").alias("n_notices"))

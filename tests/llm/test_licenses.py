@@ -1,9 +1,12 @@
 """Licence scan: canonical forms, whole-text hits, SQL twin, edge rows."""
 
+import os
+
 import duckdb
+import pytest
 
 from freqscope.llm import licenses
-from freqscope.llm.license_texts import NOTICES, TEXTS
+from freqscope.llm.license_texts import DIGESTS, NOTICES, TEXTS
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -34,6 +37,20 @@ def test_rewrapped_texts_are_found(spark):
     assert got == {a: c for a, _, c in rows}
 
 
+def test_long_licences_are_found(spark):
+    folder = "/usr/share/common-licenses"
+    name = lambda x: x if os.path.exists(f"{folder}/{x}") else x.removesuffix(".0")
+    held = [(n, open(f"{folder}/{name(n)}").read()) for n, _ in DIGESTS if os.path.exists(f"{folder}/{name(n)}")]
+    if not held:
+        pytest.skip("no licence texts here")
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0"} <= {n for n, _ in held}
+    forms = lambda t: (t, t.upper(), "Copyright 2020 Some One\n\n" + t, t.replace("\n", "\n * "))
+    rows = [(k * 10 + j, f, n) for k, (n, t) in enumerate(held) for j, f in enumerate(forms(t))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(df).collect()} == {a: c for a, _, c in rows}
+    assert len({d for _, d in DIGESTS} | {r["digest"] for r in licenses.known_digests(spark).collect()}) == len(DIGESTS) + len(TEXTS)
+
+
 def test_changed_texts_are_not(spark):
     rows = [(k, t + " Except on Sundays.") for k, (_, t) in enumerate(TEXTS)] + [(99, "Permission is granted.")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
