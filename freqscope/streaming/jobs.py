@@ -41,7 +41,7 @@ RETENTION = f"{RETENTION_SECONDS} seconds"
 MAX_FILES = 1000
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int = MAX_FILES) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int = MAX_FILES, watermark: bool = True) -> DataFrame:
     """The events table, a file or a directory of files, as a stream."""
     folder = sf_dir.rstrip("/")
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
@@ -50,12 +50,12 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int = MAX_FILES) -
            .parquet(f"{folder}/[e]vents.parquet"))
     epoch = F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
     us = F.timestamp_diff("MICROSECOND", epoch, F.col("ts"))
-    return (raw.where(F.col("ts").isNotNull() & F.col("event_type").isNotNull()
+    rows = (raw.where(F.col("ts").isNotNull() & F.col("event_type").isNotNull()
                       & F.col("user_id").isNotNull())
             .select(F.timestamp_micros(us).alias("t"),
                     F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string"))
-                    .alias("item"))
-            .withWatermark("t", RETENTION))
+                    .alias("item")))
+    return rows.withWatermark("t", RETENTION) if watermark else rows
 
 
 def progress_folder(spark: SparkSession, name: str, sf_dir: str) -> str:
