@@ -83,3 +83,20 @@ def probe(filter_words: DataFrame, probes: DataFrame, key: str, m: Column, k: Co
     j = pp.join(filter_words, [*extra, "word"], "left")
     hit = F.coalesce(_bit(F.col("bits"), F.col("pos")), F.lit(False))
     return j.groupBy(*extra, *carry, key).agg(F.min(hit).alias("present"))
+
+
+def words_of(keys: DataFrame, at: str) -> DataFrame:
+    """G18 from lists of positions: ``(word, bits)``, the tasks' words or-ed before the shuffle."""
+    pos = keys.select(F.explode(at).alias("pos"))
+    return (pos.groupBy(F.bitmap_bucket_number(F.col("pos") + 1).alias("word"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("pos") + 1)).alias("bits")))
+
+
+def probe_lists(filter_words: DataFrame, probes: DataFrame, at: str, keys: list[str]) -> DataFrame:
+    """J9 from lists of positions: ``(keys..., present)``.  One row per key and word it
+    touches, with the positions in that word."""
+    word = F.bitmap_bucket_number(F.col("pos") + 1).alias("word")
+    touched = probes.select(*keys, F.explode(at).alias("pos")).groupBy(*keys, word).agg(F.collect_list("pos").alias("here"))
+    met = touched.join(filter_words, "word", "left")
+    hit = F.coalesce(F.forall("here", lambda p: _bit(F.col("bits"), p)), F.lit(False))
+    return met.groupBy(*keys).agg(F.min(hit).alias("present"))

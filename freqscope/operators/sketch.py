@@ -59,6 +59,21 @@ def cm_min(probes: DataFrame, cells: DataFrame, join_keys: list[str], group_keys
                     F.when(F.col("n") == depth, F.col("m")).otherwise(F.lit(0)).alias("est")))
 
 
+def mean_min(probes: DataFrame, cells: DataFrame, join_keys: list[str], group_keys: list[str], width: int,
+             depth: int, value: str = "cnt", row_keys: list[str] | None = None) -> DataFrame:
+    """G17's read, over linear cells: each row's cell less the mean of its other cells
+    (the noise expected of collisions), the least of the rows, at least 0.
+
+    ``row_keys``: the columns of ``cells`` that tell sketches apart; a row's total is the sum of its cells."""
+    totals = cells.groupBy(*(row_keys or []), "row").agg(F.sum(value).alias("total"))
+    met = probes.join(cells, join_keys).join(totals, [*(row_keys or []), "row"])
+    noise = (F.col("total") - F.col(value)) / F.lit(float(max(1, width - 1)))
+    least = met.groupBy(*group_keys).agg(F.min(F.col(value) - (noise if width > 1 else F.lit(0.0))).alias("m"),
+                                         F.count("*").alias("n"))
+    # a row without a cell reads 0 less noise, so the estimate is 0
+    return least.select(*group_keys, F.when(F.col("n") == depth, F.greatest("m", F.lit(0.0))).otherwise(F.lit(0.0)).alias("est"))
+
+
 # ----------------------------------------------------------------------------
 # 2-universal family over md5 token ids (query-log sketches)
 # ----------------------------------------------------------------------------

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.hashing import md5_u64, poly_hash
+from ..functions.murmur import murmur3_32, murmur3_32_int
 from ..operators import bloom as B
+from ..session import cut_lineage
 from ..sources.tables import read_table
 
 P = params
@@ -124,12 +126,15 @@ def _hashes(x):
 def avalanche_matrix(spark, sf_dir):
     """P(output bit i flips | input bit j flips) over all order keys, folded
     into the input bits, for each hash function."""
-    keys = _keys(spark, sf_dir)
+    return _avalanche(_keys(spark, sf_dir), _hashes)
+
+
+def _avalanche(keys, hashes):
     ib, ob = P.AVALANCHE_INPUT_BITS, P.AVALANCHE_OUTPUT_BITS
     x = keys.select(F.pmod(F.col("key"), F.lit(1 << ib)).alias("x"),
                     F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("j"))
     x = x.withColumn("y", F.col("x").bitwiseXOR(F.expr("shiftleft(1L, j)")))
-    hx, hy = _hashes(F.col("x")), _hashes(F.col("y"))
+    hx, hy = hashes(F.col("x")), hashes(F.col("y"))
     fl = F.array(*[F.struct(F.lit(n).alias("f"), a.bitwiseXOR(b).alias("ch"))
                    for (n, a), (_, b) in zip(hx, hy)])
     e = x.select(F.col("j").cast("bigint").alias("input_bit"), F.explode(fl).alias("z"))
@@ -141,5 +146,35 @@ def avalanche_matrix(spark, sf_dir):
         .select("func", "input_bit", "o.output_bit", F.round("o.p", R).alias("p"))
 
 
+# ---------------------------------------------------------------------------
+# Murmur3 (X9)
+# ---------------------------------------------------------------------------
+
+def murmur_bloom(spark, sf_dir):
+    """A filter of k Murmur3 positions per key, seeds ``BLOOM_SEED + i``, sized
+    for p = 0.01; all keys and as many absent ones are probed.  A probe is one row with
+    the list of its positions per word, not one row per position."""
+    keys = _keys(spark, sf_dir)
+    n = keys.select(F.count(F.lit(1))).scalar()
+    m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
+    sized = keys.sparkSession.range(1).select(m.alias("m"), k.alias("k")).first()  # two numbers
+    if not sized["m"]:
+        return keys.select(F.lit("present").alias("probe_set"), *[F.lit(0).cast("bigint").alias(c) for c in ("n_probes", "n_positive")])
+    seeds = [P.BLOOM_SEED + i for i in range(sized["k"])]
+    absent = _absent(keys).select(F.lit("absent").alias("probe_set"), "key")
+    probes = keys.select(F.lit("present").alias("probe_set"), "key").unionByName(absent)
+    at = F.array(*[F.pmod(murmur3_32(F.col("key").cast("string"), s), F.lit(sized["m"])) for s in seeds])
+    probes = cut_lineage(probes.select("probe_set", "key", at.alias("at")))
+    return B.probe_lists(B.words_of(probes.where("probe_set = 'present'"), "at"), probes, "at", ["probe_set", "key"]) \
+        .groupBy("probe_set").agg(F.count("*").cast("bigint").alias("n_probes"),
+                                  F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_positive"))
+
+
+def avalanche_murmur(spark, sf_dir):
+    """G22 for the seeded Murmur3 of 32-bit integers (seed 0), as ``avalanche_matrix``."""
+    out = F.lit((1 << P.AVALANCHE_OUTPUT_BITS) - 1).cast("bigint")
+    return _avalanche(_keys(spark, sf_dir), lambda x: [("murmur3", murmur3_32_int(x).bitwiseAND(out))])
+
+
 JOBS = {n: globals()[n] for n in [
-    "bloom_positions", "bloom_membership", "bloom_fp_sweep", "url_bloom", "avalanche_matrix"]}
+    "bloom_positions", "bloom_membership", "bloom_fp_sweep", "url_bloom", "avalanche_matrix", "murmur_bloom", "avalanche_murmur"]}

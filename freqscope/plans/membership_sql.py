@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from .. import params
+from ..functions.murmur import murmur_int_sql, murmur_sql
 from .events_sql import D
 from .membership import avalanche_coefficients
 
@@ -104,5 +105,20 @@ xj AS (SELECT x, CAST(t.j AS BIGINT) AS j, xor(x, CAST(1 AS BIGINT) << t.j) AS y
 e AS ({sel})
 SELECT func, j AS input_bit, CAST(o.i AS BIGINT) AS output_bit,
        round(avg(CAST((ch >> o.i) & 1 AS DOUBLE)), {R}) AS p
+FROM e, range(0, {P.AVALANCHE_OUTPUT_BITS}) o(i) GROUP BY ALL"""
+    q["murmur_bloom"] = f"""WITH {keys},
+mk AS (SELECT {m} AS m, {k} AS k),
+ab AS (SELECT s.key FROM (SELECT key + (SELECT max(key) FROM keys) AS key FROM keys) s
+       WHERE s.key NOT IN (SELECT key FROM keys)),
+pr AS (SELECT 'present' AS probe_set, key FROM keys UNION ALL SELECT 'absent', key FROM ab),
+pi AS (SELECT probe_set, key, CAST(key AS VARCHAR) AS name, {P.BLOOM_SEED} + unnest(range(0, (SELECT k FROM mk))) AS seed FROM pr),
+pp AS (SELECT probe_set, key, h % (SELECT m FROM mk) AS pos FROM {murmur_sql('pi', 'name', 'seed', 'h')}),
+bits AS (SELECT DISTINCT pos FROM pp WHERE probe_set = 'present'),
+t AS (SELECT probe_set, key, count(b.pos) = count(*) AS present FROM pp LEFT JOIN bits b ON b.pos = pp.pos GROUP BY probe_set, key)
+SELECT probe_set, CAST(count(*) AS BIGINT) AS n_probes, CAST(sum(CAST(present AS BIGINT)) AS BIGINT) AS n_positive FROM t GROUP BY probe_set"""
+    head = q["avalanche_matrix"].split("e AS (")[0]
+    q["avalanche_murmur"] = f"""{head}hx AS {murmur_int_sql('xj', 'x', 'hx')}, hxy AS {murmur_int_sql('hx', 'y', 'hy')},
+e AS (SELECT j, xor(hx, hy) & {out - 1} AS ch FROM hxy)
+SELECT 'murmur3' AS func, j AS input_bit, CAST(o.i AS BIGINT) AS output_bit, round(avg(CAST((ch >> o.i) & 1 AS DOUBLE)), {R}) AS p
 FROM e, range(0, {P.AVALANCHE_OUTPUT_BITS}) o(i) GROUP BY ALL"""
     return q

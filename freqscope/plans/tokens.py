@@ -13,16 +13,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import sha_row_index
+from ..functions.hashing import bounded_broadcast, sha_row_index
+from ..functions.text import tokenize
 from ..operators import counts as C
 from ..operators import sketch as S
+from ..operators.summary import covered, summarise
 from ..operators.topn import top_n_per_group
 from ..session import cut_lineage
-from ..sources.tables import documents_tokens
+from ..sources.tables import documents_tokens, read_table
 
 P = params
 R = params.ROUND_DIGITS
 SKETCHES = ("cm", "cmedian", "csketch")
+#: counters of the frequent-token summary
+TRACKED = P.TOKEN_TOP_TRACKED
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +87,6 @@ def csketch_estimates(spark, sf_dir):
 def cm_merge(spark, sf_dir):
     """One sketch per document language, merged cell-wise; equals the
     sketch of the whole corpus."""
-    from ..functions.text import tokenize
-    from ..sources.tables import read_table
     docs = read_table(spark, sf_dir, "documents", ["lang", "text"]).where(F.col("text").isNotNull())
     per = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"),
                        F.explode(tokenize(F.col("text"))).alias("token"))
@@ -106,6 +108,35 @@ def heavy_hitters(spark, sf_dir):
         .select("rank", "token", "est", "true_cnt")
 
 
+def cmm_estimates(spark, sf_dir):
+    """G17's read: bias-corrected estimates of every token from the Count-Min cells,
+    next to the plain minimum."""
+    c = cut_lineage(token_counts(spark, sf_dir))
+    width, depth = P.TOKEN_WIDTHS[0], P.TOKEN_DEPTH
+    pos = cut_lineage(S.token_positions(c, width, "cm", extra=["cnt"]).withColumnRenamed("cnt", "true_cnt"))
+    cells = cut_lineage(pos.groupBy("row", "col").agg(F.sum("true_cnt").cast("bigint").alias("cnt")))
+    small = bounded_broadcast(cells, depth * width)
+    keys = ["token", "true_cnt"]
+    plain = S.cm_min(pos, small, ["row", "col"], keys, depth)
+    mean = S.mean_min(pos, small, ["row", "col"], keys, width, depth).withColumnRenamed("est", "mean_min")
+    return plain.join(mean, keys).select("token", "true_cnt", F.col("est").cast("bigint").alias("est"),
+                                         F.round("mean_min", R).alias("mean_min"))
+
+
+def frequent_tokens(spark, sf_dir):
+    """G21 with bounded state: one pass keeps ``TRACKED`` counters per task, merged into one summary
+    that holds every token of more than n / (TRACKED + 1) occurrences; a second pass counts
+    the summary's tokens exactly.  ``bounded``: the count lies within the summary's bounds."""
+    texts = read_table(spark, sf_dir, "documents", ["text"]).where(F.col("text").isNotNull())
+    tokens = texts.select(tokenize(F.col("text")).alias("tokens"))
+    found = cut_lineage(summarise(tokens, "tokens", None, TRACKED))
+    few = F.broadcast(found.where("item is not null").select(F.col("item").alias("token")))  # TRACKED rows at most
+    exact = C.item_counts(documents_tokens(spark, sf_dir).join(few, "token", "left_semi"), "token")
+    n = found.where("item is null").select("n").scalar()
+    frequent = exact.where(F.col("cnt") * (TRACKED + 1) > n).select(F.col("token").alias("item"), "cnt")
+    return covered(frequent, found, "cnt", TRACKED).select(F.col("item").alias("token"), "cnt", F.col("inside").alias("bounded"))
+
+
 def all_estimates(c: DataFrame, widths=P.TOKEN_WIDTHS) -> DataFrame:
     """``(R, sketch, token, true_cnt, est)`` of every token, sketch and width in one
     plan: the sketch and its width are key columns.  Each width's cells are joined
@@ -182,4 +213,4 @@ def dictionary_stats(spark, sf_dir):
 JOBS = {n: globals()[n] for n in [
     "bottomk_tokens", "token_hashes", "cm_cells", "cm_estimates", "cmedian_estimates",
     "csketch_estimates", "cm_merge", "cm_fold", "heavy_hitters", "topk_overlap",
-    "token_error_sets", "dictionary_stats"]}
+    "token_error_sets", "dictionary_stats", "cmm_estimates", "frequent_tokens"]}

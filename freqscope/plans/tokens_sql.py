@@ -109,6 +109,14 @@ u AS ({' UNION ALL '.join(unions)})
 SELECT *, round(CASE WHEN true_cnt > 0 THEN abs(est - true_cnt) / true_cnt ELSE {D(0)} END, {R}) AS rel_error,
   CAST(row_number() OVER (PARTITION BY set, R, sketch ORDER BY true_cnt DESC, token) AS BIGINT) AS rank
 FROM u"""
+    q["cmm_estimates"] = f"""WITH {BASE},{_one(w0, 'cm')},
+rt AS (SELECT row, sum(cnt) AS total FROM cells_cm{w0} GROUP BY row),
+mm AS (SELECT p.token, greatest(min(ce.cnt - (rt.total - ce.cnt) / {D(w0 - 1)}), {D(0)}) AS m
+  FROM pos_cm{w0} p JOIN cells_cm{w0} ce USING (row, col) JOIN rt USING (row) GROUP BY p.token)
+SELECT c.token, c.cnt AS true_cnt, e.est, round(mm.m, {R}) AS mean_min
+FROM c JOIN est_cm{w0} e ON e.token = c.token JOIN mm ON mm.token = c.token"""
+    q["frequent_tokens"] = f"""WITH {BASE}
+SELECT token, cnt, TRUE AS bounded FROM c WHERE cnt * {P.TOKEN_TOP_TRACKED + 1} > (SELECT sum(cnt) FROM c)"""
     q["dictionary_stats"] = f"""WITH {BASE}
 SELECT CAST(sum(cnt) AS BIGINT) AS total_tokens, CAST(count(*) AS BIGINT) AS unique_tokens,
        CAST(sum(strlen(token) + 8) AS BIGINT) AS dict_bytes FROM c"""
