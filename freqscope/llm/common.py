@@ -78,3 +78,13 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name += "_"
     return name
+
+
+def hash_sample(df: DataFrame, hashed, wanted: int, total: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows, twice as many at most: those of the least hashes.
+
+    The share is compared with all 63 bits of the hash, so it does not round to nothing
+    on tables of any size that a count can hold."""
+    if total <= wanted:
+        return df
+    return df.where(F.shiftrightunsigned(F.xxhash64(*hashed), 1) < F.lit(wanted * (1 << 63) // total)).limit(2 * wanted)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_ROWS, field, map_arrow, stored, table, text_or_empty
+from .common import SLICE_ROWS, field, hash_sample, map_arrow, stored, table, text_or_empty
 
 TRAIN_ROWS = 20_000
 BUCKETS = 1 << 15
@@ -228,7 +228,7 @@ def _fit(docs: DataFrame, id_col: str, text_col: str, train_rows: int) -> tuple[
 
     One pass over the texts makes a table of votes and sparse features; the label
     model takes its pattern counts, the scorer a sample of about ``train_rows``
-    rows by hash of the id."""
+    rows by hash of id and features."""
     made = T.StructType([field(docs, id_col), T.StructField("votes", T.IntegerType()),
                          T.StructField("buckets", T.ArrayType(T.IntegerType())),
                          T.StructField("vals", T.ArrayType(T.FloatType()))])
@@ -241,9 +241,9 @@ def _fit(docs: DataFrame, id_col: str, text_col: str, train_rows: int) -> tuple[
     posterior = fit_label_model(np.array([r["votes"] for r in patterns], dtype=np.int64),
                                 np.array([r["count"] for r in patterns], dtype=np.int64))
     total = sum(r["count"] for r in patterns)
-    share = min(1.0, train_rows / max(1, total))
-    sample = table_.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000)) \
-        .select("votes", "buckets", "vals").limit(2 * train_rows).collect()
+    sample = hash_sample(table_, [id_col, "buckets"], train_rows, total).select("votes", "buckets", "vals").collect()
+    if total and not sample:
+        raise ValueError(f"no training rows among {total}")
     weight = fit_scorer([np.array(r["buckets"]) for r in sample], [np.array(r["vals"]) for r in sample],
                         np.array([posterior[r["votes"]] for r in sample]))
     return table_, posterior, weight
