@@ -7,11 +7,16 @@ then minimise, by projected gradient,
     |sum_d n_d r_d p_d - T|^2 / (2 S^2)  +  ridge / (2 S) * sum_d n_d (r_d - 1)^2
 
 where n_d are a document's tokens, p_d its posterior, S all tokens and T the target
-tokens of the domains: the expected domain totals match the targets, and documents
-keep a rate near 1 where they can.  Targets out of reach, such as a share below the
-doubt that clean documents carry, are approached in least squares.  Each step is one aggregate of as many sums as there are
-domains.  A document is taken floor(r) times, and once more if a hash of its id and text falls
-below the fraction.
+tokens of the domains.  The ridge only chooses among rates of equal totals those nearest to 1:
+it is so small that expected domain totals meet any targets that rates can reach (those
+beyond are approached in least squares).
+
+With the residual x = (totals - T) / (ridge S), a document's gradient is zero, or points below
+zero, at r_d = max(0, 1 - p_d . x): documents of one posterior share a rate.  So tokens are summed by
+posterior once (the bins bound their number), and each step is one aggregate of that table: it
+gives the gradient in x and its curvature, a matrix of domains by domains, whose step, halved
+until the aim falls, is projected onto the rates.  A document is taken floor(r) times, and
+once more if a hash of its id and text falls below the fraction.
 
 Bounds: the classifier learns from at most about ``LABELLED_ROWS`` labelled rows, chosen
 by hash of the id, and keeps ``WORDS`` words a domain.  Counts, posteriors and rates cover all rows.
@@ -26,10 +31,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, stored, table, text_or_empty
+from .common import hash_sample, stored, table, text_or_empty
 
 DOMAINS = ("good", "toxic", "poor")
 #: the domain of each class of ``label_class``: good, good but toxic, poor, poor and toxic
@@ -39,10 +45,10 @@ TARGETS = (0.95, 0.04, 0.01)
 LABELLED_ROWS = 20_000
 WORDS = 64
 HIT_BINS = (1, 2, 4)
-STEPS = 40
-STORE_EVERY = 8
-RIDGE = 0.005
-TOLERANCE = 2e-5
+STEPS = 60
+RIDGE = 1e-6
+TOLERANCE = 1e-9
+WHITE = " \t\n\x0b\x0c\r"
 
 SYMBOLS = "#$%&*|~^<>{}=_\\"
 #: statistic -> bin bounds
@@ -58,22 +64,18 @@ def label_class() -> Column:
 
 
 def _without(text: Column, chars: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
-
-
-def row_hashes(id_col: str, text_col: str) -> list[Column]:
-    """draw, draw2: together they tell rows of different id or text apart."""
-    return [F.xxhash64(F.lit(seed), F.col(id_col), text_or_empty(text_col)).alias(name) for seed, name in ((55, "draw"), (56, "draw2"))]
+    held = "".join(f"\\{c}" if c in "\\^-[]&" else c for c in chars)
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, f"[{held}]+", ""))
 
 
 def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_tokens, words, bins, draw, draw2): distinct lower-case words without edge
-    marks, one code for each binned statistic, two hashes of id and text.  One narrow
-    pass over the texts."""
+    """(id, n_tokens, words, bins, draw): distinct lower-case words without edge marks, one
+    code for each binned statistic, a hash of id and text.  One narrow pass over the texts."""
     t = text_or_empty(text_col)
-    base = docs.select(F.col(id_col), *row_hashes(id_col, text_col), t.alias("text"), F.split(F.trim(F.regexp_replace(t, r"\s+", " ")), " ").alias("all"))
+    draw = F.xxhash64(F.lit(55), F.col(id_col), t).alias("draw")
+    base = docs.select(F.col(id_col), draw, t.alias("text"), F.split(F.btrim(t, F.lit(WHITE)), r"\s+").alias("all"))
     n = F.when(F.element_at("all", 1) == "", F.lit(0)).otherwise(F.size("all"))
-    base = base.select(id_col, "draw", "draw2", "text", n.cast("long").alias("n_tokens"),
+    base = base.select(id_col, "draw", "text", n.cast("long").alias("n_tokens"),
                        F.size("all").alias("pieces"), F.array_distinct("all").alias("distinct"))
     chars = F.greatest(F.char_length("text"), F.lit(1))
     stats = {"symbols": _without(F.col("text"), SYMBOLS) / chars,
@@ -86,7 +88,7 @@ def document_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         place = sum(((stats[name] >= b).cast("int") for b in bounds), F.lit(0))
         codes.append(F.concat(F.lit(f"\u0001{name}"), place.cast("string")))
     words = F.transform("distinct", lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()" + SYMBOLS))))
-    return base.select(id_col, "n_tokens", words.alias("words"), F.array(*codes).alias("bins"), "draw", "draw2")
+    return base.select(id_col, "n_tokens", words.alias("words"), F.array(*codes).alias("bins"), "draw")
 
 
 def _hits(words: str, lexicons: dict[int, list[str]]) -> list[Column]:
@@ -111,9 +113,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     classes, domains = len(class_domains), max(class_domains) + 1
     known = labels.select(F.col(id_col).alias("label_id"), (label if label is not None else label_class()).alias("class")) \
         .where("label_id is not null and class is not null").dropDuplicates(["label_id"])
-    share = min(1.0, labelled_rows / max(1, known.count()))
-    sample = known.where(F.pmod(F.xxhash64("label_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)) \
-        .limit(2 * labelled_rows)
+    total = known.count()
+    sample = stored(hash_sample(known, ["label_id", F.lit(5)], labelled_rows, total), "labelled-sample")
+    if total and sample.isEmpty():
+        raise ValueError(f"no training rows among {total}")
     texts = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("the_text"))
     rows = document_features(texts.join(F.broadcast(sample), F.col("text_id") == F.col("label_id"))
                              .select(F.col("class").alias("the_class"), "the_text"), "the_class", "the_text")
@@ -157,54 +160,68 @@ def posteriors(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: s
     """(id, n_tokens, p, draw, draw2): one posterior over the domains per row, without a
     join.  A domain's share is the sum over its classes."""
     rows = document_features(docs, id_col, text_col)
-    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.concat("bins", F.array(*_hits("words", model["lexicons"])).cast("array<string>")).alias("bins"))
+    rows = rows.select(id_col, "draw", "n_tokens", F.concat("bins", F.array(*_hits("words", model["lexicons"])).cast("array<string>")).alias("bins"))
     score = [F.lit(float(x)) for x in model["prior"]]
     if model["bins"]:
         score = [x + _summed("bins", {b: v[c] for b, v in model["bins"].items()}, model["unseen"][c]) for c, x in enumerate(score)]
-    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.array(*score).alias("s"))
-    rows = rows.select(id_col, "draw", "draw2", "n_tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
+    rows = rows.select(id_col, "draw", "n_tokens", F.array(*score).alias("s"))
+    rows = rows.select(id_col, "draw", "n_tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
     whole = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
     share = [sum((F.element_at("e", k + 1) for k, d in enumerate(class_domains) if d == domain), F.lit(0.0)) / whole
              for domain in range(max(class_domains) + 1)]
-    return rows.select(id_col, "n_tokens", F.array(*share).alias("p"), "draw", "draw2")
+    return rows.select(id_col, "n_tokens", F.array(*share).alias("p"), "draw")
+
+
+def _rate(pull: list[float]) -> Column:
+    """A posterior's rate at a residual: the projection of its gradient step onto r >= 0."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col("p")[k] * float(x) for k, x in enumerate(pull)), F.lit(0.0)))
+
+
+def fit_residual(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS,
+                 ridge: float = RIDGE, tolerance: float = TOLERANCE) -> list[float]:
+    """The residual x (see above) at which the rates are optimal; zeros after no step."""
+    k = range(len(targets))
+    aim = [x / sum(targets) for x in targets]
+    pull = [0.0 for _ in k]
+    if not steps:
+        return pull
+    tokens = stored(weighted.groupBy("p").agg(F.sum("n_tokens").alias("n")), "posterior-tokens")
+    size = tokens.agg(F.sum("n").alias("s")).first()["s"]
+    if not size:
+        return pull
+    share = F.col("n") / float(size)
+
+    def worth(x: list[float], squares: float) -> float:
+        return ridge / 2 * sum(a * a for a in x) + sum(a * t for a, t in zip(x, aim)) + squares / 2
+
+    for _ in range(steps):
+        rate = _rate(pull)
+        free = F.when(rate > 0, share).otherwise(F.lit(0.0))
+        sums = tokens.agg(F.sum(share * rate * rate).alias("q"), *[F.sum(share * rate * F.col("p")[a]).alias(f"t{a}") for a in k],
+                          *[F.sum(free * F.col("p")[a] * F.col("p")[b]).alias(f"h{a}_{b}") for a in k for b in k if a <= b]).first()
+        gradient = [ridge * pull[a] + aim[a] - sums[f"t{a}"] for a in k]
+        if max(map(abs, gradient)) < tolerance:
+            break
+        curve = [[sums[f"h{min(a, b)}_{max(a, b)}"] + (ridge if a == b else 0.0) for b in k] for a in k]
+        step = np.linalg.solve(curve, gradient).tolist()
+        tries = [[x - d * 0.5 ** h for x, d in zip(pull, step)] for h in range(20)]
+        squares = tokens.agg(*[F.sum(share * _rate(x) * _rate(x)).alias(f"q{h}") for h, x in enumerate(tries)]).first()
+        best = min(range(len(tries)), key=lambda h: worth(tries[h], squares[f"q{h}"]))
+        if worth(tries[best], squares[f"q{best}"]) >= worth(pull, sums["q"]):
+            break  # rounding: no step lowers the aim
+        pull = tries[best]
+    return pull
 
 
 def fit_rates(weighted: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS,
               ridge: float = RIDGE, tolerance: float = TOLERANCE) -> DataFrame:
-    """``weighted`` (with n_tokens and p) plus ``rate``.
-
-    Projected gradient with momentum: a step is one aggregate of the domains' expected
-    tokens at the look-ahead rates, then a projection that moves each document's rate
-    along its gradient, cuts it at zero and looks ahead again.  The state is written
-    every ``STORE_EVERY`` steps, so plans stay short and a lost executor costs few."""
-    share, size = sum(targets), 1.0 / (1.0 + ridge)
-    names = weighted.columns
-    state = weighted.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0))
-    before: list[float] = []
-    for t in range(steps):
-        mass = F.col("n_tokens") * F.col("ahead")
-        sums = state.agg(F.sum("n_tokens").alias("s"), *[
-            F.sum(mass * F.col("p")[k]).alias(f"a{k}") for k in range(len(targets))]).first()
-        if not sums["s"]:
-            break
-        pull = [sums[f"a{k}"] / sums["s"] - x / share for k, x in enumerate(targets)]
-        if t > 2 and max(abs(a - b) for a, b in zip(pull, before)) < tolerance:
-            break
-        before, momentum = pull, t / (t + 3.0)
-        along = sum((F.col("p")[k] * float(g) for k, g in enumerate(pull)), F.lit(0.0)) + ridge * (F.col("ahead") - 1.0)
-        state = state.select(*names, F.col("rate").alias("last"), F.greatest(F.lit(0.0), F.col("ahead") - size * along).alias("rate")) \
-            .select(*names, "rate", (F.col("rate") + momentum * (F.col("rate") - F.col("last"))).alias("ahead"))
-        if t % STORE_EVERY == STORE_EVERY - 1:
-            state = stored(state, "rates")
-    return state.drop("ahead")
-
-
-def _drawn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, targets: tuple[float, ...],
-           label: Column | None, class_domains: tuple[int, ...]) -> DataFrame:
-    """(id, n_tokens, p, draw, draw2, rate, copies) for every row of ``docs``."""
-    model = fit_domains(docs, labels, id_col, text_col, label, class_domains)
-    weighted = stored(posteriors(docs, model, id_col, text_col, class_domains), "posteriors")
-    rated = fit_rates(weighted, targets, STEPS if model["bins"] else 0).withColumn("rate", F.round("rate", 6))
+    """``weighted`` (with n_tokens and p) plus ``rate``, without a join."""
+    return weighted.withColumn("rate", _rate(fit_residual(weighted, targets, steps, ridge, tolerance)))
+
+
+def _drawn(weighted: DataFrame, targets: tuple[float, ...], steps: int) -> DataFrame:
+    """``weighted`` plus rate and copies."""
+    rated = fit_rates(weighted, targets, steps).withColumn("rate", F.round("rate", 6))
     chance = F.pmod("draw", F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
@@ -213,25 +230,27 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         targets: tuple[float, ...] = TARGETS, label: Column | None = None,
         class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
     """(id, n_tokens, p, rate, copies) for every row of ``docs``."""
-    return _drawn(docs, labels, id_col, text_col, targets, label, class_domains).drop("draw", "draw2")
+    model = fit_domains(docs, labels, id_col, text_col, label, class_domains)
+    weighted = stored(posteriors(docs, model, id_col, text_col, class_domains), "posteriors")
+    return _drawn(weighted, targets, STEPS if model["bins"] else 0).drop("draw")
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               targets: tuple[float, ...] = TARGETS, label: Column | None = None,
               class_domains: tuple[int, ...] = CLASS_DOMAINS) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies say.  Rows are found by their
-    hashes of id and text, which decide the copies; only hashes and copies are joined,
-    broadcast while at most two million are not taken exactly once."""
-    mixed = _drawn(docs, labels, id_col, text_col, targets, label, class_domains)
-    copies, number, *keys = (fresh(docs, x) for x in ("copies", "copy_number", "draw", "draw2"))
-    other = stored(mixed.groupBy(F.col("draw").alias(keys[0]), F.col("draw2").alias(keys[1]))
-                   .agg(F.max("copies").alias(copies)).where(F.col(copies) != 1), "mixed-copies")
-    few = other.count() <= 2_000_000
-    keyed = docs.select("*", *[h.alias(k) for h, k in zip(row_hashes(id_col, text_col), keys)])
-    joined = keyed.join(F.broadcast(other) if few else other, keys, "left")
-    taken = F.coalesce(copies, F.lit(1).cast("long"))
-    return joined.where(taken > 0).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), taken))) \
-        .select(*docs.columns)
+    """The rows of ``docs``, each as often as its copies say.
+
+    The table of posteriors holds each row's columns beside them, so that rows need not
+    be found again: there is no join, and one plan at every size."""
+    model = fit_domains(docs, labels, id_col, text_col, label, class_domains)
+    columns = [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), *columns).alias("row"), F.col(text_col).alias("text"))
+    # the draw is that of ``mix``: a hash of id and text
+    weighted = posteriors(rows, model, "row", "text", class_domains) \
+        .withColumn("draw", F.xxhash64(F.lit(55), "row.id", text_or_empty(f"row.c{docs.columns.index(text_col)}")))
+    drawn = _drawn(stored(weighted, "posteriors"), targets, STEPS if model["bins"] else 0)
+    return drawn.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))) \
+        .select(*[F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
