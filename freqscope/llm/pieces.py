@@ -13,9 +13,9 @@ numbers.  A table of all chunks of the corpus would meet the same texts again on
 by shuffling every occurrence, several times the input; here nothing is shuffled
 and a lost executor costs its slices.
 
-A chunk is segmented by a heap of adjacent pairs: the pair whose union scores best,
-the leftmost of equal ones, is merged until no union is a piece, in time
-n log n, also for very long chunks.  Characters that end as no piece become byte pieces.
+Segmenting a chunk merges the adjacent pair whose union scores best, the leftmost of
+equal ones, until no union is a piece.  Short chunks keep the unions' scores in a list,
+long ones in a heap (time n log n).  Characters that end as no piece become byte pieces.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; U+2581 in a
 text counts as a space, as in the library; null ids are kept; repeated rows repeat; an empty table gives
@@ -42,6 +42,9 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: one marker's worth of text: what follows it up to the next word's marker
 _CHUNK = re.compile(" ( *[^ ]*)")
+_NONE = float("inf")
+#: longer chunks go through a heap
+_SHORT = 60
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -84,7 +87,20 @@ class Pieces:
         self.shown = [t.replace(MARK, " ") for t in self.text]
         self.id_text = [str(k) for k in range(len(self.text))]
         #: chunk -> (ids, the same as decimal text, decoded text)
-        self.table = PieceCache(self._entry, limit=300_000)
+        self.table = PieceCache(self._entry, limit=500_000)
+
+    def _merged_short(self, chunk: str) -> list[str]:
+        parts, get = list(chunk), self.score.get
+        scores = [get(a + b, _NONE) for a, b in zip(parts, chunk[1:])]
+        while scores and (best := min(scores)) is not _NONE:
+            k = scores.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k:
+                scores[k - 1] = get(parts[k - 1] + parts[k], _NONE)
+            if k < len(scores):
+                scores[k] = get(parts[k] + parts[k + 1], _NONE)
+        return parts
 
     def _merged(self, chunk: str) -> list[str]:
         parts, score = list(chunk), self.score
@@ -121,8 +137,13 @@ class Pieces:
         whole = self.id_of.get(chunk)
         if whole is not None and len(chunk) <= 2:
             return [whole]
+        pieces = self._merged_short(chunk) if len(chunk) <= _SHORT else self._merged(chunk)
+        try:
+            return list(map(self.id_of.__getitem__, pieces))
+        except KeyError:
+            pass
         ids = []
-        for piece in self._merged(chunk):
+        for piece in pieces:
             k = self.id_of.get(piece)
             if k is None:
                 ids.extend(map(self.byte_id.__getitem__, piece.encode()))
@@ -130,8 +151,8 @@ class Pieces:
                 ids.append(k)
         return ids
 
-    def _entry(self, chunk: str) -> tuple[list[int], str, str]:
-        ids = self.segment(MARK + chunk.replace(" ", MARK))
+    def _entry(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
+        ids = tuple(self.segment(MARK + chunk.replace(" ", MARK)))
         return ids, ",".join(map(self.id_text.__getitem__, ids)), self._joined(ids)
 
     def chunks(self, text: str) -> list[str]:

@@ -74,5 +74,13 @@ def test_a_bounded_table_gives_the_same(spark, library):
     model.table.limit = 3
     texts = ["one two three four five one two", "six seven one"] * 3
     at, ends, entries = pieces._chunk_table(model, texts)
-    assert [entries[k][0] for k in at[:7]] == [library.encode(w) for w in texts[0].split()]
+    assert [entries[k][0] for k in at[:7]] == [tuple(library.encode(w)) for w in texts[0].split()]
     assert len(model.table) <= 3
+
+
+def test_short_and_long_chunks_merge_alike():
+    model = pieces.load(pieces.model_path(None))
+    rng = random.Random(17)
+    for _ in range(500):
+        chunk = pieces.MARK * rng.randint(1, 20) + "".join(rng.choices("abeinorstüß,.()_0", k=rng.randint(0, 40)))
+        assert model._merged_short(chunk) == model._merged(chunk)
