@@ -84,10 +84,6 @@ class Pieces:
                 raise ValueError("user-defined and unused pieces are not read")
             else:
                 self.text[k] = ""  # control pieces decode to nothing
-        #: neighbours inside some piece; no merge joins two characters that never are
-        self.near = {p[k:k + 2] for p in self.id_of for k in range(len(p) - 1)}
-        #: part of a chunk between such places -> ids
-        self.parts = PieceCache(self._part, limit=300_000)
         self.shown = [t.replace(MARK, " ") for t in self.text]
         self.id_text = [str(k) for k in range(len(self.text))]
         #: chunk -> (ids, the same as decimal text, decoded text)
@@ -137,19 +133,13 @@ class Pieces:
         return [p for p in parts if p]
 
     def segment(self, chunk: str) -> list[int]:
-        """Ids of one marked chunk, cut where no piece can reach across; equal parts of
-        different chunks (a word before a comma, say) are segmented once."""
-        near, a, ids = self.near, 0, []
-        for b in [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in near]:
-            ids += self.parts[chunk[a:b]]
-            a = b
-        ids += self.parts[chunk[a:]]
-        return ids
-
-    def _part(self, part: str) -> tuple[int, ...]:
-        pieces = self._merged_short(part) if len(part) <= _SHORT else self._merged(part)
+        """Ids of one marked chunk."""
+        whole = self.id_of.get(chunk)
+        if whole is not None and len(chunk) <= 2:
+            return [whole]
+        pieces = self._merged_short(chunk) if len(chunk) <= _SHORT else self._merged(chunk)
         try:
-            return tuple(map(self.id_of.__getitem__, pieces))
+            return list(map(self.id_of.__getitem__, pieces))
         except KeyError:
             pass
         ids = []
@@ -159,7 +149,7 @@ class Pieces:
                 ids.extend(map(self.byte_id.__getitem__, piece.encode()))
             else:
                 ids.append(k)
-        return tuple(ids)
+        return ids
 
     def _entry(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
         ids = tuple(self.segment(MARK + chunk.replace(" ", MARK)))
