@@ -36,4 +36,4 @@ def test_stages_in_order(spark, tmp_path):
 def test_run_and_registry(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "n_tokens", "ids"]
     names = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert names == list(range(1, 11)) and set(registry.ORACLE) <= set(registry.QUERIES)
+    assert names == list(range(1, 14)) and set(registry.ORACLE) <= set(registry.QUERIES)
