@@ -13,8 +13,14 @@ Never part of the text: scripts, styles, forms and other elements of the page's
 frame (by element, by role, by words in class or id), hidden elements, and lists
 inside the article that are nearly all links.  A class or id with other words besides
 the frame's is weak evidence: an element so named counts for no container's score, but inside
-the article it stays if it holds prose and few links.  Ids of headings and paragraphs are
-no evidence, as they are made from their text.
+the article it stays if it holds prose, few links and no form.  If the frame's word is the head
+of the name (``reader-comments``, ``newsletter-box``) the element goes, as prose says nothing
+then; only an id made from the heading it holds stays, unless it names comments.  Ids of headings and
+paragraphs are no evidence, as they are made from their text.  A label is part of its sentence
+unless it belongs to a control (``for``) or a form.
+
+Time is linear in the page, however deep its blocks are nested: sums go from each element to
+its container once, and a paragraph's points reach ``POINTS_REACH`` containers.
 
 Defined results: null, empty or markup-only html gives the empty text; unclosed
 and stray tags follow HTML's rules of implied ends; an unfinished comment, script or
@@ -41,6 +47,8 @@ MENU_DENSITY = 0.8
 LINKS_DENSITY = 0.5
 #: points by which an element inside the article stays though its class says frame
 NAMED_LEAST = 10.0
+#: containers above a paragraph that get a share of its points; the share of the last is under 1 %
+POINTS_REACH = 128
 HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 
 _words = lambda s: frozenset(s.split())
@@ -66,7 +74,12 @@ BOILERPLATE = _words(
     "commentlist consent cookie cookies cookiebar disqus footer gdpr header masthead menu menus modal nav navbar navigation "
     "newsletter notice notices overlay pager pagination popup promo promoted promotion related replies respond share "
     "sharing shoutbox sidebar sidebars signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets")
+DISCUSSION = _words("comment comments commentlist disqus replies respond")
+#: words that name a box as such; the head of a name stands before them
+BOXES = _words("area block body box card container content form group inner item items list main outer panel row section thread wrap wrapper")
 SAYS_THERE_IS = _words("has with without no is show hide")
+TABLE = _words("td th table tr tbody thead tfoot body")
+_CELLS = _words("td th table")
 KEPT_NAMES = _words("html body article main")
 
 _TOKEN = re.compile(
@@ -74,16 +87,20 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_CONTROL = re.compile(r"\bfor\s*=", re.I)
 _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "up", "out", "named", "points", "chars", "links", "n_links", "kids")
+    __slots__ = ("tag", "up", "out", "named", "points", "chars", "links", "n_links", "kids", "heading", "form")
 
-    def __init__(self, tag: str, up: Node | None, out: bool, named: str = "") -> None:
+    def __init__(self, tag: str, up: Node | None, out: bool, named: Name | None = None) -> None:
         self.tag, self.up, self.out, self.named = tag, up, out, named
         self.points, self.chars, self.links, self.n_links = 0.0, 0, 0, 0
         self.kids: list[Node] = []
+        #: words of the first heading among the children; whether a form lies inside
+        self.heading: frozenset | None = None
+        self.form = False
         if up is not None:
             up.kids.append(self)
 
@@ -94,36 +111,59 @@ class Node:
         return self.points * (1 - self.density())
 
 
+class Name:
+    """What a class or id that says frame in part is: the attribute, the frame word that is
+    its head (or none), and all its words."""
+    __slots__ = ("attribute", "head", "words")
+
+    def __init__(self, attribute: str, head: str, words: frozenset) -> None:
+        self.attribute, self.head, self.words = attribute, head, words
+
+
+def _name_words(name: str) -> list[str]:
+    return [w.lower() for w in _NAME_PARTS.findall(name)]
+
+
 def _names_frame(name: str) -> int:
-    """One class or id: 2 if all its words are frame words, 1 if some are, 0 if none is
-    or if it just says that there is one."""
-    parts = [w.lower() for w in _NAME_PARTS.findall(name)]
+    """One class or id: 3 if all its words are frame words, 2 if the head is (the last word
+    but for numbers and words for boxes), 1 if another is, 0 if none is or if it just says that there is one."""
+    parts = _name_words(name)
     if not parts or parts[0] in SAYS_THERE_IS or BOILERPLATE.isdisjoint(parts):
         return 0
-    return 2 if all(w in BOILERPLATE or w.isdigit() for w in parts) else 1
+    if all(w in BOILERPLATE or w.isdigit() for w in parts):
+        return 3
+    return 2 if _head(parts) in BOILERPLATE else 1
+
+
+def _head(parts: list[str]) -> str:
+    return next((w for w in reversed(parts) if w not in BOXES and not w.isdigit()), "")
 
 
-def _in_frame(tag: str, attributes: str) -> tuple[bool, str]:
-    """(the element belongs to the page's frame or is hidden, else the attribute
-    whose words say so in part)."""
+def _in_frame(tag: str, attributes: str) -> tuple[bool, Name | None]:
+    """(the element belongs to the page's frame or is hidden, else the name
+    that says so in part)."""
     if tag in FRAME:
-        return True, ""
-    named = ""
+        return True, None
+    named: Name | None = None
     if "=" not in attributes and "hidden" not in attributes:
-        return False, ""
+        return False, None
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html_lib.unescape(a or b or c)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True, ""
+            return True, None
         if name == "role" and value.strip().lower() in ROLES:
-            return True, ""
+            return True, None
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, ""
+            return True, None
         if name in ("class", "id") and tag not in KEPT_NAMES and not (name == "id" and (tag == "p" or tag in HEADINGS)):
-            says = max(map(_names_frame, value.split()), default=0)
-            if says == 2:
-                return True, ""
-            named = name if says and named != "class" else named
+            for one in value.split():
+                says, parts = _names_frame(one), _name_words(one)
+                if says == 3:
+                    return True, None
+                head = _head(parts) if says == 2 else ""
+                # a head outweighs a word, a class outweighs an id
+                if says and (named is None or (bool(head), name == "class") > (bool(named.head), named.attribute == "class")):
+                    named = Name(name, head, frozenset(w for w in parts if not w.isdigit()))
     return tag == "article" and bool(re.search(r"""(?:class|id)\s*=\s*["']?[^"'>]*\bcomment""", attributes, re.I)), named
 
 
@@ -133,12 +173,16 @@ class Page:
     def __init__(self, html: str) -> None:
         self.root = Node("html", None, False)
         self.stack = [self.root]
+        #: all elements, containers first, and the depths at which each tag is open
+        self.nodes = [self.root]
+        self.open: dict[str, list[int]] = {}
         #: (node, text, code points in links) of every run of text between block boundaries
         self.blocks: list[tuple[Node, str, int]] = []
         self._run: list[str] = []
         self._linked = 0
         self._in_link = False
         self._parse(html)
+        self._sum_up()
 
     # text
 
@@ -159,46 +203,56 @@ class Page:
             self._run, self._linked = [], 0
 
     def _pass_points(self, node: Node, text: str) -> None:
-        solid = len(text) - text.count(" ")
-        up: Node | None = node
-        while up is not None:
-            up.chars += solid
-            up.links += self._linked
-            up = None if up.named else up.up
+        node.chars += len(text) - text.count(" ")
+        node.links += self._linked
+        if node.tag in HEADINGS and node.up.heading is None:
+            node.up.heading = frozenset(_name_words(text))
         if len(text) < MIN_PARAGRAPH:
             return
         points = 1.0 + len(_COMMAS.findall(text)) + min(len(text) / 100, 3.0)
         up = node.up if node.tag in PARAGRAPHS and node.up is not None and not node.named else node
-        share = 1
-        while up is not None:
+        for share in range(1, POINTS_REACH + 1):
             up.points += points / share
-            up, share = None if up.named else up.up, share + 1
+            up = None if up.named else up.up
+            if up is None:
+                break
+
+    def _sum_up(self) -> None:
+        """Code points, links and forms of every element go to its container."""
+        for node in reversed(self.nodes[1:]):
+            up = node.up
+            up.n_links += node.n_links
+            up.form = up.form or node.form or node.tag == "form"
+            if not node.named:
+                up.chars += node.chars
+                up.links += node.links
 
     # tags
 
     def _close_to(self, depth: int) -> None:
         """Closes open elements until ``depth`` are left."""
         self._end_block()
-        del self.stack[max(1, depth):]
+        while len(self.stack) > max(1, depth):
+            self.open[self.stack.pop().tag].pop()
         self._in_link = False
 
+    def _innermost(self, tags: frozenset) -> int:
+        """Depth of the innermost open element of these tags, 0 if none is open."""
+        return max((at[-1] for t in tags if (at := self.open.get(t))), default=0)
+
     def _close_any(self, tags: frozenset, scope: frozenset) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in tags:
-                self._close_to(k)
-                return
-            if self.stack[k].tag in scope:
-                return
+        k = self._innermost(tags)
+        if k and k > self._innermost(scope):
+            self._close_to(k)
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag == "a":
             self._in_link = "href" in attributes.lower()
-            for node in self.stack:
-                node.n_links += 1
+            self.stack[-1].n_links += 1
             return
         if tag in ("br", "hr"):
             self._text(" ")
-        if tag not in BLOCKS or tag in ("html",):
+        if tag not in BLOCKS or tag == "html" or tag == "label" and not _CONTROL.search(attributes):
             return
         if tag == "body":
             self._close_any(_words("head"), frozenset())
@@ -211,21 +265,20 @@ class Page:
         if attributes.rstrip().endswith("/") and tag in ("svg", "math"):
             return
         top = self.stack[-1]
-        out, named = _in_frame(tag, attributes) if not top.out else (True, "")
+        out, named = _in_frame(tag, attributes) if not top.out else (True, None)
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(Node(tag, top, out, named))
+        self.nodes.append(self.stack[-1])
 
     def _end(self, tag: str) -> None:
         if tag == "a":
             self._in_link = False
-        elif tag in ("br", "p") and not any(n.tag == tag for n in self.stack):
+        elif tag in ("br", "p") and not self.open.get(tag):
             self._text(" ")
         elif tag in BLOCKS:
-            for k in range(len(self.stack) - 1, 0, -1):
-                if self.stack[k].tag == tag or re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", self.stack[k].tag):
-                    self._close_to(k)
-                    return
-                if self.stack[k].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body"):
-                    return
+            k = self._innermost(HEADINGS if tag in HEADINGS else frozenset((tag,)))
+            if k and (tag in TABLE or k > self._innermost(_CELLS)):
+                self._close_to(k)
 
     def _parse(self, html: str) -> None:
         at = 0
@@ -260,8 +313,13 @@ class Page:
     def _is_prose(node: Node) -> bool:
         """A named element inside the article that its text speaks for: a section
         whose id comes from its heading, or one of many points."""
-        section = node.named == "id" and (node.tag == "section" or any(k.tag in HEADINGS for k in node.kids))
-        return node.density() <= LINKS_DENSITY and node.points >= (1.0 if section else NAMED_LEAST)
+        name = node.named
+        if node.form or node.density() > LINKS_DENSITY:
+            return False
+        if name.head and (name.attribute != "id" or name.head in DISCUSSION or not node.heading or not name.words <= node.heading):
+            return False
+        section = name.attribute == "id" and (node.tag == "section" or node.heading is not None)
+        return node.points >= (1.0 if section else NAMED_LEAST)
 
     def _frame_by_name(self, best: Node) -> list[Node]:
         """Named elements that stay out: those outside ``best``, and those inside
@@ -319,19 +377,13 @@ class Page:
         kept, grown = {id(n) for n in nodes}, {id(n) for n in above}
         menus = {id(n) for n in self._elements() if n.tag in ("ul", "ol") and n.n_links >= 3 and n.density() > MENU_DENSITY}
         menus.update(map(id, left))
-        out = []
-        for node, text, linked in self.blocks:
-            if id(node) in grown and linked > LINKS_DENSITY * (len(text) - text.count(" ")):
-                continue
-            up: Node | None = node
-            while up is not None and id(up) not in kept and id(up) not in menus:
-                up = up.up
-            if up is not None and id(up) not in menus:
-                while up is not None and id(up) not in menus:
-                    up = up.up
-                if up is None:
-                    out.append(text)
-        return " ".join(out)
+        # containers come before what they hold: 1 inside a kept element, -1 inside one left out
+        state: dict[int, int] = {}
+        for node in self.nodes:
+            above_it = state[id(node.up)] if node.up is not None else 0
+            state[id(node)] = -1 if above_it < 0 or id(node) in menus else 1 if above_it or id(node) in kept else 0
+        return " ".join(text for node, text, linked in self.blocks if state[id(node)] > 0 and not (
+            id(node) in grown and linked > LINKS_DENSITY * (len(text) - text.count(" "))))
 
 
 def main_text(html: str) -> str:

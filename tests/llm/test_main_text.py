@@ -77,6 +77,36 @@ def test_names_inside_the_article_need_the_score_to_agree():
     assert mt.main_text(page(only)) == " ".join(re.sub("<[^>]*>", " ", " ".join(parts[:2])).split())
 
 
+def test_the_head_of_a_name_outweighs_prose():
+    body = f"<p>{PROSE * 4}</p>"
+    gone = ("section class='reader-comments'", "div class='user-comments'", "div class='newsletter-box'", "div class='comment-list-wrapper'",
+            "section id='reader-comments'", "div id='cookieNotice2'", "div class='story promo_box'")
+    for start in gone:
+        part = f"<{start}><h2>Reader comments</h2><p>{PROSE * 9}</p></{start.split()[0]}>"
+        assert mt.main_text(page(f"<article>{body}{part}</article>")) == (PROSE * 4).strip(), start
+    stay = ("div class='comments-on-method'", "div class='notice-of-intent'", "div class='no-comments'", "section id='lunch-menu'",
+            "div class='menu-design'", "section id='related-work'")
+    for start in stay:
+        part = f"<{start}><h2>The lunch menu</h2><p>{PROSE * 9}</p></{start.split()[0]}>"
+        want = f"{PROSE * 4}The lunch menu {PROSE * 9}".strip()
+        assert mt.main_text(page(f"<article>{body}{part}</article>")) == want, start
+    form = f"<div class='comment-on-this'><p>{PROSE * 9}</p><form><input></form></div>"
+    assert mt.main_text(page(f"<article>{body}{form}</article>")) == (PROSE * 4).strip()
+    assert mt.main_text(page(f"<article>{body}<section id='lunch-menu'><p>{PROSE}</p></section></article>")) == (PROSE * 4).strip()
+
+
+def test_labels_are_inline_unless_of_a_control():
+    assert mt.main_text(page(f"<article><p>{PROSE}</p><p>The <label>word</label> here</p></article>")).endswith("The word here")
+    assert mt.main_text(page(f"<article><p>{PROSE}</p><label for='nav'>Menu</label></article>")) == PROSE.strip()
+
+
+def test_deep_blocks_with_text_take_linear_time():
+    for start, end in (("<div>", ""), ("<blockquote><a href=x>y</a>", "</p>"), ("<div class='menu-design'><section>", "</section>")):
+        begin = time.time()
+        got = mt.main_text((start + PROSE) * 50_000 + end * 50_000)
+        assert time.time() - begin < 20 and got
+
+
 def test_link_lists_in_the_article_go():
     links = "".join(f"<li><a href='/{k}'>Another page {k}</a></li>" for k in range(5))
     assert mt.main_text(page(f"<article><p>{PROSE * 3}</p><ul>{links}</ul></article>")) == (PROSE * 3).strip()
