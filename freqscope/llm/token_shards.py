@@ -1,17 +1,18 @@
 """Operator 7: token ids in Re-Pair compressed shards with random access.
 
 Texts are dealt by id range and sorted, so shards follow the order of ids.  Each
-task encodes its texts with the tokenizers library (once per distinct chunk between spaces),
+task encodes its texts with the tokenizers library (once per distinct piece),
 appends the end id and cuts its ids into blocks of about ``BLOCK_IDS``.  A block is
 compressed by Re-Pair: the most frequent pairs of neighbours become nonterminals,
 round after round, until no pair occurs ``MIN_COUNT`` times.  One round replaces all
 pairs at least a quarter as frequent as the most frequent one.
 
 File format: Parquet rows (shard, block, doc_ids, lengths, width, first_rule, left,
-right, expansions, sequence).  ``sequence`` and the rules are little-endian unsigned
+right, expansions, marks, sequence).  ``sequence`` and the rules are little-endian unsigned
 integers of ``width`` bytes; symbol ``first_rule + k`` stands for rule k; ``expansions``
-holds each rule's length in ids (4 bytes each).  Prefix sums of the expansion
-lengths locate any id without decoding what stands before it.
+holds each rule's length in ids, ``marks`` the ids before every ``MARK_EVERY``-th symbol (4 bytes
+each).  Any id is found by its mark and the expansion lengths, opening only the rules
+on its path; ``read_spans`` does so for a table of requests.
 
 Defined results: a null or empty text holds the end id alone; null ids come last;
 rows that repeat an id follow in order of their texts; an empty table gives an empty
@@ -20,6 +21,7 @@ result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,6 +42,7 @@ from .pretoken import PieceCache, chunks
 END_ID = 2
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
+MARK_EVERY = 256
 #: marks that are a piece of their own after letters, in runs
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _SLOT_BITS = 18
@@ -124,25 +127,70 @@ def expand(seq: np.ndarray, first: int, left: np.ndarray, right: np.ndarray) ->
     return np.concatenate((plain, *opened))[np.repeat(starts[seq] - (ends - long), long) + np.arange(ends[-1])]
 
 
+def open_range(seq: np.ndarray, first: int, left: np.ndarray, right: np.ndarray, sizes: np.ndarray,
+               start: int, stop: int) -> tuple[np.ndarray, int]:
+    """(ids ``start`` to ``stop`` of a sequence, number of rules opened).  Level by level
+    each rule that reaches into the range gives its two halves; halves outside it are dropped
+    unopened, by their expansion lengths."""
+    seq, opened = seq.astype(np.int64), 0
+    while True:
+        rule = seq >= first
+        long = np.ones(len(seq), np.int64)
+        long[rule] = sizes[seq[rule] - first]
+        ends = np.cumsum(long)
+        inside = (ends > start) & (ends - long < stop)
+        if not inside.all():
+            ahead = int(ends[inside][0] - long[inside][0]) if inside.any() else 0
+            seq, rule, start, stop = seq[inside], rule[inside], start - ahead, stop - ahead
+        if not rule.any():
+            return seq, opened
+        opened += int(rule.sum())
+        at = np.cumsum(1 + rule) - (1 + rule)
+        halves = np.empty(len(seq) + int(rule.sum()), np.int64)
+        halves[at[~rule]] = seq[~rule]
+        halves[at[rule]], halves[at[rule] + 1] = left[seq[rule] - first], right[seq[rule] - first]
+        seq = halves
+
+
 def read_range(block: dict, start: int, stop: int) -> np.ndarray:
-    """Ids ``start`` to ``stop`` of one block row, decoding only the symbols that
-    cover them."""
+    """Ids ``start`` to ``stop`` of one block row.  ``marks`` say which ``MARK_EVERY`` symbols
+    hold them; of those only the rules on the path are opened.  A whole block opens each rule once."""
+    if stop <= start:
+        return np.empty(0, np.int64)
     kind = f"<u{block['width']}"
-    seq, left, right = (np.frombuffer(block[c], kind).astype(np.int64) for c in ("sequence", "left", "right"))
-    first, sizes = block["first_rule"], np.frombuffer(block["expansions"], "<u4").astype(np.int64)
+    seq, left, right = (np.frombuffer(block[c], kind) for c in ("sequence", "left", "right"))
+    first, sizes = block["first_rule"], np.frombuffer(block["expansions"], "<u4")
+    marks = np.frombuffer(block["marks"], "<u4")
+    if start == 0 and stop >= sum(block["lengths"]):
+        return expand(seq.astype(np.int64), first, left, right)
+    a, b = np.searchsorted(marks, start, "right") - 1, np.searchsorted(marks, stop, "left")
+    ahead = int(marks[a])
+    return open_range(seq[a * MARK_EVERY:b * MARK_EVERY], first, left, right, sizes, start - ahead, stop - ahead)[0]
+
+
+def symbol_marks(seq: np.ndarray, first: int, sizes: np.ndarray) -> np.ndarray:
+    """Ids that stand before every ``MARK_EVERY``-th symbol."""
     long = np.ones(len(seq), np.int64)
     rule = seq >= first
     long[rule] = sizes[seq[rule] - first]
-    ends = np.cumsum(long)
-    a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-    skip = start - int(ends[a] - long[a]) if a < len(ends) else 0
-    return expand(seq[a:b], first, left, right)[skip:skip + stop - start]
+    return (np.cumsum(long) - long)[::MARK_EVERY]
 
 
 # -- tokenizers library ----------------------------------------------------
 
+@lru_cache(1)
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is
+    printable in Latin-1, else the next letter from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [c for c in range(256) if c not in set(shown)]
+    return {c: chr(c) for c in shown} | {c: chr(0x100 + k) for k, c in enumerate(rest)}
+
+
 class LibraryEncoder:
-    """The tokenizers library, called once per distinct chunk of text between spaces."""
+    """The tokenizers library, called once per distinct piece.  Texts are cut at spaces; a chunk not
+    seen yet is taken apart into words, marks and line ends where that is plain, and the
+    library gets the new words of many texts in one call."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -150,14 +198,34 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        #: ids of a chunk after a space, of a word after a line end, of a run of marks after letters
         self.spaced = PieceCache(None, limit=800_000)
-        #: ids of a run of marks after letters
+        self.bare = PieceCache(None, limit=200_000)
         self.marks = PieceCache(self._whole)
+        # the library's model on words in the vocabulary's letters, cut at the byte 0x0B, which no word holds
+        setting = json.loads(self.library.to_str())
+        self.stop = _byte_letters()[0x0B]
+        setting |= {"added_tokens": [], "normalizer": None, "post_processor": None, "pre_tokenizer":
+                    {"type": "Split", "pattern": {"String": self.stop}, "behavior": "Isolated", "invert": False}}
+        self.words = Tokenizer.from_str(json.dumps(setting))
+        self.stop_id = self.words.token_to_id(self.stop)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn_words(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of words of letters alone, each one piece with what stands before it."""
+        out, letters, before = [], _byte_letters(), "".join(_byte_letters()[c] for c in before.encode())
+        for k in range(0, len(words), 20_000):
+            part = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words[k:k + 20_000]]
+            found = self.words.encode_batch_fast([before + (self.stop + before).join(part)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            cut = (4 * np.flatnonzero(ids == self.stop_id)).tolist()
+            data = ids.tobytes()
+            out += [data[i:j] for i, j in zip([0, *[c + 4 for c in cut]], [*cut, len(data)])]
+        return out
+
+    def _learn_chunks(self, new: list[str]) -> None:
         """Ids of many chunks from one text of them all, spaces between: each splits by
         itself (see ``chunks``), and the tokens' offsets tell whose they are."""
         for k in range(0, len(new), 20_000):
@@ -170,21 +238,38 @@ class LibraryEncoder:
             self.spaced.update(zip(part, [data[i:j] for i, j in zip([0, *cut], cut)]))
 
     def _learn_all(self, new: set[str]) -> None:
-        """Letters followed by marks are two pieces, each learnt once."""
-        held, plain, marked = self.spaced, set(), []
+        """Letters, marks after them and a line end before other letters are pieces of
+        their own; other chunks are learnt as a whole."""
+        held, bare = self.spaced, self.bare
         if len(held) + len(new) > held.limit:
             held.clear()
-        for w in new:
-            base = w.rstrip(MARKS)
-            if base != w and base.isalpha():
-                marked.append((w, base))
-                if base not in held:
-                    plain.add(base)
+        words = {w for w in new if w.isalpha()}
+        lines: set[str] = set()
+        taken: list[tuple[str, str, str, str, str]] = []
+        other: list[str] = []
+        for w in new - words:
+            left, end, right = w.partition("\n")
+            a, b = left.rstrip(MARKS), right.rstrip(MARKS)
+            if a.isalpha() and (b.isalpha() if end else True):
+                taken.append((w, a, left[len(a):], b, right[len(b):]))
             else:
-                plain.add(w)
-        self._learn(list(plain))
+                other.append(w)
+        words.update([a for _, a, _, _, _ in taken if a not in held])
+        lines.update([b for _, _, _, b, _ in taken if b and b not in bare])
+        if len(bare) + len(lines) > bare.limit:
+            lines.update([b for _, _, _, b, _ in taken if b])
+            bare.clear()
+        for table, some, before in ((held, words, " "), (bare, lines, "")):
+            some = list(some)
+            table.update(zip(some, self._learn_words(some, before)))
+        self._learn_chunks(other)
         marks = self.marks.__getitem__
-        held.update([(w, held[base] + marks(w[len(base):])) for w, base in marked])
+        line_end = marks("\n")
+        for w, a, m, b, n in taken:
+            ids = held[a] + marks(m) if m else held[a]
+            if b:
+                ids += line_end + bare[b] + (marks(n) if n else b"")
+            held[w] = ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Every chunk is looked up once; those not held are learnt and filled in."""
@@ -220,7 +305,8 @@ def _shard_schema(id_field: T.StructField) -> T.StructType:
         T.StructField("doc_ids", T.ArrayType(id_field.dataType)), T.StructField("lengths", T.ArrayType(T.LongType())),
         T.StructField("width", T.IntegerType()), T.StructField("first_rule", T.LongType()),
         T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType()),
-        T.StructField("expansions", T.BinaryType()), T.StructField("sequence", T.BinaryType())])
+        T.StructField("expansions", T.BinaryType()), T.StructField("marks", T.BinaryType()),
+        T.StructField("sequence", T.BinaryType())])
 
 
 def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -245,7 +331,8 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             width = 2 if first + len(left) <= 0xFFFF else 4
             pack = [x.astype(f"<u{width}").tobytes() for x in (left, right)]
             row = [[shard], [block], [names], [[len(p) for p in parts]], [width], [first], [pack[0]], [pack[1]],
-                   [sizes.astype("<u4").tobytes()], [seq.astype(f"<u{width}").tobytes()]]
+                   [sizes.astype("<u4").tobytes()], [symbol_marks(seq, first, sizes).astype("<u4").tobytes()],
+                   [seq.astype(f"<u{width}").tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(row, arrow)], schema=arrow)
 
         end = np.array([end_id], dtype="<u4")
@@ -300,5 +387,40 @@ def read_shards(shards: DataFrame, id_type: T.DataType | None = None) -> DataFra
     return shards.join(base, ["shard", "block"]).mapInArrow(run, schema)
 
 
+def read_spans(shards: DataFrame, requests: DataFrame) -> DataFrame:
+    """(doc_id, start, stop, ids) for a table of requests (doc_id, start, stop): ids ``start`` to ``stop``
+    of each document with that id, counted from 0 within it and cut to its length.
+
+    Requests meet the documents' places by id, then each block once; a block decodes
+    only what its requests cover.  Repeated requests answer once; null ids, unknown ids and
+    null bounds give no row; an empty span gives an empty list."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    places = shards.select(F.col("shard").alias("in_shard"), F.col("block").alias("in_block"), F.posexplode("doc_ids").alias("place", "doc_id"))
+    asked = requests.select("doc_id", F.col("start").cast("long"), F.col("stop").cast("long")).dropna().distinct()
+    found = places.join(asked, "doc_id").select("in_shard", "in_block", "place", "doc_id", "start", "stop")
+    schema = T.StructType([T.StructField("doc_id", shards.schema["doc_ids"].dataType.elementType),
+                           T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
+                           T.StructField("ids", T.ArrayType(T.LongType()))])
+    arrow = to_arrow_schema(schema)
+
+    def run(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not wanted.num_rows or not blocks.num_rows:
+            return arrow.empty_table()
+        block = blocks.to_pylist()[0]
+        ends = np.cumsum(np.array(block["lengths"], dtype=np.int64))
+        ids = []
+        place, starts, stops = (wanted.column(c).to_numpy() for c in ("place", "start", "stop"))
+        for k, a, b in zip(place.tolist(), starts.tolist(), stops.tolist()):
+            size, base = block["lengths"][k], int(ends[k]) - block["lengths"][k]
+            ids.append(read_range(block, base + min(max(a, 0), size), base + min(max(b, 0), size)))
+        cols = [wanted.column("doc_id").combine_chunks(), starts, stops, ids]
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+    blocks = found.select(F.col("in_shard").alias("shard"), F.col("in_block").alias("block")).distinct()
+    keys = ["shard", "block"]
+    return (shards.join(blocks, keys, "left_semi").groupBy(*keys)
+            .cogroup(found.groupBy("in_shard", "in_block")).applyInArrow(run, schema))
+
+
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(table(spark, sf_dir, "documents")))

@@ -15,7 +15,7 @@ def as_block(ids, min_count=2):
     seq, first, left, right, sizes = ts.repair(np.array(ids, np.int64), min_count)
     pack = lambda x: x.astype("<u4").tobytes()
     return {"width": 4, "first_rule": first, "left": pack(left), "right": pack(right), "expansions": pack(sizes),
-            "sequence": pack(seq)}
+            "marks": pack(ts.symbol_marks(seq, first, sizes)), "lengths": [len(ids)], "sequence": pack(seq)}
 
 
 @settings(max_examples=150, deadline=None)
@@ -37,6 +37,55 @@ def test_frequent_pairs_become_rules():
         assert len(ts.expand(np.array([first + k]), first, left, right)) == sizes[k]
 
 
+def test_one_id_opens_only_its_path():
+    ids = np.array([1, 2, 3, 4, 5, 6, 7, 8] * 20_000 + list(range(9, 5000)), np.int64)
+    seq, first, left, right, sizes = ts.repair(ids, 2)
+    assert len(left) > 8
+    depth = [0] * len(left)
+    for k in range(len(left)):
+        depth[k] = 1 + max([depth[x - first] for x in (left[k], right[k]) if x >= first], default=0)
+    for at in (0, 1, 7, 8, 100_003, 159_999, 160_000, len(ids) - 1):
+        got, opened = ts.open_range(seq, first, left, right, sizes, at, at + 1)
+        assert got.tolist() == [ids[at]] and opened <= max(depth)
+    got, opened = ts.open_range(seq, first, left, right, sizes, 0, len(ids))
+    assert (got == ids).all()
+
+
+def test_read_range_reads_part_of_the_sequence():
+    ids = list(np.random.default_rng(1).integers(0, 40, 50_000))
+    block = as_block(ids, 16)
+    for a, b in ((0, 1), (49_999, 50_000), (12_345, 12_400), (0, 49_999), (1, 50_000), (7, 7)):
+        assert ts.read_range(block, a, b).tolist() == ids[a:b]
+
+
+def test_spans_of_documents(spark):
+    rows = [(k, f"word {k} and, some\nOther words " * (k % 7)) for k in range(60)] + [(None, "none"), (7, "again 7")]
+    shards = ts.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), block_ids=50)
+    lib = ts.library(bpe.tokenizer_path(None))
+    asked = [(3, 0, 5), (3, 0, 5), (7, 2, 4), (7, -3, 900), (9, 4, 4), (9, 6, 2), (59, 10, 20), (1000, 0, 3), (None, 0, 3), (5, None, 3)]
+    want = []
+    for d, a, b in sorted(set(asked), key=str):
+        for doc, text in rows:
+            if doc is not None and doc == d and a is not None:
+                ids = [*np.frombuffer(lib._whole(text), "<u4").tolist(), ts.END_ID]
+                want.append((d, a, b, ids[max(a, 0):max(b, 0)]))
+    got = ts.read_spans(shards, spark.createDataFrame(asked, "doc_id long, start long, stop long"))
+    assert sorted((r.doc_id, r.start, r.stop, list(r.ids)) for r in got.collect()) == sorted(want)
+    assert ts.read_spans(shards, spark.createDataFrame([], "doc_id long, start long, stop long")).count() == 0
+
+
+PARTS = ["word", "Words", "é", "čau", "日本", "don't", "I'll", ",", ".", "...", "%%%", "a1", "12", "\n", "\n\n", " ", "  ", "\t", "\x0b", "\u3000",
+         "ċ", "Ġ", "İ", "ß", "ñandú", "_", "'", "\r\n", "\xa0", "<|endoftext|>", "\U0001F600", "e\u0301", "x\ny", "x.\nÉt."]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), max_size=6))
+def test_encoder_equals_the_library(texts):
+    lib = ts.library(bpe.tokenizer_path(None))
+    got = [x.tolist() for x in lib.encode(texts)]
+    assert got == [lib.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def brute(rows, end=ts.END_ID):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(bpe.tokenizer_path(None))
