@@ -77,6 +77,20 @@ def affine_sign(x_u64: Column, a: int, b: int, p: int = params.MERSENNE_61) -> C
     return F.when(F.pmod(v, F.lit(2)) == 0, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
 
 
+def _rotate_61(v: Column, k: int) -> Column:
+    """v * 2^k mod 2^61 - 1, for 0 <= v < 2^61: the 61 bits turn."""
+    low = F.shiftleft(v.bitwiseAND(F.lit((1 << (61 - k)) - 1)), k)
+    return low + F.shiftright(v, 61 - k)
+
+
+def affine_mod_61(high: Column, low: Column, a_high: Column, a_low: Column, b: Column) -> Column:
+    """(a x + b) mod 2^61 - 1 in BIGINT alone, for x = high * 2^32 + low (32 bits each) and
+    a = a_high * 2^31 + a_low.  All partial products stay below 2^63."""
+    p = F.lit(params.MERSENNE_61)
+    parts = [_rotate_61(F.pmod(a_high * high, p), 2), _rotate_61(F.pmod(a_high * low, p), 31), _rotate_61(F.pmod(a_low * high, p), 32)]
+    return F.pmod(F.pmod(parts[0] + parts[1] + parts[2], p) + F.pmod(a_low * low, p) + b, p)
+
+
 def minhash_family(n: int) -> tuple[tuple[int, int], ...]:
     """X11: the first ``n`` rows of the MinHash family."""
     return affine_family("minhash", n, params.MINHASH_PRIME)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import (affine_family, affine_index, affine_sign, bounded_broadcast, md5_u64,
+from ..functions.hashing import (affine_family, affine_mod_61, bounded_broadcast, broadcast_bytes,
                                  sha_row_index)
 
 
@@ -78,27 +78,63 @@ def mean_min(probes: DataFrame, cells: DataFrame, join_keys: list[str], group_ke
 # 2-universal family over md5 token ids (query-log sketches)
 # ----------------------------------------------------------------------------
 
-def token_hash_columns(token: Column, width: int, kind: str, depth: int = params.TOKEN_DEPTH) -> Column:
-    """Array of (col, sign), one per row.  Each sketch kind has a family
+#: (sketch kind, width)
+Spec = tuple[str, int]
+CELL = ["sketch", "R", "row", "col"]
+
+
+def _family_rows(specs: list[Spec], depth: int) -> Column:
+    """The coefficients of every sketch row as one literal array.  Each sketch kind and width has a family
     of its own, so their errors are independent; only Count-Sketch has signs."""
-    p = params.MERSENNE_61
-    x = md5_u64(token)
-    cols = [affine_index(x, a, b, width) for a, b in affine_family(f"{kind}/{width}", depth, p)]
-    if kind == "csketch":
-        signs = [affine_sign(x, a, b) for a, b in affine_family(f"{kind}/{width}/sign", depth, p)]
-    else:
-        signs = [F.lit(1).cast("bigint")] * depth
-    return F.array(*[F.struct(c.alias("c"), s.alias("s")) for c, s in zip(cols, signs)])
+    long = lambda v: F.lit(v).cast("bigint")
+    cut = lambda a, b: (a >> 31, a & ((1 << 31) - 1), b)
+    out = []
+    for kind, width in specs:
+        cols = affine_family(f"{kind}/{width}", depth, params.MERSENNE_61)
+        signs = affine_family(f"{kind}/{width}/sign", depth, params.MERSENNE_61) if kind == "csketch" else [(0, 0)] * depth
+        for row in range(depth):
+            values = zip(("a1", "a0", "b", "s1", "s0", "t"), (*cut(*cols[row]), *cut(*signs[row])))
+            out.append(F.struct(F.lit(kind).alias("sketch"), long(width).alias("R"), long(row).alias("row"),
+                                *[long(v).alias(n) for n, v in values]))
+    return F.array(*out)
+
+
+def sketch_positions(tokens: DataFrame, specs: list[Spec], depth: int = params.TOKEN_DEPTH,
+                     token: str = "token", extra: list[str] | None = None) -> DataFrame:
+    """``(token, extra..., sketch, R, row, col, sign)`` of every distinct token, for all sketches
+    in one pass: the token is hashed once, and the families' coefficients are rows."""
+    extra = extra or []
+    digest = F.md5(F.col(token))
+    half = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint")
+    hashed = tokens.select(token, *extra, half(1).alias("_high"), half(9).alias("_low"))
+    met = hashed.select(token, *extra, "_high", "_low", F.explode(_family_rows(specs, depth)).alias("_f"))
+    affine = lambda a1, a0, b: affine_mod_61(F.col("_high"), F.col("_low"), F.col(f"_f.{a1}"), F.col(f"_f.{a0}"), F.col(f"_f.{b}"))
+    odd = F.pmod(affine("s1", "s0", "t"), F.lit(2))
+    sign = F.when(F.col("_f.sketch") == "csketch", 1 - 2 * odd).otherwise(F.lit(1)).cast("bigint")
+    return met.select(token, *extra, "_f.sketch", "_f.R", "_f.row", F.pmod(affine("a1", "a0", "b"), F.col("_f.R")).alias("col"),
+                      sign.alias("sign"))
+
+
+def sketch_cells(positions: DataFrame, cnt: str = "cnt") -> DataFrame:
+    """Cells of all sketches in ``positions``: (sketch, R, row, col, cell)."""
+    return positions.groupBy(*CELL).agg(F.sum(F.col(cnt) * F.col("sign")).cast("bigint").alias("cell"))
+
+
+def sketch_estimates(positions: DataFrame, cells: DataFrame, keys: list[str], depth: int = params.TOKEN_DEPTH) -> DataFrame:
+    """``(sketch, R, keys..., est)``: the least or the (signed) median of a key's cells.  The rows' values stand in
+    ``depth`` columns, so the grouping keeps no lists; a row without a cell reads 0."""
+    value = F.col("cell") * F.col("sign")
+    met = positions.join(cells, CELL).groupBy("sketch", "R", *keys).agg(
+        *[F.max(F.when(F.col("row") == r, value)).alias(f"_v{r}") for r in range(depth)])
+    values = F.array(*[F.coalesce(F.col(f"_v{r}"), F.lit(0)).cast("bigint") for r in range(depth)])
+    est = F.when(F.col("sketch") == "cm", F.array_min(values)).otherwise(_median_of(F.sort_array(values), depth))
+    return met.select("sketch", "R", *keys, est.cast("bigint").alias("est"))
 
 
 def token_positions(tokens: DataFrame, width: int, kind: str, depth: int = params.TOKEN_DEPTH,
                     token: str = "token", extra: list[str] | None = None) -> DataFrame:
     """``(token, extra..., row, col, sign)`` per distinct token and row."""
-    extra = extra or []
-    return (tokens.select(token, *extra, F.posexplode(token_hash_columns(F.col(token), width, kind, depth))
-                          .alias("row", "cs"))
-            .select(token, *extra, F.col("row").cast("bigint").alias("row"),
-                    F.col("cs.c").alias("col"), F.col("cs.s").alias("sign")))
+    return sketch_positions(tokens, [(kind, width)], depth, token, extra).drop("sketch", "R")
 
 
 def token_cells(counts: DataFrame, width: int, kind: str, depth: int = params.TOKEN_DEPTH,
@@ -122,23 +158,33 @@ def _median_of(sorted_arr: Column, n: int) -> Column:
     return F.floor((lo + hi) / F.lit(2)).cast("bigint")
 
 
-def token_estimates(probe_tokens: DataFrame, cells: DataFrame, width: int, kind: str,
-                    depth: int = params.TOKEN_DEPTH, token: str = "token") -> DataFrame:
-    """Point estimates for every probe token: kind in {cm, cmedian, csketch}.
+def token_estimates(counts: DataFrame, specs: list[Spec], depth: int = params.TOKEN_DEPTH,
+                    token: str = "token", cnt: str = "cnt") -> DataFrame:
+    """``(sketch, R, token, cnt, est)`` of every token, for all sketches in one plan.
 
     Cells are bounded by depth x width rows, a parameter, so they are
     broadcast when that bound is small; otherwise the join shuffles."""
-    pos = token_positions(probe_tokens.select(token).distinct(), width, kind, depth, token)
-    small_cells = bounded_broadcast(cells, depth * width)
-    j = pos.join(small_cells, ["row", "col"], "left")
-    val = F.coalesce(F.col("cnt"), F.lit(0)).cast("bigint")
-    if kind == "csketch":
-        val = val * F.col("sign")
-    if kind == "cm":
-        agg = F.min(val)
-    else:
-        agg = _median_of(F.sort_array(F.collect_list(val)), depth)
-    return j.groupBy(token).agg(agg.cast("bigint").alias("est"))
+    positions = sketch_positions(counts, specs, depth, token, [cnt])
+    small = bounded_broadcast(sketch_cells(positions, cnt), cell_bound(specs, depth), KIND_BYTES)
+    return sketch_estimates(positions, small, [token, cnt], depth)
+
+
+#: a sketch's name in a row
+KIND_BYTES = 16
+
+
+def by_broadcast(specs: list[Spec], depth: int = params.TOKEN_DEPTH) -> list[list[Spec]]:
+    """The sketches whose cells together may be broadcast, and the rest."""
+    small: list[Spec] = []
+    for spec in sorted(specs, key=lambda x: x[1]):
+        if broadcast_bytes(cell_bound([*small, spec], depth), len(CELL) + 1, KIND_BYTES) > params.BROADCAST_BOUND_BYTES:
+            break
+        small.append(spec)
+    return [part for part in (small, [x for x in specs if x not in small]) if part]
+
+
+def cell_bound(specs: list[Spec], depth: int) -> int:
+    return depth * sum(width for _, width in specs)
 
 
 # ----------------------------------------------------------------------------

@@ -9,6 +9,8 @@ parameter, so they are broadcast when that bound is small.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,12 +40,9 @@ def _cells(counts: DataFrame, width: int, kind: str) -> DataFrame:
     return S.token_cells(counts, width, kind)
 
 
-def estimates(counts: DataFrame, width: int, kind: str, probe: DataFrame | None = None) -> DataFrame:
-    """(token, true_cnt, est) for every probe token (default: all tokens)."""
-    if probe is None:
-        probe = counts
-    est = S.token_estimates(probe.select("token"), _cells(counts, width, kind), width, kind)
-    return probe.select("token", F.col("cnt").alias("true_cnt")).join(est, "token")
+def estimates(counts: DataFrame, width: int, kind: str) -> DataFrame:
+    """(token, true_cnt, est) for every token."""
+    return S.token_estimates(counts, [(kind, width)]).select("token", F.col("cnt").alias("true_cnt"), "est")
 
 
 def bottomk_tokens(spark, sf_dir):
@@ -137,23 +136,22 @@ def frequent_tokens(spark, sf_dir):
     return covered(frequent, found, "cnt", TRACKED).select(F.col("item").alias("token"), "cnt", F.col("inside").alias("bounded"))
 
 
-def all_estimates(c: DataFrame, widths=P.TOKEN_WIDTHS) -> DataFrame:
-    """``(R, sketch, token, true_cnt, est)`` of every token, sketch and width in one
-    plan: the sketch and its width are key columns.  Each width's cells are joined
-    in the frame of its own bound, so a broadcast is never sized by another width."""
-    out = None
-    for width in widths:
-        for kind in SKETCHES:
-            e = estimates(c, width, kind).select(
-                F.lit(width).cast("bigint").alias("R"), F.lit(kind).alias("sketch"), "token", "true_cnt", "est")
-            out = e if out is None else out.unionByName(e)
-    return out
+SPECS = [(kind, width) for width in P.TOKEN_WIDTHS for kind in SKETCHES]
+
+
+def all_estimates(c: DataFrame, specs=SPECS) -> DataFrame:
+    """``(sketch, R, token, true_cnt, est)`` of every token and sketch.  The sketch and its width are key
+    columns: one plan for the sketches whose cells may be broadcast, one for the rest."""
+    parts = [S.token_estimates(c, part) for part in S.by_broadcast(specs)]
+    return reduce(DataFrame.unionByName, parts).withColumnRenamed("cnt", "true_cnt")
 
 
 def _shared_counts(spark, sf_dir) -> DataFrame:
     """Token counts cut from their lineage (written to the checkpoint folder)
-    because nine sketches and three evaluation sets read them."""
-    return cut_lineage(token_counts(spark, sf_dir))
+    because all sketches and three evaluation sets read them.  They lie in as many parts as
+    a shuffle has, not in the fewer that their few bytes ask for: each row becomes 45 positions."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(token_counts(spark, sf_dir).repartition(parts, "token"))
 
 
 def topk_overlap(spark, sf_dir):
@@ -186,14 +184,12 @@ def token_error_sets(spark, sf_dir):
     by true frequency within each set."""
     c = _shared_counts(spark, sf_dir)
     sets = cut_lineage(eval_sets(c))
-    probe = sets.select("token", "cnt").distinct()
-    out = None
-    for width in P.TOKEN_WIDTHS:
-        for kind in SKETCHES:
-            e = estimates(c, width, kind, probe).select(
-                F.lit(width).cast("bigint").alias("R"), F.lit(kind).alias("sketch"), "token", "est")
-            out = e if out is None else out.unionByName(e)
-    out = sets.join(out, "token").select("set", "R", "sketch", "token", F.col("cnt").alias("true_cnt"), "est")
+    asked = cut_lineage(S.sketch_positions(sets.select("token").distinct(), SPECS))
+    # only the cells that are asked for are summed
+    few = bounded_broadcast(asked.select(*S.CELL).distinct(), 3 * P.TOKEN_EVAL_SET_SIZE * len(SPECS) * P.TOKEN_DEPTH, S.KIND_BYTES)
+    cells = S.sketch_cells(S.sketch_positions(c, SPECS, extra=["cnt"]).join(few, S.CELL))
+    est = S.sketch_estimates(asked, cells, ["token"])
+    out = sets.join(est, "token").select("set", "R", "sketch", "token", F.col("cnt").alias("true_cnt"), "est")
     rel = F.when(F.col("true_cnt") > 0, F.abs(F.col("est") - F.col("true_cnt")) / F.col("true_cnt")) \
         .otherwise(F.lit(0.0))
     w = Window.partitionBy("set", "R", "sketch").orderBy(F.col("true_cnt").desc(), F.col("token"))
