@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import write_json
+from ..sources.sinks import write_json, write_tsv
 from . import events, tokens
 
 
@@ -29,5 +29,11 @@ def write_bursts(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def write_token_report(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """K5: errors of every sketch, width and token set."""
-    write_json(tokens.token_error_sets(spark, sf_dir), path)
+    """K5, three folders under ``path``: ``statistics`` (tokens, distinct tokens, bytes of an exact
+    dictionary, in one row), ``intersection`` (each sketch's overlap with the true top list, a row per
+    width, a column per sketch) and ``errors`` (every sketch, width and token set)."""
+    write_json(tokens.dictionary_stats(spark, sf_dir).withColumn("depth", F.lit(tokens.P.TOKEN_DEPTH))
+               .withColumn("widths", F.array(*[F.lit(w) for w in tokens.P.TOKEN_WIDTHS])), f"{path}/statistics")
+    overlap = tokens.topk_overlap(spark, sf_dir).groupBy("R").pivot("sketch", list(tokens.SKETCHES)).agg(F.first("overlap"))
+    write_tsv(overlap.orderBy("R"), f"{path}/intersection")
+    write_json(tokens.token_error_sets(spark, sf_dir), f"{path}/errors")

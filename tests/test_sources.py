@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from freqscope import params
+from freqscope.functions.text import tokenize
 from freqscope.operators import metrics
-from freqscope.plans import reports
+from freqscope.plans import reports, tokens
 from freqscope.sources import files, sinks
 from freqscope.streaming import jobs
 
@@ -62,7 +64,23 @@ def test_report_jobs(spark, tmp_path):
     reports.write_bursts(spark, SF_SMALL, str(tmp_path / "burst"))
     assert {"bucket", "target", "true_burst", "est_burst"} <= set(spark.read.json(str(tmp_path / "burst")).columns)
     reports.write_token_report(spark, SF_SMALL, str(tmp_path / "tokens"))
-    assert spark.read.json(str(tmp_path / "tokens")).count() > 0
+    assert spark.read.json(str(tmp_path / "tokens" / "errors")).count() > 0
+
+
+def test_token_report_states_statistics_and_intersection(spark, tmp_path):
+    reports.write_token_report(spark, SF_SMALL, str(tmp_path))
+    docs = [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect()]
+    words = spark.createDataFrame([(t,) for t in docs], "text string").select(F.explode(tokenize(F.col("text"))).alias("t"))
+    counts = {r.t: r["count"] for r in words.groupBy("t").count().collect()}
+    (stats,) = spark.read.json(str(tmp_path / "statistics")).collect()
+    assert (stats.total_tokens, stats.unique_tokens) == (sum(counts.values()), len(counts))
+    assert stats.dict_bytes == sum(len(t.encode()) + 8 for t in counts)
+    assert stats.depth == params.TOKEN_DEPTH and list(stats.widths) == list(params.TOKEN_WIDTHS)
+    table = spark.read.option("sep", "\t").option("header", True).option("inferSchema", True).csv(str(tmp_path / "intersection"))
+    rows = {r.R: r for r in table.collect()}
+    assert sorted(rows) == sorted(params.TOKEN_WIDTHS) and set(table.columns) == {"R", "cm", "cmedian", "csketch"}
+    want = {(r.sketch, r.R): r.overlap for r in tokens.topk_overlap(spark, SF_SMALL).collect()}
+    assert all(rows[w][k] == n for (k, w), n in want.items())
 
 
 def test_percentiles_and_histogram(spark):
