@@ -96,11 +96,13 @@ def minhash_family(n: int) -> tuple[tuple[int, int], ...]:
     return affine_family("minhash", n, params.MINHASH_PRIME)
 
 
-def band_bucket(table: Column, band: Column) -> Column:
-    """X13 as an exact band id: md5("{table}:{v1,v2,...}"), 60 bits."""
+def band_bucket(table: Column, band: Column, buckets: Column | None = None) -> Column:
+    """X13 as an exact band id: md5("{table}:{v1,v2,...}"), 60 bits; reduced mod ``buckets``
+    where that is given and above 0 (a table of that many buckets: different bands may share one)."""
     key = F.concat(table.cast("string"), F.lit(":"),
                    F.array_join(band.cast("array<string>"), ","))
-    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+    exact = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+    return exact if buckets is None else F.when(buckets > 0, F.pmod(exact, F.greatest(buckets, F.lit(1)))).otherwise(exact)
 
 
 def poly_hash(x: Column, coeffs, p: int, out_mod: int) -> Column:

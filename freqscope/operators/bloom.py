@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
+from ..functions.hashing import bounded_broadcast
 
+#: bits of a filter word, as Spark's bitmap functions cut them
+WORD_BITS = 32768
 U64 = "decimal(20,0)"
 
 
@@ -29,11 +32,18 @@ def theoretical_fp(n: Column, m: Column, k: Column) -> Column:
     return F.pow(1 - F.exp(-k * n / m), k)
 
 
-def key_hashes(keys: DataFrame, key: str, m: Column, seed: int = params.BLOOM_SEED) -> DataFrame:
+def digests(keys: DataFrame, key: str, seed: int = params.BLOOM_SEED) -> DataFrame:
+    """``keys`` with the two 8-byte words of each key's sha256.  Taken before the keys meet several
+    filter sizes, so a key is hashed once for all of them."""
     d = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
-    h1 = F.conv(F.substring(d, 1, 16), 16, 10).cast(U64)
-    h2 = F.conv(F.substring(d, 17, 16), 16, 10).cast(U64)
-    mm = m.cast(U64)
+    return keys.withColumn("word_1_", F.conv(F.substring(d, 1, 16), 16, 10).cast(U64)) \
+               .withColumn("word_2_", F.conv(F.substring(d, 17, 16), 16, 10).cast(U64))
+
+
+def key_hashes(keys: DataFrame, key: str, m: Column, seed: int = params.BLOOM_SEED) -> DataFrame:
+    if "word_1_" not in keys.columns:
+        keys = digests(keys, key, seed)
+    h1, h2, mm = F.col("word_1_"), F.col("word_2_"), m.cast(U64)
     # odd, so never 0, and all k positions differ when m is a power of two
     half = F.greatest(F.lit(1).cast("bigint"), F.floor(m / F.lit(2)).cast("bigint")).cast(U64)
     return keys.withColumn("h1", F.pmod(h1, mm).cast("bigint")) \
@@ -44,7 +54,8 @@ def positions(keys: DataFrame, key: str, m: Column, k: Column, extra: list[str]
               seed: int = params.BLOOM_SEED) -> DataFrame:
     """``(extra..., key, i, pos)`` for i in 0..k-1."""
     extra = extra or []
-    h = key_hashes(keys.select(*dict.fromkeys([*extra, key])), key, m, seed)
+    taken = [c for c in ("word_1_", "word_2_") if c in keys.columns]
+    h = key_hashes(keys.select(*dict.fromkeys([*extra, key, *taken])), key, m, seed)
     h = h.withColumn("m_", m).withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1)))
     return h.select(*extra, key, "i",
                     F.pmod(F.col("h1") + F.col("i") * F.col("h2"), F.col("m_")).alias("pos"))
@@ -73,13 +84,17 @@ def _bit(bits: Column, pos: Column) -> Column:
 
 
 def probe(filter_words: DataFrame, probes: DataFrame, key: str, m: Column, k: Column,
-          extra: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
+          extra: list[str] | None = None, carry: list[str] | None = None, bits: list[int] | None = None) -> DataFrame:
     """``(extra..., carry..., key, present)``; a key is present when all k of
     its positions are set.  ``extra`` names the filter, ``carry`` goes along.  Probes meet
-    the filter by word; Spark broadcasts the words if they turn out small."""
+    the filter by word.  ``bits``: the sizes of all filters; words that these prove small are broadcast,
+    a key's k positions are then looked up where the key is, and one row per key is shuffled.
+    Otherwise positions are shuffled to their words."""
     extra, carry = extra or [], carry or []
     pp = positions(probes, key, m, k, [*extra, *carry]) \
         .withColumn("word", F.bitmap_bucket_number(F.col("pos") + 1))
+    if bits:
+        filter_words = bounded_broadcast(filter_words, sum(-(-m // WORD_BITS) for m in bits), WORD_BITS // 8)
     j = pp.join(filter_words, [*extra, "word"], "left")
     hit = F.coalesce(_bit(F.col("bits"), F.col("pos")), F.lit(False))
     return j.groupBy(*extra, *carry, key).agg(F.min(hit).alias("present"))

@@ -49,14 +49,15 @@ def signatures(sh: DataFrame, n_hashes: int) -> DataFrame:
     return sh.select("url", "sh").mapInArrow(run, "url string, sh array<string>, sig array<long>")
 
 
-def bands(sig: DataFrame, K: int, L: int, extra: list[str] | None = None) -> DataFrame:
-    """``(url, tbl, bucket)``; table t hashes sig[t*K : t*K+K]."""
+def bands(sig: DataFrame, K: int, L: int, extra: list[str] | None = None, buckets: Column | None = None) -> DataFrame:
+    """``(url, tbl, bucket)``; table t hashes sig[t*K : t*K+K], into ``buckets``
+    buckets (D6) where that column is given and above 0."""
     extra = extra or []
     t = sig.select("url", "sig", *extra,
                    F.explode(F.sequence(F.lit(0), F.lit(L - 1))).alias("tbl"))
     band = F.slice(F.col("sig"), F.col("tbl") * K + 1, F.lit(K))
     return t.select("url", *extra, F.col("tbl").cast("bigint").alias("tbl"),
-                    band_bucket(F.col("tbl"), band).alias("bucket"))
+                    band_bucket(F.col("tbl"), band, buckets).alias("bucket"))
 
 
 def sample_queries(urls: DataFrame, n: int = P.LSH_NUM_QUERIES, seed: int = P.LSH_QUERY_SEED) -> DataFrame:
@@ -65,13 +66,15 @@ def sample_queries(urls: DataFrame, n: int = P.LSH_NUM_QUERIES, seed: int = P.LS
     return urls.orderBy(key, F.col("url")).limit(n).select(F.col("url").alias("query"))
 
 
-def candidates(index: DataFrame, query_bands: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def candidates(index: DataFrame, query_bands: DataFrame, keys: list[str] | None = None,
+               tables: int = P.LSH_L, variants: int = 1) -> DataFrame:
     """Distinct (query, candidate) pairs sharing a bucket in any table,
     self excluded.  The query side (num_queries x L rows, a parameter bound)
-    is broadcast, so the index is streamed and never shuffled for the probe."""
+    is broadcast, so the index is streamed and never shuffled for the probe; so it is
+    with ``keys`` of at most ``variants`` values."""
     keys = keys or []
     qb = query_bands.select(*keys, F.col("url").alias("query"), "tbl", "bucket")
-    j = index.join(bounded_broadcast(qb, P.LSH_NUM_QUERIES * P.LSH_L, P.URL_BYTES), [*keys, "tbl", "bucket"])
+    j = index.join(bounded_broadcast(qb, P.LSH_NUM_QUERIES * tables * variants, P.URL_BYTES), [*keys, "tbl", "bucket"])
     return (j.where(F.col("url") != F.col("query"))
             .select(*keys, "query", F.col("url").alias("candidate")).distinct())
 

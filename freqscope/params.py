@@ -30,6 +30,8 @@ TOKEN_SAMPLE_SEED = 18147
 LSH_TUNE_K = (2, 3, 4, 5, 6)
 LSH_TUNE_L = (20, 50, 100)
 SHINGLE_N = 3
+LSH_PRUNE_K, LSH_PRUNE_L = 6, 20   # bands so long that few pairs meet
+LSH_BUCKETS = (0, 4096)            # buckets of a table; 0: one for each different band
 URL_BYTES = 2048              # bound on a URL's text where a list of query URLs is broadcast
 # Bloom filter.
 BLOOM_SEED = 42

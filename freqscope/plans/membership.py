@@ -33,6 +33,20 @@ def _absent(keys):
     return shifted.join(keys, "key", "left_anti")
 
 
+def _sized(keys, fp_rates, budgets=0):
+    """``[(name, m, k)]``, numbers in the driver: filters for target rates and, doubled ``budgets``
+    times, bit budgets from the next power of two on.  A table without keys is sized for one."""
+    n = F.lit(max(keys.count(), 1)).cast("double")
+    sizes = [(f"p={p}", *B.bloom_size(n, p)) for p in fp_rates]
+    for j in range(budgets):
+        m = F.pow(F.lit(2.0), F.ceil(F.log2(n)).cast("bigint") + j).cast("bigint")
+        k = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(0.7) * m / n).cast("bigint"))
+        sizes.append((f"R=2^(log2N+{j})", m, k))
+    row = keys.sparkSession.range(1).select(n.alias("n"), *[c.alias(f"{x}{i}") for i, (_, m, k) in enumerate(sizes)
+                                                            for x, c in (("m", m), ("k", k))]).first()
+    return row["n"], [(name, row[f"m{i}"], row[f"k{i}"]) for i, (name, _, _) in enumerate(sizes)]
+
+
 def bloom_positions(spark, sf_dir):
     """The set bits of a filter over all order keys, sized for p = 0.01."""
     keys = _keys(spark, sf_dir)
@@ -44,13 +58,13 @@ def bloom_positions(spark, sf_dir):
 def bloom_membership(spark, sf_dir):
     """Every inserted key tests present (no false negatives); the
     observed false-positive rate on absent keys."""
-    keys = _keys(spark, sf_dir)
-    n = keys.select(F.count(F.lit(1))).scalar()
-    m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
+    keys = cut_lineage(_keys(spark, sf_dir))
+    _, [(_, size, k)] = _sized(keys, P.BLOOM_FP_TARGETS[:1])
+    m, k = F.lit(size), F.lit(k)
     bits = B.words(keys, "key", m, k)
     probes = keys.select(F.lit("present").alias("probe_set"), "key") \
         .unionByName(_absent(keys).select(F.lit("absent").alias("probe_set"), "key"))
-    res = B.probe(bits, probes, "key", m, k, carry=["probe_set"])
+    res = B.probe(bits, probes, "key", m, k, carry=["probe_set"], bits=[size])
     return res.groupBy("probe_set").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_probes"),
         F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_positive"),
@@ -60,23 +74,19 @@ def bloom_membership(spark, sf_dir):
 def bloom_fp_sweep(spark, sf_dir):
     """Filters sized from target rates (p = 1e-2, 1e-3, 1e-4) and
     from bit budgets R = 2^(ceil(log2 N) + j) with k = max(1, int(0.7 R/N)),
-    all built and probed in one job (config id as a key column)."""
-    keys = _keys(spark, sf_dir)
-    n = keys.select(F.count(F.lit(1)).cast("double")).scalar()
-    cfgs = []
-    for p in P.BLOOM_FP_TARGETS:
-        m, k = B.bloom_size(n, p)
-        cfgs.append((f"p={p}", m, k))
-    base = F.ceil(F.log2(n)).cast("bigint")
-    for j in range(4):
-        m = F.pow(F.lit(2.0), base + j).cast("bigint")
-        k = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(0.7) * m / n).cast("bigint"))
-        cfgs.append((f"R=2^(log2N+{j})", m, k))
-    cfg = F.array(*[F.struct(F.lit(c).alias("cfg"), m.alias("m"), k.alias("k")) for c, m, k in cfgs])
-    kc = keys.select("key", F.explode(cfg).alias("c")).select("c.cfg", "c.m", "c.k", "key")
-    bits = B.words(kc, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
-    ab = _absent(keys).select("key", F.explode(cfg).alias("c")).select("c.cfg", "c.m", "c.k", "key")
-    hit = B.probe(bits, ab, "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
+    all built and probed in one job (config id as a key column).  A key is hashed once for
+    all sizes."""
+    keys = cut_lineage(_keys(spark, sf_dir))
+    n, cfgs = _sized(keys, P.BLOOM_FP_TARGETS, 4)
+    cfg = F.array(*[F.struct(F.lit(c).alias("cfg"), F.lit(m).cast("bigint").alias("m"), F.lit(k).cast("bigint").alias("k"))
+                    for c, m, k in cfgs])
+
+    def every(some):
+        return B.digests(some, "key").withColumn("c", F.explode(cfg)).select("c.cfg", "c.m", "c.k", "key", "word_1_", "word_2_")
+
+    bits = B.words(every(keys), "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
+    hit = B.probe(bits, every(_absent(keys)), "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"],
+                  bits=[m for _, m, _ in cfgs])
     out = hit.groupBy("cfg", "m", "k").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_absent"),
         F.avg(F.col("present").cast("double")).alias("observed_fp"))
@@ -90,13 +100,13 @@ def url_bloom(spark, sf_dir):
     """E6 on URLs: a filter over the distinct page URLs (p = 0.01) probed with
     ``fake{n}.com`` names that no URL equals."""
     from ..sources.tables import distinct_urls
-    urls = distinct_urls(spark, sf_dir).select(F.col("url").alias("key"))
-    n = urls.select(F.count(F.lit(1))).scalar()
-    m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
+    urls = cut_lineage(distinct_urls(spark, sf_dir).select(F.col("url").alias("key")))
+    _, [(_, size, k)] = _sized(urls, P.BLOOM_FP_TARGETS[:1])
+    m, k = F.lit(size), F.lit(k)
     bits = B.words(urls, "key", m, k)
     fake = urls.select(F.concat(F.lit("fake"), F.md5("key"), F.lit(".com")).alias("key")) \
         .join(urls, "key", "left_anti")
-    res = B.probe(bits, fake, "key", m, k)
+    res = B.probe(bits, fake, "key", m, k, bits=[size])
     return res.agg(F.count(F.lit(1)).cast("bigint").alias("n_absent"),
                    F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_false_positive"),
                    F.round(F.avg(F.col("present").cast("double")), R).alias("observed_fp"))

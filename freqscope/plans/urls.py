@@ -70,6 +70,30 @@ def lsh_candidates(spark, sf_dir):
     return _indexed(spark, sf_dir).candidates()
 
 
+def lsh_pruned(spark, sf_dir):
+    """Candidates under bands of ``LSH_PRUNE_K`` values, which drop most pairs, with exact
+    band ids (B = 0) and with tables of B buckets, where different bands may meet; per B the
+    pairs, their share of all query/URL pairs and the mean Jaccard index of what is left."""
+    K, L, sizes = P.LSH_PRUNE_K, P.LSH_PRUNE_L, P.LSH_BUCKETS
+    j = UrlJob(spark, sf_dir, K, L, hashes=K * L)
+    every = F.explode(F.array(*[F.lit(b).cast("bigint") for b in sizes]))
+
+    def index(sig):
+        return lsh.bands(sig.withColumn("B", every), K, L, ["B"], F.col("B"))
+
+    pairs = lsh.candidates(index(j.sh), index(j.q_sh), ["B"], L, len(sizes))
+    scored = lsh.with_jaccard(pairs, j.sh, j.q_sh)
+    found = scored.groupBy("B").agg(F.count("*").cast("bigint").alias("n_pairs"), F.avg("jaccard").alias("mean"))
+    n = j.sh.agg(F.count("*").cast("double").alias("n_urls"))
+    q = j.queries.agg(F.count("*").cast("double").alias("n_queries"))
+    rows = spark.createDataFrame([(b,) for b in sizes], "B bigint")
+    possible = F.col("n_queries") * (F.col("n_urls") - 1)
+    return rows.join(found, "B", "left").join(n, F.lit(True)).join(q, F.lit(True)).select(
+        "B", F.coalesce("n_pairs", F.lit(0)).cast("bigint").alias("n_pairs"),
+        F.round(F.when(possible > 0, F.coalesce("n_pairs", F.lit(0)) / possible).otherwise(0.0), R).alias("share"),
+        F.round(F.coalesce("mean", F.lit(0.0)), R).alias("mean_jaccard"))
+
+
 def lsh_top10(spark, sf_dir):
     """The ten most similar candidates per query, by exact Jaccard."""
     t = lsh.top10(_indexed(spark, sf_dir).scored())
@@ -138,5 +162,5 @@ def lsh_scurve(spark, sf_dir):
 
 
 JOBS = {n: globals()[n] for n in [
-    "url_shingles", "minhash_signatures", "lsh_buckets", "lsh_candidates", "lsh_top10",
+    "url_shingles", "minhash_signatures", "lsh_buckets", "lsh_candidates", "lsh_pruned", "lsh_top10",
     "jaccard_bruteforce", "lsh_quality", "lsh_tuning", "lsh_scurve"]}

@@ -69,6 +69,22 @@ SELECT url, i AS idx, v AS minhash FROM mh"""
 SELECT url, tbl, bucket FROM bk"""
     q["lsh_candidates"] = f"""WITH {base(K * L)},{lsh_ctes()}
 SELECT query, candidate FROM cand"""
+    k, l = P.LSH_PRUNE_K, P.LSH_PRUNE_L
+    sizes = ", ".join(f"({b})" for b in P.LSH_BUCKETS)
+    q["lsh_pruned"] = f"""WITH {base(k * l)},
+bb AS (SELECT CAST(B AS BIGINT) AS B FROM (VALUES {sizes}) v(B)),
+ex AS (SELECT s.url, CAST(t.tbl AS BIGINT) AS tbl, {bucket_expr('t.tbl', 's.sig', str(k))} AS bucket FROM sig s, range(0, {l}) t(tbl)),
+bk AS (SELECT url, tbl, B, CASE WHEN B > 0 THEN bucket % B ELSE bucket END AS bucket FROM ex, bb),
+cand AS (SELECT DISTINCT x.B, x.url AS query, y.url AS candidate FROM bk x JOIN q ON x.url = q.query
+         JOIN bk y ON x.B = y.B AND x.tbl = y.tbl AND x.bucket = y.bucket WHERE x.url <> y.url),
+sc AS (SELECT c.B, len(list_intersect(a.sh, b.sh)) / (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh))) AS jaccard
+       FROM cand c JOIN sh a ON a.url = c.query JOIN sh b ON b.url = c.candidate),
+g AS (SELECT B, count(*) AS n, avg(jaccard) AS mj FROM sc GROUP BY B),
+tot AS (SELECT (SELECT count(*) FROM q) * ((SELECT count(*) FROM u) - 1) AS possible)
+SELECT bb.B, CAST(coalesce(g.n, 0) AS BIGINT) AS n_pairs,
+       round(CASE WHEN possible > 0 THEN coalesce(g.n, 0) / possible ELSE {D(0)} END, {R}) AS share,
+       round(coalesce(g.mj, {D(0)}), {R}) AS mean_jaccard
+FROM bb LEFT JOIN g ON g.B = bb.B, tot"""
     q["lsh_top10"] = f"""WITH {base(K * L)},{lsh_ctes()}
 SELECT query, candidate, round(jaccard, {R}) AS jaccard, rank FROM t10"""
     q["jaccard_bruteforce"] = f"""WITH {base(1)},{bf_ctes()}
