@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark (file, directory or any Spark path)."""
@@ -18,18 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    A temporary folder stands in only where the setting is absent and the
-    session is a single local JVM (tests); otherwise a missing setting raises."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local[") and master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="freqscope-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, by the rule of the session."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

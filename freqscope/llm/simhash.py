@@ -17,7 +17,8 @@ comparisons, hence the blocks.
 Groups: each task joins the links it finds into trees and hands on one edge per
 fingerprint; rounds of large-star and small-star steps connect the trees.  Equal
 fingerprints are one node from the start.  An anchor that is home to more than
-``HOMES`` fingerprints is dealt out in slices; its copies go to every slice.
+``HOMES`` fingerprints is dealt out in slices; its copies go to every slice.  The joins
+of rows with the one value of their key (``attach``) deal out the rows of hot keys too.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero,
 linked like any other; fewer than four words are one shingle; repeated ids and
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +46,8 @@ SEED = 42
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 CODE_BITS, RADIUS, STEP = 15, 1, MAX_BITS // len(BLOCKS)
 HOMES = 2048
+#: slices of the rows of one key in joins
+SLICES = 64
 HOT_BROADCAST_ROWS = 100_000
 DROP_BROADCAST_ROWS = 2_000_000
 
@@ -217,15 +220,29 @@ def link_edges(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .mapInArrow(_links(max_bits), "u long, v long"))
 
 
+def attach(many: DataFrame, few: DataFrame, key: str, slice_: Column) -> DataFrame:
+    """``many`` joined with the one row that ``few`` holds of each key.
+
+    The rows of a key are dealt into ``SLICES`` slices by ``slice_``, and few's row goes to
+    those that occur, so a key of any number of rows is spread over as many tasks."""
+    dealt = many.withColumn("slice_", slice_)
+    placed = dealt.select(key, "slice_").distinct().join(few, key)
+    return dealt.join(placed, [key, "slice_"]).drop("slice_")
+
+
+def _slice_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SLICES))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return attach(both, least, "u", _slice_of("v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = attach(edges, least, "u", _slice_of("v")).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
@@ -252,13 +269,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """(id, fp, root, component): one row per row of ``docs``; ``root`` is the least
     fingerprint that links reach, ``component`` the smallest id there."""
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    fps = stored(fingerprints(docs, id_col, text_col, shingle)
+                 .withColumn("turn_", F.pmod(F.monotonically_increasing_id(), F.lit(SLICES))), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
     roots = components(link_edges(distinct.select("fp"), max_bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["u"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return fps.join(rooted.join(least, "root").select("fp", "root", "component"), "fp")
+    named = attach(rooted, least, "root", _slice_of("fp")).select("fp", "root", "component")
+    return attach(fps, named, "fp", F.col("turn_")).select(id_col, "fp", "root", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
