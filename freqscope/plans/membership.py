@@ -64,7 +64,7 @@ def bloom_membership(spark, sf_dir):
     bits = B.words(keys, "key", m, k)
     probes = keys.select(F.lit("present").alias("probe_set"), "key") \
         .unionByName(_absent(keys).select(F.lit("absent").alias("probe_set"), "key"))
-    res = B.probe(bits, probes, "key", m, k, carry=["probe_set"], bits=[size])
+    res = B.probe(bits, cut_lineage(probes), "key", m, k, carry=["probe_set"], bits=[size])
     return res.groupBy("probe_set").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_probes"),
         F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_positive"),
@@ -82,10 +82,11 @@ def bloom_fp_sweep(spark, sf_dir):
                     for c, m, k in cfgs])
 
     def every(some):
-        return B.digests(some, "key").withColumn("c", F.explode(cfg)).select("c.cfg", "c.m", "c.k", "key", "word_1_", "word_2_")
+        return B.digests(some, "key").withColumn("c", F.explode(cfg)).select("c.cfg", "c.m", "c.k", "key", "digest_")
 
     bits = B.words(every(keys), "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"])
-    hit = B.probe(bits, every(_absent(keys)), "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"],
+    # blocks of probes are read again from files if a task is repeated, so they stay the same blocks
+    hit = B.probe(bits, every(cut_lineage(_absent(keys))), "key", F.col("m"), F.col("k"), extra=["cfg", "m", "k"],
                   bits=[m for _, m, _ in cfgs])
     out = hit.groupBy("cfg", "m", "k").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_absent"),
@@ -106,7 +107,7 @@ def url_bloom(spark, sf_dir):
     bits = B.words(urls, "key", m, k)
     fake = urls.select(F.concat(F.lit("fake"), F.md5("key"), F.lit(".com")).alias("key")) \
         .join(urls, "key", "left_anti")
-    res = B.probe(bits, fake, "key", m, k, bits=[size])
+    res = B.probe(bits, cut_lineage(fake), "key", m, k, bits=[size])
     return res.agg(F.count(F.lit(1)).cast("bigint").alias("n_absent"),
                    F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_false_positive"),
                    F.round(F.avg(F.col("present").cast("double")), R).alias("observed_fp"))
