@@ -6,6 +6,8 @@ into 16-bit halves; nothing overflows, also in ANSI mode.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,6 +77,67 @@ def murmur3_32_int(x: Column, seed: Column | int = 0) -> Column:
     return _final(_step(seed, _low(x.cast("bigint"))), F.lit(4).cast("bigint"))
 
 
+# ----------------------------------------------------------------------------
+# The same over arrays: 32-bit products wrap
+# ----------------------------------------------------------------------------
+
+def _np_turn(x: np.ndarray, by: int) -> np.ndarray:
+    return x << np.uint32(by) | x >> np.uint32(32 - by)
+
+
+def _np_block(k: np.ndarray) -> np.ndarray:
+    return _np_turn(k * np.uint32(C1), 15) * np.uint32(C2)
+
+
+def _np_step(h: np.ndarray, k: np.ndarray) -> np.ndarray:
+    return _np_turn(h ^ _np_block(k), 13) * np.uint32(5) + np.uint32(STEP)
+
+
+def _np_final(h: np.ndarray, size: int) -> np.ndarray:
+    h = h ^ np.uint32(size)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(MIX1)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(MIX2)
+    return h ^ h >> np.uint32(16)
+
+
+def murmur3_ints(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """``murmur3_32_int`` of an array's low 32 bits, unsigned."""
+    k = (np.asarray(x).astype(np.int64) & MASK).astype(np.uint32)
+    return _np_final(_np_step(np.full(k.shape, seed, np.uint32), k), 4)
+
+
+def murmur3_texts(texts: pa.Array, seeds: list[int]) -> np.ndarray:
+    """``murmur3_32`` of non-null texts under each seed: a row of unsigned values per text.  Texts
+    of one length are hashed together."""
+    raw = texts.cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+    out = np.empty((len(raw), len(seeds)), np.uint32)
+    sizes = np.diff(ends)
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        padded = np.zeros((len(rows), size // 4 * 4 + 4), np.uint8)  # the blocks, then the tail
+        if size:
+            padded[:, :size] = data[ends[rows][:, None] + np.arange(size)]
+        blocks = padded.view("<u4")
+        h = np.tile(np.array(seeds, np.uint32), (len(rows), 1))
+        for i in range(size // 4):
+            h = _np_step(h, blocks[:, i, None])
+        out[rows] = _np_final(h ^ _np_block(blocks[:, -1, None]), size)
+    return out
+
+
+def murmur3_32_seeds(key: Column, seeds: list[int], mod: int = 1 << 32) -> Column:
+    """``murmur3_32`` of a text under each seed, modulo ``mod``, as one list; null for null."""
+    @F.arrow_udf("array<bigint>")
+    def hashes(texts: pa.Array) -> pa.Array:
+        at = murmur3_texts(texts.fill_null(""), seeds).astype(np.int64) % mod
+        ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(seeds))
+        return pa.ListArray.from_arrays(ends, pa.array(at.ravel()), mask=texts.is_null())
+
+    return hashes(key.cast("string"))
+
+
 def _sql_times(x: str, c: int) -> str:
     return f"(({x})::HUGEINT * {c} % 4294967296)::BIGINT"
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.hashing import md5_u64, poly_hash
-from ..functions.murmur import murmur3_32, murmur3_32_int
+from ..functions.murmur import murmur3_32_int, murmur3_32_seeds
 from ..operators import bloom as B
 from ..session import cut_lineage
 from ..sources.tables import read_table
@@ -163,9 +163,9 @@ def _avalanche(keys, hashes):
 
 def murmur_bloom(spark, sf_dir):
     """A filter of k Murmur3 positions per key, seeds ``BLOOM_SEED + i``, sized
-    for p = 0.01; all keys and as many absent ones are probed.  A probe is one row with
-    the list of its positions per word, not one row per position."""
-    keys = _keys(spark, sf_dir)
+    for p = 0.01; all keys and as many absent ones are probed.  Keys are hashed in arrays under
+    all seeds at once, and their positions travel packed."""
+    keys = cut_lineage(_keys(spark, sf_dir))
     n = keys.select(F.count(F.lit(1))).scalar()
     m, k = B.bloom_size(n, P.BLOOM_FP_TARGETS[0])
     sized = keys.sparkSession.range(1).select(m.alias("m"), k.alias("k")).first()  # two numbers
@@ -173,9 +173,9 @@ def murmur_bloom(spark, sf_dir):
         return keys.select(F.lit("present").alias("probe_set"), *[F.lit(0).cast("bigint").alias(c) for c in ("n_probes", "n_positive")])
     seeds = [P.BLOOM_SEED + i for i in range(sized["k"])]
     absent = _absent(keys).select(F.lit("absent").alias("probe_set"), "key")
-    probes = keys.select(F.lit("present").alias("probe_set"), "key").unionByName(absent)
-    at = F.array(*[F.pmod(murmur3_32(F.col("key").cast("string"), s), F.lit(sized["m"])) for s in seeds])
-    probes = cut_lineage(probes.select("probe_set", "key", at.alias("at")))
+    # hashing again is cheaper than writing the positions
+    probes = cut_lineage(keys.select(F.lit("present").alias("probe_set"), "key").unionByName(absent))
+    probes = probes.select("probe_set", "key", murmur3_32_seeds(F.col("key"), seeds, sized["m"]).alias("at"))
     return B.probe_lists(B.words_of(probes.where("probe_set = 'present'"), "at"), probes, "at", ["probe_set", "key"]) \
         .groupBy("probe_set").agg(F.count("*").cast("bigint").alias("n_probes"),
                                   F.sum(F.col("present").cast("bigint")).cast("bigint").alias("n_positive"))

@@ -90,3 +90,20 @@ def test_murmur_known_vectors(spark):
     four = spark.createDataFrame([("abcd", int.from_bytes(b"abcd", "little"))], "t string, x long")
     r = four.select(murmur.murmur3_32(F.col("t"), 5).alias("a"), murmur.murmur3_32_int(F.col("x"), 5).alias("b")).first()
     assert r["a"] == r["b"]
+
+
+def test_murmur_arrays_equal_the_columns(spark):
+    texts = ["", "a", "ab", "abc", "abcd", "12345678", "1234567890", "ü€", "x" * 37, None]
+    seeds = [0, 42, 2 ** 32 - 1]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = df.select("t", murmur.murmur3_32_seeds(F.col("t"), seeds).alias("all"), murmur.murmur3_32_seeds(F.col("t"), seeds, 1000).alias("mod"),
+                    F.array(*[murmur.murmur3_32(F.col("t"), s) for s in seeds]).alias("want")).collect()
+    for r in got:
+        if r["t"] is None:
+            assert r["all"] is None and r["mod"] is None
+        else:
+            assert r["all"] == r["want"] and r["mod"] == [x % 1000 for x in r["want"]], r["t"]
+    numbers = [0, 1, 2 ** 31 - 1, 2 ** 32 - 1, -5]
+    df = spark.createDataFrame([(x,) for x in numbers], "x long").coalesce(1)
+    want = [r[0] for r in df.select(murmur.murmur3_32_int(F.col("x"))).collect()]
+    assert murmur.murmur3_ints(numbers).tolist() == want
