@@ -4,14 +4,15 @@
 from __future__ import annotations
 
 import math
+from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.hashing import md5_u64, poly_hash
-from ..functions.murmur import murmur3_32_int, murmur3_32_seeds
+from ..functions.murmur import murmur3_32_seeds, murmur3_ints
 from ..operators import bloom as B
 from ..session import cut_lineage
 from ..sources.tables import read_table
@@ -123,38 +124,58 @@ def avalanche_coefficients():
     return [int(rs.randint(1, P.AVALANCHE_PRIME)) for _ in range(4)]
 
 
-def _hashes(x):
+def _poly(x, coeffs):
+    """X8 as ``poly_hash``, of an array."""
+    p = P.AVALANCHE_PRIME
+    acc = np.full(len(x), coeffs[0], np.int64)
+    for c in coeffs[1:]:
+        acc = (acc * x + c) % p
+    return acc % (1 << P.AVALANCHE_OUTPUT_BITS)
+
+
+def _md5(x):
+    """``md5_u64`` of the decimal texts, mod 2^output bits (at most 16): the last of the eight bytes."""
+    low = b"".join([md5(b"%d" % v).digest()[6:8] for v in x.tolist()])
+    return np.frombuffer(low, ">u2").astype(np.int64) % (1 << P.AVALANCHE_OUTPUT_BITS)
+
+
+def _hashes():
     a, b, c, d = avalanche_coefficients()
-    p, out = P.AVALANCHE_PRIME, 1 << P.AVALANCHE_OUTPUT_BITS
-    return [
-        ("2-universal", poly_hash(x, [a, b], p, out)),
-        ("3-universal", poly_hash(x, [a, b, c], p, out)),
-        ("4-universal", poly_hash(x, [a, b, c, d], p, out)),
-        ("md5", F.pmod(md5_u64(x.cast("string")), F.lit(out).cast("decimal(20,0)")).cast("bigint")),
-    ]
+    return [("2-universal", lambda x: _poly(x, [a, b])), ("3-universal", lambda x: _poly(x, [a, b, c])),
+            ("4-universal", lambda x: _poly(x, [a, b, c, d])), ("md5", _md5)]
 
 
 def avalanche_matrix(spark, sf_dir):
     """P(output bit i flips | input bit j flips) over all order keys, folded
     into the input bits, for each hash function."""
-    return _avalanche(_keys(spark, sf_dir), _hashes)
+    return _avalanche(_keys(spark, sf_dir), _hashes())
 
 
 def _avalanche(keys, hashes):
+    """``hashes``: ``(name, of an array of keys)``.  A key is hashed once, and once per flipped bit; a task counts the flips
+    by (function, input bit, output bit) and sends these counts alone."""
     ib, ob = P.AVALANCHE_INPUT_BITS, P.AVALANCHE_OUTPUT_BITS
-    x = keys.select(F.pmod(F.col("key"), F.lit(1 << ib)).alias("x"),
-                    F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("j"))
-    x = x.withColumn("y", F.col("x").bitwiseXOR(F.expr("shiftleft(1L, j)")))
-    hx, hy = hashes(F.col("x")), hashes(F.col("y"))
-    fl = F.array(*[F.struct(F.lit(n).alias("f"), a.bitwiseXOR(b).alias("ch"))
-                   for (n, a), (_, b) in zip(hx, hy)])
-    e = x.select(F.col("j").cast("bigint").alias("input_bit"), F.explode(fl).alias("z"))
-    aggs = [F.avg(F.expr(f"getbit(z.ch, {i})").cast("double")).alias(f"b{i}") for i in range(ob)]
-    g = e.groupBy(F.col("z.f").alias("func"), "input_bit").agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(i).cast("bigint").alias("output_bit"), F.col(f"b{i}").alias("p"))
-                    for i in range(ob)])
-    return g.select("func", "input_bit", F.explode(arr).alias("o")) \
-        .select("func", "input_bit", "o.output_bit", F.round("o.p", R).alias("p"))
+    schema = "f int, input_bit bigint, output_bit bigint, flips bigint, n bigint"
+    bits = np.arange(1 << ob)[:, None] >> np.arange(ob) & 1
+
+    def run(batches):
+        flips, n = np.zeros((len(hashes), ib, ob), np.int64), 0
+        for batch in batches:
+            x = batch.column(0).to_numpy()
+            n += len(x)
+            for f, (_, h) in enumerate(hashes):
+                hx = h(x)
+                for j in range(ib):
+                    flips[f, j] += np.bincount(hx ^ h(x ^ (1 << j)), minlength=1 << ob) @ bits
+        if n:
+            f, j, i = (v.ravel() for v in np.indices(flips.shape))
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), *[pa.array(v, pa.int64()) for v in (j, i, flips.ravel(), np.full(flips.size, n))]],
+                                             names=["f", "input_bit", "output_bit", "flips", "n"])
+
+    x = keys.select(F.pmod(F.col("key"), F.lit(1 << ib)).cast("bigint").alias("x"))
+    g = x.mapInArrow(run, schema).groupBy("f", "input_bit", "output_bit").agg(F.sum("flips").alias("flips"), F.sum("n").alias("n"))
+    names = F.array(*[F.lit(name) for name, _ in hashes])
+    return g.select(F.get(names, F.col("f")).alias("func"), "input_bit", "output_bit", F.round(F.col("flips") / F.col("n"), R).alias("p"))
 
 
 # ---------------------------------------------------------------------------
@@ -183,8 +204,8 @@ def murmur_bloom(spark, sf_dir):
 
 def avalanche_murmur(spark, sf_dir):
     """G22 for the seeded Murmur3 of 32-bit integers (seed 0), as ``avalanche_matrix``."""
-    out = F.lit((1 << P.AVALANCHE_OUTPUT_BITS) - 1).cast("bigint")
-    return _avalanche(_keys(spark, sf_dir), lambda x: [("murmur3", murmur3_32_int(x).bitwiseAND(out))])
+    out = (1 << P.AVALANCHE_OUTPUT_BITS) - 1
+    return _avalanche(_keys(spark, sf_dir), [("murmur3", lambda x: murmur3_ints(x).astype(np.int64) & out)])
 
 
 JOBS = {n: globals()[n] for n in [
