@@ -17,6 +17,10 @@ from ..functions.text import jaccard, shingles
 from .topn import top_n_per_group
 
 P = params
+#: a task cuts a query's list when it is this many times as long as asked
+KEPT = 8
+#: URLs whose pairs a task holds at once
+STEP = 64
 
 
 def url_shingles(urls: DataFrame) -> DataFrame:
@@ -117,7 +121,8 @@ class QueryBlock:
     def __init__(self, rows: list) -> None:
         self.urls = [r["url"] for r in rows]
         self.size = np.array([len(r["sh"]) for r in rows], dtype=np.int64)
-        self.sig = np.array([r["sig"] for r in rows], dtype=np.int64) if rows and "sig" in rows[0] else None
+        #: a row per place of the signature, a column per query
+        self.by_value = np.array([r["sig"] for r in rows], dtype=np.int64).T.copy() if rows and "sig" in rows[0] else None
         index: dict[str, list[int]] = {}
         for k, r in enumerate(rows):
             for s in r["sh"]:
@@ -131,10 +136,19 @@ class QueryBlock:
         inter = np.bincount(np.concatenate(met), minlength=len(self.urls)) if met else np.zeros(len(self.urls), np.int64)
         return inter / (self.size + len(shingle_list) - inter)
 
-    def bands_met(self, sig: list[int], K: int, L: int) -> np.ndarray:
-        """J6 of one URL: the queries that share a whole band with it."""
-        same = self.sig[:, :K * L] == np.array(sig[:K * L])
-        return same.reshape(len(self.urls), L, K).all(axis=2).any(axis=1)
+    def bands_met(self, sig: np.ndarray, grid: list[tuple[int, int]]) -> np.ndarray:
+        """J6 of one URL, per (K, L): the queries that share a whole band with it.  Values are compared
+        once; a K's bands are found once, for its largest L."""
+        same = self.by_value == sig[:, None]
+        most: dict[int, int] = {}
+        for K, L in grid:
+            most[K] = max(L, most.get(K, 0))
+        whole = {}
+        for K, L in most.items():
+            whole[K] = same[0:K * L:K]
+            for i in range(1, K):
+                whole[K] = whole[K] & same[i:K * L:K]
+        return np.array([whole[K][:L].any(axis=0) for K, L in grid])
 
 
 def nearest(sh: DataFrame, queries_sh: DataFrame, n: int = 10) -> DataFrame:
@@ -152,7 +166,9 @@ def nearest(sh: DataFrame, queries_sh: DataFrame, n: int = 10) -> DataFrame:
                     for k in np.flatnonzero(j > 0).tolist():
                         if block.urls[k] != url:
                             best[k].append((-j[k], url))
-                best = [heapq.nsmallest(n, x) for x in best]
+                            if len(best[k]) >= KEPT * n:
+                                best[k] = heapq.nsmallest(n, best[k])
+            best = [heapq.nsmallest(n, x) for x in best]
             rows = [(block.urls[k], u, -j) for k, x in enumerate(best) for j, u in x]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))],
@@ -174,18 +190,33 @@ def banding_sums(sig: DataFrame, queries_sig: DataFrame, grid: list[tuple[int, i
 
         def run(batches, block=block):
             sums = np.zeros((len(grid), 2, 10, 4))
+
+            def add(place, j, met):
+                pairs = np.bincount(place, minlength=20)
+                some = np.flatnonzero(j)  # the rest adds nothing to sums of the Jaccard index
+                powers = {K: j[some] ** K for K in {K for K, _ in grid}}
+                for c, (K, L) in enumerate(grid):
+                    chance = 1 - (1 - powers[K]) ** L
+                    values = (pairs, np.bincount(place[met[:, c]], minlength=20),
+                              np.bincount(place[some], weights=j[some] * met[some, c], minlength=20),
+                              np.bincount(place[some], weights=chance, minlength=20))
+                    for v, w in enumerate(values):
+                        sums[c, :, :, v] += w.reshape(2, 10)
+
             for batch in batches:
-                for url, s, g in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                    j = block.jaccard(s)
-                    use = np.ones(len(j), bool)
-                    if url in block.number:
-                        use[block.number[url]] = False
-                    place = np.minimum(np.floor(j * 10), 9).astype(int) + 10 * (j > 0)
-                    for c, (K, L) in enumerate(grid):
-                        met = block.bands_met(g, K, L)
-                        chance = 1 - (1 - j ** K) ** L
-                        for v, w in enumerate((np.ones(len(j)), met.astype(float), j * met, chance)):
-                            sums[c, :, :, v] += np.bincount(place[use], weights=w[use], minlength=20).reshape(2, 10)
+                if not batch.num_rows:
+                    continue
+                urls, lists = (batch.column(k).to_pylist() for k in range(2))
+                sigs = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+                for a in range(0, len(urls), STEP):
+                    some = range(a, min(a + STEP, len(urls)))
+                    use = np.ones((len(some), len(block.urls)), bool)
+                    for i, at in enumerate(some):
+                        if urls[at] in block.number:
+                            use[i, block.number[urls[at]]] = False
+                    j = np.array([block.jaccard(lists[at]) for at in some])[use]
+                    met = np.array([block.bands_met(sigs[at], grid).T for at in some])[use]
+                    add(np.minimum(np.floor(j * 10), 9).astype(int) + 10 * (j > 0), j, met)
             at = np.argwhere(sums[..., 0] > 0)
             v = sums[at[:, 0], at[:, 1], at[:, 2]]
             k, l = np.array(grid, dtype=np.int64).reshape(-1, 2)[at[:, 0]].T

@@ -22,7 +22,8 @@ class UrlJob:
 
     def __init__(self, spark: SparkSession, sf_dir: str, K: int = P.LSH_K, L: int = P.LSH_L, hashes: int = 0):
         self.spark, self.K, self.L = spark, K, L
-        self.urls = distinct_urls(spark, sf_dir)
+        # few bytes but much work a row: a fixed count, as merging these partitions by size would leave few tasks
+        self.urls = distinct_urls(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "url")
         self.sh = lsh.url_shingles(self.urls)
         if hashes:
             self.sh = cut_lineage(lsh.signatures(self.sh, hashes))
