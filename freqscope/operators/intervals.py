@@ -2,8 +2,8 @@
 
 A request is a row ``(item, a, b)``: the item's count in the slots a to b, both
 included.  Slots before 0 or the retention count as empty, as does a request with b < a.
-No join compares ranges alone: a request becomes one row per dyadic segment of its cover, or
-per bin of slots it touches, and meets counts or cells by equality.
+No join compares ranges alone: a request becomes one row per bin of slots it touches and meets
+counts by equality; it meets a sketch's cells by chunks of slots (``reads``).
 """
 
 from __future__ import annotations
@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
-from .sketch import event_probes
-from .windowed import dyadic_cells, level_width, ring_cells
+from .reads import KEY, dyadic_sums, ring_sums
+from .windowed import dyadic_cells, ring_cells
 
-KEY = ["item", "a", "b"]
 #: slots of one bin of the binned joins
 BIN_SLOTS = 16
 
@@ -67,30 +66,20 @@ def requested_counts(counts: DataFrame, requests: DataFrame) -> DataFrame:
 def requested_dyadic(counts: DataFrame, requests: DataFrame, width: int = params.WIDTH, levels: int = params.DYADIC_LEVELS,
                      min_width: int = params.DYADIC_MIN_WIDTH, depth: int = params.DEPTH,
                      seed: int = params.DYADIC_SEED) -> DataFrame:
-    """``(item, a, b, est)``, the sum of the cover's Count-Min reads.  Level widths divide
-    ``width``, so an item is hashed once per row, not once per segment."""
+    """``(item, a, b, est)``, the sum of the cover's Count-Min reads.  An item is hashed once
+    per row; the levels' columns are that hash mod their widths."""
+    newest = counts.agg(F.max("slot")).first()[0]  # one number
     cells = dyadic_cells(counts, [width], levels, min_width, depth, seed)
-    probes = event_probes(_asked(requests), depth, width, seed, extra=["a", "b"]).withColumnRenamed("col", "base")
-    at = dyadic_cover(probes, levels).withColumn("width", F.lit(width).cast("bigint"))
-    at = at.withColumn("col", F.pmod(F.col("base"), level_width("width", "level", min_width)).cast("bigint"))
-    met = at.join(cells, ["width", "level", "seg", "row", "col"])
-    return _summed(met, ["level", "seg"], depth)
+    return dyadic_sums(cells, _asked(requests), -1 if newest is None else newest, width, levels, min_width, depth, seed)
 
 
 def requested_ring(counts: DataFrame, requests: DataFrame, T: Column, buffer_slots: Column, width: int = params.WIDTH,
                    depth: int = params.DEPTH, seed: int = params.RING_SEED) -> DataFrame:
     """``(item, a, b, est)``, the sum over the retained slots of the interval of the
-    slots' Count-Min reads: probes meet cells by (bin, row, col)."""
-    cells = ring_cells(counts, T, buffer_slots, [width], depth, seed).select("slot", "row", "col", "cnt", _bin("slot"))
-    probes = event_probes(_asked(requests), depth, width, seed, extra=["a", "b"])
-    met = _bins(probes).join(cells, ["bin", "row", "col"]).where("slot between a and b")
-    return _summed(met, ["slot"], depth)
-
-
-def _summed(met: DataFrame, unit: list[str], depth: int) -> DataFrame:
-    """Least cell per unit (0 if a row has none), then the sum over a request's units."""
-    least = met.groupBy(*KEY, *unit).agg(F.min("cnt").alias("m"), F.count("*").alias("n"))
-    return least.where(F.col("n") == depth).groupBy(*KEY).agg(F.sum("m").cast("bigint").alias("est"))
+    slots' Count-Min reads."""
+    cells = ring_cells(counts, T, buffer_slots, [width], depth, seed)
+    lo = F.greatest(T - buffer_slots + 1, F.lit(0).cast("bigint"))
+    return ring_sums(cells, _asked(requests), lo, T, width, depth, seed)
 
 
 def answered(requests: DataFrame, **answers: DataFrame) -> DataFrame:

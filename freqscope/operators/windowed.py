@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.hashing import bounded_broadcast
+from .reads import ring_sums
 from .sketch import cm_min, event_cells, event_probes
 
 
@@ -104,23 +105,29 @@ def ring_cells(ev: DataFrame, T: Column, buffer_slots: Column, widths,
 def ring_estimates(ev: DataFrame, items: DataFrame, T: Column, windows: Column,
                    max_window: Column, widths, depth: int = params.DEPTH,
                    seed: int = params.RING_SEED, buffer_slots: Column | None = None,
-                   items_bound: int | None = None, horizon_slots: int | None = None) -> DataFrame:
+                   items_bound: int | None = None) -> DataFrame:
     """J2 + W3: estimated count per (width, item, window) = sum over retained
     slots in the window of the per-slot Count-Min minimum."""
     buffer_slots = max_window if buffer_slots is None else buffer_slots
     cells = ring_cells(ev, T, buffer_slots, widths, depth, seed)
     lo = F.greatest(T - max_window + 1, T - buffer_slots + 1)
     cells = cells.where(F.col("slot") >= lo)
-    probes = event_probes(with_widths(items.select("item"), widths), depth, "width", seed,
-                          extra=["width"])
-    nw = len(list(widths))
-    if items_bound is not None:
-        probes = bounded_broadcast(probes, items_bound * depth * nw, params.ITEM_BYTES)
-    elif horizon_slots:
-        # the caller's horizon bounds the cells by horizon x depth x width
-        cells = bounded_broadcast(cells, horizon_slots * depth * sum(widths))
-    per_slot = cm_min(probes, cells, ["width", "row", "col"], ["width", "item", "slot"], depth)
-    sums = window_sums(per_slot, T, windows, max_window, "est", ["width", "item"], "est_count")
+    if items_bound is None:
+        # a row per item: windows are intervals that end at T
+        asked = query_grid(items.select("item"), windows, max_window) \
+            .select("item", (T - F.col("window_slots") + 1).alias("a"), T.alias("b")).distinct()
+        reads = [ring_sums(cells.where(F.col("width") == w), asked, lo, T, w, depth, seed).select(
+            F.lit(w).cast("bigint").alias("width"), "item", (F.col("b") - F.col("a") + 1).alias("window_slots"),
+            F.col("est").alias("est_count")) for w in _check_widths(widths)]
+        sums = reads[0]
+        for more in reads[1:]:
+            sums = sums.unionByName(more)
+    else:
+        probes = event_probes(with_widths(items.select("item"), widths), depth, "width", seed,
+                              extra=["width"])
+        probes = bounded_broadcast(probes, items_bound * depth * len(list(widths)), params.ITEM_BYTES)
+        per_slot = cm_min(probes, cells, ["width", "row", "col"], ["width", "item", "slot"], depth)
+        sums = window_sums(per_slot, T, windows, max_window, "est", ["width", "item"], "est_count")
     grid = query_grid(items, windows, max_window, widths)
     return (grid.join(sums, ["width", "item", "window_slots"], "left")
             .select("width", "item", "window_slots",
@@ -142,12 +149,13 @@ def dyadic_cells(ev: DataFrame, widths, levels: int = params.DYADIC_LEVELS,
     width halves per level down to ``min_width``; one seed for every segment
     so levels roll up (D4)."""
     _check_widths([min_width])
-    counts = slot_counts(ev, lo=lo)
-    lv = counts.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
-    seg = lv.groupBy("item", "level", F.expr("shiftright(slot, level)").alias("seg")) \
-            .agg(F.sum("cnt").alias("cnt"))
-    seg = with_widths(seg, widths).withColumn("wl", level_width("width", "level", min_width))
-    return event_cells(seg, ["width", "level", "seg"], depth, "wl", seed)
+    counts = with_widths(slot_counts(ev, lo=lo), widths).withColumn("w0", F.greatest("width", F.lit(min_width).cast("bigint")))
+    # every level's width divides w0, so levels are sums of the slots' cells: each row is hashed once
+    base = event_cells(counts, ["width", "slot"], depth, "w0", seed)
+    lv = base.withColumn("level", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(levels - 1).cast("bigint"))))
+    return (lv.groupBy("width", "level", F.expr("shiftright(slot, cast(level as int))").alias("seg"), "row",
+                       F.pmod(F.col("col"), level_width("width", "level", min_width)).alias("col"))
+            .agg(F.sum("cnt").alias("cnt")))
 
 
 def dyadic_segments(T: Column, windows, max_window: Column, levels: int) -> DataFrame:
