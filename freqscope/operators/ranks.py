@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import params
+from ..functions.hashing import broadcast_bytes
 from ..session import cut_lineage
 
 BINS = 1024
@@ -28,12 +31,20 @@ def nearest_ranks(df: DataFrame, keys: list[str], value: str, percents: list[flo
              .where("n > 0").select(*names, asked, "n", "lo", "hi"))
     rank = F.bround(F.col("percent") / 100.0 * (F.col("n") - 1), 0).cast("bigint")
     state = cut_lineage(state.withColumn("left", rank))  # values of the range that come before the wanted one
-    while not state.where("lo < hi").isEmpty():
+    strings = [n for n in names if isinstance(rows.schema[n].dataType, T.StringType)]
+    while True:
         open_ = state.where("lo < hi")
+        # rows and bytes of text: two numbers
+        size = open_.agg(F.count("*").alias("n"), F.coalesce(F.sum(sum((F.coalesce(F.octet_length(n), F.lit(0)) for n in strings), F.lit(0))),
+                                                             F.lit(0)).alias("text")).first()
+        if not size["n"]:
+            break
+        if broadcast_bytes(size["n"], len(open_.columns)) + 2 * size["text"] <= params.BROADCAST_BOUND_BYTES:
+            open_ = F.broadcast(open_)  # measured small: the values stay where they are
         same = [F.col(f"s.{n}").eqNullSafe(F.col(f"r.{n}")) for n in names]
         inside = F.col("x").between(F.col("lo"), F.col("hi"))
         place = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
-        # one row per group and percent: a bounded side for few groups, else an equi-join
+        # one row per group and percent: broadcast for few groups, else an equi-join
         met = rows.alias("r").join(open_.alias("s"), [*same, inside] if same else inside)
         bins = (met.select(*[F.col(f"s.{n}").alias(n) for n in names], "percent", "n", "left", place.alias("bin"), "x")
                 .groupBy(*names, "percent", "n", "left", "bin")

@@ -9,6 +9,7 @@ from .. import params
 from ..operators import intervals as I
 from ..operators.metrics import abs_rel_error
 from ..operators.ranks import nearest_ranks
+from ..session import cut_lineage
 from . import events
 from .events_sql import D, base, sha_idx
 
@@ -30,7 +31,7 @@ def requested_intervals(spark, sf_dir):
     """Each item's first and last third, counted exactly, from the dyadic cells
     and from the per-slot cells of the retained slots."""
     j = events._job(spark, sf_dir, shared=True)
-    asked = _thirds(j.ev)
+    asked = cut_lineage(_thirds(j.ev))
     return I.answered(asked, true_count=I.requested_counts(j.ev, asked), dyadic_est=I.requested_dyadic(j.ev, asked),
                       ring_est=I.requested_ring(j.ev, asked, j.T, j.maxw))
 
@@ -39,7 +40,7 @@ def error_percentiles(spark, sf_dir):
     """Exact nearest-rank percentiles of the relative errors of every item's window
     counts, per window and over all of them (window_slots null)."""
     rows = events.ring_window_estimates(spark, sf_dir)
-    rows = rows.select("window_slots", abs_rel_error(F.col("true_count"), F.col("est_count"))[1].alias("rel_error"))
+    rows = cut_lineage(rows.select("window_slots", abs_rel_error(F.col("true_count"), F.col("est_count"))[1].alias("rel_error")))
     each = nearest_ranks(rows, ["window_slots"], "rel_error", list(PERCENTS))
     every = nearest_ranks(rows, [], "rel_error", list(PERCENTS)).withColumn("window_slots", F.lit(None).cast("bigint"))
     return each.unionByName(every).select("window_slots", "percent", "n", F.round("rel_error", R).alias("rel_error"))
