@@ -1,7 +1,7 @@
 """Operator 7: token ids in Re-Pair compressed shards with random access.
 
 Texts are dealt by id range and sorted, so shards follow the order of ids.  Each
-task encodes its texts with the tokenizers library (once per distinct piece),
+task encodes its texts with the tokenizers library (once per distinct part),
 appends the end id and cuts its ids into blocks of about ``BLOCK_IDS``.  A block is
 compressed by Re-Pair: the most frequent pairs of neighbours become nonterminals,
 round after round, until no pair occurs ``MIN_COUNT`` times.  One round replaces all
@@ -25,10 +25,10 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +37,13 @@ from pyspark.sql.window import Window
 
 from .bpe import tokenizer_path
 from .common import field, stored, table, text_or_empty
-from .pretoken import PieceCache, chunks
+from .pretoken import SPACE
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
 MIN_COUNT = 32
 MARK_EVERY = 256
-#: marks that are a piece of their own after letters, in runs
+#: marks whose runs are a piece of their own next to letters
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _SLOT_BITS = 18
 
@@ -187,10 +187,67 @@ def _byte_letters() -> dict[int, str]:
     return {c: chr(c) for c in shown} | {c: chr(0x100 + k) for k, c in enumerate(rest)}
 
 
+#: kinds of bytes by their character; an apostrophe may open a contraction, OTHER is not known further but by its
+#: last byte, which is GAP if it may end white space
+_LETTER, _NUMBER, _MARK, _QUOTE, _OTHER, _BLANK, _LINE, _GAP = range(8)
+
+
+@lru_cache(1)
+def _kind_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind of each byte; last bytes of wide white space; whether a part begins between two kinds)."""
+    kind = np.full(256, _OTHER, np.uint8)
+    for c in range(128):
+        kind[c] = _LETTER if chr(c).isalpha() else _NUMBER if chr(c).isdigit() else _GAP if c in SPACE else _OTHER
+    kind[[ord(c) for c in MARKS]] = _MARK
+    kind[ord("'")], kind[ord(" ")], kind[ord("\n")] = _QUOTE, _BLANK, _LINE
+    gap = np.zeros(256, bool)
+    gap[[chr(c).encode()[-1] for c in SPACE if c > 127]] = True
+    begins = np.zeros((8, 8), bool)
+    begins[:_BLANK, [_BLANK, _LINE]] = True
+    for x in range(_OTHER):
+        for y in range(_OTHER):
+            begins[x, y] = min(x, _MARK) != min(y, _MARK) and (x, y) != (_QUOTE, _LETTER)
+    begins[_LINE, :_OTHER] = True
+    return kind, gap, begins.ravel()
+
+
+def byte_kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of every byte of UTF-8 text that ends in two bytes of zero at least."""
+    table, gap, _ = _kind_tables()
+    kind = table[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    if len(lead):
+        first = data[lead]
+        latin = lead[first == 0xC3]
+        latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]  # all letters but the signs for times and by
+        kind[latin] = kind[latin + 1] = _LETTER
+        last = np.concatenate((lead[first == 0xC2] + 1, lead[(first >= 0xE1) & (first <= 0xE3)] + 2))
+        kind[last[gap[data[last]]]] = _GAP
+    return kind
+
+
+def part_starts(kind: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where texts are cut into parts.  The tokenizer's pattern always ends a piece there, and nothing it looks
+    ahead at lies beyond: a run of white space stays whole with what follows, but for a single line end."""
+    new = np.zeros(len(kind), bool)
+    new[1:] = _kind_tables()[2][kind[:-1] << 3 | kind[1:]]
+    line = np.flatnonzero(kind[:-1] == _LINE)
+    new[line[kind[line - 1] >= _BLANK] + 1] = False
+    new[text_starts] = True
+    return np.flatnonzero(new)
+
+
 class LibraryEncoder:
-    """The tokenizers library, called once per distinct piece.  Texts are cut at spaces; a chunk not
-    seen yet is taken apart into words, marks and line ends where that is plain, and the
-    library gets the new words of many texts in one call."""
+    """The tokenizers library, called once per distinct part.
+
+    Texts are cut at places where the tokenizer's pattern cuts too, whatever stands around them.  Parts are numbered
+    by a table of their bytes (exact up to ``LONGEST`` of them, else a dict), and their ids stand in one pool.  New
+    parts of one piece each go to the library's model in one call, others to the library one by one."""
+
+    LONGEST = 23
+    #: parts held before all are dropped, ids held, parts looked up at a time, bytes of text at a time
+    LIMIT, POOL, GROUP, SLICE = 1_200_000, 12_000_000, 1 << 18, 2 << 20
+    _BITS = 22
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -198,98 +255,153 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        #: ids of a chunk after a space, of a word after a line end, of a run of marks after letters
-        self.spaced = PieceCache(None, limit=800_000)
-        self.bare = PieceCache(None, limit=200_000)
-        self.marks = PieceCache(self._whole)
-        # the library's model on words in the vocabulary's letters, cut at the byte 0x0B, which no word holds
+        # the library's model on pieces in the vocabulary's letters, none of which is white space
         setting = json.loads(self.library.to_str())
-        self.stop = _byte_letters()[0x0B]
-        setting |= {"added_tokens": [], "normalizer": None, "post_processor": None, "pre_tokenizer":
-                    {"type": "Split", "pattern": {"String": self.stop}, "behavior": "Isolated", "invert": False}}
-        self.words = Tokenizer.from_str(json.dumps(setting))
-        self.stop_id = self.words.token_to_id(self.stop)
+        setting |= {"added_tokens": [], "normalizer": None, "post_processor": None,
+                    "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.pieces = Tokenizer.from_str(json.dumps(setting))
+        letters = _byte_letters()
+        self.letters = np.array([ord(letters[c]) for c in range(256)], "<u4")
+        vocab = self.pieces.get_vocab()
+        self.whole_bytes = all(x in vocab for x in letters.values())
+        self.token_size = np.zeros(1 + max(vocab.values()), np.int64)
+        self.token_size[list(vocab.values())] = [len(x) for x in vocab]
+        self.mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+        room = self.LIMIT + self.GROUP
+        self.keys = np.empty((room, 3), np.uint64)
+        self.at, self.n = np.empty(room, np.int64), np.empty(room, np.int64)
+        self.pool = np.empty(1 << 20, "<u4")
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held = self.used = 0
+        self.table = np.full(1 << self._BITS, -1, np.int32)
+        self.long: dict[bytes, int] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn_words(self, words: list[str], before: str) -> list[bytes]:
-        """Ids of words of letters alone, each one piece with what stands before it."""
-        out, letters, before = [], _byte_letters(), "".join(_byte_letters()[c] for c in before.encode())
-        for k in range(0, len(words), 20_000):
-            part = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words[k:k + 20_000]]
-            found = self.words.encode_batch_fast([before + (self.stop + before).join(part)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, dtype="<u4")
-            cut = (4 * np.flatnonzero(ids == self.stop_id)).tolist()
-            data = ids.tobytes()
-            out += [data[i:j] for i, j in zip([0, *[c + 4 for c in cut]], [*cut, len(data)])]
+    def _pooled(self, numbers: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Ids of the numbered parts, one part's after the other's."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.n[numbers] = sizes
+        self.at[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+
+    def _numbers(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each key, the places of keys that are new).  Slots are tried in turn; of new keys that
+        meet in a free slot one takes it, and the others look again."""
+        mixed = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15) + keys[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed += keys[:, 2] * np.uint64(0x165667B19E3779F9)
+        mixed ^= mixed >> np.uint64(32)
+        slot = (mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - self._BITS)).astype(np.int64)
+        out, todo, made = np.empty(len(keys), np.int64), np.arange(len(keys)), []
+        while len(todo):
+            number = self.table[slot]
+            free = np.flatnonzero(number < 0)
+            if len(free):
+                self.table[slot[free]] = free
+                won = free[self.table[slot[free]] == free]
+                self.table[slot[won]] = new = np.arange(self.held, self.held + len(won))
+                self.keys[new] = keys[todo[won]]
+                self.held += len(won)
+                made.append(todo[won])
+                number[free] = self.table[slot[free]]
+            same = (self.keys[number] == keys[todo]).all(1)
+            out[todo[same]] = number[same]
+            todo, slot = todo[~same], slot[~same] + 1 & (1 << self._BITS) - 1
+        return out, np.concatenate(made) if made else todo
+
+    def _learn_pieces(self, data: np.ndarray, numbers: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of parts of one piece each: the tokens' lengths in bytes tell whose they are."""
+        for k in range(0, len(starts), 20_000):
+            some, size = slice(k, k + 20_000), sizes[k:k + 20_000]
+            ends = np.cumsum(size + 1)
+            text = self.letters[data[np.repeat(starts[some] - (ends - size - 1), size + 1) + np.arange(ends[-1])]]
+            text[ends - 1] = ord(" ")
+            found = self.pieces.encode_batch_fast([text.tobytes().decode("utf-32-le")], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            cut = np.searchsorted(np.cumsum(self.token_size[ids]), np.cumsum(size)) + 1
+            self._pooled(numbers[some], np.diff(cut, prepend=0), ids)
+
+    def _group(self, data: np.ndarray, kind: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each part; ids of new ones are learnt."""
+        if self.held > self.LIMIT or self.used > self.POOL:
+            self._clear()
+        words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        numbers = np.empty(len(starts), np.int64)
+        short = np.flatnonzero(sizes <= self.LONGEST)
+        at, size = starts[short], sizes[short]
+        keys = np.empty((len(short), 3), np.uint64)
+        for k in range(3):
+            keys[:, k] = words[at + 8 * k] & self.mask[np.clip(size - 8 * k, 0, 8)]
+        keys[:, 2] |= size.astype(np.uint64) << np.uint64(56)
+        numbers[short], new = self._numbers(keys)
+        new = [short[new]]
+        for k in np.flatnonzero(sizes > self.LONGEST).tolist():
+            part = data[starts[k]:starts[k] + sizes[k]].tobytes()
+            number = self.long.get(part)
+            if number is None:
+                number = self.held
+                self.held += 1
+                new.append([k])
+                if len(part) <= 100:
+                    self.long[part] = number
+            numbers[k] = number
+        new = np.concatenate(new)
+        if not len(new):
+            return numbers
+        at, size = starts[new], sizes[new]
+        odd = np.flatnonzero(kind > _MARK)
+        tail = np.searchsorted(odd, at + size) - np.searchsorted(odd, at + 1)
+        head = kind[at]
+        plain = (tail == 0) & ((head <= _MARK) | (head == _BLANK) | (head == _LINE) & (size == 1)) & self.whole_bytes
+        self._learn_pieces(data, numbers[new[plain]], at[plain], size[plain])
+        rest = new[~plain]
+        ids = [self._whole(data[a:b].tobytes().decode()) for a, b in zip(starts[rest], starts[rest] + sizes[rest])]
+        self._pooled(numbers[rest], np.array([len(x) // 4 for x in ids], np.int64), np.frombuffer(b"".join(ids), "<u4"))
+        return numbers
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
+        _, places, content = texts.buffers()
+        places = np.frombuffer(places, "<i8" if pa.types.is_large_string(texts.type) else "<i4")
+        places = places[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        begin, size = int(places[0]), int(places[-1] - places[0])
+        if not size:
+            return [np.empty(0, "<u4")] * len(texts)
+        data = np.zeros(size + 32, np.uint8)
+        data[:size] = np.frombuffer(content, np.uint8)[begin:begin + size]
+        places -= begin
+        kind = byte_kinds(data)[:size]
+        starts = part_starts(kind, places[:-1][places[:-1] < places[1:]])
+        sizes = np.diff(starts, append=size)
+        ids, count = [], np.empty(len(starts), np.int64)
+        for k in range(0, len(starts), self.GROUP):
+            numbers = self._group(data, kind, starts[k:k + self.GROUP], sizes[k:k + self.GROUP])
+            count[k:k + self.GROUP] = n = self.n[numbers]
+            ids.append(self.pool[np.repeat(self.at[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        ids, before = np.concatenate(ids), np.concatenate(([0], np.cumsum(count)))
+        cuts = before[np.searchsorted(starts, places)].tolist()
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        raw = data[:size].tobytes()
+        if any(a.encode() in raw for a in self.added):
+            for k, text in enumerate(texts.to_pylist()):
+                if any(a in text for a in self.added):
+                    out[k] = np.frombuffer(self._whole(text), "<u4")
         return out
 
-    def _learn_chunks(self, new: list[str]) -> None:
-        """Ids of many chunks from one text of them all, spaces between: each splits by
-        itself (see ``chunks``), and the tokens' offsets tell whose they are."""
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            found = self.library.encode(" " + " ".join(part), add_special_tokens=False)
-            stops = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found))[1::2]
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            cut = (4 * np.searchsorted(stops, ends, "right")).tolist()
-            data = np.array(found.ids, dtype="<u4").tobytes()
-            self.spaced.update(zip(part, [data[i:j] for i, j in zip([0, *cut], cut)]))
-
-    def _learn_all(self, new: set[str]) -> None:
-        """Letters, marks after them and a line end before other letters are pieces of
-        their own; other chunks are learnt as a whole."""
-        held, bare = self.spaced, self.bare
-        if len(held) + len(new) > held.limit:
-            held.clear()
-        words = {w for w in new if w.isalpha()}
-        lines: set[str] = set()
-        taken: list[tuple[str, str, str, str, str]] = []
-        other: list[str] = []
-        for w in new - words:
-            left, end, right = w.partition("\n")
-            a, b = left.rstrip(MARKS), right.rstrip(MARKS)
-            if a.isalpha() and (b.isalpha() if end else True):
-                taken.append((w, a, left[len(a):], b, right[len(b):]))
-            else:
-                other.append(w)
-        words.update([a for _, a, _, _, _ in taken if a not in held])
-        lines.update([b for _, _, _, b, _ in taken if b and b not in bare])
-        if len(bare) + len(lines) > bare.limit:
-            lines.update([b for _, _, _, b, _ in taken if b])
-            bare.clear()
-        for table, some, before in ((held, words, " "), (bare, lines, "")):
-            some = list(some)
-            table.update(zip(some, self._learn_words(some, before)))
-        self._learn_chunks(other)
-        marks = self.marks.__getitem__
-        line_end = marks("\n")
-        for w, a, m, b, n in taken:
-            ids = held[a] + marks(m) if m else held[a]
-            if b:
-                ids += line_end + bare[b] + (marks(n) if n else b"")
-            held[w] = ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Every chunk is looked up once; those not held are learnt and filled in."""
-        look, new, found = self.spaced.get, set(), []
-        for text in texts:
-            cut = None if any(a in text for a in self.added) else chunks(text)
-            if cut is None:
-                found.append(([self._whole(text)], [], cut))
-                continue
-            ids = list(map(look, cut))
-            ids[0] = self._whole(cut[0])
-            gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            new.update([cut[k] for k in gaps])
-            found.append((ids, gaps, cut))
-        self._learn_all(new)
-        held = self.spaced
-        for ids, gaps, cut in found:
-            for k in gaps:
-                ids[k] = held[cut[k]]
-        return [np.frombuffer(b"".join(ids), "<u4") for ids, _, _ in found]
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; ``SLICE`` bytes of texts, one text at least, are held cut at a time."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        k = 0
+        while k < len(texts):
+            n = max(1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + self.SLICE, "right")) - k)
+            yield from self._encode(texts.slice(k, n))
+            k += n
 
 
 @lru_cache(2)
@@ -337,16 +449,13 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for a in range(0, len(keys), 500):
-                texts = batch.column(1).slice(a, 500).to_pylist()
-                for key, ids in zip(keys[a:a + 500], coder.encode(texts)):
-                    names.append(key)
-                    parts.append(np.concatenate((ids, end)))
-                    held += len(ids) + 1
-                    if held >= block_ids:
-                        yield flush()
-                        names, parts, held, block = [], [], 0, block + 1
+            for key, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1))):
+                names.append(key)
+                parts.append(np.concatenate((ids, end)))
+                held += len(ids) + 1
+                if held >= block_ids:
+                    yield flush()
+                    names, parts, held, block = [], [], 0, block + 1
         if names:
             yield flush()
 

@@ -110,3 +110,41 @@ def test_edge_rows_and_many_blocks(spark):
     assert shards.count() > 3
     assert sorted((tuple(r) for r in ts.read_shards(shards).collect()), key=str) == brute(rows)
     assert ts.read_shards(ts.write_shards(df.limit(0))).count() == 0
+
+
+ODD = ["a", "é", "×", "÷", "ª", "µ", "'s", "'", "re", "1", "²", ".", "-", " ", " ", "\n", "\n", "\t", "\x1c", "\x85", "\xa0", " ", "　", "“",
+       "日", "語。", "ж", "́", "😀", "\x00", "﻿", "longer than a key holds, ", "longerthanakeyholdsinallitsbytes"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(ODD), max_size=25).map("".join))
+def test_parts_are_cut_between_pieces(text):
+    raw = text.encode()
+    if not raw:
+        return
+    kind = ts.byte_kinds(np.frombuffer(raw + bytes(32), np.uint8))[:len(raw)]
+    lib = ts.library(bpe.tokenizer_path(None))
+    ends = {len(text[:span[1]].encode()) for _, span in lib.library.pre_tokenizer.pre_tokenize_str(text)}
+    assert set(ts.part_starts(kind, np.array([0])).tolist()) <= {0} | ends
+    assert [x.tolist() for x in lib.encode([text])] == [lib.library.encode(text, add_special_tokens=False).ids]
+
+
+def test_words_are_learnt_once_whatever_follows():
+    lib = ts.LibraryEncoder(bpe.tokenizer_path(None))
+    words = [a + b + c for a in "bcdfglmnpr" for b in ("aro", "evi", "ilu", "omä", "uto") for c in ("nd", "st", "rk", "lm")]
+    texts = [f"{w}{m} {v}{n}\n{w}{m} {v}" for w, v in zip(words, reversed(words)) for m in (",", ".", "!!", "%%%") for n in (";", ".", "")]
+    got = [x.tolist() for x in lib.encode(texts)]
+    assert got == [lib.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lib.held <= 2 * len(words) + 10  # with and without a space, and the marks
+
+
+def test_dropped_parts_and_met_slots_keep_ids():
+    class Small(ts.LibraryEncoder):
+        LIMIT, POOL, GROUP, SLICE, _BITS = 40, 100, 16, 50, 7
+
+    rng = np.random.default_rng(3)
+    lib = Small(bpe.tokenizer_path(None))
+    for _ in range(10):
+        texts = ["".join(rng.choice(ODD + PARTS, rng.integers(0, 40))) for _ in range(50)]
+        assert [x.tolist() for x in lib.encode(texts)] == [lib.library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert lib.held <= Small.LIMIT + Small.GROUP
